@@ -56,8 +56,8 @@ VARCHAR_LIMITS = {"company_name": 255, "site_number": 50, "amount_payable_percen
 NOT_NULL = ("commission_type",)
 
 
-def _fit(name: str, c: Column) -> Column:
-    if name in NOT_NULL:
+def _fit(name: str, c: Column, not_null: bool = True) -> Column:
+    if not_null and name in NOT_NULL:
         c = F.when(c.isNull(), F.raise_error(F.lit(f"NULL into NOT NULL column {name}"))).otherwise(c)
     if name in VARCHAR_LIMITS:
         n = VARCHAR_LIMITS[name]
@@ -397,7 +397,7 @@ def commission_adjustment_only(r: Roles, staged: DataFrame,
 
 
 def _check_lengths(df: DataFrame) -> DataFrame:
-    return df.select(*[(_fit(c, col(c)) if c in VARCHAR_LIMITS else col(c)).alias(c)
+    return df.select(*[(_fit(c, col(c), not_null=False) if c in VARCHAR_LIMITS else col(c)).alias(c)
                        for c in df.columns])
 
 

@@ -27,6 +27,20 @@ BROADCAST_MAX_ROWS = 1_000_000
 RANGE_BUCKETS_PER_ROW = 64
 
 
+_ROWS_CHECKED: dict[int, int] = {}
+_RANGE_PROFILE: dict[tuple, tuple[int, int | None]] = {}
+
+
+def _rows_upto(df: DataFrame, max_rows: int) -> int:
+    """Row count of ``df`` capped at ``max_rows + 1`` (reads no more than
+    that), remembered per logical plan so a dimension reused by several
+    joins of one job is checked once."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _ROWS_CHECKED:
+        _ROWS_CHECKED[key] = df.limit(max_rows + 1).count()
+    return _ROWS_CHECKED[key]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
 
@@ -34,20 +48,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     the frame turns out to be large; in that case the frame is returned as is
     and the join goes through a shuffle (AQE may still broadcast it later).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if _rows_upto(df, max_rows) <= max_rows:
         return F.broadcast(df)
     return df
 
 
-def _bucket_width(ranges: DataFrame, lo: str, hi: str) -> int:
-    """Width that splits the widest range into about RANGE_BUCKETS_PER_ROW
-    buckets, so the exploded range side stays proportional to its row count."""
-    span = (ranges.limit(BROADCAST_MAX_ROWS + 1)
-            .agg(F.max(F.col(hi).cast("long") - F.col(lo).cast("long")).alias("s"))
-            .first()["s"])
-    if span is None or span <= 0:
-        return 1
-    return max(1, -(-int(span) // RANGE_BUCKETS_PER_ROW))
+def _range_profile(ranges: DataFrame, lo: str, hi: str) -> tuple[int, int | None]:
+    """(rows, widest span) of a range table in one bounded pass, cached per plan."""
+    key = (ranges.semanticHash(), lo, hi)
+    if key not in _RANGE_PROFILE:
+        row = (ranges.limit(BROADCAST_MAX_ROWS + 1)
+               .agg(F.count(F.lit(1)).alias("n"),
+                    F.max(F.col(hi).cast("long") - F.col(lo).cast("long")).alias("s"))
+               .first())
+        _RANGE_PROFILE[key] = (int(row["n"]), None if row["s"] is None else int(row["s"]))
+    return _RANGE_PROFILE[key]
 
 
 def range_join(facts: DataFrame, ranges: DataFrame, value: str, lo: str, hi: str,
@@ -55,15 +70,23 @@ def range_join(facts: DataFrame, ranges: DataFrame, value: str, lo: str, hi: str
     """``facts JOIN ranges ON facts.value BETWEEN ranges.lo AND ranges.hi``.
 
     Every range row is exploded into the integer buckets ``floor(v / w)`` it
-    covers; facts join on their own bucket and the exact BETWEEN stays as the
-    join's residual filter. Overlapping ranges still multiply rows and a value
-    outside every range (or NULL) finds none, exactly like the theta join.
+    covers, with ``w`` chosen so the widest range spans about
+    RANGE_BUCKETS_PER_ROW buckets; facts join on their own bucket and the
+    exact BETWEEN stays as the join's residual filter. Overlapping ranges
+    still multiply rows and a value outside every range (or NULL) finds none,
+    exactly like the theta join; no candidate is ever capped.
+
+    The exploded side has at most ``rows x (RANGE_BUCKETS_PER_ROW + 2)`` rows;
+    it is broadcast only when that bound is under BROADCAST_MAX_ROWS,
+    otherwise both sides shuffle on the bucket (sort-merge, AQE skew split).
     """
-    w = _bucket_width(ranges, lo, hi)
+    n, span = _range_profile(ranges, lo, hi)
+    w = 1 if not span or span <= 0 else max(1, -(-span // RANGE_BUCKETS_PER_ROW))
     bucket = "__range_bucket"
     r = ranges.withColumn(bucket, F.explode(F.sequence(
         F.floor(F.col(lo) / w).cast("long"), F.floor(F.col(hi) / w).cast("long"))))
-    r = bounded_broadcast(r)
+    if n * (RANGE_BUCKETS_PER_ROW + 2) <= BROADCAST_MAX_ROWS:
+        r = F.broadcast(r)
     f = facts.withColumn(bucket, F.floor(F.col(value) / w).cast("long"))
     cond = (f[bucket] == r[bucket]) & f[value].between(r[lo], r[hi])
     return f.join(r, cond, how).drop(f[bucket]).drop(r[bucket])

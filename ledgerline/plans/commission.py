@@ -24,6 +24,8 @@ Plan shape (one scan of the line facts, shared by the three branches):
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ from ledgerline.functions.semantics import (
 from ledgerline.operators.joins import anti_on, bounded_broadcast, range_join
 from ledgerline.plans.config import CommissionConfig
 from ledgerline.sources.roles import Roles
+from ledgerline.sources.sinks import run_folder, stage_table
 
 col = F.col
 
@@ -106,26 +109,41 @@ def fees_per_file(r: Roles) -> DataFrame:
     )
 
 
-def client_day(r: Roles, with_billing_date: bool) -> DataFrame:
+def fact_grain(r: Roles) -> DataFrame:
+    """Billed measures per (file, client, billing key, billing date) with the
+    file's fee rows attached once: ``fee_rows`` (0 when none), ``misc`` and
+    ``background`` sums. Every branch starts from this grain, so the jobs
+    write it once (``commission_tables``) and scan the line facts once."""
+    keys = ["file_key", "client_key", "billing_date_key", "billing_date"]
+    return (billed_lines(r).join(fees_per_file(r), "file_key", "left")
+            .groupBy(*keys).agg(
+                F.sum("amount").alias("amount"),
+                F.sum("fee_amount").alias("fee_amount"),
+                F.coalesce(F.max("fee_rows"), F.lit(0)).alias("fee_rows"),
+                F.max("misc").alias("misc"),
+                F.max("background").alias("background")))
+
+
+def client_day(grain: DataFrame, with_billing_date: bool) -> DataFrame:
     """Measures per (client, billing key[, billing date]) after the per-file
     fee join.
 
     The source groups lines per file first and left-joins the file fees to
-    each such row, so a file's fees count once per (file, day) row and the
-    line amounts repeat once per fee row. Both are computed here per file
-    group (fees once, amounts x max(fee rows, 1)) and then summed over files.
+    each such row, so a file's fees count once per file row and the line
+    amounts repeat once per fee row (x max(fee rows, 1)). Branches 1-2 group
+    files by billing key only, branch 3 also by billing date, so the per-file
+    rows are regrouped accordingly before the fee maths.
     """
-    keys = ["file_key", "client_key", "billing_date_key"] + (["billing_date"] if with_billing_date else [])
-    per_file = (billed_lines(r).join(fees_per_file(r), "file_key", "left")
-                .groupBy(*keys).agg(
-                    F.sum("amount").alias("amount"),
-                    F.sum("fee_amount").alias("fee_amount"),
-                    F.max("fee_rows").alias("fee_rows"),
-                    F.max("misc").alias("misc"),
-                    F.max("background").alias("background")))
-    copies = F.coalesce(col("fee_rows"), F.lit(1)).cast("decimal(10,0)")
+    keys = ["client_key", "billing_date_key"] + (["billing_date"] if with_billing_date else [])
+    per_file = grain
+    if not with_billing_date:
+        per_file = grain.groupBy("file_key", *keys).agg(
+            F.sum("amount").alias("amount"), F.sum("fee_amount").alias("fee_amount"),
+            F.max("fee_rows").alias("fee_rows"), F.max("misc").alias("misc"),
+            F.max("background").alias("background"))
+    copies = F.greatest(col("fee_rows"), F.lit(1)).cast("decimal(10,0)")
     zero = F.lit(0).cast(MONEY)
-    return per_file.groupBy(*keys[1:]).agg(
+    return per_file.groupBy(*keys).agg(
         F.sum(col("amount") * copies).alias("actual"),
         F.sum(col("fee_amount") * copies).alias("fees"),
         F.sum(F.coalesce(col("misc"), zero)).alias("misc"),
@@ -198,7 +216,7 @@ _L2_BAND_KEYS = ["commission_key", "account_age_min", "account_age_max", "accoun
 
 def _band_branch(r: Roles, clients: DataFrame, band_filter: Column | None,
                  percent: Column, type_text: str, cd: DataFrame | None = None) -> DataFrame:
-    cd = client_day(r, with_billing_date=False) if cd is None else cd
+    cd = client_day(fact_grain(r), with_billing_date=False) if cd is None else cd
     x = cd.join(clients, "client_key")
     x = x.withColumn("age", days_between(col("business_start_date"),
                                          int_key_to_date(col("billing_date_key"))))
@@ -285,7 +303,7 @@ def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                       cd: DataFrame | None = None) -> DataFrame:
     """Branch 3: clients started from the new-business date, any type; rate
     by client age from the site's bucket card."""
-    cd = client_day(r, with_billing_date=True) if cd is None else cd
+    cd = client_day(fact_grain(r), with_billing_date=True) if cd is None else cd
     clients = r.client.where(F.to_date("business_start_date") >= F.lit(cfg.bucket_from))
     x = (cd.join(clients, "client_key")
          .join(bounded_broadcast(bucket_rates(r)), "site_number"))
@@ -327,17 +345,25 @@ def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
 # staging, load, adjustment-only rows, audit
 # ---------------------------------------------------------------------------
 
-def commission_staged(r: Roles, cfg: CommissionConfig = CommissionConfig()) -> DataFrame:
-    """The staging table: the three branches unioned by name.
-
-    Branches 1 and 2 share one (client, day) aggregate; Spark reuses its
-    shuffle output for both (ReusedExchange), and branch 3 reads the same
-    line scan.
-    """
-    cd = client_day(r, with_billing_date=False)
+def commission_staged(r: Roles, cfg: CommissionConfig = CommissionConfig(),
+                      grain: DataFrame | None = None) -> DataFrame:
+    """The staging table: the three branches unioned by name, all computed
+    from one fact grain (branches 1 and 2 also share its per-day regrouping)."""
+    grain = fact_grain(r) if grain is None else grain
+    cd = client_day(grain, with_billing_date=False)
     return (commission_special(r, cfg, cd)
             .unionByName(commission_regular(r, cfg, cd))
-            .unionByName(commission_bucket(r, cfg)))
+            .unionByName(commission_bucket(r, cfg, client_day(grain, with_billing_date=True))))
+
+
+def commission_tables(r: Roles, cfg: CommissionConfig = CommissionConfig(),
+                      folder: str | None = None) -> DataFrame:
+    """Run the staging part of the procedure: write the fact grain and the
+    staging table once under the shared checkpoint folder and return a scan
+    of the staging table (read by the load, the anti-join and the audit)."""
+    folder = run_folder(r.spark, "commission") if folder is None else folder
+    grain = stage_table(fact_grain(r), os.path.join(folder, "fact_grain"))
+    return stage_table(commission_staged(r, cfg, grain), os.path.join(folder, "staged"))
 
 
 def commission_load(staged: DataFrame, cfg: CommissionConfig = CommissionConfig()) -> DataFrame:

@@ -35,15 +35,19 @@ def _staged(r: Roles) -> DataFrame:
 
 
 def _load(r: Roles) -> DataFrame:
-    return commission.commission_load(commission.commission_staged(r))
+    return commission.commission_load(commission.commission_tables(r))
 
 
 def _adj_only(r: Roles) -> DataFrame:
-    return commission.commission_adjustment_only(r, commission.commission_staged(r))
+    return commission.commission_adjustment_only(r, commission.commission_tables(r))
+
+
+def _mart(r: Roles) -> DataFrame:
+    return commission.commission_mart(r, staged=commission.commission_tables(r))
 
 
 def _audit(r: Roles) -> DataFrame:
-    staged = commission.commission_staged(r)
+    staged = commission.commission_tables(r)
     return commission.load_audit(staged, commission.mart_with_audit_tags(r, staged=staged))
 
 
@@ -55,7 +59,7 @@ PRODUCTS: dict[str, Query] = {
     "staged_union": _roles(_staged),
     "commission_load": _roles(_load),
     "commission_adjustment_only": _roles(_adj_only),
-    "commission_mart": _roles(commission.commission_mart),
+    "commission_mart": _roles(_mart),
     "load_audit": _roles(_audit),
     # D2 file-component extracts
     "file_component_extract": _roles(lambda r: extract.file_component_extract(r)),

@@ -24,6 +24,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "8g")))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
         b = b.config(k, v)

@@ -61,34 +61,33 @@ class Roles:
         self.t = DriverTables(spark, sf_dir)
 
     # ---------------------------------------------------------------- inline
+    def _values(self, rows, columns: list[tuple[str, str]]) -> DataFrame:
+        """A literal table as a ``VALUES`` relation (a LocalRelation: no RDD,
+        no job to broadcast it, a stable plan for size-check caching)."""
+        def lit(v):
+            if v is None:
+                return "NULL"
+            return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+        body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+        names = ", ".join(n for n, _ in columns)
+        casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in columns)
+        return self.spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({names})")
+
     @cached_property
     def usage_type(self) -> DataFrame:
-        schema = T.StructType([
-            T.StructField("usage_type_key", T.IntegerType(), False),
-            T.StructField("usage_type_name", T.StringType(), True),
-        ])
-        return self.spark.createDataFrame(USAGE_TYPES, schema)
+        return self._values(USAGE_TYPES, [("usage_type_key", "int"), ("usage_type_name", "string")])
 
     @cached_property
     def commission_band(self) -> DataFrame:
         rows = [(k, lo, hi, None if p is None else Decimal(p), d)
                 for k, lo, hi, p, d in COMMISSION_BANDS]
-        schema = T.StructType([
-            T.StructField("commission_key", T.IntegerType(), False),
-            T.StructField("account_age_min", T.IntegerType(), True),
-            T.StructField("account_age_max", T.IntegerType(), True),
-            T.StructField("account_pay_percent", T.DecimalType(5, 2), True),
-            T.StructField("is_delete", T.IntegerType(), True),
-        ])
-        return self.spark.createDataFrame(rows, schema)
+        return self._values(rows, [("commission_key", "int"), ("account_age_min", "int"),
+                                   ("account_age_max", "int"),
+                                   ("account_pay_percent", "decimal(5,2)"), ("is_delete", "int")])
 
     @cached_property
     def new_business_band(self) -> DataFrame:
-        schema = T.StructType([
-            T.StructField("start_range", T.IntegerType(), True),
-            T.StructField("end_range", T.IntegerType(), True),
-        ])
-        return self.spark.createDataFrame(NEW_BUSINESS_BANDS, schema)
+        return self._values(NEW_BUSINESS_BANDS, [("start_range", "int"), ("end_range", "int")])
 
     # ------------------------------------------------------------- warehouse
     @cached_property

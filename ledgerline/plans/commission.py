@@ -214,24 +214,24 @@ _L2_BAND_KEYS = ["commission_key", "account_age_min", "account_age_max", "accoun
                  "billing_date_key", "account_executive_id", "business_start_date", "site_number"]
 
 
-def _band_branch(r: Roles, clients: DataFrame, band_filter: Column | None,
-                 percent: Column, type_text: str, cd: DataFrame | None = None) -> DataFrame:
+def band_l2(r: Roles, clients: DataFrame, band_filter: Column | None,
+            cd: DataFrame | None = None) -> DataFrame:
+    """L2 of branches 1-2: client-day measures of the chosen clients per age
+    band, plus one empty row for every band without any (the band dimension
+    is the outer side of the source's LEFT JOIN)."""
     cd = client_day(fact_grain(r), with_billing_date=False) if cd is None else cd
-    x = cd.join(clients, "client_key")
-    x = x.withColumn("age", days_between(col("business_start_date"),
-                                         int_key_to_date(col("billing_date_key"))))
+    x = cd.join(clients, "client_key").withColumn(
+        "age", days_between(col("business_start_date"), int_key_to_date(col("billing_date_key"))))
     bands_all = r.commission_band
     bands_in = bands_all if band_filter is None else bands_all.where(band_filter)
     xb = range_join(x, bands_in, "age", "account_age_min", "account_age_max")
     l2 = xb.groupBy(*_L2_BAND_KEYS).agg(
         F.sum("actual").alias("actual"), F.sum("fees").alias("fees"),
         F.sum("misc").alias("misc"), F.sum("background").alias("background"))
-    # DimCommissionSetup LEFT JOIN L2: bands without any L2 row still give one
-    # row. Written as inner rows + (bands anti matched keys) so the big side
-    # is never shuffled on a 7-value key.
+    # Written as inner rows + (bands anti matched keys) so the big side is
+    # never shuffled on a handful of band keys. ``matched`` is a subset of
+    # the band keys, so its size is bounded by the (checked) band dimension.
     matched = l2.select("commission_key").distinct()
-    # ``matched`` is a subset of the band keys, so its size is bounded by the
-    # (checked) band dimension.
     unmatched = anti_on(bands_all, F.broadcast(matched), "commission_key")
     outer_rows = unmatched.select(
         "commission_key", "account_age_min", "account_age_max", "account_pay_percent",
@@ -241,15 +241,25 @@ def _band_branch(r: Roles, clients: DataFrame, band_filter: Column | None,
             ("account_executive_id", "int"), ("business_start_date", "date"),
             ("site_number", "string"), ("actual", "decimal(38,4)"), ("fees", "decimal(38,4)"),
             ("misc", "decimal(38,2)"), ("background", "decimal(38,2)")]])
-    l2 = l2.unionByName(outer_rows)
+    return l2.unionByName(outer_rows)
+
+
+def band_l3(r: Roles, l2: DataFrame, percent: Column) -> DataFrame:
+    """L3 of branches 1-2: L2 rows with executive-month adjustments attached
+    (as weights), grouped to report rows; returns the raw sums."""
     l2a = _join_adjustments(l2, adjustments_by(r, "account_executive_id"), "account_executive_id")
     weight = F.coalesce(col("adj_rows"), F.lit(1)).cast("decimal(10,0)")
-    l3 = (l2a.withColumn("rate_key", percent)
-          .withColumn("label", band_label(col("account_age_min"), col("account_age_max")))
-          .withColumn("exec_trim", F.trim(col("account_executive")))
-          .groupBy("rate_key", "company_name1", "client_key", "exec_trim", "billing_date_key",
-                   "label", "business_start_date", "site_number")
-          .agg(*_l3_sums(weight)))
+    return (l2a.select("*", percent.alias("rate_key"),
+                       band_label(col("account_age_min"), col("account_age_max")).alias("label"),
+                       F.trim(col("account_executive")).alias("exec_trim"))
+            .groupBy("rate_key", "company_name1", "client_key", "exec_trim", "billing_date_key",
+                     "label", "business_start_date", "site_number")
+            .agg(*_l3_sums(weight)))
+
+
+def _band_branch(r: Roles, clients: DataFrame, band_filter: Column | None,
+                 percent: Column, type_text: str, cd: DataFrame | None = None) -> DataFrame:
+    l3 = band_l3(r, band_l2(r, clients, band_filter, cd), percent)
     return to_contract(l3.select(
         col("label").alias("account_aging_in_days"), "client_key",
         col("company_name1").alias("company_name"), "site_number",
@@ -259,23 +269,38 @@ def _band_branch(r: Roles, clients: DataFrame, band_filter: Column | None,
         "business_start_date"))
 
 
+def special_clients(r: Roles) -> DataFrame:
+    return r.client.where(ci_eq("commission_type", "spc"))
+
+
+def regular_clients(r: Roles, cfg: CommissionConfig = CommissionConfig()) -> DataFrame:
+    return r.client.where(ci_eq("commission_type", "REG")
+                          & (F.to_date("business_start_date") <= F.lit(cfg.regular_until)))
+
+
+def regular_percent() -> Column:
+    """``ISNULL(AccountPayPercent, 0.00)`` of the band."""
+    return isnull_typed(col("account_pay_percent"), 0, PERCENT)
+
+
+def special_percent() -> Column:
+    """``ISNULL(CommissionPercent, 0.00)`` of the client."""
+    return isnull_typed(col("commission_percent"), 0, PERCENT)
+
+
 def commission_special(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                        cd: DataFrame | None = None) -> DataFrame:
     """Branch 1: special clients, rate = the client's own percent; every band
     (deleted ones too) is a candidate."""
-    clients = r.client.where(ci_eq("commission_type", "spc"))
-    return _band_branch(r, clients, None,
-                        isnull_typed(col("commission_percent"), 0, PERCENT), "Special", cd)
+    return _band_branch(r, special_clients(r), None, special_percent(), "Special", cd)
 
 
 def commission_regular(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                        cd: DataFrame | None = None) -> DataFrame:
     """Branch 2: regular clients started up to the cut-off, rate = the band's
     pay percent, deleted bands excluded inside the join only."""
-    clients = r.client.where(ci_eq("commission_type", "REG")
-                             & (F.to_date("business_start_date") <= F.lit(cfg.regular_until)))
-    return _band_branch(r, clients, col("is_delete") == 0,
-                        isnull_typed(col("account_pay_percent"), 0, PERCENT), "Regular", cd)
+    return _band_branch(r, regular_clients(r, cfg), col("is_delete") == 0, regular_percent(),
+                        "Regular", cd)
 
 
 # ---------------------------------------------------------------------------

@@ -9,9 +9,9 @@ falls back to a nested-loop or cartesian product:
 * ``single_value_lookup`` scalar sub-query (<= 1 row)  -> grouped count + check
 * ``any_row_lookup``    TOP 1 without ORDER BY         -> grouped min / max
 
-Broadcasts only happen behind ``bounded_broadcast``: a ``limit(n+1).count()``
-proves the side has at most ``n`` rows before it is hinted; otherwise Spark /
-AQE choose the strategy from runtime sizes.
+Broadcasts only happen behind a size check: a ``limit(n+1).count()`` proves
+the side has at most ``n`` rows before it is hinted; otherwise Spark / AQE
+choose the strategy from runtime sizes.
 """
 
 from __future__ import annotations
@@ -27,17 +27,28 @@ BROADCAST_MAX_ROWS = 1_000_000
 RANGE_BUCKETS_PER_ROW = 64
 
 
-_ROWS_CHECKED: dict[int, int] = {}
+# Size checks are remembered only for plans that carry their data inline
+# (literal VALUES tables): their plan hash is a content hash. Anything read
+# from files is checked again on every call, since the files may change.
+_ROWS_CHECKED: dict[tuple, int] = {}
 _RANGE_PROFILE: dict[tuple, tuple[int, int | None]] = {}
 
 
+def _content_key(df: DataFrame, *extra) -> tuple | None:
+    if df.inputFiles():
+        return None
+    return (df.semanticHash(), *extra)
+
+
 def _rows_upto(df: DataFrame, max_rows: int) -> int:
     """Row count of ``df`` capped at ``max_rows + 1`` (reads no more than
-    that), remembered per logical plan so a dimension reused by several
-    joins of one job is checked once."""
-    key = (df.semanticHash(), max_rows)
-    if key not in _ROWS_CHECKED:
-        _ROWS_CHECKED[key] = df.limit(max_rows + 1).count()
+    that)."""
+    key = _content_key(df, max_rows)
+    if key is None or key not in _ROWS_CHECKED:
+        n = df.limit(max_rows + 1).count()
+        if key is None:
+            return n
+        _ROWS_CHECKED[key] = n
     return _ROWS_CHECKED[key]
 
 
@@ -54,14 +65,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
 
 def _range_profile(ranges: DataFrame, lo: str, hi: str) -> tuple[int, int | None]:
-    """(rows, widest span) of a range table in one bounded pass, cached per plan."""
-    key = (ranges.semanticHash(), lo, hi)
-    if key not in _RANGE_PROFILE:
+    """(rows, widest span) of a range table in one bounded pass."""
+    key = _content_key(ranges, lo, hi)
+    if key is None or key not in _RANGE_PROFILE:
         row = (ranges.limit(BROADCAST_MAX_ROWS + 1)
                .agg(F.count(F.lit(1)).alias("n"),
                     F.max(F.col(hi).cast("long") - F.col(lo).cast("long")).alias("s"))
                .first())
-        _RANGE_PROFILE[key] = (int(row["n"]), None if row["s"] is None else int(row["s"]))
+        prof = (int(row["n"]), None if row["s"] is None else int(row["s"]))
+        if key is None:
+            return prof
+        _RANGE_PROFILE[key] = prof
     return _RANGE_PROFILE[key]
 
 

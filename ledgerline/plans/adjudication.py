@@ -52,7 +52,7 @@ def _for_files(df: DataFrame, files: DataFrame | None, key: str = "file_no") ->
 
 
 def employee_ids(r: Roles, files: DataFrame | None = None) -> DataFrame:
-    """``(select cvalue from sbilling where file = .. and code = 'EMPID')``."""
+    """Employee id note of the file (code EMPID): at most one per file."""
     notes = _for_files(r.billing_note.where(ci_eq("code", "EMPID")), files)
     return single_value_lookup(notes, ["file_no"], "note_value", "employee_id")
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class CommissionConfig:
-    """``usprptexecutivecommission(@packagekey)`` plus its hard-coded dates."""
+    """Commission job: package key plus the client start-date cut-offs."""
 
     package_key: int = 1
     # clients started on or before this day use the regular band card
@@ -31,7 +31,7 @@ class ExtractConfig:
 
 @dataclass(frozen=True)
 class AdjudicationConfig:
-    """``@startDate, @endDate, @site, @Batchno`` of the report dataset.
+    """Start / end date, site list and batch list of the report dataset.
 
     ``None`` for a list means "parameter not set": with ``strict_null`` the
     ``IN (NULL)`` filter keeps nothing (the literal reading), otherwise the
@@ -54,8 +54,8 @@ ALL_GROUPS = tuple(f"GR{n:02d}-{m}" for n in range(25) for m in range(3))
 
 @dataclass(frozen=True)
 class ParamSelection:
-    """Cascading report parameters ``@Industry -> @Groupheader/@Client ->
-    @CorpID``. ``group_header=None`` is the 'ALL' case."""
+    """Cascading report parameters industry -> group header / groups ->
+    corp ids. ``group_header=None`` is the 'ALL' case."""
 
     industries: tuple[str, ...] = ALL_INDUSTRIES
     group_header: tuple[str, ...] | None = None

@@ -32,7 +32,7 @@ def param_industry(r: Roles) -> DataFrame:
 
 
 def group_filter(sel: ParamSelection):
-    """``(cgrpno IN (@hdr) OR LEFT(cgrpno, 4) IN (@hdr) OR @Group = 'ALL')``.
+    """``group IN (hdr) OR LEFT(group, 4) IN (hdr) OR hdr-is-ALL``.
 
     ``@Group`` is 'ALL' when the header is not set or is the text ALL; the
     sentinel is resolved on the driver so the filter folds away."""

@@ -1,0 +1 @@
+"""No streaming operators: the source jobs are batch only (see README)."""

@@ -10,6 +10,7 @@ blanks: ``'closed '`` equals ``'CLOSED'`` and ``''`` equals ``'   '``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -127,6 +128,13 @@ def first_of_month(year_text: Column | str, month_text: Column | str) -> Column:
     return F.make_date(_c(year_text).cast("int"), _c(month_text).cast("int"), F.lit(1))
 
 
+def ts_lit(value: dt.datetime) -> Column:
+    """A ``timestamp_ntz`` literal built from text, so it never passes
+    through a time zone (a Python ``datetime`` literal is a zoned timestamp
+    and would shift with the session / process time zones)."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def days_between(start: Column | str, end: Column | str) -> Column:
     """``DATEDIFF(dd, start, end)``: day boundaries crossed (note the swapped
     argument order of Spark's ``datediff``)."""

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.semantics import ci_eq, ci_in, ci_norm, ci_starts
+from ledgerline.functions.semantics import ci_eq, ci_in, ci_norm, ci_starts, ts_lit
 from ledgerline.operators.aggregates import conditional_sums
 from ledgerline.operators.joins import (
     any_row_lookup, check_single, first_by_order, single_value_lookup,
@@ -34,9 +34,9 @@ def report_files(r: Roles, cfg: AdjudicationConfig) -> DataFrame:
     """Files completed after the start and before the day after the end
     (open interval: exactly the start midnight is excluded), site and batch
     in the lists, status CLOSED."""
-    end_next = F.lit(cfg.end_date + dt.timedelta(days=1))
+    end_next = ts_lit(cfg.end_date + dt.timedelta(days=1))
     return r.request.where(
-        (col("date_completed") > F.lit(cfg.start_date))
+        (col("date_completed") > ts_lit(cfg.start_date))
         & (col("date_completed") < end_next)
         & _list_filter("site_no", cfg.sites, cfg.strict_null)
         & _list_filter("batch_no", cfg.batches, cfg.strict_null)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.semantics import (
     MONEY, PERCENT, RATE, band_label, ci_eq, ci_starts, date_to_key, days_between,
     first_of_month, int_key_to_date, isnull_typed, key_month, key_year,
-    pay_amount, percent_text, relabel_band, tier_rate,
+    pay_amount, percent_text, relabel_band, tier_rate, ts_lit,
 )
 from ledgerline.operators.joins import anti_on, bounded_broadcast, range_join
 from ledgerline.plans.config import CommissionConfig
@@ -496,7 +496,7 @@ def mart_with_audit_tags(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                          staged: DataFrame | None = None) -> DataFrame:
     """Mart rows plus ``_staged`` origin flag and the load timestamp."""
     staged = commission_staged(r, cfg) if staged is None else staged
-    ts = F.lit(cfg.run_ts).cast("timestamp_ntz")
+    ts = ts_lit(cfg.run_ts)
     return (commission_load(staged, cfg).withColumn("_staged", F.lit(1))
             .unionByName(commission_adjustment_only(r, staged, cfg).withColumn("_staged", F.lit(0)))
             .withColumn("audit_inserted_date", ts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.semantics import blank_or, ci_eq, ci_ne, ci_starts, is_blank
+from ledgerline.functions.semantics import blank_or, ci_eq, ci_ne, ci_starts, is_blank, ts_lit
 from ledgerline.operators.joins import any_code_join
 from ledgerline.plans.config import ExtractConfig
 from ledgerline.sources.roles import Roles
@@ -19,8 +19,8 @@ def closed_requests(r: Roles, cfg: ExtractConfig) -> DataFrame:
     return r.request.where(
         ci_eq("status", cfg.status)
         & ci_starts("site_no", cfg.site_prefix)
-        & (col("date_completed") >= F.lit(cfg.completed_from))
-        & (col("date_completed") <= F.lit(cfg.completed_to)))
+        & (col("date_completed") >= ts_lit(cfg.completed_from))
+        & (col("date_completed") <= ts_lit(cfg.completed_to)))
 
 
 def live_detail(r: Roles) -> DataFrame:

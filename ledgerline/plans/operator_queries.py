@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.semantics import (
     band_label, blank_or, ci_eq, ci_ne, ci_not_starts, ci_starts, date_to_key, days_between,
     first_of_month, int_key_to_date, is_blank, isnull_typed, key_month, key_year, MONEY,
-    PERCENT, relabel_band, tier_rate,
+    PERCENT, relabel_band, tier_rate, ts_lit,
 )
 from ledgerline.operators.aggregates import conditional_sums, distinct_rows
 from ledgerline.operators.joins import any_code_join, anti_on, range_join
@@ -91,8 +91,8 @@ def date_ranges(r: Roles) -> DataFrame:
     c = col("date_completed")
     return r.request.select(
         "file_no", "date_completed",
-        ((c >= F.lit(CLOSED_FROM)) & (c <= F.lit(CLOSED_TO))).alias("in_closed_range"),
-        ((c > F.lit(CLOSED_FROM)) & (c < F.lit(CLOSED_TO + dt.timedelta(days=1)))).alias("in_open_range"),
+        ((c >= ts_lit(CLOSED_FROM)) & (c <= ts_lit(CLOSED_TO))).alias("in_closed_range"),
+        ((c > ts_lit(CLOSED_FROM)) & (c < ts_lit(CLOSED_TO + dt.timedelta(days=1)))).alias("in_open_range"),
         (F.to_date(c) <= F.lit(CUTOFF)).alias("on_or_before_cutoff"))
 
 

@@ -7,6 +7,10 @@ of the timing) and executed in full through Spark's ``noop`` sink, which
 computes every output column of every row without collecting to Python
 (a report job's real sink is a parquet write). One warm-up pass, then the
 median of ``BENCH_RUNS`` (default 3) timed runs. Prints one JSON line.
+
+The four operators that are rewritten (range join, OR join, anti-join,
+ordered TOP 1) are also timed in their literal Spark SQL form for
+comparison (``naive_literal_form_sec``; not part of ``value``).
 """
 
 from __future__ import annotations
@@ -26,8 +30,80 @@ HEADLINE = [
     "file_adjudication_report",        # D3 (eight look-ups)
     "param_site",                      # D4d
     "load_audit",                      # D1f
+    "range_band_join",                 # J8 rewrite
+    "any_code_join",                   # J9 rewrite
+    "unmatched_adjustments",           # J10 rewrite
+    "first_differing_status",          # J13 rewrite
 ]
 
+# The literal (naive) Spark SQL forms of the four rewritten operators, over
+# the same role views: theta join, OR join, outer join + IS NULL, correlated
+# ordered TOP 1. Timed once each, cancelled after NAIVE_TIMEOUT seconds.
+NAIVE_TIMEOUT = float(os.environ.get("BENCH_NAIVE_TIMEOUT", "90"))
+_CD = "cd"
+NAIVE_SQL = {
+    "range_band_join": f"""
+        select cd.client_key, cd.billing_date_key,
+               datediff(to_date(cast(cd.billing_date_key as string), 'yyyyMMdd'),
+                        dc.business_start_date) as age, dcs.commission_key
+        from {_CD} cd join client dc on dc.client_key = cd.client_key
+        join commission_band dcs
+          on datediff(to_date(cast(cd.billing_date_key as string), 'yyyyMMdd'), dc.business_start_date)
+             between dcs.account_age_min and dcs.account_age_max""",
+    "any_code_join": """
+        select bi.file_no, bi.line_no, bi.country, cc.long_code, cc.description
+        from detail_international bi
+        left join country_code cc on cc.long_code = bi.country or cc.short_code = bi.country""",
+    "unmatched_adjustments": f"""
+        select fi.client_key, fi.adjustment_month, fi.adjustment_year
+        from invoice_adjustment fi
+        left join {_CD} fc on fc.client_key = fi.client_key
+         and fi.adjustment_month = substring(cast(fc.billing_date_key as string), 5, 2)
+         and fi.adjustment_year = substring(cast(fc.billing_date_key as string), 1, 4)
+        where fc.client_key is null""",
+    "first_differing_status": """
+        select bg.file_no,
+               (select cs.description from client_status cs
+                  join adjudication ad on upper(rtrim(cs.req_status)) = upper(rtrim(ad.req_status))
+                 where upper(rtrim(bg.client_req_status)) <> upper(rtrim(ad.req_status))
+                   and bg.account_no = cs.account_no and bg.file_no = ad.file_no
+                 order by ad.created_at asc nulls first, cs.description limit 1) as original_adj
+        from request bg""",
+}
+
+
+def run_naive(spark, sf_dir: str) -> dict:
+    import threading
+
+    from ledgerline.plans import commission
+    from ledgerline.sources.roles import Roles
+
+    def views():  # built inside the timing, like the rewritten queries
+        r = Roles(spark, sf_dir)
+        for n in ["request", "adjudication", "client_status", "detail_international",
+                  "country_code", "client", "commission_band", "invoice_adjustment"]:
+            getattr(r, n).createOrReplaceTempView(n)
+        commission.client_day(commission.fact_grain(r), False).createOrReplaceTempView(_CD)
+
+    out = {}
+    sc = spark.sparkContext
+    for name, sql in NAIVE_SQL.items():
+        group = f"naive-{name}"
+        sc.setJobGroup(group, group, interruptOnCancel=True)
+        timer = threading.Timer(NAIVE_TIMEOUT, lambda g=group: sc.cancelJobGroup(g))
+        t0 = time.perf_counter()
+        timer.start()
+        try:
+            views()
+            spark.sql(sql).write.format("noop").mode("overwrite").save()
+            out[name] = round(time.perf_counter() - t0, 3)
+        except Exception:  # noqa: BLE001 - cancelled by the timer
+            out[name] = f">{NAIVE_TIMEOUT:.0f}"
+        finally:
+            timer.cancel()
+            sc.setJobGroup("", "")
+    return out
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -55,6 +131,7 @@ def main() -> None:
         for n in names:
             times[n].append(run_once(n))
     med = {n: round(statistics.median(v), 3) for n, v in times.items()}
+    naive = run_naive(spark, sf_dir) if os.environ.get("BENCH_NAIVE", "1") == "1" else {}
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_total_median_sec",
@@ -64,6 +141,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
+        "naive_literal_form_sec": naive,
     }))
     spark.stop()
 

@@ -22,7 +22,10 @@ from ledgerline.plans.config import (
     AdjudicationConfig, CommissionConfig, ExtractConfig, ParamSelection,
 )
 from ledgerline.sources.roles import Roles
-from ledgerline.sources.sinks import read_current, replace_load, with_display_names
+from ledgerline.sources.sinks import (
+    EXTRACT_HEADINGS, PARAM_HEADINGS, REPORT_DATASET_HEADINGS, read_current, replace_load,
+    with_display_names,
+)
 
 
 def run_commission(spark: SparkSession, tables: str, target: str,
@@ -48,9 +51,9 @@ def run_commission(spark: SparkSession, tables: str, target: str,
             "extractrowcount": staged_rows, "duplicaterecordsfr": None}
 
 
-def _write(df: DataFrame, path: str, display: bool = False) -> int:
+def _write(df: DataFrame, path: str, headings: dict | None = None) -> int:
     obs = Observation("rows")
-    out = with_display_names(df) if display else df
+    out = with_display_names(df, headings) if headings else df
     out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     return int(obs.get["n"])
 
@@ -60,10 +63,11 @@ def run_extracts(spark: SparkSession, tables: str, out: str,
     r = Roles(spark, tables)
     return {
         "file_component_extract": _write(extract.file_component_extract(r, cfg),
-                                         os.path.join(out, "file_component_extract")),
+                                         os.path.join(out, "file_component_extract"),
+                                         EXTRACT_HEADINGS),
         "file_component_extract_country": _write(
             extract.file_component_extract_country(r, cfg),
-            os.path.join(out, "file_component_extract_country")),
+            os.path.join(out, "file_component_extract_country"), EXTRACT_HEADINGS),
     }
 
 
@@ -73,12 +77,16 @@ def run_report_dataset(spark: SparkSession, tables: str, out: str,
     r = Roles(spark, tables)
     return {
         "file_adjudication_report": _write(adjudication.file_adjudication_report(r, cfg),
-                                           os.path.join(out, "file_adjudication_report")),
-        "param_industry": _write(params.param_industry(r), os.path.join(out, "param_industry")),
+                                           os.path.join(out, "file_adjudication_report"),
+                                           REPORT_DATASET_HEADINGS),
+        "param_industry": _write(params.param_industry(r), os.path.join(out, "param_industry"),
+                                 PARAM_HEADINGS),
         "param_client_group": _write(params.param_client_group(r, sel),
-                                     os.path.join(out, "param_client_group")),
-        "param_corp": _write(params.param_corp(r, sel), os.path.join(out, "param_corp")),
-        "param_site": _write(params.param_site(r, sel), os.path.join(out, "param_site")),
+                                     os.path.join(out, "param_client_group"), PARAM_HEADINGS),
+        "param_corp": _write(params.param_corp(r, sel), os.path.join(out, "param_corp"),
+                             PARAM_HEADINGS),
+        "param_site": _write(params.param_site(r, sel), os.path.join(out, "param_site"),
+                             PARAM_HEADINGS),
     }
 
 

@@ -9,6 +9,7 @@ nothing is evaluated per row and nothing runs as a nested loop.
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ledgerline.operators.joins import (
 )
 from ledgerline.plans.config import AdjudicationConfig
 from ledgerline.sources.roles import Roles
+from ledgerline.sources.sinks import run_folder, stage_table
 
 col = F.col
 
@@ -101,8 +103,14 @@ def current_adjudication_dates(r: Roles, files: DataFrame | None = None) -> Data
     return any_row_lookup(ad, ["ca_file", "ca_status"], "created_at", "current_adj_date", "max")
 
 
-def file_adjudication_report(r: Roles, cfg: AdjudicationConfig = AdjudicationConfig()) -> DataFrame:
+def file_adjudication_report(r: Roles, cfg: AdjudicationConfig = AdjudicationConfig(),
+                             stage: bool = True) -> DataFrame:
+    """The report rows. The filtered files are written once (under the shared
+    checkpoint folder) and read by the main join and every look-up, so the
+    request table is scanned once however many look-ups correlate on it."""
     files = report_files(r, cfg)
+    if stage:
+        files = stage_table(files, os.path.join(run_folder(r.spark, "report"), "files"))
     st = status_descriptions(r)
     ca = current_adjudication_dates(r, files)
     oa = original_adjudication(r, files).select(

@@ -34,6 +34,33 @@ REPORT_HEADINGS = {
 }
 
 
+# Display headings of the extract, report-dataset and
+# parameter-list outputs (snake_case column -> heading), in output order.
+EXTRACT_HEADINGS = {
+    "site": "Site", "file_number": "File Number",
+    "applicant_first_name": "Applicant First Name", "applicant_last_name": "Applicant Last Name",
+    "file_request_date": "File Request Date", "file_completed_date": "File Completed Date",
+    "component": "Component", "component_completion_date": "Component Completion Date",
+    "component_price": "Component Price", "component_type": "Component Type",
+    "component_country": "Component Country",
+}
+REPORT_DATASET_HEADINGS = {
+    "site_no": "Site#", "batch_no": "Batchno", "file_no": "File#", "first_name": "First Name",
+    "last_name": "Last Name", "date_requested": "Date Requested",
+    "date_completed": "Date Completed", "requester": "Requestor", "file_status": "File Status",
+    "package": "Package", "applicant_email": "Applicant Email", "fee_total": "Fee Total",
+    "service_total": "Service Total", "total_file_cost": "Total File Cost",
+    "original_adj": "Original Adj.", "flag_description": "flagdescription",
+    "current_adj_date": "Current Adj. Date", "employee_id": "Employee ID",
+    "troubled_file": "Troubled File?",
+}
+PARAM_HEADINGS = {
+    "industry": "Industry", "industry_key": "IndustryKey", "client": "Client",
+    "group_key": "GroupKey", "corp_id": "CorpID", "site_name": "SiteName",
+    "client_key": "ClientKey",
+}
+
+
 def run_folder(spark: SparkSession, job: str) -> str:
     """A fresh folder for one job run under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{job}-{uuid.uuid4().hex[:12]}")
@@ -48,7 +75,8 @@ def stage_table(df: DataFrame, path: str, partitions: int | None = None) -> Data
 
 
 def with_display_names(df: DataFrame, headings: dict[str, str] = REPORT_HEADINGS) -> DataFrame:
-    """Rename snake_case columns to their display headings (at the sink)."""
+    """Rename snake_case columns to their display headings (at the sink only;
+    a heading with a dot must be back-quoted when read back in Spark)."""
     return df.select(*[F.col(c).alias(headings.get(c, c)) for c in df.columns])
 
 

@@ -41,3 +41,9 @@ def test_extract_and_report_jobs_write_display_names(spark):
     assert rep["param_industry"] >= 1
     df = spark.read.parquet(os.path.join(out, "param_site"))
     assert df.count() == rep["param_site"]
+    assert df.columns == ["SiteName", "ClientKey"]
+    ds = spark.read.parquet(os.path.join(out, "file_adjudication_report"))
+    assert "Original Adj." in ds.columns and "Troubled File?" in ds.columns
+    assert ds.select("`Original Adj.`").count() == rep["file_adjudication_report"]
+    fx = spark.read.parquet(os.path.join(out, "file_component_extract"))
+    assert fx.columns[:2] == ["Site", "File Number"]

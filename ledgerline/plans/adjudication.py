@@ -67,11 +67,14 @@ def applicant_emails(r: Roles, files: DataFrame | None = None) -> DataFrame:
 def cost_totals(r: Roles, files: DataFrame | None = None) -> DataFrame:
     """Fee / service / total price per file in one pass (NULL when none)."""
     t = col("type_code")
-    return conditional_sums(_for_files(r.request_detail, files), ["file_no"], "unit_price", {
+    sums = conditional_sums(_for_files(r.request_detail, files), ["file_no"], "unit_price", {
         "fee_total": ci_starts(t, "F"),
         "service_total": ~ci_starts(t, "F"),
         "total_file_cost": None,
     })
+    # SUM of decimal(p, s) is decimal(38, s) in the source dialect
+    return sums.select("file_no", *[col(c).cast("decimal(38,2)").alias(c)
+                                    for c in ("fee_total", "service_total", "total_file_cost")])
 
 
 def original_adjudication(r: Roles, files: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from ledgerline.plans import adjudication, commission, extract, params
 from ledgerline.plans.config import (
     AdjudicationConfig, CommissionConfig, ExtractConfig, ParamSelection,
 )
+from ledgerline.session import JOB_CONF
 from ledgerline.sources.roles import Roles
 from ledgerline.sources.sinks import (
     EXTRACT_HEADINGS, PARAM_HEADINGS, REPORT_DATASET_HEADINGS, read_current, replace_load,
@@ -96,8 +97,16 @@ def main(argv=None) -> None:
     ap.add_argument("--tables", required=True, help="folder with the source tables")
     ap.add_argument("--target", required=True, help="output folder")
     ap.add_argument("--package-key", type=int, default=CommissionConfig.package_key)
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial shuffle partitions (AQE coalesces them); size it to about "
+                         "one per 128-256 MB of the largest shuffle, e.g. 40000 for 10 TB")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"ledgerline-{a.job}").getOrCreate()
+    for k, v in JOB_CONF.items():  # only where the cluster left the default
+        if spark.conf.get(k, None) in (None, "") or k.startswith("spark.sql.adaptive"):
+            spark.conf.set(k, v)
+    if a.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     if a.job == "commission":
         cfg = dataclasses.replace(CommissionConfig(), package_key=a.package_key)
         res = run_commission(spark, a.tables, a.target, cfg)

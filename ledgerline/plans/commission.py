@@ -214,6 +214,15 @@ _L2_BAND_KEYS = ["commission_key", "account_age_min", "account_age_max", "accoun
                  "billing_date_key", "account_executive_id", "business_start_date", "site_number"]
 
 
+# L2 columns of a band that has no billings (outer side of the band join)
+_L2_NULLS = [
+    ("company_name1", "string"), ("client_key", "bigint"), ("commission_percent", PERCENT),
+    ("account_executive", "string"), ("billing_date_key", "int"),
+    ("account_executive_id", "int"), ("business_start_date", "date"),
+    ("site_number", "string"), ("actual", "decimal(38,4)"), ("fees", "decimal(38,4)"),
+    ("misc", "decimal(38,2)"), ("background", "decimal(38,2)")]
+
+
 def band_l2(r: Roles, clients: DataFrame, band_filter: Column | None,
             cd: DataFrame | None = None) -> DataFrame:
     """L2 of branches 1-2: client-day measures of the chosen clients per age
@@ -235,12 +244,7 @@ def band_l2(r: Roles, clients: DataFrame, band_filter: Column | None,
     unmatched = anti_on(bands_all, F.broadcast(matched), "commission_key")
     outer_rows = unmatched.select(
         "commission_key", "account_age_min", "account_age_max", "account_pay_percent",
-        *[F.lit(None).cast(t).alias(c) for c, t in [
-            ("company_name1", "string"), ("client_key", "bigint"), ("commission_percent", PERCENT),
-            ("account_executive", "string"), ("billing_date_key", "int"),
-            ("account_executive_id", "int"), ("business_start_date", "date"),
-            ("site_number", "string"), ("actual", "decimal(38,4)"), ("fees", "decimal(38,4)"),
-            ("misc", "decimal(38,2)"), ("background", "decimal(38,2)")]])
+        *[F.lit(None).cast(t).alias(c) for c, t in _L2_NULLS])
     return l2.unionByName(outer_rows)
 
 
@@ -269,6 +273,53 @@ def _band_branch(r: Roles, clients: DataFrame, band_filter: Column | None,
         "business_start_date"))
 
 
+def band_branches(r: Roles, cfg: CommissionConfig = CommissionConfig(),
+                  cd: DataFrame | None = None) -> DataFrame:
+    """Branches 1 and 2 in one pass (a client is special or regular, never
+    both): one client join, one band join, one L2 and one L3 grouping and one
+    adjustment join for both, keyed by a branch tag. Equal to
+    ``commission_special`` union ``commission_regular``."""
+    cd = client_day(fact_grain(r), with_billing_date=False) if cd is None else cd
+    spc = ci_eq("commission_type", "spc")
+    reg = ci_eq("commission_type", "REG") & (F.to_date("business_start_date") <= F.lit(cfg.regular_until))
+    clients = r.client.where(spc | reg).withColumn("branch", F.when(spc, 1).otherwise(2))
+    x = cd.join(clients, "client_key").withColumn(
+        "age", days_between(col("business_start_date"), int_key_to_date(col("billing_date_key"))))
+    bands_all = r.commission_band
+    xb = range_join(x, bands_all, "age", "account_age_min", "account_age_max")
+    # branch 2 excludes deleted bands inside its join; branch 1 keeps them
+    xb = xb.where((col("branch") == 1) | (col("is_delete") == 0))
+    keys = ["branch", *_L2_BAND_KEYS]
+    l2 = xb.groupBy(*keys).agg(
+        F.sum("actual").alias("actual"), F.sum("fees").alias("fees"),
+        F.sum("misc").alias("misc"), F.sum("background").alias("background"))
+    # every band (deleted too) is the outer side of each branch
+    matched = l2.select("branch", "commission_key").distinct()
+    per_branch = bands_all.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("branch"))
+    unmatched = anti_on(per_branch, F.broadcast(matched), ["branch", "commission_key"])
+    outer_rows = unmatched.select(
+        "branch", "commission_key", "account_age_min", "account_age_max", "account_pay_percent",
+        *[F.lit(None).cast(t).alias(c) for c, t in _L2_NULLS])
+    l2 = l2.unionByName(outer_rows)
+    percent = F.when(col("branch") == 1, special_percent()).otherwise(regular_percent())
+    l2a = _join_adjustments(l2, adjustments_by(r, "account_executive_id"), "account_executive_id")
+    weight = F.coalesce(col("adj_rows"), F.lit(1)).cast("decimal(10,0)")
+    l3 = (l2a.select("*", percent.alias("rate_key"),
+                     band_label(col("account_age_min"), col("account_age_max")).alias("label"),
+                     F.trim(col("account_executive")).alias("exec_trim"))
+          .groupBy("branch", "rate_key", "company_name1", "client_key", "exec_trim",
+                   "billing_date_key", "label", "business_start_date", "site_number")
+          .agg(*_l3_sums(weight)))
+    return to_contract(l3.select(
+        col("label").alias("account_aging_in_days"), "client_key",
+        col("company_name1").alias("company_name"), "site_number",
+        *_report_measures(col("rate_key")),
+        F.when(col("branch") == 1, F.lit("Special")).otherwise(F.lit("Regular"))
+         .alias("commission_type"),
+        col("exec_trim").alias("account_executive"), "billing_date_key",
+        "business_start_date"))
+
+
 def special_clients(r: Roles) -> DataFrame:
     return r.client.where(ci_eq("commission_type", "spc"))
 
@@ -373,11 +424,9 @@ def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
 def commission_staged(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                       grain: DataFrame | None = None) -> DataFrame:
     """The staging table: the three branches unioned by name, all computed
-    from one fact grain (branches 1 and 2 also share its per-day regrouping)."""
+    from one fact grain; branches 1 and 2 run as one tagged pass."""
     grain = fact_grain(r) if grain is None else grain
-    cd = client_day(grain, with_billing_date=False)
-    return (commission_special(r, cfg, cd)
-            .unionByName(commission_regular(r, cfg, cd))
+    return (band_branches(r, cfg, client_day(grain, with_billing_date=False))
             .unionByName(commission_bucket(r, cfg, client_day(grain, with_billing_date=True))))
 
 

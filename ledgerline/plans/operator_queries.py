@@ -44,6 +44,19 @@ def scan_lookup(r: Roles) -> DataFrame:
     return extract.lookup_rows(r.request_detail, "file_no", LOOKUP_FILE)
 
 
+def scan_lookup_international(r: Roles) -> DataFrame:
+    """``select *`` of the same file's international detail rows."""
+    return extract.lookup_rows(r.detail_international, "file_no", LOOKUP_FILE)
+
+
+def commission_maths(r: Roles) -> DataFrame:
+    """The rate maths of the regular branch over its
+    report-row sums (round, NULL-as-zero rate, percent text, exact pay)."""
+    return commission.commission_regular(r).select(
+        "client_key", "billing_date_key", "account_aging_in_days", "commissionable_amount",
+        "amount_payable_percentage", "commission_to_be_paid")
+
+
 def replace_load_query(r: Roles) -> DataFrame:
     """Build staging, then replace the report table in one write
     (new version folder + pointer) and read back what was published."""
@@ -275,6 +288,8 @@ def rate_tiers(r: Roles) -> DataFrame:
 
 OPERATOR_QUERIES = {
     "scan_lookup": _q(scan_lookup),
+    "scan_lookup_international": _q(scan_lookup_international),
+    "commission_maths": _q(commission_maths),
     "replace_load": _q(replace_load_query),
     "ci_filter": _q(ci_filter),
     "blank_fallback": _q(blank_fallback),

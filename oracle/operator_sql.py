@@ -60,6 +60,12 @@ _ADJ_DATE = "make_date(cast(fi.adjustment_year as integer), cast(fi.adjustment_m
 
 ORACLE = {
     "scan_lookup": with_roles(f"select * from request_detail where file_no = {q(oq.LOOKUP_FILE)}"),
+    "scan_lookup_international": with_roles(
+        f"select * from detail_international where file_no = {q(oq.LOOKUP_FILE)}"),
+    "commission_maths": with_roles(f"""
+        select client_key, billing_date_key, account_aging_in_days, commissionable_amount,
+               amount_payable_percentage, commission_to_be_paid
+        from ({p.sql_band_branch(False, _CFG)}) b"""),
     "replace_load": p.sql_mart(_CFG),
     "ci_filter": with_roles(f"""
         select file_no, line_no, type_code, status, report_type from request_detail

@@ -114,7 +114,9 @@ def main() -> None:
     from ledgerline.plans.registry import queries
     from ledgerline.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    # one shuffle partition per core suits sf0.1 (AQE coalesces / splits at runtime)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts,
                           app="ledgerline-bench")
     qs = queries()
 

@@ -223,98 +223,76 @@ _L2_NULLS = [
     ("misc", "decimal(38,2)"), ("background", "decimal(38,2)")]
 
 
-def band_l2(r: Roles, clients: DataFrame, band_filter: Column | None,
-            cd: DataFrame | None = None) -> DataFrame:
-    """L2 of branches 1-2: client-day measures of the chosen clients per age
-    band, plus one empty row for every band without any (the band dimension
-    is the outer side of the source's LEFT JOIN)."""
+SPECIAL, REGULAR = 1, 2
+
+
+def _band_clients(r: Roles, cfg: CommissionConfig, branches) -> DataFrame:
+    """Clients of the chosen band branches, tagged: special clients (any start
+    date) are branch 1, regular clients started by the cut-off branch 2."""
+    spc = ci_eq("commission_type", "spc")
+    reg = ci_eq("commission_type", "REG") & (F.to_date("business_start_date") <= F.lit(cfg.regular_until))
+    keep = None
+    if SPECIAL in branches:
+        keep = spc
+    if REGULAR in branches:
+        keep = reg if keep is None else keep | reg
+    return r.client.where(keep).withColumn("branch", F.when(spc, SPECIAL).otherwise(REGULAR))
+
+
+def band_l2(r: Roles, cfg: CommissionConfig = CommissionConfig(), cd: DataFrame | None = None,
+            branches=(SPECIAL, REGULAR)) -> DataFrame:
+    """L2 of branches 1-2, tagged by branch: client-day measures per age band,
+    plus one empty row for every band without any (the band dimension is the
+    outer side of the source's LEFT JOIN, deleted bands included)."""
     cd = client_day(fact_grain(r), with_billing_date=False) if cd is None else cd
-    x = cd.join(clients, "client_key").withColumn(
+    x = cd.join(_band_clients(r, cfg, branches), "client_key").withColumn(
         "age", days_between(col("business_start_date"), int_key_to_date(col("billing_date_key"))))
     bands_all = r.commission_band
-    bands_in = bands_all if band_filter is None else bands_all.where(band_filter)
-    xb = range_join(x, bands_in, "age", "account_age_min", "account_age_max")
-    l2 = xb.groupBy(*_L2_BAND_KEYS).agg(
+    xb = range_join(x, bands_all, "age", "account_age_min", "account_age_max")
+    # the regular branch excludes deleted bands inside its join
+    xb = xb.where((col("branch") == SPECIAL) | (col("is_delete") == 0))
+    l2 = xb.groupBy("branch", *_L2_BAND_KEYS).agg(
         F.sum("actual").alias("actual"), F.sum("fees").alias("fees"),
         F.sum("misc").alias("misc"), F.sum("background").alias("background"))
     # Written as inner rows + (bands anti matched keys) so the big side is
     # never shuffled on a handful of band keys. ``matched`` is a subset of
-    # the band keys, so its size is bounded by the (checked) band dimension.
-    matched = l2.select("commission_key").distinct()
-    unmatched = anti_on(bands_all, F.broadcast(matched), "commission_key")
+    # (branch, band key), so its size is bounded by the checked band dimension.
+    matched = l2.select("branch", "commission_key").distinct()
+    per_branch = bands_all.select(
+        "*", F.explode(F.array(*[F.lit(b) for b in branches])).alias("branch"))
+    unmatched = anti_on(per_branch, F.broadcast(matched), ["branch", "commission_key"])
     outer_rows = unmatched.select(
-        "commission_key", "account_age_min", "account_age_max", "account_pay_percent",
+        "branch", "commission_key", "account_age_min", "account_age_max", "account_pay_percent",
         *[F.lit(None).cast(t).alias(c) for c, t in _L2_NULLS])
     return l2.unionByName(outer_rows)
 
 
-def band_l3(r: Roles, l2: DataFrame, percent: Column) -> DataFrame:
+def band_l3(r: Roles, l2: DataFrame) -> DataFrame:
     """L3 of branches 1-2: L2 rows with executive-month adjustments attached
-    (as weights), grouped to report rows; returns the raw sums."""
+    (as weights), grouped to report rows; returns the raw sums. The rate is
+    the client's percent (branch 1) or the band's pay percent (branch 2)."""
     l2a = _join_adjustments(l2, adjustments_by(r, "account_executive_id"), "account_executive_id")
     weight = F.coalesce(col("adj_rows"), F.lit(1)).cast("decimal(10,0)")
+    percent = F.when(col("branch") == SPECIAL, special_percent()).otherwise(regular_percent())
     return (l2a.select("*", percent.alias("rate_key"),
                        band_label(col("account_age_min"), col("account_age_max")).alias("label"),
                        F.trim(col("account_executive")).alias("exec_trim"))
-            .groupBy("rate_key", "company_name1", "client_key", "exec_trim", "billing_date_key",
-                     "label", "business_start_date", "site_number")
+            .groupBy("branch", "rate_key", "company_name1", "client_key", "exec_trim",
+                     "billing_date_key", "label", "business_start_date", "site_number")
             .agg(*_l3_sums(weight)))
 
 
-def _band_branch(r: Roles, clients: DataFrame, band_filter: Column | None,
-                 percent: Column, type_text: str, cd: DataFrame | None = None) -> DataFrame:
-    l3 = band_l3(r, band_l2(r, clients, band_filter, cd), percent)
-    return to_contract(l3.select(
-        col("label").alias("account_aging_in_days"), "client_key",
-        col("company_name1").alias("company_name"), "site_number",
-        *_report_measures(col("rate_key")),
-        F.lit(type_text).alias("commission_type"),
-        col("exec_trim").alias("account_executive"), "billing_date_key",
-        "business_start_date"))
-
-
 def band_branches(r: Roles, cfg: CommissionConfig = CommissionConfig(),
-                  cd: DataFrame | None = None) -> DataFrame:
+                  cd: DataFrame | None = None, branches=(SPECIAL, REGULAR)) -> DataFrame:
     """Branches 1 and 2 in one pass (a client is special or regular, never
-    both): one client join, one band join, one L2 and one L3 grouping and one
-    adjustment join for both, keyed by a branch tag. Equal to
-    ``commission_special`` union ``commission_regular``."""
-    cd = client_day(fact_grain(r), with_billing_date=False) if cd is None else cd
-    spc = ci_eq("commission_type", "spc")
-    reg = ci_eq("commission_type", "REG") & (F.to_date("business_start_date") <= F.lit(cfg.regular_until))
-    clients = r.client.where(spc | reg).withColumn("branch", F.when(spc, 1).otherwise(2))
-    x = cd.join(clients, "client_key").withColumn(
-        "age", days_between(col("business_start_date"), int_key_to_date(col("billing_date_key"))))
-    bands_all = r.commission_band
-    xb = range_join(x, bands_all, "age", "account_age_min", "account_age_max")
-    # branch 2 excludes deleted bands inside its join; branch 1 keeps them
-    xb = xb.where((col("branch") == 1) | (col("is_delete") == 0))
-    keys = ["branch", *_L2_BAND_KEYS]
-    l2 = xb.groupBy(*keys).agg(
-        F.sum("actual").alias("actual"), F.sum("fees").alias("fees"),
-        F.sum("misc").alias("misc"), F.sum("background").alias("background"))
-    # every band (deleted too) is the outer side of each branch
-    matched = l2.select("branch", "commission_key").distinct()
-    per_branch = bands_all.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("branch"))
-    unmatched = anti_on(per_branch, F.broadcast(matched), ["branch", "commission_key"])
-    outer_rows = unmatched.select(
-        "branch", "commission_key", "account_age_min", "account_age_max", "account_pay_percent",
-        *[F.lit(None).cast(t).alias(c) for c, t in _L2_NULLS])
-    l2 = l2.unionByName(outer_rows)
-    percent = F.when(col("branch") == 1, special_percent()).otherwise(regular_percent())
-    l2a = _join_adjustments(l2, adjustments_by(r, "account_executive_id"), "account_executive_id")
-    weight = F.coalesce(col("adj_rows"), F.lit(1)).cast("decimal(10,0)")
-    l3 = (l2a.select("*", percent.alias("rate_key"),
-                     band_label(col("account_age_min"), col("account_age_max")).alias("label"),
-                     F.trim(col("account_executive")).alias("exec_trim"))
-          .groupBy("branch", "rate_key", "company_name1", "client_key", "exec_trim",
-                   "billing_date_key", "label", "business_start_date", "site_number")
-          .agg(*_l3_sums(weight)))
+    both): one client join, one band join, one adjustment join and one
+    grouping per level for both, keyed by the branch tag."""
+    l3 = band_l3(r, band_l2(r, cfg, cd, branches))
     return to_contract(l3.select(
         col("label").alias("account_aging_in_days"), "client_key",
         col("company_name1").alias("company_name"), "site_number",
         *_report_measures(col("rate_key")),
-        F.when(col("branch") == 1, F.lit("Special")).otherwise(F.lit("Regular"))
+        F.when(col("branch") == SPECIAL, F.lit("Special")).otherwise(F.lit("Regular"))
          .alias("commission_type"),
         col("exec_trim").alias("account_executive"), "billing_date_key",
         "business_start_date"))
@@ -324,11 +302,6 @@ def special_clients(r: Roles) -> DataFrame:
     return r.client.where(ci_eq("commission_type", "spc"))
 
 
-def regular_clients(r: Roles, cfg: CommissionConfig = CommissionConfig()) -> DataFrame:
-    return r.client.where(ci_eq("commission_type", "REG")
-                          & (F.to_date("business_start_date") <= F.lit(cfg.regular_until)))
-
-
 def regular_percent() -> Column:
     """``ISNULL(AccountPayPercent, 0.00)`` of the band."""
     return isnull_typed(col("account_pay_percent"), 0, PERCENT)
@@ -343,15 +316,14 @@ def commission_special(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                        cd: DataFrame | None = None) -> DataFrame:
     """Branch 1: special clients, rate = the client's own percent; every band
     (deleted ones too) is a candidate."""
-    return _band_branch(r, special_clients(r), None, special_percent(), "Special", cd)
+    return band_branches(r, cfg, cd, (SPECIAL,))
 
 
 def commission_regular(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                        cd: DataFrame | None = None) -> DataFrame:
     """Branch 2: regular clients started up to the cut-off, rate = the band's
     pay percent, deleted bands excluded inside the join only."""
-    return _band_branch(r, regular_clients(r, cfg), col("is_delete") == 0, regular_percent(),
-                        "Regular", cd)
+    return band_branches(r, cfg, cd, (REGULAR,))
 
 
 # ---------------------------------------------------------------------------

@@ -142,7 +142,7 @@ def left_join_fees(r: Roles) -> DataFrame:
 
 def band_outer_join(r: Roles) -> DataFrame:
     """Regular-branch L2 with one row for each band that has none."""
-    l2 = commission.band_l2(r, commission.regular_clients(r), col("is_delete") == 0)
+    l2 = commission.band_l2(r, branches=(commission.REGULAR,))
     return l2.select("commission_key", "client_key", "billing_date_key",
                      _money4("actual"), _money4("fees"))
 
@@ -257,8 +257,7 @@ def fee_service_totals(r: Roles) -> DataFrame:
 
 def three_level_rollup(r: Roles) -> DataFrame:
     """A1 A2 A3: the regular branch's three-level cascade, raw sums."""
-    l2 = commission.band_l2(r, commission.regular_clients(r), col("is_delete") == 0)
-    l3 = commission.band_l3(r, l2, commission.regular_percent())
+    l3 = commission.band_l3(r, commission.band_l2(r, branches=(commission.REGULAR,)))
     return l3.select("rate_key", "company_name1", "client_key", "exec_trim", "billing_date_key",
                      "label", "business_start_date", "site_number",
                      *[col(c).cast("decimal(38,4)").alias(c)

@@ -82,21 +82,29 @@ def to_contract(df: DataFrame, columns=STAGED_COLUMNS, enforce: bool = True) ->
 # shared fact grain
 # ---------------------------------------------------------------------------
 
-def billed_lines(r: Roles) -> DataFrame:
+def billed_lines(r: Roles, with_fees: bool = False) -> DataFrame:
     """Star join of the billed line facts (inner joins, flag filters in ON)
-    with the line amount and the fee part of it."""
+    with the line amount and the fee part of it.
+
+    Both file-keyed joins (live files and, for the fact grain, the per-file
+    fees) come before the component join, so they share one partitioning of
+    the lines by file; the component join then re-partitions once.
+    """
     fc = r.billed_line.where((col("is_delete") == 0) & (col("is_billed") == 1))
     usage = F.broadcast(r.usage_type)  # three constant rows
     live_files = r.file.where(col("is_delete") == 0).select("file_key")
-    lines = (fc.join(usage, "usage_type_key")
-             .join(live_files, "file_key")
-             .join(r.component, "component_key"))
+    lines = fc.join(usage, "usage_type_key").join(live_files, "file_key")
+    if with_fees:
+        lines = lines.join(fees_per_file(r), "file_key", "left")
+    lines = lines.join(r.component, "component_key")
     amount = col("quantity") * col("unit_price")
     is_fee = ci_starts("usage_type_name", "f") | (col("charge_as_fee") == 1)
+    fee_cols = ["fee_rows", "misc", "background"] if with_fees else []
     return lines.select(
         "file_key", "client_key", "billing_date_key", "billing_date",
         amount.alias("amount"),
         F.when(is_fee, amount).otherwise(F.lit(0).cast(MONEY)).alias("fee_amount"),
+        *fee_cols,
     )
 
 
@@ -115,7 +123,7 @@ def fact_grain(r: Roles) -> DataFrame:
     ``background`` sums. Every branch starts from this grain, so the jobs
     write it once (``commission_tables``) and scan the line facts once."""
     keys = ["file_key", "client_key", "billing_date_key", "billing_date"]
-    return (billed_lines(r).join(fees_per_file(r), "file_key", "left")
+    return (billed_lines(r, with_fees=True)
             .groupBy(*keys).agg(
                 F.sum("amount").alias("amount"),
                 F.sum("fee_amount").alias("fee_amount"),

@@ -24,8 +24,8 @@ from ledgerline.plans.config import (
 from ledgerline.session import JOB_CONF
 from ledgerline.sources.roles import Roles
 from ledgerline.sources.sinks import (
-    EXTRACT_HEADINGS, PARAM_HEADINGS, REPORT_DATASET_HEADINGS, read_current, replace_load,
-    with_display_names,
+    EXTRACT_HEADINGS, PARAM_HEADINGS, REPORT_DATASET_HEADINGS, drop_folder, read_current,
+    replace_load, run_folder, with_display_names,
 )
 
 
@@ -39,11 +39,13 @@ def run_commission(spark: SparkSession, tables: str, target: str,
     so no extra pass over the data is needed.
     """
     r = Roles(spark, tables)
-    staged = commission.commission_tables(r, cfg)
+    folder = run_folder(spark, "commission")
+    staged = commission.commission_tables(r, cfg, folder)
     mart = commission.mart_with_audit_tags(r, cfg, staged=staged)
     obs = Observation("commission_load")
     replace_load(mart, target, audit=obs)
     m = obs.get
+    drop_folder(spark, folder)  # staging is no longer read once published
     rows, staged_rows = int(m["rows"]), int(m["staged_rows"] or 0)
     # every row was inserted by this run, at the run timestamp
     return {"sourcecount": staged_rows, "insertcount": rows, "updatecount": None,

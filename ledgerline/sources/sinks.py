@@ -95,6 +95,14 @@ def replace_load(df: DataFrame, target: str, audit: Observation | None = None) -
     return version
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a job's own staging folder (any Hadoop-compatible file system)
+    once everything that reads it has been written."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_current(spark: SparkSession, target: str) -> DataFrame:
     """Read the published version of a ``replace_load`` target."""
     v = spark.read.text(os.path.join(target, "_CURRENT")).first()[0]

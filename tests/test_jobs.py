@@ -33,6 +33,17 @@ def test_commission_job_replaces_and_audits(spark):
     assert read_current(spark, target).exceptAll(v1).count() == 0
 
 
+def test_commission_job_removes_its_staging(spark):
+    from ledgerline.session import checkpoint_dir
+
+    def staging():
+        return {d for d in os.listdir(checkpoint_dir(spark)) if d.startswith("commission-")}
+
+    before = staging()
+    jobs.run_commission(spark, SF_SMALL, tempfile.mkdtemp(prefix="ledgerline-target-"))
+    assert staging() == before
+
+
 def test_extract_and_report_jobs_write_display_names(spark):
     out = tempfile.mkdtemp(prefix="ledgerline-out-")
     ex = jobs.run_extracts(spark, SF_SMALL, out)

@@ -17,7 +17,8 @@ from ledgerline.sources.roles import Roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-EXTRACT_B = ExtractConfig(site_prefix="site0", completed_to=dt.datetime(2001, 7, 31))
+# variant B: lower-case prefix (case-insensitive LIKE) and its own end date
+EXTRACT_B = ExtractConfig(site_prefix="site", completed_to=dt.datetime(2001, 7, 31))
 PARAM_HEADERS = ParamSelection(group_header=("GR07", "gr12-2", "GR20-0 "),
                                industries=("AUTOMOBILE", "BUILDING", "household"))
 

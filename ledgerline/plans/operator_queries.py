@@ -6,7 +6,6 @@ in the README.)"""
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +15,9 @@ from ledgerline.functions.semantics import (
     first_of_month, int_key_to_date, is_blank, isnull_typed, key_month, key_year, MONEY,
     PERCENT, relabel_band, tier_rate, ts_lit,
 )
-from ledgerline.operators.aggregates import conditional_sums, distinct_rows
+from ledgerline.operators.aggregates import distinct_rows
 from ledgerline.operators.joins import any_code_join, anti_on, range_join
 from ledgerline.plans import adjudication, commission, extract
-from ledgerline.plans.config import CommissionConfig
 from ledgerline.sources.roles import Roles
 from ledgerline.sources.sinks import read_current, replace_load, run_folder
 

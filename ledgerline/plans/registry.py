@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.plans import adjudication, commission, extract, operator_queries, params
-from ledgerline.plans.config import CommissionConfig, ExtractConfig, ParamSelection
+from ledgerline.plans.config import ExtractConfig, ParamSelection
 from ledgerline.sources.roles import Roles
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -100,27 +100,36 @@ class Texts:
         return mix((prefix[ends] - prefix[starts]) * back[starts])
 
 
-def sequence_hash(words: np.ndarray, first: np.ndarray, size: int, seed: int = 0):
-    """Hashes of all runs of ``size`` consecutive words inside one row.
-
-    Returns (start word of each run, 64-bit hash). ``first`` holds each row's
-    first word, with an end entry."""
+def rolling(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """Hashes of all runs of ``size`` consecutive words, also across rows."""
     n = len(words)
     if n < size:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64)
     mult = _MULT + np.uint64(2 * seed)
     acc = np.zeros(n - size + 1, dtype=np.uint64)
     for k in range(size):
         acc *= mult
         acc += words[k:n - size + 1 + k]
-    ok = np.ones(n - size + 1, dtype=bool)
+    return mix(acc)
+
+
+def inside(first: np.ndarray, size: int) -> np.ndarray:
+    """Flags of the runs of ``size`` words that lie in one row. ``first`` holds
+    each row's first word, with an end entry."""
+    n = int(first[-1])
+    if n < size:
+        return np.zeros(0, dtype=bool)
     cut = np.zeros(n + 1, dtype=np.int32)  # runs that would cross a row's end
     ends = first[1:-1]
     np.add.at(cut, np.maximum(ends - size + 1, 0), 1)
     np.add.at(cut, ends, -1)
-    ok &= np.cumsum(cut)[:n - size + 1] <= 0
-    at = np.flatnonzero(ok)
-    return at, mix(acc[at])
+    return np.cumsum(cut)[:n - size + 1] <= 0
+
+
+def sequence_hash(words: np.ndarray, first: np.ndarray, size: int, seed: int = 0):
+    """(start word, 64-bit hash) of all runs of ``size`` consecutive words inside one row."""
+    at = np.flatnonzero(inside(first, size))
+    return at, rolling(words, size, seed)[at]
 
 
 def column_bytes(column: pa.Array) -> Texts:

@@ -7,14 +7,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm.bpe import op5_bpe
 from ledgerline.llm.line_frequency import op1_line_frequency
+from ledgerline.llm.maxent import op4_maxent
 from ledgerline.llm.nb_svm import op2_nb_svm
+from ledgerline.llm.packing import op8_best_fit
+from ledgerline.llm.repeats import op10_substring_dedup
+from ledgerline.llm.simhash import op3_simhash
+from ledgerline.llm.topk import op9_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_frequency, op2_nb_svm)}
+    return {f.__name__: f for f in (
+        op1_line_frequency, op2_nb_svm, op3_simhash, op4_maxent, op5_bpe, op8_best_fit, op9_top_k,
+        op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -184,9 +184,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: that with the smallest id
     (of rows that share it, the one with the smallest row hash). Rows with a
     null id can't be told apart and stay. The columns of ``docs``."""
-    lost = near_duplicates(docs).filter(F.col("_id") != F.col("_component")).select("_id").distinct()
-    kept = docs.join(lost, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
-    tie = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
+    lost = (near_duplicates(docs).filter(F.col("_id") != F.col("_component"))
+            .select(F.col("_id").alias("_simhash_lost")).distinct())
+    kept = docs.join(lost, F.col("doc_id").cast("long") == F.col("_simhash_lost"), "left_anti")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    tie = F.row_number().over(Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), row)).orderBy(row))
     return (kept.withColumn("_simhash_place", tie)
             .filter((F.col("_simhash_place") == 1) | F.col("doc_id").isNull()).drop("_simhash_place"))
 

@@ -4,28 +4,34 @@ count-min prefilter.
 A window is ``size`` consecutive words. Counting all windows would shuffle one
 row for each word of the corpus, so the sketch counts a window under its
 anchor: the ``GRAM``-word run with the smallest hash inside it. Equal windows
-have equal anchors in the same place, so an anchor's count is never below that
-of any of its windows, while neighbouring windows share it: about one word in
-six is an anchor.
-
-1. One pass hashes every text's words, its whole word sequence and its anchors.
-2. Each batch's sketch (its different anchors, counts stopped at two) is sharded by
-   hash; a shard merges the batches' sketches into a count-min sketch sized from what it
-   holds and sends each batch back its anchors estimated to repeat. The
+have equal anchors, so an anchor's count is never below that of any of its
+windows, while neighbouring windows share it: about one word in eight is an
+anchor.
+
+1. One pass writes the documents as compressed blocks, bucketed by the task
+   that made them, with the anchors and the hash of the whole word sequence of
+   every text. Later passes read the blocks in place: texts are never shuffled.
+2. The sketch of each task's anchors (counts stopped at two) is sharded by hash; a
+   shard adds up the tasks' sketches to a count-min sketch sized from what it
+   holds and returns to each task its anchors estimated to repeat. The
    estimate is never too low, so no repeated window is lost.
-3. A second pass emits only the windows of anchors estimated repeated, and
-   groups them exactly by a 64-bit hash of their words for the first (id, start).
-4. Words covered by a later window are removed.
+3. A second pass emits the runs of neighbouring windows of marked anchors as
+   one row each. Runs equal as a whole are settled first: all but the first (by id
+   and start) go. Only the first ones of anchors with several different runs,
+   and runs that repeat a window inside, are then split into windows, which
+   are grouped exactly by a 64-bit hash of their words.
+4. A last pass cuts the words covered by a later window.
 
 Documents with the same word sequence as one with a smaller id lose all words
 if they have a window at all; they are settled by that sequence and emit no
-windows.
-
-Defined results: null texts have no words; a null id comes after all others;
-of rows with the same id neither comes first, so a window is removed only for
-a smaller id or, in the same id, a smaller start; texts of fewer than ``size``
-words are left alone; an empty table gives an empty result; other columns are
-not read (``remove_repeats`` keeps them).
+windows. Hot runs, windows and copies are combined before the shuffle, and the
+joins back to them are plain equi-joins that the adaptive planner splits.
+
+Defined results: null texts have no words and stay null; a null id comes after
+all others; of rows with the same id neither comes first, so a window is
+removed only for a smaller id or, in the same id, a smaller start; texts of
+fewer than ``size`` words are left alone; an empty table gives an empty result;
+other columns pass through ``remove_repeats`` as they are.
 """
 
 from __future__ import annotations
@@ -40,15 +46,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import text as T
-from ledgerline.llm.staging import append_columns, documents, staged
+from ledgerline.llm.staging import documents, staged, staged_by
 
 SIZE = 20
-GRAM = 10
+GRAM = 7
 DEPTH = 4
 WIDTH_FACTOR = 8         # sketch cells in a row for each anchor of a shard
 SHARD_ANCHORS = 1_000_000
 NULL_ID = 2**63 - 1
+WHOLE = -1               # start of a removal that takes the whole text
+
 
+# ---------------------------------------------------------------- windows and anchors
 
 def _sliding(x: np.ndarray, size: int, op) -> np.ndarray:
     """Minima or maxima of all runs of ``size`` values."""
@@ -59,9 +68,10 @@ def _sliding(x: np.ndarray, size: int, op) -> np.ndarray:
     return op(x[:len(x) - (size - done)], x[size - done:]) if size > done else x
 
 
-def window_anchors(words: np.ndarray, first: np.ndarray, size: int = SIZE, gram: int = GRAM):
+def window_anchors(words: np.ndarray, first: np.ndarray, size: int = SIZE, gram: int | None = None):
     """Flags of the windows that lie in one text, the anchor hash of each
     window, and the flags and hashes of the runs that are an anchor of some window."""
+    gram = min(GRAM, size) if gram is None else gram
     ok = T.inside(first, size)
     none = np.zeros(0, dtype=np.uint64)
     if not len(ok):
@@ -76,39 +86,103 @@ def window_anchors(words: np.ndarray, first: np.ndarray, size: int = SIZE, gram:
     return ok, anchor, used, grams
 
 
-def _scan(size: int):
+def _words(x: T.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts of the words, their hashes, each text's first word."""
+    starts, ends, first = x.words()
+    return starts, x.span_hash(x.prefix(), starts, ends), first
+
+
+class _Spans:
+    """Hashes of word runs of any length, by prefix sums."""
+
+    def __init__(self, words: np.ndarray):
+        self.total = np.zeros(len(words) + 1, dtype=np.uint64)
+        np.cumsum(words * T._powers(T._MULT, len(words)), out=self.total[1:])
+        self.back = T._powers(T._MULT_INV, len(words) + 1)
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return T.mix((self.total[end] - self.total[start]) * self.back[start] + (end - start).astype(np.uint64))
+
+
+# ---------------------------------------------------------------- 1. blocks
+
+_BLOCK = ("_part long, _chunk int, _ids binary, _counts binary, _wholes binary, _anchors binary, _rows binary")
+
+
+def _blocks(text_at: int, size: int):
+    """Chunks of rows (the last column is the id) as one row each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
-            for lo, hi, x in T.chunks(batch.column("_text")):
-                starts, ends, first = x.words()
-                words = x.span_hash(x.prefix(), starts, ends)
-                total = np.zeros(len(words) + 1, dtype=np.uint64)
-                np.cumsum(words * T._powers(T._MULT, len(words)), out=total[1:])
-                back = T._powers(T._MULT_INV, len(words) + 1)
-                whole = T.mix((total[first[1:]] - total[first[:-1]]) * back[first[:-1]] + np.diff(first).astype(np.uint64))
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        part, chunk = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            rows = batch.select(batch.schema.names[:-1])
+            ids = batch.column(batch.num_columns - 1).to_numpy()
+            for lo, hi, x in T.chunks(batch.column(text_at)):
+                _, words, first = _words(x)
                 _, _, used, grams = window_anchors(words, first, size)
-                at = np.flatnonzero(used)
-                raw = grams[at].tobytes()
-                cut = (8 * np.searchsorted(at, first)).tolist()
-                some = batch.slice(lo, hi - lo)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                    out.write_batch(rows.slice(lo, hi - lo))
+                values = (ids[lo:hi].tobytes(), np.diff(first).tobytes(),
+                          _Spans(words).hash(first[:-1], first[1:]).tobytes(), grams[used].tobytes(),
+                          sink.getvalue().to_pybytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], type=pa.int64()), pa.array([chunk], type=pa.int32()),
+                     *[pa.array([v], type=pa.binary()) for v in values]],
+                    names=[c.split()[0] for c in _BLOCK.split(", ")])
+                chunk += 1
+    return run
+
+
+def _rows(block: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(block).read_next_batch()
+
+
+def blocks_of(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns],
+                         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("_repeat_id"))
+    made = source.mapInArrow(_blocks(docs.columns.index(text_col), size), _BLOCK)
+    return staged_by(docs.sparkSession, made, "_part", "repeat-blocks")
+
+
+_PLACE = "_part long, _chunk int, _row int, _id long, _n long, _whole long"
+
+
+def _places(size: int):
+    """One row for each text of a block that has a window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, chunk, ids, counts, wholes in zip(*[c.to_pylist() for c in batch.columns]):
+                counts = np.frombuffer(counts, np.int64)
+                row = np.flatnonzero(counts >= size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, part << 32 | number)), some.column("_id"), some.column("_crc"),
-                     pa.array(np.diff(first)), pa.array(whole.view(np.int64)),
-                     pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:])], type=pa.binary())],
-                    names=["_chunk", "_id", "_crc", "_n", "_whole", "_anchors"])
+                    [pa.array(np.full(len(row), part)), pa.array(np.full(len(row), chunk, dtype=np.int32)),
+                     pa.array(row.astype(np.int32)), pa.array(np.frombuffer(ids, np.int64)[row]), pa.array(counts[row]),
+                     pa.array(np.frombuffer(wholes, np.int64)[row])], names=[c.split()[0] for c in _PLACE.split(", ")])
     return run
 
 
-_SCAN = "_chunk long, _id long, _crc long, _n long, _whole long, _anchors binary"
-_SKETCH = "_shard int, _chunk long, _hashes binary, _often binary"
+def copies_of(blocks: DataFrame, size: int) -> DataFrame:
+    """(``_part``, ``_chunk``, ``_row``) of the texts with the word sequence of one with a smaller id."""
+    texts = blocks.select("_part", "_chunk", "_ids", "_counts", "_wholes").mapInArrow(_places(size), _PLACE)
+    texts = staged(blocks.sparkSession, texts, "repeat-texts")
+    firsts = texts.groupBy("_whole", "_n").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_times"))
+    found = texts.join(firsts.filter("_times > 1"), ["_whole", "_n"]).filter("_id > _first")
+    return staged(blocks.sparkSession, found.select("_part", "_chunk", "_row"), "repeat-copies")
+
+
+# ---------------------------------------------------------------- 2. the sketch
+
+_SKETCH = "_shard int, _part long, _hashes binary, _often binary"
 
 
 def _sketch(shards: int):
-    """The sketch of each run of rows of a chunk, cut into shards: its different
-    anchors and whether each occurs once or more often."""
+    """The sketch of a task's anchors, cut into shards: its different anchors and
+    whether each occurs once or more often."""
 
-    def flush(chunk, raw):
+    def flush(part, raw):
         hashes, counts = np.unique(np.frombuffer(b"".join(raw), dtype=np.uint64), return_counts=True)
         shard = ((hashes >> np.uint64(20)) % np.uint64(shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
@@ -117,19 +191,23 @@ def _sketch(shards: int):
         often = np.minimum(counts, 2).astype(np.uint8)
         pick = [order[cuts[s]:cuts[s + 1]] for s in full]
         return pa.RecordBatch.from_arrays(
-            [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), chunk), type=pa.int64()),
+            [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), part), type=pa.int64()),
              pa.array([hashes[p].tobytes() for p in pick], type=pa.binary()),
              pa.array([often[p].tobytes() for p in pick], type=pa.binary())],
-            names=["_shard", "_chunk", "_hashes", "_often"])
+            names=["_shard", "_part", "_hashes", "_often"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, raw, waiting = None, [], 0
         for batch in batches:
-            chunks = batch.column("_chunk").to_numpy()
-            anchors = batch.column("_anchors").to_pylist()
-            edges = [0, *(np.flatnonzero(chunks[1:] != chunks[:-1]) + 1).tolist(), len(chunks)]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if b > a:
-                    yield flush(int(chunks[a]), anchors[a:b])
+            for part, anchors in zip(batch.column("_part").to_pylist(), batch.column("_anchors").to_pylist()):
+                if raw and (part != now or waiting > 32_000_000):
+                    yield flush(now, raw)
+                    raw, waiting = [], 0
+                now = part
+                raw.append(anchors)
+                waiting += len(anchors)
+        if raw:
+            yield flush(now, raw)
     return run
 
 
@@ -138,7 +216,7 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 
 def merge_sketches(table: pa.Table) -> pa.Table:
-    """One shard: add up the batches' sketches, then return to each batch the
+    """One shard: add up the tasks' sketches, then return to each task the
     anchors whose estimate (smallest of ``DEPTH`` cells) is two or more."""
     parts = [np.frombuffer(b, dtype=np.uint64) for b in table.column("_hashes").to_pylist()]
     often = [np.frombuffer(b, dtype=np.uint8) for b in table.column("_often").to_pylist()]
@@ -147,12 +225,11 @@ def merge_sketches(table: pa.Table) -> pa.Table:
     for hashes, counts in zip(parts, often):
         for row in range(DEPTH):
             at = _cells(hashes, row, bits)
-            if len(at) > 1:  # several of a batch's anchors may share a cell
-                at, back = np.unique(at, return_inverse=True)
-                add = np.bincount(back, weights=counts)
-            else:
-                add = counts
-            cells[row, at] = np.minimum(cells[row, at] + np.minimum(add, 2), 2)  # counts above two are all the same
+            order = np.argsort(at, kind="stable")  # several of a task's anchors may share a cell
+            at = at[order]
+            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            add = np.minimum(np.add.reduceat(counts[order].astype(np.int64), first), 2).astype(np.uint8)
+            cells[row, at[first]] = np.minimum(cells[row, at[first]] + add, 2)  # above two all counts are the same
     found = []
     for hashes in parts:
         estimate = np.full(len(hashes), 2, dtype=np.uint8)
@@ -160,101 +237,160 @@ def merge_sketches(table: pa.Table) -> pa.Table:
             estimate = np.minimum(estimate, cells[row, _cells(hashes, row, bits)])
         found.append(hashes[estimate >= 2].tobytes())
     keep = np.array([bool(f) for f in found], dtype=bool)
-    return pa.table({"_chunk": table.column("_chunk").filter(pa.array(keep)),
+    return pa.table({"_part": table.column("_part").filter(pa.array(keep)),
                      "_hashes": pa.array([f for f in found if f], type=pa.binary())})
 
 
-def _give_back(rows: pa.Table, sketch: pa.Table) -> pa.Table:
-    """One batch: the anchors of each of its texts that are estimated to repeat."""
-    column = rows.column("_anchors").combine_chunks()
-    if not len(rows) or not len(sketch):
-        return rows.slice(0, 0).select(["_id", "_crc"]).append_column("_marked", pa.nulls(0, pa.binary()))
-    marked = np.frombuffer(b"".join(sketch.column("_hashes").to_pylist()), dtype=np.uint64)
-    texts = T.column_bytes(column)
-    hashes = np.frombuffer(texts.data.tobytes(), dtype=np.uint64)
-    hit = np.isin(hashes, marked)
-    total = np.concatenate([[0], np.cumsum(hit)])[texts.offsets // 8]
-    raw = hashes[hit].tobytes()
-    cut = (8 * total).tolist()
-    out = pa.table({"_id": rows.column("_id"), "_crc": rows.column("_crc"),
-                    "_marked": pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:])], type=pa.binary())})
-    return out.filter(pa.array(np.diff(total) > 0))
+def marks_of(blocks: DataFrame) -> DataFrame:
+    """(``_part``, ``_hashes``): each task's anchors that are estimated to repeat."""
+    anchors = blocks.agg(F.sum(F.length("_anchors"))).first()[0] or 0
+    shards = max(8, anchors // 8 // SHARD_ANCHORS)
+    return (blocks.select("_part", "_anchors").mapInArrow(_sketch(shards), _SKETCH)
+            .groupBy("_shard").applyInArrow(merge_sketches, "_part long, _hashes binary"))
+
+
+# ---------------------------------------------------------------- 3. runs and windows
+
+_RUN = "_part long, _chunk int, _row int, _id long, _start int, _windows int, _anchor long, _run long, _self boolean"
+
+
+def _grouped(table: pa.Table, *columns: str) -> dict[int, list[np.ndarray]]:
+    """Columns of a table's rows by their ``_chunk``, without rows of none."""
+    table = table.select(["_chunk", *columns])
+    table = table.filter(table.column("_chunk").is_valid())
+    chunk = table.column("_chunk").to_numpy()
+    order = np.argsort(chunk, kind="stable")
+    values = [table.column(c).to_numpy()[order].astype(np.int64) for c in columns]
+    cuts = np.flatnonzero(np.concatenate([[True], chunk[order][1:] != chunk[order][:-1]])) if len(chunk) else []
+    ends = [*cuts[1:], len(chunk)]
+    return {int(chunk[order[a]]): [v[a:b] for v in values] for a, b in zip(cuts, ends)}
+
+
+def _runs(text_at: int, size: int):
+    """One task's blocks and marks: runs of neighbouring windows of a marked anchor."""
+
+    def run(blocks: pa.Table, marks: pa.Table) -> pa.Table:
+        marked = np.unique(np.frombuffer(b"".join(h for h in marks.column("_hashes").to_pylist() if h), dtype=np.uint64))
+        copied = _grouped(marks, "_row")
+        parts = []
+        for part, chunk, ids, raw in zip(*[blocks.column(c).to_pylist() for c in ("_part", "_chunk", "_ids", "_rows")]):
+            if not len(marked):
+                break
+            x = T.column_bytes(_rows(raw).column(text_at))
+            _, words, first = _words(x)
+            ok, anchor, _, _ = window_anchors(words, first, size)
+            if not len(ok):
+                continue
+            for row in copied.get(chunk, [()])[0]:
+                ok[first[row]:first[row + 1]] = False
+            hit = ok & np.isin(anchor, marked)
+            begin = hit.copy()
+            begin[1:] &= ~(hit[:-1] & (anchor[1:] == anchor[:-1]))
+            at = np.flatnonzero(begin)
+            if not len(at):
+                continue
+            number = np.cumsum(begin) - 1
+            inner = np.flatnonzero(hit)
+            count = np.bincount(number[inner], minlength=len(at))
+            keys = T.mix(T.rolling(words, size, seed=11)[inner] + T.mix(number[inner].astype(np.uint64) + np.uint64(1)))
+            _, once = np.unique(keys, return_index=True)
+            different = np.bincount(number[inner[once]], minlength=len(at))
+            row = np.searchsorted(first, at, side="right") - 1
+            parts.append(pa.table([
+                pa.array(np.full(len(at), part)), pa.array(np.full(len(at), chunk, dtype=np.int32)),
+                pa.array(row.astype(np.int32)), pa.array(np.frombuffer(ids, np.int64)[row]),
+                pa.array((at - first[row]).astype(np.int32)), pa.array(count.astype(np.int32)),
+                pa.array(anchor[at].view(np.int64)), pa.array(_Spans(words).hash(at, at + count + size - 1).view(np.int64)),
+                pa.array(different < count)], names=_names(_RUN)))
+        return pa.concat_tables(parts) if parts else _empty(_RUN)
+    return run
 
 
-def _windows(size: int):
-    """(window hash, id, place) of the windows of marked anchors; the place holds the
-    start word above the text's checksum."""
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            all_marked = batch.column("_marked").to_pylist()
-            ids, crcs = batch.column("_id").to_numpy(), batch.column("_crc").to_numpy()
-            for lo, hi, x in T.chunks(batch.column("_text")):
-                starts, ends, first = x.words()
-                words = x.span_hash(x.prefix(), starts, ends)
-                ok, anchor, _, _ = window_anchors(words, first, size)
-                marked = np.unique(np.frombuffer(b"".join(all_marked[lo:hi]), dtype=np.uint64))
-                at = np.flatnonzero(ok & np.isin(anchor, marked)) if len(ok) else np.zeros(0, dtype=np.int64)
-                row = np.searchsorted(first, at, side="right") - 1
-                hashes = T.rolling(words, size, seed=11)[at]
-                place = (at - first[row]) << 32 | crcs[lo + row]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(ids[lo + row]), pa.array(place)],
-                    names=["_window", "_id", "_place"])
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _empty(schema: str) -> pa.Table:
+    return pa.table({c.split()[0]: pa.nulls(0, _ARROW[c.split()[1]]) for c in schema.split(", ")})
+
+
+_WINDOW = "_part long, _chunk int, _row int, _id long, _start int, _window long"
+
+
+def _split(text_at: int, size: int):
+    """One task's blocks and runs: the single windows of the runs."""
+
+    def run(blocks: pa.Table, runs: pa.Table) -> pa.Table:
+        wanted = _grouped(runs, "_row", "_id", "_start", "_windows")
+        parts = []
+        for part, chunk, raw in zip(*[blocks.column(c).to_pylist() for c in ("_part", "_chunk", "_rows")]):
+            if chunk not in wanted:
+                continue
+            _, words, first = _words(T.column_bytes(_rows(raw).column(text_at)))
+            hashes = T.rolling(words, size, seed=11)
+            row, ids, start, count = wanted[chunk]
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            row, ids, start = np.repeat(row, count), np.repeat(ids, count), np.repeat(start, count) + step
+            parts.append(pa.table([
+                pa.array(np.full(len(row), part)), pa.array(np.full(len(row), chunk, dtype=np.int32)),
+                pa.array(row.astype(np.int32)), pa.array(ids), pa.array(start.astype(np.int32)),
+                pa.array(hashes[first[row] + start].view(np.int64))], names=_names(_WINDOW)))
+        return pa.concat_tables(parts) if parts else _empty(_WINDOW)
     return run
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_id"),
-                       F.crc32(text).alias("_crc"), text.alias("_text"))
-
-
-def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """(``_id``, ``_crc``, ``_whole``, ``_starts``): for each text with a repeat,
-    either that it is a copy as a whole or the start words of its windows that
-    start earlier elsewhere. ``_crc`` tells texts of one id apart."""
-    spark = docs.sparkSession
-    texts = _keyed(docs, id_col, text_col)
-    scan = staged(spark, texts.mapInArrow(_scan(size), _SCAN), "anchors")
-    long_enough = scan.filter(F.col("_n") >= size)
-    firsts = long_enough.groupBy("_whole", "_n").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_times"))
-    copies = (long_enough.select("_id", "_crc", "_whole", "_n")
-              .join(firsts.filter("_times > 1"), ["_whole", "_n"]).filter("_id > _first")
-              .select("_id", "_crc").distinct())
-    copies = staged(spark, copies, "copies")
-    anchors = scan.agg(F.sum(F.length("_anchors"))).first()[0] or 0
-    shards = max(8, anchors // 8 // SHARD_ANCHORS)
-    sketches = scan.select("_chunk", "_anchors").mapInArrow(_sketch(shards), _SKETCH)
-    repeated = sketches.groupBy("_shard").applyInArrow(merge_sketches, "_chunk long, _hashes binary")
-    marked = (scan.select("_chunk", "_id", "_crc", "_anchors").groupBy("_chunk")
-              .cogroup(repeated.groupBy("_chunk")).applyInArrow(_give_back, "_id long, _crc long, _marked binary")
-              .join(copies, ["_id", "_crc"], "left_anti"))
-    windows = (texts.join(marked, ["_id", "_crc"]).select("_id", "_crc", "_text", "_marked")
-               .mapInArrow(_windows(size), "_window long, _id long, _place long"))
-    windows = staged(spark, windows, "windows")
-    earliest = (windows.groupBy("_window").agg(F.min(F.struct("_id", "_place")).alias("_e"), F.count(F.lit(1)).alias("_times"))
-                .filter("_times > 1").select("_window", F.col("_e._id").alias("_id0"), F.shiftright("_e._place", 32).alias("_start0")))
-    start = F.shiftright("_place", 32)
-    later = (windows.join(earliest, "_window")
-             .filter((F.col("_id") > F.col("_id0")) | (start > F.col("_start0")))
-             .select("_id", F.col("_place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("_crc"), start.cast("int").alias("_start")))
-    starts = later.groupBy("_id", "_crc").agg(F.collect_set("_start").alias("_starts"))
-    return copies.select("_id", "_crc", F.lit(True).alias("_whole"), F.lit(None).cast("array<int>").alias("_starts")).union(
-        starts.select("_id", "_crc", F.lit(False), "_starts"))
-
-
-def _removal(x: T.Texts, whole: list, starts: list, size: int):
-    """Word table of some texts and the flags of the words to remove."""
-    word_starts, ends, first = x.words()
-    gone = np.zeros(len(word_starts), dtype=bool)
-    for i in range(x.rows):
-        a, b = first[i], first[i + 1]
-        if whole[i]:
-            gone[a:b] = True
-        elif starts[i]:
-            gone[a:b] = T.covered(np.array(starts[i], dtype=np.int64), size, int(b - a))
-    return word_starts, ends, first, gone
+def _later(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key occurs with a smaller id or, in the same id, a smaller
+    start."""
+    first = rows.groupBy(key).agg(F.min(F.struct("_id", "_start")).alias("_e"), F.count(F.lit(1)).alias("_times"))
+    joined = rows.join(first.filter("_times > 1").drop("_times"), key)
+    return joined.filter("_id > _e._id or (_id = _e._id and _start > _e._start)")
+
+
+def removals_of(blocks: DataFrame, copies: DataFrame, text_at: int, size: int) -> DataFrame:
+    """(``_part``, ``_chunk``, ``_row``, ``_start``, ``_windows``): runs of windows
+    that start earlier elsewhere; start ``WHOLE`` for a text that is a copy."""
+    spark = blocks.sparkSession
+    none = F.lit(None)
+    marks = marks_of(blocks).select("_part", none.cast("int").alias("_chunk"), none.cast("int").alias("_row"), "_hashes").union(
+        copies.select("_part", "_chunk", "_row", none.cast("binary")))
+    texts = blocks.select("_part", "_chunk", "_ids", "_rows")
+    runs = staged(spark, texts.groupBy("_part").cogroup(marks.groupBy("_part")).applyInArrow(_runs(text_at, size), _RUN),
+                  "repeat-runs")
+    place = ["_part", "_chunk", "_row", "_start", "_windows"]
+    known = staged(spark, _later(runs.drop("_anchor", "_self"), "_run").select(*place), "repeat-later")
+    leaders = runs.join(known.select("_part", "_chunk", "_row", "_start"), ["_part", "_chunk", "_row", "_start"], "left_anti")
+    several = (leaders.groupBy("_anchor").agg(F.min("_run").alias("_a"), F.max("_run").alias("_b"))
+               .filter("_a <> _b").select("_anchor"))
+    split = leaders.filter("not _self").join(several, "_anchor", "left_semi").select(*place, "_id").union(
+        leaders.filter("_self").select(*place, "_id"))
+    windows = staged(spark, texts.groupBy("_part").cogroup(split.groupBy("_part")).applyInArrow(_split(text_at, size), _WINDOW),
+                     "repeat-windows")
+    later = _later(windows, "_window").select(
+        "_part", "_chunk", "_row", "_start", F.lit(1).alias("_windows"))
+    return known.union(later).union(
+        copies.select("_part", "_chunk", "_row", F.lit(WHOLE).alias("_start"), F.lit(0).alias("_windows")))
+
+
+# ---------------------------------------------------------------- 4. cutting
+
+def _gone(first: np.ndarray, removals: list[np.ndarray] | None, size: int) -> np.ndarray:
+    """Flags of the words that are removed from the texts of a block."""
+    n = int(first[-1])
+    gone = np.zeros(n, dtype=bool)
+    if removals:
+        row, start, count = removals
+        whole = start == WHOLE
+        begin = np.where(whole, first[row], first[row] + start)
+        end = np.where(whole, first[row + 1], begin + count + size - 1)
+        change = np.zeros(n + 1, dtype=np.int64)
+        np.add.at(change, begin, 1)
+        np.add.at(change, end, -1)
+        gone = np.cumsum(change[:n]) > 0
+    return gone
 
 
 def _kept_text(x: T.Texts, word_starts: np.ndarray, first: np.ndarray, gone: np.ndarray) -> list[bytes]:
@@ -269,57 +405,63 @@ def _kept_text(x: T.Texts, word_starts: np.ndarray, first: np.ndarray, gone: np.
     return [x.data[a:b][keep[a:b]].tobytes() for a, b in zip(x.offsets[:-1], x.offsets[1:])]
 
 
-def _joined(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows of ``docs`` with what ``repeated_starts`` found for them, under private names."""
-    marks = found.select(F.col("_id").alias("_repeat_id"), F.col("_crc").alias("_repeat_crc"),
-                         F.col("_whole").alias("_repeat_whole"), F.col("_starts").alias("_repeat_starts"))
-    own = F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID))
-    crc = F.crc32(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(marks, (own == marks["_repeat_id"]) & (crc == marks["_repeat_crc"]), "left")
+def _cut(text_at: int, size: int, make):
+    """One task's blocks and removals: ``make(rows, ids, texts, first word of each text,
+    removed words, kept texts)`` of each block."""
+
+    def run(blocks: pa.Table, removals: pa.Table) -> pa.Table:
+        by_chunk = _grouped(removals, "_row", "_start", "_windows")
+        out = []
+        for chunk, ids, raw in zip(*[blocks.column(c).to_pylist() for c in ("_chunk", "_ids", "_rows")]):
+            rows = _rows(raw)
+            x = T.column_bytes(rows.column(text_at))
+            starts, _, first = x.words()
+            gone = _gone(first, by_chunk.get(chunk), size)
+            out.append(make(rows, np.frombuffer(ids, np.int64), x, first, gone, _kept_text(x, starts, first, gone)))
+        return pa.concat_tables(out)
+    return run
+
+
+def _apply(docs: DataFrame, id_col: str, text_col: str, size: int, make, schema) -> DataFrame:
+    text_at = docs.columns.index(text_col)
+    blocks = blocks_of(docs, id_col, text_col, size)
+    removals = removals_of(blocks, copies_of(blocks, size), text_at, size)
+    return (blocks.select("_part", "_chunk", "_ids", "_rows").groupBy("_part").cogroup(removals.groupBy("_part"))
+            .applyInArrow(_cut(text_at, size, make), schema))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
                    length_col: str = "n_chars") -> DataFrame:
     """``docs`` with the repeated words cut out of their texts; a null text stays
     null, and a ``length_col`` is brought up to date where a text changes."""
-    joined = _joined(docs, repeated_starts(docs, id_col, text_col, size), id_col, text_col)
 
-    def make(text, whole, starts):
-        out = []
-        whole, starts = whole.to_pylist(), starts.to_pylist()
-        for lo, hi, x in T.chunks(text):
-            word_starts, _, first, gone = _removal(x, whole[lo:hi], starts[lo:hi], size)
-            kept = _kept_text(x, word_starts, first, gone)
-            out += [k.decode() if (whole[lo + i] or starts[lo + i]) else None for i, k in enumerate(kept)]
-        return [pa.array(out, type=pa.string())]
+    def make(rows, ids, x, first, gone, kept):
+        changed = T.per_row(gone, first) > 0
+        old = rows.column(text_col).to_pylist()
+        texts = [k.decode() if c else o for k, c, o in zip(kept, changed, old)]
+        columns = list(rows.columns)
+        at = rows.schema.get_field_index(text_col)
+        columns[at] = pa.array(texts, type=rows.schema.field(at).type)
+        at = rows.schema.get_field_index(length_col)
+        if at >= 0:
+            columns[at] = pa.array([len(t) if c else o for t, c, o in zip(texts, changed, columns[at].to_pylist())],
+                                   type=rows.schema.field(at).type)
+        return pa.Table.from_arrays(columns, names=rows.schema.names)
 
-    cut = append_columns(joined, make, "_repeat_kept string", text_col, "_repeat_whole", "_repeat_starts")
-    new = {text_col: F.coalesce("_repeat_kept", F.col(f"`{text_col}`")).alias(text_col)}
-    if length_col in docs.columns:
-        new[length_col] = F.coalesce(F.length("_repeat_kept").cast(docs.schema[length_col].dataType),
-                                     F.col(f"`{length_col}`")).alias(length_col)
-    return cut.select(*[new.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    return _apply(docs, id_col, text_col, size, make, docs.schema)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """Per document: words, removed words, digest of the kept words."""
-    found = repeated_starts(docs, id_col, text_col, size)
-    joined = _joined(docs.select(id_col, text_col), found, id_col, text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole, starts = batch.column("_whole").to_pylist(), batch.column("_starts").to_pylist()
-            for lo, hi, x in T.chunks(batch.column("_text")):
-                word_starts, _, first, gone = _removal(x, whole[lo:hi], starts[lo:hi], size)
-                kept = _kept_text(x, word_starts, first, gone)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(T.per_row(gone, first)),
-                     pa.array([hashlib.sha256(b" ".join(k.split())).hexdigest() for k in kept], type=pa.string())],
-                    names=["_id", "n_words", "n_removed", "kept_sha256"])
+    def make(rows, ids, x, first, gone, kept):
+        return pa.table({
+            "_id": pa.array(ids, mask=ids == NULL_ID), "n_words": pa.array(np.diff(first)),
+            "n_removed": pa.array(T.per_row(gone, first)),
+            "kept_sha256": pa.array([hashlib.sha256(b" ".join(k.split())).hexdigest() for k in kept], type=pa.string())})
 
-    return (joined.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-                          F.col("_repeat_whole").alias("_whole"), F.col("_repeat_starts").alias("_starts"))
-            .mapInArrow(run, "_id long, n_words long, n_removed long, kept_sha256 string"))
+    return _apply(docs.select(id_col, text_col), id_col, text_col, size, make,
+                  "_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,13 @@ def append_columns(df: DataFrame, make, added: str, *args: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
     return df.mapInArrow(run, ST.StructType([*df.schema.fields, *extra.fields]))
+
+
+def staged_by(spark: SparkSession, df: DataFrame, key: str, name: str) -> DataFrame:
+    """Like ``staged``, but bucketed by ``key``: later groupings and joins on it
+    read the files in place and only move their other side. Rows of one task
+    should share few keys, for each task writes one file per bucket it has."""
+    table = f"ledgerline_llm_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-llm/{table}"
+    df.write.format("parquet").bucketBy(input_partitions(spark), key).option("path", path).saveAsTable(table)
+    return spark.table(table)

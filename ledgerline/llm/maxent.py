@@ -186,13 +186,13 @@ def _encode(vocab: Vocabulary, shards: int):
     return run
 
 
-_RARE = "_chunk long, _row int, _log double, _known long, _words array<long>, _counts array<long>"
+_RARE = "_chunk long, _texts binary, _logs binary, _knowns binary, _words array<long>, _counts array<long>"
 
 
 def _count_rare(table: pa.Table) -> pa.Table:
-    """One shard: count its training words, then give each text the sum of its
-    words' log10(count + 1) and the number that have a count; and, once, the
-    numbers of words and of their tokens by bucket."""
+    """One shard: count its training words, then give each chunk, in one row, its
+    texts' sums of log10(count + 1) and numbers of words that have a count; and, once,
+    the numbers of words and of their tokens by bucket."""
     rows = [np.frombuffer(b, dtype=np.uint32) for b in table.column("_rows").to_pylist()]
     hashes = [np.frombuffer(b, dtype=np.uint64) for b in table.column("_hashes").to_pylist()]
     chunk = np.repeat(table.column("_chunk").to_numpy(), [len(r) for r in rows])
@@ -201,25 +201,41 @@ def _count_rare(table: pa.Table) -> pa.Table:
     counts = np.bincount(back, weights=(row >> 31) == 0, minlength=len(words)).astype(np.int64)
     value = np.log10(counts + 1.0)[back]
     known = (counts > 0)[back]
-    key = np.empty(len(row), dtype=[("c", np.int64), ("r", np.int32)])
-    key["c"], key["r"] = chunk, row & np.uint32(0x7FFFFFFF)
+    text = (row & np.uint32(0x7FFFFFFF)).astype(np.int32)
     change = np.ones(len(row), dtype=bool)  # a chunk's texts come in order
-    change[1:] = key[1:] != key[:-1]
+    change[1:] = (chunk[1:] != chunk[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(change)
+    logs, knowns = np.add.reduceat(value, first), np.add.reduceat(known.astype(np.int64), first)
+    begin = np.flatnonzero(np.concatenate([[True], chunk[first][1:] != chunk[first][:-1]]))
+    cuts = list(zip(begin.tolist(), [*begin[1:].tolist(), len(first)]))
     seen = counts > 0
     n_words = np.bincount(bucket(words[seen]), minlength=BUCKETS).astype(np.int64)
     n_tokens = np.bincount(bucket(words[seen]), weights=counts[seen], minlength=BUCKETS).astype(np.int64)
-    n = len(first)
+    texts = text[first]
     return pa.table({
-        "_chunk": pa.array([*key["c"][first].tolist(), None], type=pa.int64()),
-        "_row": pa.array([*key["r"][first].tolist(), None], type=pa.int32()),
-        "_log": pa.array([*np.add.reduceat(value, first).tolist(), 0.0], type=pa.float64()),
-        "_known": pa.array([*np.add.reduceat(known.astype(np.int64), first).tolist(), 0], type=pa.int64()),
-        "_words": pa.array([None] * n + [n_words.tolist()], type=pa.list_(pa.int64())),
-        "_counts": pa.array([None] * n + [n_tokens.tolist()], type=pa.list_(pa.int64())),
+        "_chunk": pa.array([*chunk[first][begin].tolist(), None], type=pa.int64()),
+        "_texts": pa.array([*[texts[a:b].tobytes() for a, b in cuts], None], type=pa.binary()),
+        "_logs": pa.array([*[logs[a:b].tobytes() for a, b in cuts], None], type=pa.binary()),
+        "_knowns": pa.array([*[knowns[a:b].tobytes() for a, b in cuts], None], type=pa.binary()),
+        "_words": pa.array([None] * len(cuts) + [n_words.tolist()], type=pa.list_(pa.int64())),
+        "_counts": pa.array([None] * len(cuts) + [n_tokens.tolist()], type=pa.list_(pa.int64())),
     })
 
 
+_PER_TEXT = "_chunk long, _row int, _log double, _known long"
+
+
+def _per_text(table: pa.Table) -> pa.Table:
+    """One chunk: each text's sums over all shards."""
+    text, log, known = (np.concatenate([np.frombuffer(b, dtype=t) for b in table.column(c).to_pylist()])
+                        for c, t in (("_texts", np.int32), ("_logs", np.float64), ("_knowns", np.int64)))
+    different, back = np.unique(text, return_inverse=True)
+    return pa.table({
+        "_chunk": pa.array(np.full(len(different), table.column("_chunk")[0].as_py())), "_row": pa.array(different),
+        "_log": pa.array(np.bincount(back, weights=log, minlength=len(different))),
+        "_known": pa.array(np.bincount(back, weights=known, minlength=len(different)).astype(np.int64))})
+
+
 def _count_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(HOT + BUCKETS, dtype=np.int64)
     for batch in batches:
@@ -519,8 +535,8 @@ def score_texts(docs: DataFrame, held, id_col: str = "doc_id", text_col: str = "
     known = "_chunk long, _row int, _id long, _held boolean, n_tokens long, _hot_known long, _hot_base double, _hot_score double"
     rows = (encoded.filter("_row is not null").select("_chunk", "_row", "_id", "_held", "n_tokens", "_ids")
             .mapInArrow(_score(model, symbols, counts), known))
-    per_text = (rare.filter("_chunk is not null").groupBy("_chunk", "_row")
-                .agg(F.sum("_log").alias("_log"), F.sum("_known").alias("_known")))
+    per_text = (rare.filter("_chunk is not null").select("_chunk", "_texts", "_logs", "_knowns")
+                .groupBy("_chunk").applyInArrow(_per_text, _PER_TEXT))
     log, zero = F.coalesce("_log", F.lit(0.0)), F.lit(0).cast("long")
     return (rows.join(per_text, ["_chunk", "_row"], "left")
             .select("_id", "_held", "n_tokens", (F.col("_hot_known") + F.coalesce("_known", zero)).alias("n_known"),

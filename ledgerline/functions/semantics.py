@@ -22,6 +22,8 @@ RATE = "decimal(4,2)"
 # Exact working precision for money before the final rounding: four decimals
 # (price x quantity) and twenty integer digits.
 MONEY_WORK = "decimal(24,4)"
+# A rate before it is rounded for display: up to six decimals.
+RATE_WORK = "decimal(9,6)"
 
 
 def _c(col: Column | str) -> Column:
@@ -95,10 +97,6 @@ def isnull_typed(col: Column | str, default, type_name: str) -> Column:
     return F.coalesce(_c(col), F.lit(default).cast(type_name))
 
 
-def zero_if_null(col: Column | str, type_name: str = MONEY) -> Column:
-    return isnull_typed(col, 0, type_name)
-
-
 # --------------------------------------------------------------------------
 # dates and int date keys (yyyymmdd)
 # --------------------------------------------------------------------------
@@ -193,7 +191,8 @@ def percent_text(rate: Column | str) -> Column:
 
 def pay_amount(base: Column, rate: Column) -> Column:
     """``CONVERT(DECIMAL(18,2), base * (rate / 100.0))`` computed exactly:
-    ``base`` at four decimals times a two-decimal rate times 0.01 keeps all
-    eight decimals, so the single final rounding is half away from zero."""
-    return (base.cast(MONEY_WORK) * rate.cast(PERCENT)
+    ``base`` at four decimals times the rate as it is (only its *text* is
+    rounded) times 0.01 keeps every decimal, so the single final rounding is
+    half away from zero."""
+    return (base.cast(MONEY_WORK) * rate.cast(RATE_WORK)
             * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY)

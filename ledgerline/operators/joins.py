@@ -3,15 +3,15 @@
 Each one is re-expressed as an equi-join (hash or sort-merge) so no plan
 falls back to a nested-loop or cartesian product:
 
-* ``range_join``        value BETWEEN lo AND hi      -> bucket equi-join + filter
+* ``range_join``        value BETWEEN lo AND hi      -> level + bucket equi-join, filter
 * ``any_code_join``     dim.a = x OR dim.b = x         -> explode codes, equi-join
 * ``first_by_order``    correlated TOP 1 ... ORDER BY  -> grouped ``min_by``
 * ``single_value_lookup`` scalar sub-query (<= 1 row)  -> grouped count + check
 * ``any_row_lookup``    TOP 1 without ORDER BY         -> grouped min / max
 
-Broadcasts only happen behind a size check: a ``limit(n+1).count()`` proves
-the side has at most ``n`` rows before it is hinted; otherwise Spark / AQE
-choose the strategy from runtime sizes.
+No operator runs a Spark action while a plan is built and none hints a
+broadcast: Spark (from file statistics) and AQE (from runtime bytes) decide
+which side is small enough.
 """
 
 from __future__ import annotations
@@ -21,103 +21,67 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows below which a dimension may be broadcast (checked, not assumed).
-BROADCAST_MAX_ROWS = 1_000_000
-# Target number of buckets one range row is split into.
-RANGE_BUCKETS_PER_ROW = 64
+from ledgerline.functions.semantics import ci_norm
 
+# A range is cut into at most this many buckets of its level (plus one at an end).
+BUCKETS_PER_RANGE = 64
+# Bucket widths of the levels: powers of BUCKETS_PER_RANGE that fit a long.
+LEVELS = 10
 
-# Size checks are remembered only for plans that carry their data inline
-# (literal VALUES tables): their plan hash is a content hash. Anything read
-# from files is checked again on every call, since the files may change.
-_ROWS_CHECKED: dict[tuple, int] = {}
-_RANGE_PROFILE: dict[tuple, tuple[int, int | None]] = {}
 
+def _bucket(value: Column, level: Column) -> Column:
+    """``floor(value / BUCKETS_PER_RANGE ** level)`` of a long, exactly."""
+    return F.call_function("shiftright", value, (level * 6).cast("int"))
 
-def _content_key(df: DataFrame, *extra) -> tuple | None:
-    if df.inputFiles():
-        return None
-    return (df.semanticHash(), *extra)
 
-
-def _rows_upto(df: DataFrame, max_rows: int) -> int:
-    """Row count of ``df`` capped at ``max_rows + 1`` (reads no more than
-    that)."""
-    key = _content_key(df, max_rows)
-    if key is None or key not in _ROWS_CHECKED:
-        n = df.limit(max_rows + 1).count()
-        if key is None:
-            return n
-        _ROWS_CHECKED[key] = n
-    return _ROWS_CHECKED[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the frame turns out to be large; in that case the frame is returned as is
-    and the join goes through a shuffle (AQE may still broadcast it later).
-    """
-    if _rows_upto(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def _range_profile(ranges: DataFrame, lo: str, hi: str) -> tuple[int, int | None]:
-    """(rows, widest span) of a range table in one bounded pass."""
-    key = _content_key(ranges, lo, hi)
-    if key is None or key not in _RANGE_PROFILE:
-        row = (ranges.limit(BROADCAST_MAX_ROWS + 1)
-               .agg(F.count(F.lit(1)).alias("n"),
-                    F.max(F.col(hi).cast("long") - F.col(lo).cast("long")).alias("s"))
-               .first())
-        prof = (int(row["n"]), None if row["s"] is None else int(row["s"]))
-        if key is None:
-            return prof
-        _RANGE_PROFILE[key] = prof
-    return _RANGE_PROFILE[key]
-
-
-def range_join(facts: DataFrame, ranges: DataFrame, value: str, lo: str, hi: str,
-               how: str = "inner") -> DataFrame:
+def range_join(facts: DataFrame, ranges: DataFrame, value: str, lo: str, hi: str) -> DataFrame:
     """``facts JOIN ranges ON facts.value BETWEEN ranges.lo AND ranges.hi``.
 
-    Every range row is exploded into the integer buckets ``floor(v / w)`` it
-    covers, with ``w`` chosen so the widest range spans about
-    RANGE_BUCKETS_PER_ROW buckets; facts join on their own bucket and the
-    exact BETWEEN stays as the join's residual filter. Overlapping ranges
-    still multiply rows and a value outside every range (or NULL) finds none,
-    exactly like the theta join; no candidate is ever capped.
-
-    The exploded side has at most ``rows x (RANGE_BUCKETS_PER_ROW + 2)`` rows;
-    it is broadcast only when that bound is under BROADCAST_MAX_ROWS,
-    otherwise both sides shuffle on the bucket (sort-merge, AQE skew split).
+    Every range gets a level from its own length: the smallest power of
+    BUCKETS_PER_RANGE as bucket width that cuts it into at most
+    BUCKETS_PER_RANGE buckets, so a catch-all range does not widen the buckets
+    of narrow ones. A range is exploded into the buckets it covers (at most
+    BUCKETS_PER_RANGE + 1 rows); a fact is looked up in its bucket of each
+    level that occurs (at most LEVELS, found by a scalar sub-query when the
+    query runs). The exact BETWEEN stays as the join's residual filter:
+    overlapping ranges still multiply rows, a value outside every range (or
+    NULL) finds none, and nothing is capped.
     """
-    n, span = _range_profile(ranges, lo, hi)
-    w = 1 if not span or span <= 0 else max(1, -(-span // RANGE_BUCKETS_PER_ROW))
-    bucket = "__range_bucket"
-    r = ranges.withColumn(bucket, F.explode(F.sequence(
-        F.floor(F.col(lo) / w).cast("long"), F.floor(F.col(hi) / w).cast("long"))))
-    if n * (RANGE_BUCKETS_PER_ROW + 2) <= BROADCAST_MAX_ROWS:
-        r = F.broadcast(r)
-    f = facts.withColumn(bucket, F.floor(F.col(value) / w).cast("long"))
-    cond = (f[bucket] == r[bucket]) & f[value].between(r[lo], r[hi])
-    return f.join(r, cond, how).drop(f[bucket]).drop(r[bucket])
+    level, bucket = "__range_level", "__range_bucket"
+    start, end = F.col(lo).cast("long"), F.col(hi).cast("long")
+    fit = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        fit = F.when(F.try_subtract(end, start) < BUCKETS_PER_RANGE ** (k + 1), F.lit(k)).otherwise(fit)
+    usable = ranges.where(start <= end).withColumn(level, fit)
+    levels = usable.agg(F.collect_set(level).alias("l")).scalar()
+    at = F.col(level)
+    r = usable.withColumn(bucket, F.explode(F.sequence(_bucket(start, at), _bucket(end, at))))
+    f = (facts.where(F.col(value).isNotNull()).withColumn(level, F.explode(levels))
+         .withColumn(bucket, _bucket(F.col(value).cast("long"), at)))
+    cond = (f[level] == r[level]) & (f[bucket] == r[bucket]) & f[value].between(r[lo], r[hi])
+    return (f.join(r, cond).drop(f[level]).drop(r[level]).drop(f[bucket]).drop(r[bucket]))
 
 
 def any_code_join(facts: DataFrame, dim: DataFrame, fact_key: str,
                   code_cols: Sequence[str], how: str = "left") -> DataFrame:
-    """``facts JOIN dim ON dim.c1 = facts.k OR dim.c2 = facts.k ...``.
+    """``facts JOIN dim ON dim.c1 = facts.k OR dim.c2 = facts.k ...`` under the
+    collation (case and trailing blanks do not matter).
 
-    Each dim row is exploded into its *distinct* codes, so a row whose codes
-    are equal matches once, while a code shared by several dim rows fans out
-    exactly like the disjunctive join.
+    Each dim row is exploded into its *distinct* normalised codes, so a row
+    whose codes are equal matches once, while a code shared by several dim
+    rows fans out exactly like the disjunctive join.
     """
     code = "__any_code"
-    d = dim.withColumn(code, F.explode(F.array_distinct(F.array(*[F.col(c) for c in code_cols]))))
-    d = bounded_broadcast(d)
-    return facts.join(d, facts[fact_key] == d[code], how).drop(d[code])
+    d = dim.withColumn(code, F.explode(F.array_distinct(F.array(*[ci_norm(c) for c in code_cols]))))
+    return facts.join(d, ci_norm(facts[fact_key]) == d[code], how).drop(d[code])
+
+
+def first_rank(order: Column, value: Column, condition: Column | None = None) -> Column:
+    """Order of a row in ``TOP 1 value ... ORDER BY order``: NULL orders first,
+    ties by the smallest value, NULL (skipped by ``min_by``) where the
+    condition does not hold."""
+    rank = F.struct(order.isNotNull().alias("has"), order.alias("o"), value.alias("v"))
+    return rank if condition is None else F.when(condition, rank)
 
 
 def first_by_order(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
@@ -125,13 +89,12 @@ def first_by_order(df: DataFrame, keys: Sequence[str], order_col: str, value_col
     """Per ``keys``, the ``value_col`` of the first row ordered by
     ``order_col`` ascending with NULLs first (ties: smallest value).
 
-    ``min_by`` over the struct ``(order IS NOT NULL, order, value)`` keeps the
-    NULL-dated row first (a bare ``min_by`` on the date would skip it) and is a
-    partial aggregate, so a hot key is combined map-side before the shuffle.
+    A bare ``min_by`` on the date would skip a NULL-dated row; ``first_rank``
+    keeps it first. It is a partial aggregate, so a hot key is combined
+    map-side before the shuffle.
     """
-    o = F.col(order_col)
-    rank = F.struct(o.isNotNull().alias("has"), o.alias("o"), F.col(value_col).alias("v"))
-    return df.groupBy(*keys).agg(F.min_by(F.col(value_col), rank).alias(out))
+    return df.groupBy(*keys).agg(
+        F.min_by(F.col(value_col), first_rank(F.col(order_col), F.col(value_col))).alias(out))
 
 
 def single_value_lookup(df: DataFrame, keys: Sequence[str], value_col: str, out: str,

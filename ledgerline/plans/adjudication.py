@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.semantics import ci_eq, ci_in, ci_norm, ci_starts, ts_lit
 from ledgerline.operators.aggregates import conditional_sums
-from ledgerline.operators.joins import (
-    any_row_lookup, check_single, first_by_order, single_value_lookup,
-)
+from ledgerline.operators.joins import any_row_lookup, check_single, first_rank, single_value_lookup
 from ledgerline.plans.config import AdjudicationConfig
 from ledgerline.sources.roles import Roles
 from ledgerline.sources.sinks import run_folder, stage_table
@@ -77,59 +75,56 @@ def cost_totals(r: Roles, files: DataFrame | None = None) -> DataFrame:
                                     for c in ("fee_total", "service_total", "total_file_cost")])
 
 
-def original_adjudication(r: Roles, files: DataFrame) -> DataFrame:
-    """Earliest adjudication (NULL date first) of each file whose status
-    differs from the file's current one, described with the status text of
-    the file's own account."""
-    f = files.select("file_no", col("client_req_status").alias("cur_status"),
-                     col("account_no").alias("cur_account"))
-    ad = r.adjudication.select("file_no", "req_status", "created_at")
-    cs = r.client_status.select(ci_norm("req_status").alias("cs_status"),
-                                col("account_no").alias("cs_account"), "description")
-    x = (f.join(ad, "file_no")
-         .where(ci_norm("cur_status") != ci_norm("req_status"))
-         .join(cs, (ci_norm(col("req_status")) == cs["cs_status"])
-               & (col("cur_account") == cs["cs_account"])))
-    return first_by_order(x, ["file_no", "cur_status", "cur_account"], "created_at",
-                          "description", "original_adj")
-
-
 def status_descriptions(r: Roles) -> DataFrame:
+    """One row per (status, account): the smallest description, and the one
+    that an ascending NULL-first order puts first."""
     cs = r.client_status.select(ci_norm("req_status").alias("st_key"),
                                 col("account_no").alias("st_account"), "description")
-    return any_row_lookup(cs, ["st_key", "st_account"], "description", "flag_description", "min")
-
-
-def current_adjudication_dates(r: Roles, files: DataFrame | None = None) -> DataFrame:
-    ad = _for_files(r.adjudication, files).select(
-        col("file_no").alias("ca_file"), ci_norm("req_status").alias("ca_status"), "created_at")
-    return any_row_lookup(ad, ["ca_file", "ca_status"], "created_at", "current_adj_date", "max")
+    return cs.groupBy("st_key", "st_account").agg(
+        F.min("description").alias("flag_description"),
+        F.min_by("description", F.struct(col("description").isNotNull(), col("description"))).alias("first_description"),
+        F.count(F.lit(1)).alias("st_rows"))
+
+
+_FILE_KEYS = ["file_no", "client_req_status", "account_no"]
+
+
+def adjudication_facts(r: Roles, files: DataFrame) -> DataFrame:
+    """Both look-ups into the adjudications in one pass, per (file, current
+    status, account): ``original_adj``, the description of the earliest one
+    (NULL date first) whose status differs from the current one and has a text
+    in the file's own account; and ``current_adj_date``, the latest date with the
+    current status."""
+    f = files.select(*_FILE_KEYS).distinct()
+    ad = r.adjudication.select("file_no", ci_norm("req_status").alias("ad_key"), "created_at")
+    st = status_descriptions(r).withColumnRenamed("st_account", "account_no")
+    x = f.join(ad, "file_no")
+    x = x.join(st, (x["ad_key"] == st["st_key"]) & (x["account_no"] == st["account_no"]), "left").drop(st["account_no"])
+    now = ci_norm("client_req_status")
+    differs = (now != col("ad_key")) & col("st_rows").isNotNull()
+    created = col("created_at")
+    rank = first_rank(created, col("first_description"), differs)
+    return x.groupBy(*_FILE_KEYS).agg(
+        F.min_by("first_description", rank).alias("original_adj"),
+        F.max(F.when(now == col("ad_key"), created)).alias("current_adj_date"))
 
 
 def file_adjudication_report(r: Roles, cfg: AdjudicationConfig = AdjudicationConfig(),
-                             stage: bool = True) -> DataFrame:
+                             folder: str | None = None) -> DataFrame:
     """The report rows. The filtered files are written once (under the shared
     checkpoint folder) and read by the main join and every look-up, so the
-    request table is scanned once however many look-ups correlate on it."""
-    files = report_files(r, cfg)
-    if stage:
-        files = stage_table(files, os.path.join(run_folder(r.spark, "report"), "files"))
-    st = status_descriptions(r)
-    ca = current_adjudication_dates(r, files)
-    oa = original_adjudication(r, files).select(
-        col("file_no").alias("oa_file"), col("cur_status").alias("oa_status"),
-        col("cur_account").alias("oa_account"), "original_adj")
-    x = (files
-         .join(employee_ids(r, files), "file_no", "left")
-         .join(applicant_emails(r, files), "file_no", "left")
-         .join(cost_totals(r, files), "file_no", "left"))
-    x = x.join(oa, (x["file_no"] == oa["oa_file"])
-               & (x["client_req_status"] == oa["oa_status"])
-               & (x["account_no"] == oa["oa_account"]), "left")
+    request table is scanned once however many look-ups correlate on it. The
+    adjudications are read in one pass; the look-ups by file number come
+    last, so that they share one partitioning of the report rows."""
+    folder = run_folder(r.spark, "report") if folder is None else folder
+    files = stage_table(report_files(r, cfg), os.path.join(folder, "files"))
+    st = status_descriptions(r).select("st_key", "st_account", "flag_description")
+    x = files.join(adjudication_facts(r, files), _FILE_KEYS, "left")
     x = x.join(st, (ci_norm(x["client_req_status"]) == st["st_key"])
                & (x["account_no"] == st["st_account"]), "left")
-    x = x.join(ca, (x["file_no"] == ca["ca_file"])
-               & (ci_norm(x["client_req_status"]) == ca["ca_status"]), "left")
+    x = (x.join(employee_ids(r, files), "file_no", "left")
+         .join(applicant_emails(r, files), "file_no", "left")
+         .join(cost_totals(r, files), "file_no", "left"))
     temp = x.select(
         col("site_no"), col("batch_no"), col("file_no"), col("first_name"), col("last_name"),
         col("date_requested"), col("date_completed"), col("requester"),

@@ -13,9 +13,8 @@ shuffle moves partially aggregated rows.
 
 Plan shape (one scan of the line facts, shared by the three branches):
 
-    lines (star join, amount/fee)  --left-->  fees per file
-        -> per (file, client, day[, billing date])          [no shuffle when
-                                                              partitioned by file]
+    lines (component, then star join by file)  --left-->  fees per file
+        -> per (file, client, day[, billing date])          [partitioned by file already]
         -> per (client, day[, billing date])                [partial agg]
         -> branch: client filter, age band (bucket range join), L2 grouping
         -> left join adjustments pre-aggregated per key     [1 row per key]
@@ -24,17 +23,18 @@ Plan shape (one scan of the line facts, shared by the three branches):
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.semantics import (
-    MONEY, PERCENT, RATE, band_label, ci_eq, ci_starts, date_to_key, days_between,
+    MONEY, PERCENT, RATE, band_label, ci_eq, ci_norm, ci_starts, date_to_key, days_between,
     first_of_month, int_key_to_date, isnull_typed, key_month, key_year,
     pay_amount, percent_text, relabel_band, tier_rate, ts_lit,
 )
-from ledgerline.operators.joins import anti_on, bounded_broadcast, range_join
+from ledgerline.operators.joins import anti_on, range_join
 from ledgerline.plans.config import CommissionConfig
 from ledgerline.sources.roles import Roles
 from ledgerline.sources.sinks import run_folder, stage_table
@@ -86,28 +86,38 @@ def billed_lines(r: Roles, with_fees: bool = False) -> DataFrame:
     """Star join of the billed line facts (inner joins, flag filters in ON)
     with the line amount and the fee part of it.
 
-    Both file-keyed joins (live files and, for the fact grain, the per-file
-    fees) come before the component join, so they share one partitioning of
-    the lines by file; the component join then re-partitions once.
+    The component join comes first (``Roles.billed_component``); all joins
+    after it, and the grouping of ``fact_grain``, use the file key, so lines
+    are shuffled once by component and once by file.
     """
-    fc = r.billed_line.where((col("is_delete") == 0) & (col("is_billed") == 1))
-    usage = F.broadcast(r.usage_type)  # three constant rows
+    lines = r.billed_component.where((col("is_delete") == 0) & (col("is_billed") == 1))
     live_files = r.file.where(col("is_delete") == 0).select("file_key")
-    lines = fc.join(usage, "usage_type_key").join(live_files, "file_key")
+    lines = lines.join(r.usage_type, "usage_type_key").join(live_files, "file_key")
     if with_fees:
         lines = lines.join(fees_per_file(r), "file_key", "left")
-    lines = lines.join(r.component, "component_key")
     amount = col("quantity") * col("unit_price")
     is_fee = ci_starts("usage_type_name", "f") | (col("charge_as_fee") == 1)
     fee_cols = ["fee_rows", "misc", "background"] if with_fees else []
     return lines.select(
-        "file_key", "client_key", "billing_date_key", "billing_date",
+        "file_key", "client_key", "billing_date_key", F.to_date("billing_date").alias("billing_date"),
         amount.alias("amount"),
         F.when(is_fee, amount).otherwise(F.lit(0).cast(MONEY)).alias("fee_amount"),
         *fee_cols,
     )
 
 
+def billed_months(r: Roles) -> DataFrame:
+    """Distinct (client, month, year) with a billed line, as texts of the
+    billing key: the same joins as ``billed_lines``, as existence tests over
+    the key columns only."""
+    lines = r.billed_component.where((col("is_delete") == 0) & (col("is_billed") == 1))
+    live_files = r.file.where(col("is_delete") == 0).select("file_key")
+    return (lines.join(r.usage_type.select("usage_type_key"), "usage_type_key", "left_semi")
+            .join(live_files, "file_key", "left_semi")
+            .select(col("client_key").alias("h_client"), key_month(col("billing_date_key")).alias("h_month"),
+                    key_year(col("billing_date_key")).alias("h_year")).distinct())
+
+
 def fees_per_file(r: Roles) -> DataFrame:
     """File fees pre-aggregated: ``(file, fee rows, sum misc, sum background)``."""
     return r.file_fees.groupBy("file_key").agg(
@@ -217,9 +227,9 @@ def _l3_sums(weight: Column, adj_weight: Column | None = None) -> list[Column]:
 # branches 1 and 2: commission-band card
 # ---------------------------------------------------------------------------
 
-_L2_BAND_KEYS = ["commission_key", "account_age_min", "account_age_max", "account_pay_percent",
-                 "company_name1", "client_key", "commission_percent", "account_executive",
-                 "billing_date_key", "account_executive_id", "business_start_date", "site_number"]
+_L2_KEYS = ["company_name1", "client_key", "commission_percent", "account_executive",
+            "billing_date_key", "account_executive_id", "business_start_date", "site_number"]
+_BANDS = ["commission_key", "account_age_min", "account_age_max", "account_pay_percent"]
 
 
 # L2 columns of a band that has no billings (outer side of the band join)
@@ -236,7 +246,12 @@ SPECIAL, REGULAR = 1, 2
 
 def _band_clients(r: Roles, cfg: CommissionConfig, branches) -> DataFrame:
     """Clients of the chosen band branches, tagged: special clients (any start
-    date) are branch 1, regular clients started by the cut-off branch 2."""
+    date) are branch 1, regular clients started by the cut-off branch 2.
+
+    One row per branch and different grouping columns with its number of
+    client rows: repeated client rows repeat line amounts, but the source's
+    per-file grouping folds them before file fees are attached. The client's
+    percent is a grouping column of branch 1 only."""
     spc = ci_eq("commission_type", "spc")
     reg = ci_eq("commission_type", "REG") & (F.to_date("business_start_date") <= F.lit(cfg.regular_until))
     keep = None
@@ -244,35 +259,45 @@ def _band_clients(r: Roles, cfg: CommissionConfig, branches) -> DataFrame:
         keep = spc
     if REGULAR in branches:
         keep = reg if keep is None else keep | reg
-    return r.client.where(keep).withColumn("branch", F.when(spc, SPECIAL).otherwise(REGULAR))
+    return (r.client.where(keep).withColumn("branch", F.when(spc, SPECIAL).otherwise(REGULAR))
+            .withColumn("commission_percent", F.when(spc, col("commission_percent")))
+            .groupBy("branch", *[c for c in _L2_KEYS if c != "billing_date_key"])
+            .agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("client_rows")))
 
 
 def band_l2(r: Roles, cfg: CommissionConfig = CommissionConfig(), cd: DataFrame | None = None,
-            branches=(SPECIAL, REGULAR)) -> DataFrame:
-    """L2 of branches 1-2, tagged by branch: client-day measures per age band,
-    plus one empty row for every band without any (the band dimension is the
-    outer side of the source's LEFT JOIN, deleted bands included)."""
+            branches=(SPECIAL, REGULAR), folder: str | None = None) -> DataFrame:
+    """L2 of branches 1-2, tagged by branch: client-day measures per band key,
+    with every band row of that key, plus one empty row for every band without
+    any (the band dimension is the outer side of the source's LEFT JOIN,
+    deleted bands included).
+
+    A group is one client day under one band key, so its rows repeat the same
+    file fees (``max``) while line amounts count once per client and band row.
+    The groups are written once: the bands without any are found from that
+    table, not by running the joins again.
+    """
     cd = client_day(fact_grain(r), with_billing_date=False) if cd is None else cd
     x = cd.join(_band_clients(r, cfg, branches), "client_key").withColumn(
         "age", days_between(col("business_start_date"), int_key_to_date(col("billing_date_key"))))
-    bands_all = r.commission_band
-    xb = range_join(x, bands_all, "age", "account_age_min", "account_age_max")
+    bands = r.commission_band
+    xb = range_join(x, bands.select("commission_key", "account_age_min", "account_age_max", "is_delete"),
+                    "age", "account_age_min", "account_age_max")
     # the regular branch excludes deleted bands inside its join
     xb = xb.where((col("branch") == SPECIAL) | (col("is_delete") == 0))
-    l2 = xb.groupBy("branch", *_L2_BAND_KEYS).agg(
-        F.sum("actual").alias("actual"), F.sum("fees").alias("fees"),
-        F.sum("misc").alias("misc"), F.sum("background").alias("background"))
+    l2 = xb.groupBy("branch", "commission_key", *_L2_KEYS).agg(
+        F.sum(col("actual") * col("client_rows")).alias("actual"),
+        F.sum(col("fees") * col("client_rows")).alias("fees"),
+        F.max("misc").alias("misc"), F.max("background").alias("background"))
+    folder = run_folder(r.spark, "band_l2") if folder is None else folder
+    l2 = stage_table(l2, os.path.join(folder, "band_l2"))
     # Written as inner rows + (bands anti matched keys) so the big side is
-    # never shuffled on a handful of band keys. ``matched`` is a subset of
-    # (branch, band key), so its size is bounded by the checked band dimension.
+    # never shuffled on a handful of band keys to keep the empty bands.
     matched = l2.select("branch", "commission_key").distinct()
-    per_branch = bands_all.select(
-        "*", F.explode(F.array(*[F.lit(b) for b in branches])).alias("branch"))
-    unmatched = anti_on(per_branch, F.broadcast(matched), ["branch", "commission_key"])
-    outer_rows = unmatched.select(
-        "branch", "commission_key", "account_age_min", "account_age_max", "account_pay_percent",
-        *[F.lit(None).cast(t).alias(c) for c, t in _L2_NULLS])
-    return l2.unionByName(outer_rows)
+    per_branch = bands.select(*_BANDS, F.explode(F.array(*[F.lit(b) for b in branches])).alias("branch"))
+    outer_rows = anti_on(per_branch, matched, ["branch", "commission_key"]).select(
+        "branch", *_BANDS, *[F.lit(None).cast(t).alias(c) for c, t in _L2_NULLS])
+    return l2.join(bands.select(*_BANDS), "commission_key").unionByName(outer_rows)
 
 
 def band_l3(r: Roles, l2: DataFrame) -> DataFrame:
@@ -291,11 +316,12 @@ def band_l3(r: Roles, l2: DataFrame) -> DataFrame:
 
 
 def band_branches(r: Roles, cfg: CommissionConfig = CommissionConfig(),
-                  cd: DataFrame | None = None, branches=(SPECIAL, REGULAR)) -> DataFrame:
+                  cd: DataFrame | None = None, branches=(SPECIAL, REGULAR),
+                  folder: str | None = None) -> DataFrame:
     """Branches 1 and 2 in one pass (a client is special or regular, never
     both): one client join, one band join, one adjustment join and one
     grouping per level for both, keyed by the branch tag."""
-    l3 = band_l3(r, band_l2(r, cfg, cd, branches))
+    l3 = band_l3(r, band_l2(r, cfg, cd, branches, folder))
     return to_contract(l3.select(
         col("label").alias("account_aging_in_days"), "client_key",
         col("company_name1").alias("company_name"), "site_number",
@@ -341,41 +367,57 @@ def commission_regular(r: Roles, cfg: CommissionConfig = CommissionConfig(),
 _RATES = ["yr1_rate", "yr2_rate", "yr3_rate", "perpetual_rate"]
 
 
+_BUCKET_CLIENT = ["client_key", "company_name1", "account_executive", "account_executive_id",
+                  "business_start_date", "site_number"]
+
+
 def bucket_rates(r: Roles) -> DataFrame:
     """Site buckets per (site, name, raw rates) with the number of bucket
-    rows (``bucket_rows``) and of distinct months (``bucket_months``).
+    rows (``bucket_rows``) and of distinct months (``bucket_months``). Sites
+    and names are compared under the collation; a name is shown by its
+    smallest spelling.
 
     The source joins buckets on the site only and carries the month through
     two groupings, so each bucket row repeats the amounts and each distinct
-    month is its own row when adjustments are attached.
+    month is its own row when file fees and adjustments are attached.
     """
-    keys = ["site_number", "bucket_name", *_RATES]
-    return (r.site_bucket.groupBy(*keys, "bucket_month").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy(*keys).agg(F.sum("c").alias("bucket_rows"),
-                                F.count(F.lit(1)).alias("bucket_months")))
+    keys = ["site_key", "name_key", *_RATES]
+    return (r.site_bucket.withColumn("site_key", ci_norm("site_number"))
+            .withColumn("name_key", ci_norm("bucket_name"))
+            .groupBy(*keys, "bucket_month").agg(F.count(F.lit(1)).alias("c"), F.min("bucket_name").alias("n"))
+            .groupBy(*keys).agg(F.sum("c").alias("bucket_rows"), F.count(F.lit(1)).alias("bucket_months"),
+                                F.min("n").alias("bucket_name")).drop("name_key"))
 
 
 def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                       cd: DataFrame | None = None) -> DataFrame:
     """Branch 3: clients started from the new-business date, any type; rate
-    by client age from the site's bucket card."""
+    by client age from the site's bucket card.
+
+    Repeated client, band or bucket rows repeat the line amounts; file fees
+    are attached after the source has grouped by (file, client, band label,
+    bucket, month), so they count once per bucket month.
+    """
     cd = client_day(fact_grain(r), with_billing_date=True) if cd is None else cd
-    clients = r.client.where(F.to_date("business_start_date") >= F.lit(cfg.bucket_from))
-    x = (cd.join(clients, "client_key")
-         .join(bounded_broadcast(bucket_rates(r)), "site_number"))
+    clients = (r.client.where(F.to_date("business_start_date") >= F.lit(cfg.bucket_from))
+               .groupBy(*_BUCKET_CLIENT).agg(F.count(F.lit(1)).alias("client_rows")))
+    bands = r.new_business_band.groupBy("start_range", "end_range").agg(F.count(F.lit(1)).alias("band_rows"))
+    x = cd.join(clients, "client_key")
+    x = x.join(bucket_rates(r), ci_norm("site_number") == col("site_key")).drop("site_key")
     x = (x.withColumn("age_key", days_between(col("business_start_date"),
                                               int_key_to_date(col("billing_date_key"))))
          .withColumn("age_day", days_between(col("business_start_date"), col("billing_date"))))
-    xb = range_join(x, r.new_business_band, "age_key", "start_range", "end_range")
+    xb = range_join(x, bands, "age_key", "start_range", "end_range")
     xb = (xb.withColumn("label", band_label(col("start_range"), col("end_range")))
           .withColumn("curr_rate", tier_rate(col("age_day"), *[col(c) for c in _RATES])))
     l2_keys = ["company_name1", "bucket_name", "site_number", "client_key", "curr_rate",
                "account_executive", "account_executive_id", "billing_date_key", *_RATES,
-               "business_start_date", "label", "bucket_rows", "bucket_months"]
-    n = col("bucket_rows").cast("decimal(10,0)")
+               "business_start_date", "label", "bucket_months"]
+    n = (col("client_rows") * col("band_rows") * col("bucket_rows")).cast("decimal(18,0)")
+    m = col("bucket_months").cast("decimal(10,0)")
     l2 = xb.groupBy(*l2_keys).agg(
-        (F.sum("actual") * n).alias("actual"), (F.sum("fees") * n).alias("fees"),
-        (F.sum("misc") * n).alias("misc"), (F.sum("background") * n).alias("background"))
+        F.sum(col("actual") * n).alias("actual"), F.sum(col("fees") * n).alias("fees"),
+        F.sum(col("misc") * m).alias("misc"), F.sum(col("background") * m).alias("background"))
     # L2 outputs ISNULL(rate, 0) while it grouped on the raw rate
     for c in _RATES:
         l2 = l2.withColumn(c, isnull_typed(col(c), 0, RATE))
@@ -402,11 +444,11 @@ def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
 # ---------------------------------------------------------------------------
 
 def commission_staged(r: Roles, cfg: CommissionConfig = CommissionConfig(),
-                      grain: DataFrame | None = None) -> DataFrame:
+                      grain: DataFrame | None = None, folder: str | None = None) -> DataFrame:
     """The staging table: the three branches unioned by name, all computed
     from one fact grain; branches 1 and 2 run as one tagged pass."""
     grain = fact_grain(r) if grain is None else grain
-    return (band_branches(r, cfg, client_day(grain, with_billing_date=False))
+    return (band_branches(r, cfg, client_day(grain, with_billing_date=False), folder=folder)
             .unionByName(commission_bucket(r, cfg, client_day(grain, with_billing_date=True))))
 
 
@@ -417,7 +459,7 @@ def commission_tables(r: Roles, cfg: CommissionConfig = CommissionConfig(),
     of the staging table (read by the load, the anti-join and the audit)."""
     folder = run_folder(r.spark, "commission") if folder is None else folder
     grain = stage_table(fact_grain(r), os.path.join(folder, "fact_grain"))
-    return stage_table(commission_staged(r, cfg, grain), os.path.join(folder, "staged"))
+    return stage_table(commission_staged(r, cfg, grain, folder), os.path.join(folder, "staged"))
 
 
 def commission_load(staged: DataFrame, cfg: CommissionConfig = CommissionConfig()) -> DataFrame:
@@ -493,21 +535,23 @@ AUDIT_COLUMNS = ["sourcecount", "insertcount", "updatecount", "deletecount",
                  "extractrowcount", "duplicaterecordsfr"]
 
 
-def load_audit(staged: DataFrame, loaded: DataFrame, run_date_col: Column | None = None,
-               cfg: CommissionConfig = CommissionConfig()) -> DataFrame:
+def inserted_on(day: dt.date) -> Column:
+    return F.to_date(col("audit_inserted_date")) == F.lit(day)
+
+
+def load_audit(loaded: DataFrame, run_date: dt.date) -> DataFrame:
     """The audit result set, one row, from one aggregate pass over the
     loaded table tagged with its origin (no cross join of counts).
 
     ``loaded`` must carry ``_staged`` (1 for rows from staging) and
-    ``audit_inserted_date``. update/delete/destination counts are never
-    assigned by the source, so they (and ``nochangerowcount``, which adds
-    them) stay NULL.
+    ``audit_inserted_date``; rows of another day than ``run_date`` do not count
+    as inserted. update/delete/destination counts are never assigned by the
+    source, so they (and ``nochangerowcount``, which adds them) stay NULL.
     """
-    run_date = F.lit(cfg.run_ts.date()) if run_date_col is None else run_date_col
     null_int = F.lit(None).cast("int")
     agg = loaded.agg(
         F.sum(col("_staged")).cast("bigint").alias("sourcecount"),
-        F.count_if(F.to_date(col("audit_inserted_date")) == run_date).cast("bigint").alias("insertcount"),
+        F.count_if(inserted_on(run_date)).cast("bigint").alias("insertcount"),
         F.count(F.lit(1)).cast("bigint").alias("destinationfinalrowcount"),
     )
     return agg.select(
@@ -525,7 +569,7 @@ def mart_with_audit_tags(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                          staged: DataFrame | None = None) -> DataFrame:
     """Mart rows plus ``_staged`` origin flag and the load timestamp."""
     staged = commission_staged(r, cfg) if staged is None else staged
-    ts = ts_lit(cfg.run_ts)
+    ts = ts_lit(cfg.started().run_ts)
     return (commission_load(staged, cfg).withColumn("_staged", F.lit(1))
             .unionByName(commission_adjustment_only(r, staged, cfg).withColumn("_staged", F.lit(0)))
             .withColumn("audit_inserted_date", ts))

@@ -1,34 +1,48 @@
-"""Job parameters (the procedure / report parameters of the source scripts)."""
+"""Job parameters (the procedure / report parameters of the source scripts),
+with the source's own values as defaults. The registered queries run on the
+test tables and take their values from ``ledgerline.plans.fixture``."""
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
 class CommissionConfig:
-    """Commission job: package key plus the client start-date cut-offs."""
+    """Commission job: package key, client start-date cut-offs, load time."""
 
     package_key: int = 1
     # clients started on or before this day use the regular band card
-    regular_until: dt.date = dt.date(1997, 1, 1)
+    regular_until: dt.date = dt.date(2016, 3, 31)
     # clients started on or after this day use the new-business buckets
-    bucket_from: dt.date = dt.date(1997, 1, 2)
-    # load timestamp recorded on the report rows (clock-free for repeatability)
-    run_ts: dt.datetime = dt.datetime(2026, 1, 1, 6, 0, 0)
+    bucket_from: dt.date = dt.date(2016, 4, 1)
+    # load timestamp recorded on the report rows; None: the clock (UTC) of the run
+    run_ts: dt.datetime | None = None
+
+    def started(self) -> CommissionConfig:
+        """The same configuration with its load time fixed."""
+        if self.run_ts is not None:
+            return self
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+        return dataclasses.replace(self, run_ts=now)
 
 
 @dataclass(frozen=True)
 class ExtractConfig:
     """File-component extract filters."""
 
-    site_prefix: str = "SITE"
-    completed_from: dt.datetime = dt.datetime(1995, 1, 1)
-    completed_to: dt.datetime = dt.datetime(2001, 8, 1)
+    site_prefix: str = "APPL416"
+    completed_from: dt.datetime = dt.datetime(2017, 1, 1)
+    completed_to: dt.datetime = dt.datetime(2019, 4, 1)
     status: str = "closed"
 
 
+# the country variant has its own site and end date
+COUNTRY_EXTRACT = ExtractConfig(site_prefix="BCVD001", completed_to=dt.datetime(2019, 3, 31))
+
+
 @dataclass(frozen=True)
 class AdjudicationConfig:
     """Start / end date, site list and batch list of the report dataset.
@@ -38,26 +52,21 @@ class AdjudicationConfig:
     filter is skipped.
     """
 
-    start_date: dt.datetime = dt.datetime(1995, 1, 1)
-    end_date: dt.datetime = dt.datetime(2001, 8, 1)
-    sites: tuple[str, ...] | None = tuple(f"SITE{n:03d}-0000" for n in range(25))
-    batches: tuple[str, ...] | None = ("1-URGENT", "2-high", "3-MEDIUM", "4-NOT SPECIFIED", "5-low ")
+    start_date: dt.datetime = dt.datetime(2017, 5, 1)
+    end_date: dt.datetime = dt.datetime(2017, 5, 15)
+    sites: tuple[str, ...] | None = ("SPRI001-0000",)
+    batches: tuple[str, ...] | None = None
     status: str = "CLOSED"
     strict_null: bool = False
 
 
-# The five market segments used as industries (mixed case on purpose: the
-# comparison is case-insensitive).
-ALL_INDUSTRIES = ("AUTOMOBILE", "building", "FURNITURE", "HOUSEHOLD", "Machinery")
-ALL_GROUPS = tuple(f"GR{n:02d}-{m}" for n in range(25) for m in range(3))
-
-
 @dataclass(frozen=True)
 class ParamSelection:
     """Cascading report parameters industry -> group header / groups ->
-    corp ids. ``group_header=None`` is the 'ALL' case."""
+    corp ids. ``group_header=None`` is the 'ALL' case; the lists are what the
+    user has chosen so far."""
 
-    industries: tuple[str, ...] = ALL_INDUSTRIES
+    industries: tuple[str, ...] = ()
     group_header: tuple[str, ...] | None = None
-    clients: tuple[str, ...] = ALL_GROUPS
+    clients: tuple[str, ...] = ()
     corp_ids: tuple[str, ...] = (" All",)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.semantics import blank_or, ci_eq, ci_ne, ci_starts, is_blank, ts_lit
+from ledgerline.functions.semantics import (
+    blank_or, ci_eq, ci_ne, ci_norm, ci_starts, is_blank, ts_lit,
+)
 from ledgerline.operators.joins import any_code_join
-from ledgerline.plans.config import ExtractConfig
+from ledgerline.plans.config import COUNTRY_EXTRACT, ExtractConfig
 from ledgerline.sources.roles import Roles
+from ledgerline.sources.sinks import run_folder, stage_table
 
 col = F.col
 
@@ -51,21 +56,30 @@ def _output(br: DataFrame, bd_cols: dict[str, Column], country: Column) -> list[
     ]
 
 
+_DETAIL_KEYS = ["file_no", "line_no", "unit_price", "date_completed"]
+_DETAIL_TEXTS = ["report_desc", "report_type", "type_code", "country"]
+
+
 def file_component_extract(r: Roles, cfg: ExtractConfig = ExtractConfig(),
-                           sort: bool = True) -> DataFrame:
+                           sort: bool = True, folder: str | None = None) -> DataFrame:
     """Variant A: closed files joined to the DISTINCT detail lines (left
     joined to their international country); country defaults to ``USA``.
+    Texts are distinct under the collation, shown by their smallest spelling.
 
-    The detail is first semi-joined to the qualifying files so the DISTINCT
-    only shuffles lines that can reach the output; the DISTINCT keys include
-    the file number, so it reuses the semi-join's partitioning.
+    The qualifying files are written once and read twice: the detail is first
+    semi-joined to them so the DISTINCT only shuffles lines that can reach the
+    output; its keys include the file number, so it reuses the semi-join's
+    partitioning.
     """
-    br = closed_requests(r, cfg)
+    folder = run_folder(r.spark, "extract") if folder is None else folder
+    br = stage_table(closed_requests(r, cfg).select(
+        "file_no", "site_no", "first_name", "last_name", "date_requested", "date_completed"),
+        os.path.join(folder, "closed_requests"))
     d = live_detail(r).join(br.select("file_no"), "file_no", "left_semi")
     d = (d.join(r.detail_international, ["file_no", "line_no"], "left")
-         .select("file_no", "line_no", "unit_price", "date_completed", "report_desc",
-                 "report_type", "type_code", "country")
-         .distinct())
+         .groupBy(*_DETAIL_KEYS, *[ci_norm(c).alias(f"__{c}") for c in _DETAIL_TEXTS])
+         .agg(*[F.min(c).alias(c) for c in _DETAIL_TEXTS])
+         .select(*_DETAIL_KEYS, *_DETAIL_TEXTS))
     b = d.alias("b")
     out = br.alias("br").join(b, col("br.file_no") == col("b.file_no"))
     bd = {c: col(f"b.{c}") for c in ["report_desc", "report_type", "date_completed",
@@ -78,7 +92,7 @@ def file_component_extract(r: Roles, cfg: ExtractConfig = ExtractConfig(),
     return res.drop("_line")
 
 
-def file_component_extract_country(r: Roles, cfg: ExtractConfig = ExtractConfig(),
+def file_component_extract_country(r: Roles, cfg: ExtractConfig = COUNTRY_EXTRACT,
                                    sort: bool = True) -> DataFrame:
     """Variant B: no DISTINCT, country description looked up by long OR short
     code (a code shared by two country rows duplicates the line); defaults to

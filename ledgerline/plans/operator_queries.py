@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.semantics import (
-    band_label, blank_or, ci_eq, ci_ne, ci_not_starts, ci_starts, date_to_key, days_between,
-    first_of_month, int_key_to_date, is_blank, isnull_typed, key_month, key_year, MONEY,
-    PERCENT, relabel_band, tier_rate, ts_lit,
+    band_label, blank_or, ci_eq, ci_ne, ci_norm, ci_not_starts, ci_starts, date_to_key, days_between,
+    first_of_month, int_key_to_date, is_blank, isnull_typed, MONEY, PERCENT, relabel_band,
+    tier_rate, ts_lit,
 )
 from ledgerline.operators.aggregates import distinct_rows
 from ledgerline.operators.joins import any_code_join, anti_on, range_join
-from ledgerline.plans import adjudication, commission, extract
+from ledgerline.plans import adjudication, commission, extract, fixture
 from ledgerline.sources.roles import Roles
 from ledgerline.sources.sinks import read_current, replace_load, run_folder
 
@@ -50,7 +50,7 @@ def scan_lookup_international(r: Roles) -> DataFrame:
 def commission_maths(r: Roles) -> DataFrame:
     """The rate maths of the regular branch over its
     report-row sums (round, NULL-as-zero rate, percent text, exact pay)."""
-    return commission.commission_regular(r).select(
+    return commission.commission_regular(r, fixture.COMMISSION).select(
         "client_key", "billing_date_key", "account_aging_in_days", "commissionable_amount",
         "amount_payable_percentage", "commission_to_be_paid")
 
@@ -58,8 +58,8 @@ def commission_maths(r: Roles) -> DataFrame:
 def replace_load_query(r: Roles) -> DataFrame:
     """Build staging, then replace the report table in one write
     (new version folder + pointer) and read back what was published."""
-    staged = commission.commission_tables(r)
-    mart = commission.mart_with_audit_tags(r, staged=staged).drop("audit_inserted_date")
+    staged = commission.commission_tables(r, fixture.COMMISSION)
+    mart = commission.mart_with_audit_tags(r, fixture.COMMISSION, staged=staged).drop("audit_inserted_date")
     target = run_folder(r.spark, "report_table")
     replace_load(mart, target)
     return read_current(r.spark, target)
@@ -140,7 +140,7 @@ def left_join_fees(r: Roles) -> DataFrame:
 
 def band_outer_join(r: Roles) -> DataFrame:
     """Regular-branch L2 with one row for each band that has none."""
-    l2 = commission.band_l2(r, branches=(commission.REGULAR,))
+    l2 = commission.band_l2(r, fixture.COMMISSION, branches=(commission.REGULAR,))
     return l2.select("commission_key", "client_key", "billing_date_key",
                      _money4("actual"), _money4("fees"))
 
@@ -191,10 +191,7 @@ def any_code_join_query(r: Roles) -> DataFrame:
 def unmatched_adjustments(r: Roles) -> DataFrame:
     """Adjustments of client-months with no billed day,
     keyed by the first of the month, with the signed adjustment maths."""
-    cd = commission.client_day(commission.fact_grain(r), with_billing_date=False)
-    have = cd.select(col("client_key").alias("h_client"),
-                     key_month(col("billing_date_key")).alias("h_month"),
-                     key_year(col("billing_date_key")).alias("h_year")).distinct()
+    have = commission.billed_months(r)
     fi = r.invoice_adjustment
     x = anti_on(fi, have, (fi["client_key"] == have["h_client"])
                 & (fi["adjustment_month"] == have["h_month"])
@@ -219,24 +216,17 @@ def any_row_lookup_query(r: Roles) -> DataFrame:
     """TOP 1 without ORDER BY, fixed to min / max."""
     q = r.request
     st = adjudication.status_descriptions(r)
-    ca = adjudication.current_adjudication_dates(r)
-    x = (q.join(adjudication.applicant_emails(r), "file_no", "left")
-         .join(st, (F.upper(F.rtrim(q["client_req_status"])) == st["st_key"])
-               & (q["account_no"] == st["st_account"]), "left")
-         .join(ca, (q["file_no"] == ca["ca_file"])
-               & (F.upper(F.rtrim(q["client_req_status"])) == ca["ca_status"]), "left"))
-    return x.select("file_no", "applicant_email", "flag_description", "current_adj_date")
+    x = q.join(adjudication.adjudication_facts(r, q), ["file_no", "client_req_status", "account_no"], "left")
+    x = x.join(st, (ci_norm(x["client_req_status"]) == st["st_key"]) & (x["account_no"] == st["st_account"]), "left")
+    return (x.join(adjudication.applicant_emails(r), "file_no", "left")
+            .select("file_no", "applicant_email", "flag_description", "current_adj_date"))
 
 
 def first_differing_status(r: Roles) -> DataFrame:
     """Earliest adjudication whose status differs from the current one."""
-    q = r.request
-    oa = adjudication.original_adjudication(r, q).select(
-        col("file_no").alias("oa_file"), col("cur_status").alias("oa_status"),
-        col("cur_account").alias("oa_account"), "original_adj")
-    x = q.join(oa, (q["file_no"] == oa["oa_file"]) & (q["client_req_status"] == oa["oa_status"])
-               & (q["account_no"] == oa["oa_account"]), "left")
-    return x.select("file_no", "original_adj")
+    q = r.request.select("file_no", "client_req_status", "account_no")
+    return (q.join(adjudication.adjudication_facts(r, q), ["file_no", "client_req_status", "account_no"], "left")
+            .select("file_no", "original_adj"))
 
 
 def constant_rate_column(r: Roles) -> DataFrame:
@@ -255,7 +245,7 @@ def fee_service_totals(r: Roles) -> DataFrame:
 
 def three_level_rollup(r: Roles) -> DataFrame:
     """A1 A2 A3: the regular branch's three-level cascade, raw sums."""
-    l3 = commission.band_l3(r, commission.band_l2(r, branches=(commission.REGULAR,)))
+    l3 = commission.band_l3(r, commission.band_l2(r, fixture.COMMISSION, branches=(commission.REGULAR,)))
     return l3.select("rate_key", "company_name1", "client_key", "exec_trim", "billing_date_key",
                      "label", "business_start_date", "site_number",
                      *[col(c).cast("decimal(38,4)").alias(c)
@@ -263,20 +253,23 @@ def three_level_rollup(r: Roles) -> DataFrame:
 
 
 def group_by_expression(r: Roles) -> DataFrame:
-    """GROUP BY trimmed executive and ISNULL(percent, 0)."""
+    """GROUP BY trimmed executive (under the collation, shown by its
+    smallest spelling) and ISNULL(percent, 0)."""
     cd = commission.client_day(commission.fact_grain(r), with_billing_date=False)
-    x = cd.join(r.client, "client_key")
-    return (x.groupBy(F.trim(col("account_executive")).alias("account_executive"),
+    x = cd.join(r.client, "client_key").withColumn("name", F.trim("account_executive"))
+    return (x.groupBy(ci_norm("name").alias("name_key"),
                       isnull_typed(col("commission_percent"), 0, PERCENT).alias("percent"))
-            .agg(F.sum("actual").cast("decimal(38,4)").alias("actual"),
-                 F.count(F.lit(1)).alias("client_days")))
+            .agg(F.min("name").alias("account_executive"),
+                 F.sum("actual").cast("decimal(38,4)").alias("actual"),
+                 F.count(F.lit(1)).alias("client_days")).drop("name_key"))
 
 
 def rate_tiers(r: Roles) -> DataFrame:
     """Tier rate by client age from the site's bucket card."""
     cd = commission.client_day(commission.fact_grain(r), with_billing_date=True)
-    x = (cd.join(r.client.select("client_key", "business_start_date", "site_number"), "client_key")
-         .join(r.site_bucket, "site_number"))
+    x = (cd.join(r.client.select("client_key", "business_start_date", ci_norm("site_number").alias("site_number")),
+                 "client_key")
+         .join(r.site_bucket.withColumn("site_number", ci_norm("site_number")), "site_number"))
     age = days_between(col("business_start_date"), col("billing_date"))
     rates = [col(c) for c in ("yr1_rate", "yr2_rate", "yr3_rate", "perpetual_rate")]
     return x.select("client_key", "billing_date_key", "bucket_month", age.alias("age_days"),

@@ -7,13 +7,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.semantics import ci_in, ci_not_starts, is_blank
+from ledgerline.functions.semantics import ci_in, ci_norm, ci_not_starts, is_blank
 from ledgerline.plans.config import ParamSelection
 from ledgerline.sources.roles import Roles
 
 col = F.col
 
 ALL_CORP = " All"  # the all-value carries a leading blank
+ALL_GROUPS = "ALL"
+
+
+def _same(a: str | None, b: str) -> bool:
+    """Equality under the collation: case and trailing (not leading) blanks
+    do not matter."""
+    return a is not None and a.rstrip(" ").upper() == b.rstrip(" ").upper()
+
+
+def _distinct(df: DataFrame, *columns: str) -> DataFrame:
+    """``SELECT DISTINCT`` under the collation; of equal texts the smallest
+    spelling is shown."""
+    keys = [ci_norm(c).alias(f"__{c}") for c in columns]
+    return df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in columns]).select(*columns)
 
 
 def _literal_row(r: Roles, **cols) -> DataFrame:
@@ -27,7 +41,7 @@ def param_industry(r: Roles) -> DataFrame:
     c = r.client_list.where(
         ci_not_starts("site_no", "PSTS") & ci_not_starts("site_no", "TEST")
         & (col("active") == 1) & ~is_blank("industry") & col("industry").isNotNull())
-    lst = c.select(col("industry"), col("industry").alias("industry_key")).distinct()
+    lst = _distinct(c, "industry").withColumn("industry_key", col("industry"))
     return lst.unionByName(_literal_row(r, industry="BLANK", industry_key="")).orderBy("industry")
 
 
@@ -37,28 +51,28 @@ def group_filter(sel: ParamSelection):
     ``@Group`` is 'ALL' when the header is not set or is the text ALL; the
     sentinel is resolved on the driver so the filter folds away."""
     hdr = sel.group_header
-    if hdr is None or any(h is not None and h.strip().upper() == "ALL" for h in hdr):
+    if hdr is None or any(_same(h, ALL_GROUPS) for h in hdr):
         return F.lit(True)
     return ci_in("group_no", hdr) | ci_in(F.left(col("group_no"), F.lit(4)), hdr)
 
 
-def param_client_group(r: Roles, sel: ParamSelection = ParamSelection()) -> DataFrame:
+def param_client_group(r: Roles, sel: ParamSelection) -> DataFrame:
     c = r.client_list.where(group_filter(sel) & ci_in("industry", sel.industries))
-    return (c.select(col("group_no").alias("client"), col("group_no").alias("group_key"))
-            .distinct().orderBy("client"))
+    return (_distinct(c, "group_no").select(col("group_no").alias("client"), col("group_no").alias("group_key"))
+            .orderBy("client"))
 
 
-def param_corp(r: Roles, sel: ParamSelection = ParamSelection()) -> DataFrame:
+def param_corp(r: Roles, sel: ParamSelection) -> DataFrame:
     c = r.client_list.where(ci_in("group_no", sel.clients) & ci_in("industry", sel.industries))
-    lst = c.select(col("corp_id")).distinct()
-    return lst.unionByName(_literal_row(r, corp_id=ALL_CORP)).orderBy("corp_id")
+    return _distinct(c, "corp_id").unionByName(_literal_row(r, corp_id=ALL_CORP)).orderBy("corp_id")
 
 
-def param_site(r: Roles, sel: ParamSelection = ParamSelection()) -> DataFrame:
+def param_site(r: Roles, sel: ParamSelection) -> DataFrame:
     """Sites (label ``site | company``; a NULL company gives a NULL label)
     for the chosen groups, industries and corp ids (or the ' All' value)."""
-    corp = F.lit(True) if ALL_CORP in sel.corp_ids else ci_in("corp_id", sel.corp_ids)
+    every = any(_same(c, ALL_CORP) for c in sel.corp_ids)
+    corp = F.lit(True) if every else ci_in("corp_id", sel.corp_ids)
     c = r.client_list.where(ci_in("group_no", sel.clients) & ci_in("industry", sel.industries) & corp)
-    return (c.select(F.concat(col("site_no"), F.lit(" | "), col("company_name")).alias("site_name"),
-                     col("site_no").alias("client_key"))
-            .distinct().orderBy("site_name"))
+    c = c.select(F.concat(col("site_no"), F.lit(" | "), col("company_name")).alias("site_name"),
+                 col("site_no").alias("client_key"))
+    return _distinct(c, "site_name", "client_key").orderBy("site_name")

@@ -1,7 +1,9 @@
 """Named queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables through the role views, over whole
-tables; parameters are the report parameters, not cost caps.
+tables; parameters are the report parameters, not cost caps. The ``*_variants``
+queries run on ``VariantRoles``: the same tables with repeated dimension rows
+and texts that differ in case or trailing blanks.
 """
 
 from __future__ import annotations
@@ -10,70 +12,103 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.plans import adjudication, commission, extract, operator_queries, params
-from ledgerline.plans.config import ExtractConfig, ParamSelection
-from ledgerline.sources.roles import Roles
+from ledgerline.functions.semantics import ts_lit
+from ledgerline.plans import adjudication, commission, extract, fixture, operator_queries, params
+from ledgerline.sources.roles import Roles, VariantRoles
+from ledgerline.sources.sinks import REPORT_DATASET_HEADINGS, with_display_names
 
 Query = Callable[[SparkSession, str], DataFrame]
+CFG = fixture.COMMISSION
 
-# variant B: lower-case prefix (case-insensitive LIKE) and its own end date
-EXTRACT_B = ExtractConfig(site_prefix="site", completed_to=dt.datetime(2001, 7, 31))
-PARAM_HEADERS = ParamSelection(group_header=("GR07", "gr12-2", "GR20-0 "),
-                               industries=("AUTOMOBILE", "BUILDING", "household"))
 
-
-def _roles(fn):
+def _on(roles, fn) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Roles(spark, sf_dir))
+        return fn(roles(spark, sf_dir))
     q.__name__ = getattr(fn, "__name__", "query")
     q.__doc__ = fn.__doc__
     return q
 
 
-def _staged(r: Roles) -> DataFrame:
-    return commission.commission_staged(r)
+def _roles(fn) -> Query:
+    return _on(Roles, fn)
+
+
+def _variants(fn) -> Query:
+    return _on(VariantRoles, fn)
 
 
 def _load(r: Roles) -> DataFrame:
-    return commission.commission_load(commission.commission_tables(r))
+    return commission.commission_load(commission.commission_tables(r, CFG), CFG)
 
 
 def _adj_only(r: Roles) -> DataFrame:
-    return commission.commission_adjustment_only(r, commission.commission_tables(r))
+    return commission.commission_adjustment_only(r, commission.commission_tables(r, CFG), CFG)
 
 
 def _mart(r: Roles) -> DataFrame:
-    return commission.commission_mart(r, staged=commission.commission_tables(r))
+    return commission.commission_mart(r, CFG, staged=commission.commission_tables(r, CFG))
 
 
 def _audit(r: Roles) -> DataFrame:
-    staged = commission.commission_tables(r)
-    return commission.load_audit(staged, commission.mart_with_audit_tags(r, staged=staged))
+    staged = commission.commission_tables(r, CFG)
+    return commission.load_audit(commission.mart_with_audit_tags(r, CFG, staged=staged), CFG.run_ts.date())
+
+
+def _audit_dates(r: Roles) -> DataFrame:
+    """A10: the audit row where the rows of odd clients were loaded a day
+    earlier, so that only the others count as inserted."""
+    staged = commission.commission_tables(r, CFG)
+    loaded = commission.mart_with_audit_tags(r, CFG, staged=staged)
+    before = ts_lit(CFG.run_ts - dt.timedelta(days=1))
+    return commission.load_audit(
+        loaded.withColumn("audit_inserted_date", F.when(F.col("client_key") % 2 == 1, before)
+                          .otherwise(F.col("audit_inserted_date"))), CFG.run_ts.date())
+
+
+def _headings(r: Roles) -> DataFrame:
+    """The report dataset under its display headings."""
+    return with_display_names(adjudication.file_adjudication_report(r, fixture.REPORT), REPORT_DATASET_HEADINGS)
 
 
 PRODUCTS: dict[str, Query] = {
     # D1 executive-commission mart
-    "commission_special": _roles(commission.commission_special),
-    "commission_regular": _roles(commission.commission_regular),
-    "commission_bucket": _roles(commission.commission_bucket),
-    "staged_union": _roles(_staged),
+    "commission_special": _roles(lambda r: commission.commission_special(r, CFG)),
+    "commission_regular": _roles(lambda r: commission.commission_regular(r, CFG)),
+    "commission_bucket": _roles(lambda r: commission.commission_bucket(r, CFG)),
+    "staged_union": _roles(lambda r: commission.commission_staged(r, CFG)),
     "commission_load": _roles(_load),
     "commission_adjustment_only": _roles(_adj_only),
     "commission_mart": _roles(_mart),
     "load_audit": _roles(_audit),
+    "load_audit_dates": _roles(_audit_dates),
     # D2 file-component extracts
-    "file_component_extract": _roles(lambda r: extract.file_component_extract(r)),
+    "file_component_extract": _roles(lambda r: extract.file_component_extract(r, fixture.EXTRACT)),
     "file_component_extract_country": _roles(
-        lambda r: extract.file_component_extract_country(r, EXTRACT_B)),
+        lambda r: extract.file_component_extract_country(r, fixture.COUNTRY_EXTRACT)),
     # D3 report dataset
-    "file_adjudication_report": _roles(adjudication.file_adjudication_report),
+    "file_adjudication_report": _roles(lambda r: adjudication.file_adjudication_report(r, fixture.REPORT)),
+    "report_headings": _roles(_headings),
     # D4 parameter lists
     "param_industry": _roles(params.param_industry),
-    "param_client_group": _roles(params.param_client_group),
-    "param_filters": _roles(lambda r: params.param_client_group(r, PARAM_HEADERS)),
-    "param_corp": _roles(params.param_corp),
-    "param_site": _roles(params.param_site),
+    "param_client_group": _roles(lambda r: params.param_client_group(r, fixture.PARAMS)),
+    "param_filters": _roles(lambda r: params.param_client_group(r, fixture.PARAM_HEADERS)),
+    "param_corp": _roles(lambda r: params.param_corp(r, fixture.PARAMS)),
+    "param_site": _roles(lambda r: params.param_site(r, fixture.PARAMS)),
+    # repeated dimension rows and collation variants
+    "special_variants": _variants(lambda r: commission.commission_special(r, CFG)),
+    "regular_variants": _variants(lambda r: commission.commission_regular(r, CFG)),
+    "bucket_variants": _variants(lambda r: commission.commission_bucket(r, CFG)),
+    "extract_variants": _variants(lambda r: extract.file_component_extract(r, fixture.EXTRACT)),
+    "extract_country_variants": _variants(
+        lambda r: extract.file_component_extract_country(r, fixture.COUNTRY_EXTRACT)),
+    "any_code_variants": _variants(operator_queries.any_code_join_query),
+    "group_by_variants": _variants(operator_queries.group_by_expression),
+    "param_industry_variants": _variants(params.param_industry),
+    "param_client_group_variants": _variants(lambda r: params.param_client_group(r, fixture.PARAMS)),
+    "param_corp_variants": _variants(lambda r: params.param_corp(r, fixture.PARAMS)),
+    "param_site_variants": _variants(lambda r: params.param_site(r, fixture.PARAMS)),
 }
 
 

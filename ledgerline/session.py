@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -14,6 +15,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a join on (file, status, account) may reuse a partitioning by file
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
@@ -33,15 +36,23 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``). Only when it is unset (local runs, tests) a
-    fresh scratch folder is created and registered."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    """The shared folder for intermediate tables, named by the cluster in
+    ``spark.checkpoint.dir``. Only a local master may leave it unset (tests,
+    trial runs); then a fresh scratch folder is made and registered. On several
+    machines a folder of one of them would give incomplete reads, so there
+    the setting is required."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", d)
+    spark.sparkContext.setCheckpointDir(d)
     return d

@@ -128,12 +128,10 @@ class Roles:
             _site("SITE", col("c_nationkey")).alias("site_number"),
         )
 
-    @cached_property
-    def billed_line(self) -> DataFrame:
-        li = self.t.lineitem
+    def _billed(self, lines: DataFrame, *more: str) -> DataFrame:
         o = self.t.orders.select("o_orderkey", "o_custkey")
         ship = col("l_shipdate")
-        return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+        return lines.join(o, lines.l_orderkey == o.o_orderkey, "inner").select(
             col("l_orderkey").alias("file_key"),
             col("o_custkey").alias("client_key"),
             col("l_partkey").alias("component_key"),
@@ -146,8 +144,20 @@ class Roles:
             F.when((col("l_returnflag") == "R") & (col("l_linestatus") == "F"), 1)
              .otherwise(0).alias("is_delete"),
             F.when(col("l_returnflag") == "A", 0).otherwise(1).alias("is_billed"),
+            *more,
         )
 
+    @cached_property
+    def billed_line(self) -> DataFrame:
+        return self._billed(self.t.lineitem)
+
+    @cached_property
+    def billed_component(self) -> DataFrame:
+        """Billed lines with their component's columns. The component join
+        comes before the joins by file, the fixture's own one included."""
+        li, c = self.t.lineitem, self.component
+        return self._billed(li.join(c, li.l_partkey == c.component_key).drop("component_key"), "charge_as_fee")
+
     @cached_property
     def file_fees(self) -> DataFrame:
         o = self.t.orders
@@ -160,7 +170,7 @@ class Roles:
 
     @cached_property
     def invoice_adjustment(self) -> DataFrame:
-        o = self.t.orders.where(col("o_orderkey") % 50 == 0)
+        o = self.t.orders
         c = self.t.customer.select("c_custkey", "c_nationkey")
         m = F.month("o_orderdate").cast("string")
         from_orders = o.join(c, o.o_custkey == c.c_custkey, "inner").select(
@@ -174,7 +184,7 @@ class Roles:
             (col("o_orderkey") % 70).cast(MONEY).alias("amount"),
             F.nullif(col("o_orderkey") % 40, F.lit(10)).cast(MONEY).alias("fee"),
         )
-        e = self.t.events.where((col("event_type") == "purchase") & (col("event_id") % 20 == 0))
+        e = self.t.events.where(col("event_type") == "purchase")
         late = e.join(c, e.user_id == c.c_custkey, "inner").select(
             col("user_id").alias("client_key"),
             col("c_nationkey").alias("account_executive_id"),
@@ -335,3 +345,50 @@ class Roles:
             F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise(col("c_name"))
              .alias("company_name"),
         )
+
+
+class VariantRoles(Roles):
+    """The same tables with what a collation and repeated rows add: texts that
+    differ only in case or trailing blanks, and dimension rows that occur
+    twice."""
+
+    @cached_property
+    def client(self) -> DataFrame:
+        c = Roles.client.func(self)
+        c = c.withColumn("account_executive", F.when(col("client_key") % 2 == 0, F.upper("account_executive"))
+                         .otherwise(col("account_executive")))
+        return c.unionByName(c.where(col("client_key") % 53 == 0))
+
+    @cached_property
+    def commission_band(self) -> DataFrame:
+        b = Roles.commission_band.func(self)
+        return b.unionByName(b.where(col("commission_key") == 2))
+
+    @cached_property
+    def new_business_band(self) -> DataFrame:
+        b = Roles.new_business_band.func(self)
+        return b.unionByName(b.where(col("start_range") == 366))
+
+    @cached_property
+    def site_bucket(self) -> DataFrame:
+        b = Roles.site_bucket.func(self)
+        low = b.withColumn("site_number", F.when(col("yr2_rate") >= 4, F.concat(F.lower("site_number"), F.lit("  ")))
+                           .otherwise(col("site_number")))
+        again = low.where(col("yr2_rate") % 2 == 0).withColumn("bucket_name", F.upper("bucket_name"))
+        return low.unionByName(again)
+
+    @cached_property
+    def detail_international(self) -> DataFrame:
+        d = Roles.detail_international.func(self)
+        again = d.where(col("file_no").endswith("7")).withColumn("country", F.concat(F.lower("country"), F.lit(" ")))
+        return d.unionByName(again)
+
+    @cached_property
+    def client_list(self) -> DataFrame:
+        c = Roles.client_list.func(self)
+        last = F.substring("site_no", -1, 1)
+        return (c.withColumn("industry", F.when(last == "3", F.lower("industry"))
+                             .when(last == "4", F.concat(col("industry"), F.lit(" "))).otherwise(col("industry")))
+                .withColumn("group_no", F.when(last == "5", F.lower("group_no")).otherwise(col("group_no")))
+                .withColumn("corp_id", F.when(last == "6", F.concat(F.lower("corp_id"), F.lit("  ")))
+                            .otherwise(col("corp_id"))))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_dir
@@ -62,7 +62,8 @@ PARAM_HEADINGS = {
 
 
 def run_folder(spark: SparkSession, job: str) -> str:
-    """A fresh folder for one job run under the shared checkpoint folder."""
+    """A fresh folder for one job run under the shared checkpoint folder. Jobs
+    drop theirs (``drop_folder``) when what reads it has been written."""
     return os.path.join(checkpoint_dir(spark), f"{job}-{uuid.uuid4().hex[:12]}")
 
 
@@ -80,30 +81,68 @@ def with_display_names(df: DataFrame, headings: dict[str, str] = REPORT_HEADINGS
     return df.select(*[F.col(c).alias(headings.get(c, c)) for c in df.columns])
 
 
-def replace_load(df: DataFrame, target: str, audit: Observation | None = None) -> str:
+_POINTER = "_CURRENT-"
+KEEP_VERSIONS = 3
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _pointers(spark: SparkSession, target: str) -> list[str]:
+    """Names of the published pointers, oldest first."""
+    fs, path = _file_system(spark, target)
+    return sorted(s.getPath().getName() for s in fs.globStatus(path(os.path.join(target, f"{_POINTER}*"))) or [])
+
+
+def replace_load(df: DataFrame, target: str, audit: Observation | None = None,
+                 metrics: tuple[Column, ...] = (), keep: int = KEEP_VERSIONS) -> str:
     """Full replace of the report table (``TRUNCATE`` + ``INSERT``) without an
-    empty window: the new rows are written to a new version folder and only
-    then published by writing the pointer file ``_CURRENT``. Readers use
-    ``read_current``. Returns the version path."""
-    version = os.path.join(target, f"v-{uuid.uuid4().hex[:12]}")
-    w = df if audit is None else df.observe(audit, F.count(F.lit(1)).alias("rows"),
-                                            F.sum(F.col("_staged")).alias("staged_rows"))
-    w.drop("_staged").write.mode("errorifexists").parquet(version)
+    empty window: the new rows go to a new version folder, which is then
+    published by creating one more pointer, an empty file ``_CURRENT-<number>-<version>``. Creating
+    it is one step of the file system and no pointer is ever changed, so a
+    reader (``read_current``) always finds a complete version: the old one
+    before that step, the new one after it. The ``keep`` newest versions stay
+    for readers that have already looked up theirs; older ones are deleted.
+    ``metrics`` are observed during the write. Returns the version path."""
     spark = df.sparkSession
-    spark.createDataFrame([(os.path.basename(version),)], "v string") \
-         .coalesce(1).write.mode("overwrite").text(os.path.join(target, "_CURRENT"))
-    return version
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    out = df if audit is None else df.observe(audit, F.count(F.lit(1)).alias("rows"), *metrics)
+    out.drop("_staged").write.mode("errorifexists").parquet(os.path.join(target, version))
+    fs, path = _file_system(spark, target)
+    names = _pointers(spark, target)
+    number = int(names[-1].split("-")[1]) + 1 if names else 1
+    fs.createNewFile(path(os.path.join(target, f"{_POINTER}{number:012d}-{version}")))
+    _prune(spark, target, keep)
+    return os.path.join(target, version)
+
+
+def _version(pointer: str) -> str:
+    return pointer.split("-", 2)[2]
+
 
+def _prune(spark: SparkSession, target: str, keep: int) -> None:
+    fs, path = _file_system(spark, target)
+    names = _pointers(spark, target)
+    kept = {_version(n) for n in names[-max(keep, 1):]}
+    for n in names[:-max(keep, 1)]:
+        fs.delete(path(os.path.join(target, n)), False)
+        if _version(n) not in kept:
+            fs.delete(path(os.path.join(target, _version(n))), True)
 
-def drop_folder(spark: SparkSession, path: str) -> None:
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
     """Delete a job's own staging folder (any Hadoop-compatible file system)
     once everything that reads it has been written."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, path = _file_system(spark, folder)
+    fs.delete(path(folder), True)
 
 
 def read_current(spark: SparkSession, target: str) -> DataFrame:
     """Read the published version of a ``replace_load`` target."""
-    v = spark.read.text(os.path.join(target, "_CURRENT")).first()[0]
-    return spark.read.parquet(os.path.join(target, v))
+    names = _pointers(spark, target)
+    if not names:
+        raise FileNotFoundError(f"nothing is published at {target}")
+    return spark.read.parquet(os.path.join(target, _version(names[-1])))

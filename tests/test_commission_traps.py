@@ -5,12 +5,14 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.plans import commission as c
 from ledgerline.plans.config import CommissionConfig
 from ledgerline.sources.roles import Roles
 
-CFG = CommissionConfig(regular_until=dt.date(2016, 3, 31), bucket_from=dt.date(2016, 4, 1))
+CFG = CommissionConfig(regular_until=dt.date(2016, 3, 31), bucket_from=dt.date(2016, 4, 1),
+                       run_ts=dt.datetime(2020, 2, 2, 3, 0))
 
 M = "decimal(18,2)"
 R = "decimal(4,2)"
@@ -20,6 +22,7 @@ class LiteralRoles(Roles):
     def __init__(self, spark, frames):
         self.spark = spark
         self.__dict__.update(frames)
+        self.__dict__["billed_component"] = self.billed_line.join(self.component, "component_key")
 
 
 def line(spark, rows):
@@ -135,7 +138,8 @@ def test_mart_adjustment_only_rows_and_audit(roles):
     assert a.account_executive == "  Exec A "          # not trimmed
     assert a.account_aging_in_days == "0 - 365"        # not relabelled
     assert a.audit_inserted_package_key == CFG.package_key
-    audit = c.load_audit(staged, c.mart_with_audit_tags(roles, CFG, staged=staged), cfg=CFG).first()
+    loaded = c.mart_with_audit_tags(roles, CFG, staged=staged)
+    audit = c.load_audit(loaded, CFG.run_ts.date()).first()
     n_staged = staged.count()
     assert audit.sourcecount == n_staged == audit.extractrowcount
     assert audit.destinationfinalrowcount == n_staged + 1 == audit.insertcount
@@ -151,3 +155,84 @@ def test_null_type_in_staging_fails(spark, roles):
         "yr2_rate", "yr3_rate", "perpetual_rate")})
     with pytest.raises(Exception, match="NOT NULL"):
         c.commission_bucket(bad, CFG).collect()
+
+
+def with_frames(spark, roles, **frames):
+    return LiteralRoles(spark, {**roles.__dict__, **frames})
+
+
+def test_repeated_dimension_rows_repeat_amounts_but_not_file_fees(spark, roles):
+    """File fees are attached after the source has grouped by file, client,
+    label, bucket and month, so only line amounts repeat."""
+    own = with_frames(
+        spark, roles,
+        file_fees=spark.createDataFrame([(20, D("5.00"), D("1.00"))],
+                                        f"file_key bigint, miscellaneous_fees {M}, background_fees {M}"),
+        site_bucket=roles.site_bucket.where("bucket_month = 1"))
+
+    def client_2(r):
+        return rows_by(c.commission_bucket(r, CFG), "client_key")[2]
+
+    one = client_2(own)
+    assert (one.actual_amount, one.miscellaneous_fee, one.commission_to_be_paid) == (D("100.00"), D("5.00"), D("9.00"))
+    for twice in ({"site_bucket": own.site_bucket.unionByName(own.site_bucket)},
+                  {"new_business_band": own.new_business_band.unionByName(own.new_business_band)},
+                  {"client": own.client.unionByName(own.client)}):
+        r = client_2(with_frames(spark, own, **twice))
+        assert (r.actual_amount, r.miscellaneous_fee) == (D("200.00"), D("5.00")), twice
+        assert (r.commissionable_amount, r.adjustment_amount) == (194.0, D("4.00"))
+        assert r.commission_to_be_paid == D("19.00")   # (200 - 5 - 1 - 4) x 10%
+
+
+def test_repeated_clients_in_the_regular_branch(spark, roles):
+    twice = with_frames(spark, roles, client=roles.client.unionByName(roles.client))
+    r = rows_by(c.commission_regular(twice, CFG), "client_key", "billing_date_key")[(1, 20160105)]
+    assert r.actual_amount == D("400.00")              # two client rows x two adjustments
+    assert r.miscellaneous_fee == D("10.00")           # the file's fees once, x two adjustments
+
+
+def test_a_repeated_band_key_repeats_its_report_rows(spark, roles):
+    bands = roles.commission_band
+    twice = with_frames(spark, roles, commission_band=bands.unionByName(bands.where("commission_key = 1")))
+    r = rows_by(c.commission_regular(twice, CFG), "client_key", "billing_date_key")[(1, 20160105)]
+    # both rows match the line (x2), both take the group (x2), two adjustments (x2)
+    assert r.actual_amount == D("800.00") and r.miscellaneous_fee == D("20.00")
+
+
+def test_bucket_sites_are_joined_under_the_collation(spark, roles):
+    low = roles.site_bucket.selectExpr("lower(site_number) || '  ' as site_number", "bucket_month", "bucket_name",
+                                       "yr1_rate", "yr2_rate", "yr3_rate", "perpetual_rate")
+    out = rows_by(c.commission_bucket(with_frames(spark, roles, site_bucket=low), CFG), "client_key")
+    assert out[2].actual_amount == D("200.00")
+
+
+def test_the_rate_is_not_rounded_before_it_is_applied(spark, roles):
+    bands = spark.createDataFrame([(1, 0, 365, D("7.125"), 0)],
+                                  "commission_key int, account_age_min int, account_age_max int, "
+                                  "account_pay_percent decimal(6,3), is_delete int")
+    r = with_frames(spark, roles, commission_band=bands,
+                    billed_line=line(spark, [(30, 1, "1", "100000", dt.date(2016, 3, 1))]))
+    row = rows_by(c.commission_regular(r, CFG), "client_key")[1]
+    assert row.amount_payable_percentage == "7.13"     # only the text is rounded
+    assert row.commission_to_be_paid == D("7125.00")
+
+
+def test_billing_dates_with_a_time_part_are_one_day(spark, roles):
+    timed = roles.billed_line.where("file_key = 20").withColumn(
+        "billing_date", F.expr("timestamp_ntz '2016-06-01 08:00:00'"))
+    both = timed.unionByName(timed.withColumn("billing_date", F.expr("timestamp_ntz '2016-06-01 17:00:00'")))
+    fees = spark.createDataFrame([(20, D("5.00"), D("1.00"))],
+                                 f"file_key bigint, miscellaneous_fees {M}, background_fees {M}")
+    r = with_frames(spark, roles, billed_line=both, file_fees=fees, site_bucket=roles.site_bucket.where("bucket_month = 1"))
+    row = rows_by(c.commission_bucket(r, CFG), "client_key")[2]
+    assert (row.actual_amount, row.miscellaneous_fee) == (D("200.00"), D("5.00"))
+
+
+def test_only_rows_of_the_run_day_count_as_inserted(spark, roles):
+    staged = c.commission_staged(roles, CFG)
+    loaded = c.mart_with_audit_tags(roles, CFG, staged=staged)
+    mixed = loaded.withColumn("audit_inserted_date", F.when(F.col("client_key") == 1, F.expr("timestamp_ntz '2020-02-01 23:59:59'"))
+                              .otherwise(F.col("audit_inserted_date")))
+    audit = c.load_audit(mixed, CFG.run_ts.date()).first()
+    old = loaded.where("client_key = 1").count()
+    assert old > 0 and audit.insertcount == audit.destinationfinalrowcount - old

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.aggregates import conditional_sums
 from ledgerline.operators.joins import (
-    anti_on, any_code_join, bounded_broadcast, check_single, first_by_order, range_join,
-    single_value_lookup,
+    anti_on, any_code_join, check_single, first_by_order, range_join, single_value_lookup,
 )
 
 
@@ -45,6 +44,42 @@ def test_range_join_wide_ranges_stay_bounded(spark):
     assert same_rows(fast, naive)
 
 
+def test_a_catch_all_range_does_not_widen_narrow_ones(spark):
+    """100,000 narrow ranges and one that covers everything: every range is
+    exploded into a few buckets of its own level, and no bucket holds more
+    than the ranges that start near it."""
+    n = 100_000
+    ranges = spark.range(n).selectExpr("cast(id as int) as k", "id * 7 as lo", "id * 7 + 9 as hi").union(
+        spark.sql("select -1, cast(-1000000000 as bigint), cast(1000000000 as bigint)"))
+    facts = spark.range(500).selectExpr("id", "(id * 9973) % 700000 as v")
+    fast = range_join(facts, ranges, "v", "lo", "hi").select("id", "k")
+    got = {}
+    for r in fast.collect():
+        got.setdefault(r.id, set()).add(r.k)
+    for i in range(500):
+        v = i * 9973 % 700000
+        assert got[i] == {-1} | {k for k in range(max(0, (v - 9) // 7), v // 7 + 1) if 7 * k <= v <= 7 * k + 9 and k < n}
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_range_join_extremes(spark):
+    big = 2**62
+    facts = spark.createDataFrame([(1, -big), (2, big), (3, 0), (4, None), (5, -1)], "id int, v bigint")
+    ranges = spark.createDataFrame([(1, -big, big), (2, big, big), (3, 1, 0), (4, None, 5), (5, -1, -1), (6, -65, 0)],
+                                   "k int, lo bigint, hi bigint")
+    got = sorted(map(tuple, range_join(facts, ranges, "v", "lo", "hi").select("id", "k").collect()))
+    assert got == [(1, 1), (2, 1), (2, 2), (3, 1), (3, 6), (5, 1), (5, 5), (5, 6)]
+    assert range_join(facts, ranges.limit(0), "v", "lo", "hi").count() == 0
+
+
+def test_any_code_join_follows_the_collation(spark):
+    facts = spark.createDataFrame([(1, "usa"), (2, "Us  "), (3, " us")], "id int, code string")
+    dim = spark.createDataFrame([("USA ", "us", "d")], "long_code string, short_code string, d string")
+    out = dict(any_code_join(facts, dim, "code", ["long_code", "short_code"]).select("id", "d").collect())
+    assert out == {1: "d", 2: "d", 3: None}           # leading blanks do matter
+
+
 def test_any_code_join_equal_codes_match_once_and_shared_code_fans_out(spark):
     facts = spark.createDataFrame([(1, "A"), (2, "1"), (3, "Z"), (4, None)], "id int, code string")
     dim = spark.createDataFrame([("A", "A", "da"), ("B", "1", "db"), ("C", "1", "dc")],
@@ -90,15 +125,6 @@ def test_anti_on_equals_left_join_is_null(spark):
     assert fast.count() == 3
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    assert "broadcast" in small.hint("broadcast")._jdf.queryExecution().logical().toString().lower()
-    out = bounded_broadcast(small, max_rows=100)
-    assert "broadcast" in out._jdf.queryExecution().logical().toString().lower()
-    big = bounded_broadcast(spark.range(1000), max_rows=100)
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
-
-
 def test_conditional_sums_null_when_no_row(spark):
     df = spark.createDataFrame([("a", "F1", 1.0), ("a", "P", 2.0), ("b", "P", 4.0), ("c", None, 8.0)],
                                "f string, t string, v double")

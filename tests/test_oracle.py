@@ -3,15 +3,16 @@ column names, order-insensitive value hash), plus the driver smoke entry."""
 
 import pytest
 
+from ledgerline.plans.registry import queries
 from oracle.compare import digest, duck
+from oracle.registry import oracle_sql
 
 from .conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
 def contract():
-    import __spark_entry__ as e
-    return e.queries(), e.oracle_sql()
+    return queries(), oracle_sql()
 
 
 def test_every_query_has_an_oracle(contract):
@@ -26,7 +27,7 @@ def test_entry_smoke(spark):
     assert "commission_to_be_paid" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, contract, name):
     qs, ors = contract
     sdf = qs[name](spark, SF_SMALL)
@@ -36,3 +37,10 @@ def test_query_matches_oracle(spark, contract, name):
     orows = res.fetchall()
     assert sorted(sdf.columns) == sorted(ocols)
     assert digest(sdf.columns, srows) == digest(ocols, orows)
+
+
+def test_the_entry_point_holds_every_query():
+    import __spark_entry__ as e
+
+    assert set(queries()) <= set(e.queries()) and set(oracle_sql()) <= set(e.oracle_sql())
+    assert set(e.oracle_sql()) <= set(e.queries())

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.semantics import key_month, key_year
-from ledgerline.plans import commission
+from ledgerline.plans import commission, fixture
 from ledgerline.sources.roles import Roles
 
 from .conftest import SF_SMALL
@@ -41,8 +41,8 @@ def test_rewrite_equals_literal_form(spark, views, name):
 
 def test_adjustment_only_keys_disjoint_from_staged(spark):
     r = Roles(spark, SF_SMALL)
-    staged = commission.commission_staged(r)
-    adj = commission.commission_adjustment_only(r, staged)
+    staged = commission.commission_staged(r, fixture.COMMISSION)
+    adj = commission.commission_adjustment_only(r, staged, fixture.COMMISSION)
 
     def keys(df):
         return df.select("client_key", key_month("billing_date_key").alias("m"),

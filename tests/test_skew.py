@@ -21,9 +21,9 @@ SKEW_CONF = {
 
 def hot_roles(spark):
     r = Roles(spark, SF_SMALL)
-    bl = r.billed_line
-    r.__dict__["billed_line"] = bl.withColumn(
-        "component_key", F.when(F.col("file_key") % 3 == 0, F.lit(1)).otherwise(F.col("component_key")))
+    li = r.t.lineitem
+    r.t.__dict__["lineitem"] = li.withColumn(
+        "l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")))
     return r
 
 

@@ -1,220 +1,159 @@
-"""DuckDB oracle SQL for the operator-level queries (literal forms)."""
+"""DuckDB SQL of the operator-level queries, on the grains of ``oracle.products``."""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from ledgerline.plans import operator_queries as oq
-from ledgerline.plans.config import CommissionConfig
+from ledgerline.plans import fixture
 
 from oracle import products as p
 from oracle.roles import with_roles
 
-_CFG = CommissionConfig()
-KD = p.KEY_DATE.format
-KM = p.KEY_MONTH.format
-KY = p.KEY_YEAR.format
-ci = p.ci
-q = p.q
+CFG = fixture.COMMISSION
+same, q, blank = p.same, p.q, p.blank
 
-# billed lines of the star join (no client join: the per-file grain)
-_LINES = f"""
-    from billed_line fc
-    join usage_type dcut on dcut.usage_type_key = fc.usage_type_key and fc.is_delete = 0
-    join file_dim df on df.file_key = fc.file_key and df.is_delete = 0
-    join component dct on dct.component_key = fc.component_key
-    where fc.is_billed = 1"""
+# per client and day, after file fees: without and with the billing date
+CLIENT_DAY = f"""{p.LINES},
+file_day as (
+  select file_key, client_key, billing_date_key, sum(line_amount) as amount, sum(line_fee) as fee
+  from line_fact group by all),
+client_day as ({p._fees_attached('file_day')})"""
 
+CLIENT_DATE = f"""{p.LINES},
+file_date as (
+  select file_key, client_key, billing_date_key, billing_date, sum(line_amount) as amount, sum(line_fee) as fee
+  from line_fact group by all),
+client_date as ({p._fees_attached('file_date')})"""
 
-def _cd(with_billing_date: bool) -> str:
-    """Per client-day measures: L1 per file left-joined to the file fees."""
-    bd = ", fc.billing_date" if with_billing_date else ""
-    bd2 = ", l1.billing_date" if with_billing_date else ""
-    return f"""
-    select l1.client_key, l1.billing_date_key {bd2},
-           sum(l1.nactualamount) as actual, sum(l1.nfees) as fees,
-           sum(coalesce(f.miscellaneous_fees, 0)) as misc, sum(coalesce(f.background_fees, 0)) as background
-    from (select fc.file_key, fc.client_key, fc.billing_date_key {bd},
-                 sum(fc.quantity * fc.unit_price) as nactualamount, sum({p._FEE_CASE}) as nfees
-          {_LINES}
-          group by fc.file_key, fc.client_key, fc.billing_date_key {bd}) l1
-    left join file_fees f on f.file_key = l1.file_key
-    group by l1.client_key, l1.billing_date_key {bd2}"""
+_AGE = p.days("who.business_start_date", p.key_date("day.billing_date_key"))
+_BANDED = f"""from client_day day join client who using (client_key)
+        join commission_band card on {_AGE} between card.account_age_min and card.account_age_max"""
+_LABEL = p.span("card.account_age_min", "card.account_age_max")
+_OPEN_END = oq.CLOSED_TO + dt.timedelta(days=1)
 
 
-CD12 = _cd(False)
-CD3 = _cd(True)
+def any_code(variants: bool = False) -> str:
+    return with_roles(f"""
+        select abroad.file_no, abroad.line_no, abroad.country, named.long_code, named.description
+        from detail_international abroad
+        left join country_code named
+          on {same('abroad.country')} in ({same('named.long_code')}, {same('named.short_code')})""", variants)
 
-_BANDED = f"""
-    from ({CD12}) cd
-    join client dc on dc.client_key = cd.client_key
-    join commission_band dcs
-      on date_diff('day', dc.business_start_date, {KD(k='cd.billing_date_key')})
-         between dcs.account_age_min and dcs.account_age_max"""
 
-_AGE = f"cast(date_diff('day', dc.business_start_date, {KD(k='cd.billing_date_key')}) as integer)"
+def group_by_expression(variants: bool = False) -> str:
+    return with_roles(f"""with {CLIENT_DAY},
+    named as (select trim(who.account_executive) as executive, coalesce(who.commission_percent, 0) as percent, day.amount
+              from client_day day join client who using (client_key))
+    select min(executive) as account_executive, cast(percent as decimal(5,2)) as percent,
+           cast(sum(amount) as decimal(38,4)) as actual, count(*) as client_days
+    from named group by {same('executive')}, percent""", variants)
 
-_LABEL = "cast(dcs.account_age_min as varchar) || ' - ' || cast(dcs.account_age_max as varchar)"
-
-_ADJ_DATE = "make_date(cast(fi.adjustment_year as integer), cast(fi.adjustment_month as integer), 1)"
 
 ORACLE = {
     "scan_lookup": with_roles(f"select * from request_detail where file_no = {q(oq.LOOKUP_FILE)}"),
     "scan_lookup_international": with_roles(
         f"select * from detail_international where file_no = {q(oq.LOOKUP_FILE)}"),
-    "commission_maths": with_roles(f"""
+    "commission_maths": with_roles(f"""with {p.LINES}, {p.branch_ctes('regular', CFG)},
+        shown as ({p.report_rows('regular')})
         select client_key, billing_date_key, account_aging_in_days, commissionable_amount,
-               amount_payable_percentage, commission_to_be_paid
-        from ({p.sql_band_branch(False, _CFG)}) b"""),
-    "replace_load": p.sql_mart(_CFG),
+               amount_payable_percentage, commission_to_be_paid from shown"""),
+    "replace_load": p.sql_mart(CFG),
     "ci_filter": with_roles(f"""
         select file_no, line_no, type_code, status, report_type from request_detail
-        where {ci('status')} <> 'NOTREQ' and {ci('status')} <> 'SUSPENDED'
-          and (upper(type_code) like 'F%' or {ci('type_code')} = 'P')
-          and upper(report_type) not like 'BRAND#1%'"""),
-    "blank_fallback": with_roles("""
-        select bd.file_no, bd.line_no,
-               case when bd.report_desc is null or rtrim(bd.report_desc) = '' then bd.report_type
-                    else bd.report_desc end as component,
-               case when bi.country is null or rtrim(bi.country) = '' then 'USA' else bi.country end
-                 as country,
-               bd.report_desc is null as desc_is_null
-        from request_detail bd
-        left join detail_international bi on bi.file_no = bd.file_no and bi.line_no = bd.line_no"""),
+        where {same('status')} not in ('NOTREQ', 'SUSPENDED') and upper(report_type) not like 'BRAND#1%'
+          and (upper(type_code) like 'F%' or {same('type_code')} = 'P')"""),
+    "blank_fallback": with_roles(f"""
+        select line.file_no, line.line_no, if({blank('line.report_desc')}, line.report_type, line.report_desc) as component,
+               if({blank('abroad.country')}, 'USA', abroad.country) as country,
+               line.report_desc is null as desc_is_null
+        from request_detail line left join detail_international abroad using (file_no, line_no)"""),
     "code_labels": with_roles(f"""
-        select file_no,
-               case when {ci('package')} = 'NONE' then 'A LA CARTE' else package end as package,
-               case when trouble_flag = 1 then 'Y' else 'N' end as troubled_file,
-               case when {ci('status')} = 'CLOSED' then 'Closed'
-                    when {ci('status')} = 'PENDING' then 'Open' end as status_label
+        select file_no, if({same('package')} = 'NONE', 'A LA CARTE', package) as package,
+               if(trouble_flag = 1, 'Y', 'N') as troubled_file,
+               case {same('status')} when 'CLOSED' then 'Closed' when 'PENDING' then 'Open' end as status_label
         from request"""),
     "date_ranges": with_roles(f"""
         select file_no, date_completed,
-               date_completed >= {q(oq.CLOSED_FROM)} and date_completed <= {q(oq.CLOSED_TO)}
-                 as in_closed_range,
-               date_completed > {q(oq.CLOSED_FROM)}
-                 and date_completed < {q(oq.CLOSED_TO + dt.timedelta(days=1))} as in_open_range,
+               date_completed between {q(oq.CLOSED_FROM)} and {q(oq.CLOSED_TO)} as in_closed_range,
+               date_completed > {q(oq.CLOSED_FROM)} and date_completed < {q(_OPEN_END)} as in_open_range,
                cast(date_completed as date) <= {q(oq.CUTOFF)} as on_or_before_cutoff
         from request"""),
-    "star_join": with_roles(f"""
-        select fc.file_key, fc.client_key, fc.billing_date_key, fc.billing_date,
-               cast(fc.quantity * fc.unit_price as decimal(38,4)) as amount,
-               cast({p._FEE_CASE} as decimal(38,4)) as fee_amount
-        {_LINES}"""),
-    "distinct_derived_join": with_roles("""
-        select br.file_no, br.first_name, d.line_no, d.unit_price, d.country
-        from request br
-        join (select distinct bd.file_no, bd.line_no, bd.unit_price, bi.country
-              from request_detail bd
-              left join detail_international bi on bi.file_no = bd.file_no and bi.line_no = bd.line_no) d
-          on d.file_no = br.file_no"""),
-    "left_join_fees": with_roles(f"""
-        select client_key, billing_date_key, cast(actual as decimal(38,4)) as actual,
-               cast(fees as decimal(38,4)) as fees, cast(misc as decimal(38,2)) as misc,
+    "star_join": with_roles(f"""with {p.LINES}
+        select file_key, client_key, billing_date_key, billing_date,
+               cast(line_amount as decimal(38,4)) as amount, cast(line_fee as decimal(38,4)) as fee_amount
+        from line_fact"""),
+    "distinct_derived_join": with_roles("""with different_line as (
+          select distinct file_no, line_no, line.unit_price, abroad.country
+          from request_detail line left join detail_international abroad using (file_no, line_no))
+        select file_no, file.first_name, line.line_no, line.unit_price, line.country
+        from request file join different_line line using (file_no)"""),
+    "left_join_fees": with_roles(f"""with {CLIENT_DAY}
+        select client_key, billing_date_key, cast(amount as decimal(38,4)) as actual,
+               cast(fee as decimal(38,4)) as fees, cast(misc as decimal(38,2)) as misc,
                cast(background as decimal(38,2)) as background
-        from ({CD12}) cd"""),
-    "band_outer_join": with_roles(f"""
-        select cs.commission_key, a.client_key, a.billing_date_key,
-               cast(a.nactualamount as decimal(38,4)) as actual, cast(a.nfees as decimal(38,4)) as fees
-        from commission_band cs
-        left join ({p.sql_band_l2(False, _CFG)}) a on cs.commission_key = a.commission_key"""),
-    "month_key_join": with_roles(f"""
-        select cd.client_key, cd.billing_date_key, cast(count(fia.client_key) as bigint) as adj_rows,
-               cast(sum(cd.actual) as decimal(38,4)) as actual_total,
-               cast(sum(coalesce(fia.adjustment_amount, 0)) as decimal(38,2)) as adjustment_total,
-               cast(sum(coalesce(fia.bad_debt_amount, 0)) as decimal(38,2)) as bad_debt_total
-        from ({CD12}) cd
-        left join invoice_adjustment fia on fia.client_key = cd.client_key
-         and fia.adjustment_month = {KM(k='cd.billing_date_key')}
-         and fia.adjustment_year = {KY(k='cd.billing_date_key')}
-        group by cd.client_key, cd.billing_date_key"""),
-    "range_band_join": with_roles(f"""
-        select cd.client_key, cd.billing_date_key, {_AGE} as age, dcs.commission_key {_BANDED}"""),
-    "band_labels": with_roles(f"""
-        select cd.client_key, cd.billing_date_key, dcs.commission_key, {_LABEL} as label,
-               case when {_LABEL} = '731 - 1095' then '731 - 1,095'
-                    when {_LABEL} = '1462 - 9999' then '1,462 - 9,999'
-                    when {_LABEL} = '1096 - 1461' then '1,096 - 1,461'
-                    else {_LABEL} end as published_label
-        {_BANDED}"""),
-    "any_code_join": with_roles("""
-        select bi.file_no, bi.line_no, bi.country, cc.long_code, cc.description
-        from detail_international bi
-        left join country_code cc on cc.long_code = bi.country or cc.short_code = bi.country"""),
-    "unmatched_adjustments": with_roles(f"""
-        select fi.client_key, fi.adjustment_month, fi.adjustment_year,
-               cast(strftime({_ADJ_DATE}, '%Y%m%d') as integer) as billing_date_key,
-               cast(coalesce(fi.amount, 0) - coalesce(fi.fee, 0) - coalesce(fi.bad_debt_amount, 0)
-                    as decimal(18,2)) as adjustment_amount,
-               cast(-(coalesce(fi.bad_debt_amount, 0) + (coalesce(fi.amount, 0) - coalesce(fi.fee, 0)))
-                    as double) as commissionable_amount
-        from invoice_adjustment fi
-        left join ({CD12}) fc on fc.client_key = fi.client_key
-         and fi.adjustment_month = {KM(k='fc.billing_date_key')}
-         and fi.adjustment_year = {KY(k='fc.billing_date_key')}
-        where fc.client_key is null"""),
-    "single_value_lookup": with_roles(f"""
-        select bg.file_no,
-               (select sb.note_value from billing_note sb
-                 where sb.file_no = bg.file_no and {ci('sb.code')} = 'EMPID') as employee_id
-        from request bg"""),
-    "any_row_lookup": with_roles(f"""
-        select bg.file_no,
-               (select min(ba.email) from request_extra ba where ba.file_no = bg.file_no) as applicant_email,
-               (select min(description) from client_status cs2
-                 where {ci('bg.client_req_status')} = {ci('cs2.req_status')}
-                   and bg.account_no = cs2.account_no) as flag_description,
-               (select max(adj.created_at) from adjudication adj
-                 where {ci('bg.client_req_status')} = {ci('adj.req_status')}
-                   and bg.file_no = adj.file_no) as current_adj_date
-        from request bg"""),
-    "first_differing_status": with_roles(f"""
-        select bg.file_no,
-               (select cs.description from client_status cs
-                  join adjudication ad on {ci('cs.req_status')} = {ci('ad.req_status')}
-                 where {ci('bg.client_req_status')} <> {ci('ad.req_status')}
-                   and bg.account_no = cs.account_no and bg.file_no = ad.file_no
-                 order by ad.created_at asc nulls first, cs.description asc nulls first
-                 limit 1) as original_adj
-        from request bg"""),
-    "constant_rate_column": with_roles(f"""
-        select client_key, company_name1,
-               (select account_pay_percent from commission_band where commission_key = 5 limit 1)
-                 as key5_pay_percent
-        from client where {ci('commission_type')} = 'SPC'"""),
-    "fee_service_totals": with_roles("""
-        select bg.file_no,
-               (select sum(bd.unit_price) from request_detail bd
-                 where bd.file_no = bg.file_no and upper(bd.type_code) like 'F%') as fee_total,
-               (select sum(bd.unit_price) from request_detail bd
-                 where bd.file_no = bg.file_no and upper(bd.type_code) not like 'F%') as service_total,
-               (select sum(bd.unit_price) from request_detail bd where bd.file_no = bg.file_no)
-                 as total_file_cost
-        from request bg"""),
-    "three_level_rollup": with_roles(f"""
-        select rate_key, company_name1, client_key, exec_trim, billing_date_key, label,
+        from client_day"""),
+    "band_outer_join": with_roles(f"""with {p.LINES}, {p.branch_ctes('regular', CFG)}
+        select commission_key, day.client_key, day.billing_date_key,
+               cast(day.amount as decimal(38,4)) as actual, cast(day.fee as decimal(38,4)) as fees
+        from commission_band left join regular_client_day day using (commission_key)"""),
+    "month_key_join": with_roles(f"""with {CLIENT_DAY}
+        select day.client_key, day.billing_date_key, count(adj.client_key) as adj_rows,
+               cast(sum(day.amount) as decimal(38,4)) as actual_total,
+               cast(sum(coalesce(adj.adjustment_amount, 0)) as decimal(38,2)) as adjustment_total,
+               cast(sum(coalesce(adj.bad_debt_amount, 0)) as decimal(38,2)) as bad_debt_total
+        from client_day day
+        left join invoice_adjustment adj on adj.client_key = day.client_key
+         and adj.adjustment_year || adj.adjustment_month
+             = {p.key_year('day.billing_date_key')} || {p.key_month('day.billing_date_key')}
+        group by all"""),
+    "range_band_join": with_roles(f"""with {CLIENT_DAY}
+        select client_key, day.billing_date_key, cast({_AGE} as integer) as age, card.commission_key {_BANDED}"""),
+    "band_labels": with_roles(f"""with {CLIENT_DAY}
+        select client_key, day.billing_date_key, card.commission_key, {_LABEL} as label,
+               {p.published(_LABEL)} as published_label {_BANDED}"""),
+    "any_code_join": any_code(),
+    "unmatched_adjustments": with_roles(f"""with {p.LINES},
+        billed_month as (select distinct client_key, {p.key_year('billing_date_key')} as y, {p.key_month('billing_date_key')} as m
+                         from line_fact)
+        select adj.client_key, adj.adjustment_month, adj.adjustment_year,
+               cast(strftime({p.first_of_month()}, '%Y%m%d') as integer) as billing_date_key,
+               cast(coalesce(adj.amount, 0) - coalesce(adj.fee, 0) - coalesce(adj.bad_debt_amount, 0) as decimal(18,2))
+                 as adjustment_amount,
+               cast(coalesce(adj.fee, 0) - coalesce(adj.amount, 0) - coalesce(adj.bad_debt_amount, 0) as double)
+                 as commissionable_amount
+        from invoice_adjustment adj
+        where not exists (select 1 from billed_month b where b.client_key = adj.client_key
+                            and b.y = adj.adjustment_year and b.m = adj.adjustment_month)"""),
+    "single_value_lookup": with_roles(f"""with {p.KEYED_REQUEST}, {p.LOOKUPS}
+        select file_no, employee_id from keyed_request left join employee using (file_no)"""),
+    "any_row_lookup": with_roles(f"""with {p.KEYED_REQUEST}, {p.LOOKUPS}
+        select file_no, applicant_email, flag_description, current_adj_date
+        from keyed_request {p.WITH_LOOKUPS}"""),
+    "first_differing_status": with_roles(f"""with {p.KEYED_REQUEST}, {p.LOOKUPS}
+        select file_no, original_adj from keyed_request left join original using (file_no, account_no, status_key)"""),
+    "constant_rate_column": with_roles(f"""with fifth as (
+          select account_pay_percent from commission_band where commission_key = 5)
+        select client_key, company_name1, (select max(account_pay_percent) from fifth) as key5_pay_percent
+        from client where {same('commission_type')} = 'SPC'"""),
+    "fee_service_totals": with_roles(f"""with {p.KEYED_REQUEST}, {p.LOOKUPS}
+        select file_no, fee_total, service_total, total_file_cost
+        from keyed_request left join price using (file_no)"""),
+    "three_level_rollup": with_roles(f"""with {p.LINES}, {p.branch_ctes('regular', CFG)}
+        select rate as rate_key, company_name1, client_key, executive as exec_trim, billing_date_key, label,
                business_start_date, site_number,
-               cast(s_actual as decimal(38,4)) as actual, cast(s_fees as decimal(38,4)) as fees,
-               cast(s_misc as decimal(38,4)) as misc, cast(s_bg as decimal(38,4)) as background,
-               cast(s_adj as decimal(38,4)) as adj, cast(s_bad as decimal(38,4)) as bad
-        from ({p.sql_band_l3(False, _CFG)}) l3"""),
-    "group_by_expression": with_roles(f"""
-        select trim(dc.account_executive) as account_executive,
-               coalesce(dc.commission_percent, cast(0 as decimal(5,2))) as percent,
-               cast(sum(cd.actual) as decimal(38,4)) as actual, count(1) as client_days
-        from ({CD12}) cd join client dc on dc.client_key = cd.client_key
-        group by trim(dc.account_executive), coalesce(dc.commission_percent, cast(0 as decimal(5,2)))"""),
-    "rate_tiers": with_roles(f"""
-        select cd.client_key, cd.billing_date_key, sbb.bucket_month,
-               cast(date_diff('day', dc.business_start_date, cd.billing_date) as integer) as age_days,
-               case when date_diff('day', dc.business_start_date, cd.billing_date) between 1 and 365
-                      then sbb.yr1_rate
-                    when date_diff('day', dc.business_start_date, cd.billing_date) between 366 and 730
-                      then sbb.yr2_rate
-                    when date_diff('day', dc.business_start_date, cd.billing_date) between 731 and 1095
-                      then sbb.yr3_rate
-                    else sbb.perpetual_rate end as curr_rate
-        from ({CD3}) cd
-        join client dc on dc.client_key = cd.client_key
-        join site_bucket sbb on sbb.site_number = dc.site_number"""),
+               cast(amount as decimal(38,4)) as actual, cast(fee as decimal(38,4)) as fees,
+               cast(misc as decimal(38,4)) as misc, cast(background as decimal(38,4)) as background,
+               cast(adjusted as decimal(38,4)) as adj, cast(bad_debt as decimal(38,4)) as bad
+        from regular_report"""),
+    "group_by_expression": group_by_expression(),
+    "rate_tiers": with_roles(f"""with {CLIENT_DATE},
+        aged as (select client_key, day.billing_date_key, bucket.*,
+                        {p.days('who.business_start_date', 'day.billing_date')} as age
+                 from client_date day join client who using (client_key)
+                 join site_bucket bucket on {same('bucket.site_number')} = {same('who.site_number')})
+        select client_key, billing_date_key, bucket_month, cast(age as integer) as age_days,
+               case when age between 1 and 365 then yr1_rate when age between 366 and 730 then yr2_rate
+                    when age between 731 and 1095 then yr3_rate else perpetual_rate end as curr_rate
+        from aged"""),
 }

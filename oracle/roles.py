@@ -1,9 +1,7 @@
-"""DuckDB text of the role views (FIXTURES.md), shared by every oracle query.
-
-The oracle side is written independently of the Spark code: plain SQL over
-the driver's pre-registered views, in the straightforward (naive) form of the
-source scripts — correlated look-ups become grouped joins, but range joins,
-OR-joins and outer-join-then-IS-NULL stay as written.
+"""DuckDB text of the role views (FIXTURES.md), shared by every oracle query,
+written independently of the Spark code over the driver's views.
+``VARIANTS`` are those that ``VariantRoles`` changes: each reads the plain view,
+under its name with ``plain_`` before it.
 """
 
 ROLE_CTES = {
@@ -67,14 +65,13 @@ ROLE_CTES = {
                cast(o_orderkey % 70 as decimal(18,2)) as amount,
                cast(nullif(o_orderkey % 40, 10) as decimal(18,2)) as fee
         from orders join customer on o_custkey = c_custkey
-        where o_orderkey % 50 = 0
         union all
         select user_id, c_nationkey, lpad(cast(month(ts) as varchar), 2, '0'),
                cast(year(ts) as varchar), cast(event_id % 90 as decimal(18,2)),
                cast(value as decimal(18,2)), cast(event_id % 70 as decimal(18,2)),
                cast(null as decimal(18,2))
         from events join customer on user_id = c_custkey
-        where event_type = 'purchase' and event_id % 20 = 0""",
+        where event_type = 'purchase'""",
     "site_bucket": """
         select 'SITE' || lpad(cast(n_nationkey as varchar), 3, '0') || '-0000' as site_number,
                m as bucket_month,
@@ -161,7 +158,41 @@ ROLE_CTES = {
 }
 
 
-def with_roles(body: str) -> str:
+VARIANTS = {
+    "client": """
+        select * replace (if(client_key % 2 = 0, upper(account_executive), account_executive) as account_executive)
+        from plain_client
+        union all
+        select * replace (if(client_key % 2 = 0, upper(account_executive), account_executive) as account_executive)
+        from plain_client where client_key % 53 = 0""",
+    "commission_band": """
+        select * from plain_commission_band
+        union all select * from plain_commission_band where commission_key = 2""",
+    "new_business_band": """
+        select * from plain_new_business_band
+        union all select * from plain_new_business_band where start_range = 366""",
+    "site_bucket": """
+        select * replace (if(yr2_rate >= 4, lower(site_number) || '  ', site_number) as site_number)
+        from plain_site_bucket
+        union all
+        select * replace (if(yr2_rate >= 4, lower(site_number) || '  ', site_number) as site_number,
+                          upper(bucket_name) as bucket_name)
+        from plain_site_bucket where yr2_rate % 2 = 0""",
+    "detail_international": """
+        select * from plain_detail_international
+        union all
+        select * replace (lower(country) || ' ' as country) from plain_detail_international
+        where file_no like '%7'""",
+    "client_list": """
+        select * replace (
+            case right(site_no, 1) when '3' then lower(industry) when '4' then industry || ' ' else industry end as industry,
+            if(right(site_no, 1) = '5', lower(group_no), group_no) as group_no,
+            if(right(site_no, 1) = '6', lower(corp_id) || '  ', corp_id) as corp_id)
+        from plain_client_list""",
+}
+
+
+def with_roles(body: str, variants: bool = False) -> str:
     """Prefix ``body`` with the role CTEs it mentions (by name)."""
     import re
 
@@ -169,8 +200,13 @@ def with_roles(body: str) -> str:
     # roles never reference each other, so order is free
     if not used:
         return body
-    ctes = ",\n".join(f"{n} as ({ROLE_CTES[n]})" for n in used)
+    ctes = []
+    for n in used:
+        if variants and n in VARIANTS:
+            ctes += [f"plain_{n} as ({ROLE_CTES[n]})", f"{n} as ({VARIANTS[n]})"]
+        else:
+            ctes.append(f"{n} as ({ROLE_CTES[n]})")
     body = body.strip()
     if body.lower().startswith("with "):
-        return f"with {ctes},\n{body[5:]}"
-    return f"with {ctes}\n{body}"
+        return f"with {', '.join(ctes)},\n{body[5:]}"
+    return f"with {', '.join(ctes)}\n{body}"

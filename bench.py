@@ -19,6 +19,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -36,39 +37,37 @@ HEADLINE = [
     "first_differing_status",          # J13 rewrite
 ]
 
-# The literal (naive) Spark SQL forms of the four rewritten operators, over
-# the same role views: theta join, OR join, outer join + IS NULL, correlated
+# The rewritten operators in the form a plain SQL author would write them, over the
+# same role views: theta join, OR join, outer join + IS NULL, correlated
 # ordered TOP 1. Timed once each, cancelled after NAIVE_TIMEOUT seconds.
 NAIVE_TIMEOUT = float(os.environ.get("BENCH_NAIVE_TIMEOUT", "90"))
-_CD = "cd"
+_CD = "client_day"
+_AGE = "datediff(to_date(cast(client_day.billing_date_key as string), 'yyyyMMdd'), client.business_start_date)"
 NAIVE_SQL = {
     "range_band_join": f"""
-        select cd.client_key, cd.billing_date_key,
-               datediff(to_date(cast(cd.billing_date_key as string), 'yyyyMMdd'),
-                        dc.business_start_date) as age, dcs.commission_key
-        from {_CD} cd join client dc on dc.client_key = cd.client_key
-        join commission_band dcs
-          on datediff(to_date(cast(cd.billing_date_key as string), 'yyyyMMdd'), dc.business_start_date)
-             between dcs.account_age_min and dcs.account_age_max""",
+        select client_key, client_day.billing_date_key, {_AGE} as age, commission_band.commission_key
+        from client_day join client using (client_key)
+        join commission_band on {_AGE} between commission_band.account_age_min and commission_band.account_age_max""",
     "any_code_join": """
-        select bi.file_no, bi.line_no, bi.country, cc.long_code, cc.description
-        from detail_international bi
-        left join country_code cc on cc.long_code = bi.country or cc.short_code = bi.country""",
-    "unmatched_adjustments": f"""
-        select fi.client_key, fi.adjustment_month, fi.adjustment_year
-        from invoice_adjustment fi
-        left join {_CD} fc on fc.client_key = fi.client_key
-         and fi.adjustment_month = substring(cast(fc.billing_date_key as string), 5, 2)
-         and fi.adjustment_year = substring(cast(fc.billing_date_key as string), 1, 4)
-        where fc.client_key is null""",
+        select abroad.file_no, abroad.line_no, abroad.country, named.long_code, named.description
+        from detail_international abroad
+        left join country_code named on upper(rtrim(abroad.country)) = upper(rtrim(named.long_code))
+             or upper(rtrim(abroad.country)) = upper(rtrim(named.short_code))""",
+    "unmatched_adjustments": """
+        select adj.client_key, adj.adjustment_month, adj.adjustment_year
+        from invoice_adjustment adj
+        left join client_day on client_day.client_key = adj.client_key
+             and concat(adj.adjustment_year, adj.adjustment_month) = left(cast(client_day.billing_date_key as string), 6)
+        where client_day.client_key is null""",
     "first_differing_status": """
-        select bg.file_no,
-               (select cs.description from client_status cs
-                  join adjudication ad on upper(rtrim(cs.req_status)) = upper(rtrim(ad.req_status))
-                 where upper(rtrim(bg.client_req_status)) <> upper(rtrim(ad.req_status))
-                   and bg.account_no = cs.account_no and bg.file_no = ad.file_no
-                 order by ad.created_at asc nulls first, cs.description limit 1) as original_adj
-        from request bg""",
+        select request.file_no,
+               (select told.description
+                  from adjudication step
+                  join client_status told on upper(rtrim(told.req_status)) = upper(rtrim(step.req_status))
+                 where step.file_no = request.file_no and told.account_no = request.account_no
+                   and upper(rtrim(step.req_status)) <> upper(rtrim(request.client_req_status))
+                 order by step.created_at asc nulls first, told.description limit 1) as original_adj
+        from request""",
 }
 
 
@@ -105,6 +104,27 @@ def run_naive(spark, sf_dir: str) -> dict:
     return out
 
 
+def shuffle_mb(spark, events: str, times: int) -> dict:
+    """Shuffle megabytes written by one run of each query, from the event log."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    group, total = {}, {}
+    for name in os.listdir(events):
+        with open(os.path.join(events, name), errors="replace") as f:
+            for line in f:
+                try:
+                    e = json.loads(line)
+                except ValueError:  # the last line may be half written
+                    continue
+                if e["Event"] == "SparkListenerJobStart":
+                    for stage in e["Stage IDs"]:
+                        group[stage] = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                elif e["Event"] == "SparkListenerTaskEnd":
+                    wrote = ((e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    key = group.get(e["Stage ID"])
+                    total[key] = total.get(key, 0) + wrote
+    return {k: round(v / times / 1e6, 2) for k, v in total.items() if k and not k.startswith("naive-")}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -116,11 +136,14 @@ def main() -> None:
 
     # one shuffle partition per core suits sf0.1 (AQE coalesces / splits at runtime)
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts,
-                          app="ledgerline-bench")
+    events = tempfile.mkdtemp(prefix="ledgerline-bench-events-")
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts, app="ledgerline-bench", extra={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{events}",
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     qs = queries()
 
     def run_once(name: str) -> float:
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         df = qs[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
@@ -144,6 +167,7 @@ def main() -> None:
         "cpus": cpus,
         "runs": runs,
         "naive_literal_form_sec": naive,
+        "shuffle_mb": shuffle_mb(spark, events, runs + 1),
     }))
     spark.stop()
 

@@ -155,7 +155,7 @@ def logistic_curve(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[
 
 def _fit_linear(docs: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Log count ratios, weights and bias from some rows."""
-    ratio = log_ratios(docs, y)
+    ratio = log_ratios(docs, y).astype(np.float32)
     values = [(v := ratio[d]) / max(np.sqrt(v @ v), 1e-12) for d in docs]
     w, bias = dual_descent(docs, values, y)
     return ratio, w, bias
@@ -209,7 +209,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = got.take(pa.compute.sort_indices(got, sort_keys=[("_id", "ascending")])) if len(got) else got
     got = got.combine_chunks()
     marks = got.column("_marks").combine_chunks() if len(got) else []
-    docs_marks = [np.asarray(marks[i].values, dtype=np.int64) for i in range(len(got))]
+    docs_marks = [np.asarray(marks[i].values) for i in range(len(got))]  # 32-bit views of the table
     return fit(docs_marks, np.array(got.column("_y").to_pylist(), dtype=np.int64))
 
 

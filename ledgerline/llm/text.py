@@ -172,10 +172,3 @@ def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     np.add.at(delta, starts, 1)
     np.add.at(delta, starts + size, -1)
     return np.cumsum(delta[:n]) > 0
-
-
-def crc32_mod(ids: list, modulus: int) -> np.ndarray:
-    """crc32 of each id's decimal text, modulo ``modulus``; -1 for null ids."""
-    import zlib
-
-    return np.array([-1 if i is None else zlib.crc32(str(i).encode()) % modulus for i in ids], dtype=np.int64)

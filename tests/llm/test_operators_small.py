@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, line_frequency, maxent, nb_svm, packing, pii, repeats, secrets, simhash, topk
+from ledgerline.llm import bpe, line_frequency, maxent, nb_svm, packing, repeats, simhash, topk
 
 from .conftest import frame, lower, prose, words
 

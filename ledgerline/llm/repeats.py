@@ -169,7 +169,8 @@ def copies_of(blocks: DataFrame, size: int) -> DataFrame:
     texts = blocks.select("_part", "_chunk", "_ids", "_counts", "_wholes").mapInArrow(_places(size), _PLACE)
     texts = staged(blocks.sparkSession, texts, "repeat-texts")
     firsts = texts.groupBy("_whole", "_n").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_times"))
-    found = texts.join(firsts.filter("_times > 1"), ["_whole", "_n"]).filter("_id > _first")
+    firsts = staged(blocks.sparkSession, firsts.filter("_times > 1").drop("_times"), "repeat-first-texts")
+    found = texts.join(firsts, ["_whole", "_n"]).filter("_id > _first")
     return staged(blocks.sparkSession, found.select("_part", "_chunk", "_row"), "repeat-copies")
 
 
@@ -344,9 +345,11 @@ def _split(text_at: int, size: int):
 
 def _later(rows: DataFrame, key: str) -> DataFrame:
     """``rows`` whose key occurs with a smaller id or, in the same id, a smaller
-    start."""
+    start. The firsts are written before the join: a join straight on top of the
+    grouping would keep all rows of a hot key in one task."""
     first = rows.groupBy(key).agg(F.min(F.struct("_id", "_start")).alias("_e"), F.count(F.lit(1)).alias("_times"))
-    joined = rows.join(first.filter("_times > 1").drop("_times"), key)
+    first = staged(rows.sparkSession, first.filter("_times > 1").drop("_times"), "repeat-firsts")
+    joined = rows.join(first, key)
     return joined.filter("_id > _e._id or (_id = _e._id and _start > _e._start)")
 
 

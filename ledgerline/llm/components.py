@@ -4,8 +4,8 @@ Each round first hangs every node's larger neighbours on its smallest
 neighbour, then every node's smaller neighbours on the smallest of them; the
 round's edges are written to the shared checkpoint folder. Rounds end when the
 edges stop changing, after about log n rounds. Neighbours are never collected:
-a round is grouped minima (combined before the shuffle) and equi-joins, which
-the adaptive planner splits at a hub.
+a round is grouped minima (combined before the shuffle), written, and plain
+equi-joins with them, which the adaptive planner can split at a hub.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from ledgerline.llm.staging import staged
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = staged(edges.sparkSession, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return (both.join(least, "a").filter(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = staged(edges.sparkSession, edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -41,7 +41,7 @@ def components(spark: SparkSession, edges: DataFrame, a: str, b: str, most_round
                  .select("a", "b").distinct(), "edges")
     state = _state(now)
     for _ in range(most_rounds):
-        now = staged(spark, _small_star(_large_star(now)), "edges")
+        now = staged(spark, _small_star(staged(spark, _large_star(now), "edges")), "edges")
         before, state = state, _state(now)
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(spark, links(distinct.select("_fp"), max_bits), "a", "b")
     rooted = (distinct.join(roots, F.col("_fp") == F.col("node"), "left")
               .select("_fp", "_least", F.coalesce("root", "_fp").alias("_root")))
-    least = rooted.groupBy("_root").agg(F.min("_least").alias("_component"))
+    least = staged(spark, rooted.groupBy("_root").agg(F.min("_least").alias("_component")), "least-ids")
     named = rooted.join(least, "_root").select("_fp", "_component")
     return rows.join(named, "_fp").select("_id", "_fp", "_component")
 

@@ -6,7 +6,12 @@ that stands in the texts of more than ``MAX_OWNERS`` owners or
 ``MAX_REPOSITORIES`` repositories is a widely copied example; one that does
 not, and does not look like a placeholder, looks live. Besides the base kinds,
 which are always reported, the method adds prefixed keys, web tokens and
-private-key headers that look live.
+private keys that look live.
+
+A private key is a header line, its fields, and a base64 body whose first line
+has at least 16 characters, up to the END line; without one (a cut text), up to
+the last run of 16. Its value is the body, which is compared without line
+breaks, escapes and quotes; a header without a body holds no secret.
 
 An owner is a document's source; a repository is a source's part in one
 language. Counts are taken over distinct (hash, owner, repository), combined
@@ -37,13 +42,23 @@ BASE = (
     Kind("access", r"AKIA[A-Z0-9]+", 0, lambda value, size: size >= 20),
     Kind("hex", r"[0-9a-f]{24,}"),  # a run of 24 or more is found from its start, shorter ones never count
 )
+# between the lines of a key: line breaks, also escaped ones, quotes and comment marks
+_GAP = r"(?:\\++[nrt]|[\s\"',>#|\\])"
+_END = r"-----END [A-Z ]{0,30}PRIVATE KEY-----"
+_BODY = r"[A-Za-z0-9+/=]"
 ADDED = (
     Kind("key", r"(?<![A-Za-z0-9_-])(?:gh[oprsu]|glpat|[prs]k|xox[abprs])[-_][A-Za-z0-9_-]{16,}+"),
     Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
-    Kind("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Kind("pem", rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----{_GAP}{{0,64}}+"
+                rf"(?:[A-Z][A-Za-z-]{{1,40}}+:\x20?[^\s\\]{{0,128}}+{_GAP}{{1,64}}+){{0,8}}+"
+                rf"({_BODY}{{16,16384}}+(?:{_GAP}{{0,64}}+{_BODY}{{1,16384}}+){{0,1023}}+(?={_GAP}{{0,64}}+{_END})"
+                rf"|{_BODY}{{16,16384}}+(?:{_GAP}{{0,64}}+{_BODY}{{16,16384}}+){{0,1023}}+)", 1),
 )
 KINDS = BASE + ADDED
+PEM = len(KINDS) - 1
 PLACEHOLDER = r"(?i)example|changeme|placeholder|your[-_]?|dummy|redacted|x{6,}|\*{4,}|0{8,}|123456"
+# the shorter words stand by chance in a key body of thousands of characters
+PEM_PLACEHOLDER = r"(?i)^(?:your|dummy)|example|changeme|placeholder|redacted|x{6,}|0{8,}|123456"
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
@@ -59,8 +74,10 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = placed(rows.filter(F.size("_found") > 0), "_found", KINDS)
     spans = spans.select("_row", "_id", "_key", "_owner", "_repository", "_kind", "_start", "_end",
                          (F.col("_end") - F.length("_value")).alias("_value_start"),
-                         F.xxhash64("_value").alias("_hash"),
-                         (F.col("_value").rlike(PLACEHOLDER)
+                         F.xxhash64(F.when(F.col("_kind") == PEM, F.regexp_replace("_value", rf"{_GAP}+", ""))
+                                    .otherwise(F.col("_value"))).alias("_hash"),
+                         (F.when(F.col("_kind") == PEM, F.col("_value").rlike(PEM_PLACEHOLDER))
+                          .otherwise(F.col("_value").rlike(PLACEHOLDER))
                           | (F.size(F.array_distinct(F.split("_value", ""))) < 6)).alias("_placeholder"))
     return rows.drop("_found"), staged(docs.sparkSession, spans, "secret-spans")
 

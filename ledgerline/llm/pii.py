@@ -6,17 +6,19 @@ same text, narrower ones that still find a number when a base pattern has run
 it together with its neighbour. Every candidate gets format features (digits,
 separators, check sums, field ranges) and context features (what stands
 before and after, key words near by). Gradient-boosted trees are fitted on a
-bounded sample (``max_rows`` candidates with the smallest hash) with labels from the base
-rules and the formats' check rules; on the sample's held-out fifth each kind gets
-the lowest probability cut at which ``MIN_PRECISION`` of what is above it is
-labelled. Base spans that meet their rule are always reported; other
+bounded sample (``max_rows`` candidates, shared out by kind, those with the smallest
+hashes of each; a rare kind's rows weigh more) with labels from the base
+rules and the formats' check rules. All candidates are scored; on the held-out
+fifth of all of them each kind gets the lowest probability cut at which
+``MIN_PRECISION`` of what is above it is labelled, or ``DEFAULT_CUT`` if the
+whole corpus has too few of it. Base spans that meet their rule are always reported; other
 candidates are reported where their probability reaches their kind's cut and
 no reported base span already holds them.
 
 Defined results: null texts are empty; null ids stay null; repeated rows each
-get their row; an empty table gives an empty result; with no candidates, or
-labels of one class only, only base spans are reported; other columns are not
-read (``redact`` keeps them).
+get their row; an empty table gives an empty result; with labels of one class
+only there are no trees and the candidates that meet their kind's rule are
+reported; other columns are not read (``redact`` keeps them).
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from ledgerline.llm.staging import documents, staged
 MAX_ROWS = 20_000
 MIN_PRECISION = 0.95
 MIN_CALIBRATION = 5
+DEFAULT_CUT = 0.5
+MOST_WEIGHT = 50.0
 TREES, DEPTH = 12, 3
 MARK = "[PII]"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -136,15 +140,27 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.drop("_found"), staged(docs.sparkSession, found, "pii-spans")
 
 
+def quotas(counts: dict[int, int], max_rows: int) -> dict[int, int]:
+    """``max_rows`` shared out evenly by kind; what a kind does not fill goes to the others."""
+    out, left = {}, max_rows
+    for i, (kind, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[kind] = min(n, left // (len(counts) - i))
+        left -= out[kind]
+    return out
+
+
 def cuts(scored: DataFrame, min_precision: float = MIN_PRECISION) -> dict[int, float]:
     """For each kind the lowest probability from which on ``min_precision`` of
-    the candidates are labelled; kinds without such a cut are left out."""
-    bins: dict[int, dict[int, tuple[int, int]]] = {}
+    the candidates are labelled; kinds without such a cut are left out, and those
+    with under ``MIN_CALIBRATION`` candidates get ``DEFAULT_CUT``."""
+    bins: dict[int, dict[int, tuple[int, int]]] = {k: {} for k in range(len(KINDS))}
     for r in (scored.groupBy("_kind", F.floor(F.col("_p") * 100).cast("int").alias("_bin"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_valid").cast("int")).alias("good")).collect()):
-        bins.setdefault(r["_kind"], {})[r["_bin"]] = (r["n"], r["good"])
+        bins[r["_kind"]][r["_bin"]] = (r["n"], r["good"])
     out = {}
     for kind, by_bin in bins.items():
+        if sum(n for n, _ in by_bin.values()) < MIN_CALIBRATION:
+            out[kind] = DEFAULT_CUT
         n = good = 0
         for b in sorted(by_bin, reverse=True):
             n, good = n + by_bin[b][0], good + by_bin[b][1]
@@ -160,23 +176,28 @@ def judged(spans: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     names = list(features())
     base = (F.col("_kind") < len(BASE)) & F.col("_valid")
     order = F.xxhash64("_id", "_key", "_kind", "_start")
-    sample = staged(spark, spans.orderBy(order).limit(max_rows).withColumn("_fold", F.pmod(order, F.lit(5))), "pii-sample")
+    counts = {r["_kind"]: r["n"] for r in spans.groupBy("_kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taken = quotas(counts, max_rows)
+    chance, weight = F.lit(0.0), F.lit(1.0)
+    for kind, n in taken.items():
+        chance = F.when(F.col("_kind") == kind, F.lit(n / counts[kind])).otherwise(chance)
+        weight = F.when(F.col("_kind") == kind, F.lit(min(max(taken.values()) / max(n, 1), MOST_WEIGHT))).otherwise(weight)
+    sample = staged(spark, spans.filter(F.shiftrightunsigned(order, 33) / float(1 << 31) < chance)
+                    .orderBy(order).limit(max_rows).withColumn("_fold", F.pmod(order, F.lit(5))), "pii-sample")
     vectors = VectorAssembler(inputCols=names, outputCol="_features")
-    learn = vectors.transform(sample.filter("_fold > 0")).select("_features", F.col("_valid").cast("double").alias("_label"))
+    learn = vectors.transform(sample.filter("_fold > 0")).select(
+        "_features", F.col("_valid").cast("double").alias("_label"), weight.alias("_weight"))
     classes = {r["_label"] for r in learn.select("_label").distinct().collect()}
     if len(classes) < 2:
-        return spans.filter(base).withColumn("_base", F.lit(True)).withColumn("_p", F.lit(1.0))
-    trees = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3,
-                          seed=1).fit(learn.coalesce(2))
-
-    def scored(some: DataFrame) -> DataFrame:
-        return (trees.transform(vectors.transform(some)).withColumn("_p", vector_to_array("probability")[1])
-                .select(*some.columns, "_p"))
-
-    found = cuts(scored(sample.filter("_fold = 0")))
+        return spans.filter("_valid").withColumn("_base", base).withColumn("_p", F.lit(1.0))
+    trees = GBTClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight", maxIter=TREES, maxDepth=DEPTH,
+                          stepSize=0.3, seed=1).fit(learn.coalesce(2))
+    scored = staged(spark, trees.transform(vectors.transform(spans)).withColumn("_p", vector_to_array("probability")[1])
+                    .select(*[c for c in spans.columns if c not in names], "_p"), "pii-scored")
+    found = cuts(scored.filter(F.pmod(order, F.lit(5)) == 0))
     passed = reduce(lambda a, b: a | b, [(F.col("_kind") == k) & (F.col("_p") >= v) for k, v in found.items()
                                          if k >= len(BASE)], F.lit(False))
-    return scored(spans).withColumn("_base", base).filter(F.col("_base") | passed)
+    return scored.withColumn("_base", base).filter(F.col("_base") | passed)
 
 
 def _reported(base: str, added: str) -> Column:

@@ -167,6 +167,32 @@ def test_candidates_that_a_base_pattern_ran_together_are_added(spark):
     assert card not in clean
 
 
+def iban(rng, right=True):
+    rest = "WEST" + "".join(rng.choice("0123456789") for _ in range(14))
+    check = 98 - int("".join(str(int(c, 36)) for c in rest + "GB00")) % 97
+    return f"GB{check if right else check % 90 + 5:02}{rest}"
+
+
+@pytest.mark.parametrize("rare,beside,max_rows", [(3, 100, 20_000), (120, 600, 400), (1, 0, 20_000)])
+def test_a_rare_kind_is_reported_at_every_size(spark, rare, beside, max_rows):
+    rng = random.Random(rare)
+    rows = [(i, f"{prose(rng, 3)} a{i}@mail.org or {rng.randint(10**14, 10**15)} and 1.2.{i}.{rng.randint(1, 400)} "
+                f"{rng.randint(10**9, 10**12)} {prose(rng, 2)}") for i in range(beside)]
+    own = {5000 + i: iban(rng) for i in range(rare)}
+    rows += [(i, f"{prose(rng, 2)} {x} {prose(rng, 2)}") for i, x in own.items()]
+    wrong = range(9000, 9000 + rare * (beside > 0))
+    rows += [(i, f"{prose(rng, 2)} {iban(rng, False)} {prose(rng, 2)}") for i in wrong]
+    got = {r["_id"]: r.spans for r in pii.scan(frame(spark, rows), max_rows=max_rows).collect()}
+    text = dict(rows)
+    assert all(f"iban:{text[i].index(x)}:{text[i].index(x) + len(x)}" in got[i] for i, x in own.items())
+    assert not any("iban" in got[i] for i in wrong)
+
+
+def test_quotas_share_out_what_a_kind_does_not_fill():
+    assert pii.quotas({0: 10**9, 1: 3, 2: 50}, 100) == {1: 3, 2: 48, 0: 49}
+    assert pii.quotas({0: 5, 1: 3}, 100) == {0: 5, 1: 3} and pii.quotas({}, 100) == {}
+
+
 def test_no_candidates_at_all(spark):
     docs = frame(spark, [(1, "plain words"), (2, None)])
     assert [r.spans for r in pii.scan(docs).collect()] == ["", ""]

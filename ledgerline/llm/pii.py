@@ -61,6 +61,13 @@ ADDED = (
 KINDS = BASE + ADDED
 EMAIL, IP, CARD, PHONE, CARD_NUMBER, PHONE_NUMBER, SSN, IBAN, MAIL_WORDS = range(len(KINDS))
 
+# a word for a phone with no digit between it and the number, and words for other numbers
+PHONE_WORD = r"(?i)(?<![\p{L}])(?:tele)?(?:phones?|tel|call|mobile|cell|fax|anruf|contact|t\u00e9l)(?![\p{L}])[^0-9]*$"
+OTHER_WORD = r"(?i)(?<![\p{L}])(?:version|release|build|v|ids?|ssn|serial|order|ticket|invoice)(?![\p{L}])[^0-9]*$"
+# area and exchange of the North American plan, or an area with its trunk 0
+NATIONAL = (r"^(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[\x20.-][1-9][0-9]{2}[\x20.-][0-9]{4}$"
+            r"|^(?:\(0[1-9][0-9]{0,2}\)|0[1-9][0-9]{0,2})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}$")
+
 KEYWORDS = {
     "near_phone": r"(?i)phone|tel|call|mobile|fax|anruf|contact|tél",
     "near_mail": r"(?i)mail|write to|reach|address",
@@ -88,14 +95,21 @@ def _iban_rest(value: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda rest, x: (F.when(x > 9, rest * 100).otherwise(rest * 10) + x) % 97)
 
 
-def rule(kind: Column, value: Column) -> Column:
-    """Whether a candidate meets its kind's own rule (the base kinds' is the contract)."""
+def _national(value: Column) -> Column:
+    """A number without country code: 9 to 11 digits in the ranges of a national plan."""
+    return F.length(_digits(value)).between(9, 11) & value.rlike(NATIONAL)
+
+
+def rule(kind: Column, value: Column, before: Column) -> Column:
+    """Whether a candidate meets its kind's own rule (the base kinds' is the
+    contract). A national phone number needs a word for a phone before it."""
     n = F.length(_digits(value))
     return (F.when(kind == EMAIL, F.lit(True))
             .when(kind == IP, value.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"))
             .when(kind.isin(CARD, CARD_NUMBER), _luhn(value))
             .when(kind == PHONE, n.between(10, 15))
-            .when(kind == PHONE_NUMBER, n.between(10, 15) & value.startswith("+"))
+            .when(kind == PHONE_NUMBER, F.when(value.startswith("+"), n.between(10, 15))
+                  .otherwise(_national(value) & before.rlike(PHONE_WORD) & ~before.rlike(OTHER_WORD)))
             .when(kind == SSN, ~value.rlike(r"^(?:000|666|9)|-00-|-0000$"))
             .when(kind == IBAN, _iban_rest(value) == 1)
             .otherwise(value.rlike(r"[A-Za-z]{2,}$")))
@@ -116,6 +130,8 @@ def features() -> dict[str, Column]:
         "luhn": flag(_luhn(value)),
         "octets": flag(value.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$")),
         "phone_range": flag(F.length(digits).between(10, 15)),
+        "national": flag(_national(value)),
+        "phone_word": flag(before.rlike(PHONE_WORD)), "other_word": flag(before.rlike(OTHER_WORD)),
         "iban": flag(F.when(F.col("_kind") == IBAN, _iban_rest(value) == 1)),
         "ends_in_letters": flag(value.rlike(r"[A-Za-z]{2,}$")),
         "open_before": flag(before.rlike(r"(?:^|[\s(\[<\"':=,;])$")),
@@ -135,7 +151,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.xxhash64(text).alias("_key"), all_matches(text, KINDS).alias("_found")), "pii-candidates")
     found = placed(rows.filter(F.size("_found") > 0), "_found", KINDS)
     found = found.select("_row", "_id", "_key", "_kind", "_start", "_end",
-                         F.coalesce(rule(F.col("_kind"), F.col("_value")), F.lit(False)).alias("_valid"),
+                         F.coalesce(rule(F.col("_kind"), F.col("_value"), F.col("_before")), F.lit(False)).alias("_valid"),
                          *[v.alias(k) for k, v in features().items()])
     return rows.drop("_found"), staged(docs.sparkSession, found, "pii-spans")
 

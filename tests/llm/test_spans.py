@@ -167,6 +167,34 @@ def test_candidates_that_a_base_pattern_ran_together_are_added(spark):
     assert card not in clean
 
 
+def test_national_phone_numbers_are_reported(spark):
+    rng = random.Random(9)
+    rows, good = [], {}
+
+    def add(word, number, right):
+        i = len(rows)
+        text = f"{prose(rng, 3)} {word} {number} {prose(rng, 3)}"
+        rows.append((i, text))
+        good[i] = (f"phone_number:{text.index(number)}:{text.index(number) + len(number)}", right)
+
+    for i in range(60):
+        a, b, c = rng.randint(200, 999), rng.randint(100, 999), rng.randint(1000, 9999)
+        for number in (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"0{a % 90 + 10} {c} {b}"):
+            for word in ("call", "phone:", "Tel."):
+                add(word, number, True)
+        add("version", f"{a}.{b}.{c}", False)
+        add("id", f"{a}-{b}-{c}", False)
+        add("phone version", f"{a}.{b}.{c}", False)
+        add("call", f"000-{b}-{c}", False)
+    add("call", "555-123-4567", True)
+    add("phone", "(555) 123-4567", True)
+    got = {r["_id"]: r.spans.split(",") for r in pii.scan(frame(spark, rows)).collect()}
+    for i, t in rows:
+        want, right = good[i]
+        assert (want in got[i]) == right, (t, got[i])
+        assert right or not any(s.startswith("phone_number") for s in got[i])
+
+
 def iban(rng, right=True):
     rest = "WEST" + "".join(rng.choice("0123456789") for _ in range(14))
     check = 98 - int("".join(str(int(c, 36)) for c in rest + "GB00")) % 97

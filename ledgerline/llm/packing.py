@@ -2,7 +2,7 @@
 
 A document is its token ids and the end id. Longer ones are cut from the end
 into full pieces, so that only the first piece is shorter. Pieces are dealt by
-hash into groups of a bounded size, and each group is packed on its own, the
+a hash of their place in the written table, so that repeated rows spread, into groups of a bounded size, and each group is packed on its own, the
 longest pieces first: a piece goes to the open sequence that, among those with
 room under every capacity (tokens, documents, attention cost as the sum of
 squared lengths), has the smallest weighted norm of residual capacities
@@ -111,9 +111,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens
          most_documents: int = DOCUMENTS, attention: float = ATTENTION, path: str | None = None,
          keep_ids: bool = False) -> DataFrame:
     """One row per piece with its sequence and its offset there."""
-    cut = staged(docs.sparkSession, pieces(docs, id_col, text_col, tokens, path, keep_ids), "pieces")
+    cut = staged(docs.sparkSession, pieces(docs, id_col, text_col, tokens, path, keep_ids)
+                 .withColumn("_at", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-cut.count() // GROUP_PIECES))
-    dealt = cut.withColumn("_group", F.pmod(F.xxhash64("_id", "_piece", "_crc"), F.lit(groups)))
+    dealt = cut.withColumn("_group", F.pmod(F.xxhash64("_at"), F.lit(groups))).drop("_at")
 
     def fill(table: pa.Table) -> pa.Table:
         lengths = table.column("_length").to_numpy()

@@ -297,6 +297,15 @@ def test_packing(messy, nothing):
     assert packing.pack(nothing).count() == 0
 
 
+def test_repeated_rows_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    docs = frame(spark, [(None, "one text")] * 400)
+    got = packing.pack(docs, most_documents=3).collect()
+    groups = collections.Counter(r["_sequence"] >> 32 for r in got)
+    assert len(got) == 400 and len(groups) > 4 and max(groups.values()) <= 100
+    assert max(collections.Counter(r["_sequence"] for r in got).values()) == 3
+
+
 @pytest.mark.parametrize("most,attention", [(3, 2048**2), (2048, 900**2), (2, 1000**2)])
 def test_best_fit_keeps_every_capacity(most, attention):
     rng = np.random.default_rng(1)

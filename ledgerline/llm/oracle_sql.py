@@ -78,3 +78,67 @@ kept as (
 select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
        sha256(coalesce(kept, '')) as kept_sha256
 from doc left join kept using (doc_id)"""
+
+
+VECTORS = """
+usable as (
+  select row_number() over () as r, vec_id, label, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as c
+  from embeddings where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0)"""
+
+HARD_NEGATIVES = f"""
+with {VECTORS},
+relabelled as (
+  select r, vec_id, c, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+  from usable where vec_id is not null and label is not null),
+scored as (
+  select a.r as anchor, a.vec_id as anchor_id, o.vec_id, a.label = o.label as same,
+         cast(list_inner_product(a.c, o.c) as bigint) as score
+  from relabelled a join relabelled o on a.r <> o.r where a.vec_id % 100 = 0),
+positive as (
+  select anchor, anchor_id, vec_id as positive_id, score as positive_score,
+         row_number() over (partition by anchor order by score desc, vec_id) as place
+  from scored where same qualify place <= 5),
+band as (
+  select p.anchor_id, p.positive_id, p.positive_score, s.vec_id as negative_id, s.score as negative_score,
+         row_number() over (partition by p.anchor, p.place order by s.score desc, s.vec_id) as rank
+  from positive p join scored s on s.anchor = p.anchor and not s.same
+    and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score
+from band where rank <= 5"""
+
+
+def _codes(rounds: int = 2, parts: int = 16, entries: int = 64) -> str:
+    """Lloyd rounds spelled out: every part against every entry of its codebook."""
+    steps = [f"""
+with {VECTORS},
+piece as (
+  select r, vec_id, label, p, c[p * w + 1:(p + 1) * w] as v
+  from (select *, len(c) // {parts} as w, unnest(range({parts})) as p from usable)),
+book0 as (
+  select p, e, v from piece join (
+    select r, row_number() over (order by vec_id nulls last, c) - 1 as e from usable qualify e < {entries}) using (r))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} as (
+  select r, vec_id, label, p, a.v, min(struct_pack(
+           d := cast(list_sum([(a.v[k] - b.v[k]) * (a.v[k] - b.v[k]) for k in range(1, len(a.v) + 1)]) as bigint),
+           e := b.e)) as best
+  from piece a join book{i} b using (p) group by r, vec_id, label, p, a.v)""")
+        if i < rounds:
+            steps.append(f"""
+mean{i} as (
+  select p, e, list(m order by k) as v from (
+    select p, best.e as e, k, cast(floor(sum(v[k]) / count(*)) as bigint) as m
+    from (select *, unnest(range(1, len(v) + 1)) as k from near{i}) group by all) group by p, e),
+book{i + 1} as (
+  select b.p, b.e, coalesce(m.v, b.v) as v from book{i} b left join mean{i} m using (p, e))""")
+    return ",".join(steps) + f""",
+coded as (
+  select r, vec_id, label, string_agg(printf('%02x', best.e), '' order by p) as code, cast(sum(best.d) as bigint) as error
+  from near{rounds} group by r, vec_id, label)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) from book{rounds}) as codebooks_sha256
+from coded"""
+
+
+VECTOR_CODES = _codes()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.llm import line_frequency as lf
-from ledgerline.llm import repeats
+from ledgerline.llm import minhash, repeats
 
 WORD = r"'[^\x20\x09-\x0D]+'"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -80,6 +80,33 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) a
 from doc left join kept using (doc_id)"""
 
 
+NEAR_DUPLICATES = rf"""
+with recursive doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), {WORD}) as w from documents),
+body as (
+  select row_number() over () as n, w from (select distinct w from doc where len(w) > 0)),
+element as (
+  select distinct n, array_to_string(w[i:i + {minhash.SIZE - 1}], ' ') as s
+  from (select n, w, unnest(range(1, greatest(len(w) - {minhash.SIZE - 2}, 2))) as i from body)),
+size as (
+  select n, count(*) as c from element group by n),
+shared as (
+  select a.n as a, b.n as b, count(*) as c from element a join element b using (s) where a.n < b.n group by a.n, b.n),
+link as (
+  select a, b from shared join size x on x.n = a join size y on y.n = b
+  where 100 * shared.c >= {minhash.PERCENT} * (x.c + y.c - shared.c)),
+both_ways as (
+  select a, b from link union all select b, a from link),
+reach(n, m) as (
+  select n, n from body union select reach.n, both_ways.b from reach join both_ways on both_ways.a = reach.m),
+least as (
+  select reach.n, min(doc_id) as component_id from reach join body on body.n = reach.m join doc using (w) group by reach.n),
+named as (
+  select doc_id, cast(coalesce(size.c, 0) as bigint) as n_shingles,
+         case when body.n is null then doc_id else component_id end as component_id
+  from doc left join body using (w) left join size using (n) left join least using (n))
+select doc_id, n_shingles, component_id, coalesce(doc_id = component_id, false) as kept from named"""
+
 VECTORS = """
 usable as (
   select row_number() over () as r, vec_id, label, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as c

@@ -17,10 +17,12 @@ smallest node, which links groups of near copies as stars. Components are
 found, and buckets whose other members now all lie in one component are
 finished: no pair in them can change the result. In the others the members
 outside the bucket's largest component meet all its members, dealt in blocks
-of at most about ``BLOCK`` on a side, and of each two components only the most
-similar pairs are verified, sixteen times as many in each further round until
-no block holds any back. So every candidate pair between two components is
-either dropped by its posterior or verified.
+of about ``BLOCK`` members and ``ELEMENTS`` word runs on a side. A pair is looked
+at in the first bucket that it shares; the pairs that the posterior leaves stay
+in their block, the texts of their members are brought to it once each, and the
+pairs are verified from the most similar on, as long as their components are
+apart. So every candidate pair between two components is either dropped by its
+posterior or verified, and what is moved grows with members, not with pairs.
 
 Defined results: null, blank and empty texts have an empty set, are linked with
 nothing and are their own component; a text with fewer than ``size`` words has
@@ -52,7 +54,7 @@ PLACES = ROWS * BANDS
 BATCH = 32      # places compared between two looks at the posterior
 MISS = 1e-7     # a pair is dropped when it reaches the limit with less probability
 BLOCK = 2048
-VERIFIED = 64   # pairs of two components that a block has verified in the first round
+ELEMENTS = 1 << 20
 
 _rng = np.random.default_rng(11)
 _A = _rng.integers(1, 1 << 63, size=PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -172,12 +174,20 @@ def likely(pairs: DataFrame, signatures: DataFrame, percent: int = PERCENT, miss
 
 # ---------------------------------------------------------------- verification
 
-def elements(text: str, size: int) -> set:
-    """The set of a text: its distinct runs of ``size`` lower-cased words."""
+def elements(text: str, size: int, numbers: dict | None = None) -> set:
+    """The set of a text: its distinct runs of ``size`` lower-cased words, as
+    their ``numbers`` where a table of them is given (and grown)."""
     words = text.encode().lower().split()  # bytes: A-Z only; cuts at \\x20 and \\x09-\\x0D
     if len(words) < size:
-        return {tuple(words)} if words else set()
-    return set(zip(*[words[k:] for k in range(size)]))
+        runs = {tuple(words)} if words else set()
+    else:
+        runs = set(zip(*[words[k:] for k in range(size)]))
+    return runs if numbers is None else {numbers.setdefault(r, len(numbers)) for r in runs}
+
+
+def alike(one: set, two: set, percent: int) -> bool:
+    both = len(one & two)
+    return 100 * both >= percent * (len(one) + len(two) - both)
 
 
 def _verify(size: int, percent: int):
@@ -188,22 +198,24 @@ def _verify(size: int, percent: int):
             for i, (a, one, two) in enumerate(zip(batch.column("a").to_pylist(), batch.column("_text_a"), batch.column("_text_b"))):
                 if a != node:  # after the join by a, the pairs of one node stand together
                     node, mine = a, elements(one.as_py(), size)
-                other = elements(two.as_py(), size)
-                both = len(mine & other)
-                if 100 * both >= percent * (len(mine) + len(other) - both):
+                if alike(mine, elements(two.as_py(), size), percent):
                     linked.append(i)
             yield batch.select(["a", "b"]).take(pa.array(linked, type=pa.int64()))
 
     return run
 
 
+def texts_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(``_node``, ``_text``) of some nodes, written: only these texts are moved later."""
+    needed = staged(nodes.sparkSession, nodes.distinct(), "minhash-needed")
+    return staged(nodes.sparkSession, texts.select("_node", "_text").join(needed, "_node", "left_semi"), "minhash-needed-texts")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose full sets reach the limit. Only the texts of the pairs are moved."""
-    spark = pairs.sparkSession
-    needed = staged(spark, pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), "minhash-needed")
-    needed_texts = staged(spark, texts.select("_node", "_text").join(needed, "_node", "left_semi"), "minhash-needed-texts")
-    one = needed_texts.select(F.col("_node").alias("a"), F.col("_text").alias("_text_a"))
-    two = needed_texts.select(F.col("_node").alias("b"), F.col("_text").alias("_text_b"))
+    """The pairs whose full sets reach the limit."""
+    needed = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("_node")), texts)
+    one = needed.select(F.col("_node").alias("a"), F.col("_text").alias("_text_a"))
+    two = needed.select(F.col("_node").alias("b"), F.col("_text").alias("_text_b"))
     return (pairs.join(two, "b").join(one, "a").select("a", "b", "_text_a", "_text_b")
             .mapInArrow(_verify(size, percent), "a long, b long"))
 
@@ -211,48 +223,56 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int = SIZE, percent: int
 # ---------------------------------------------------------------- buckets
 
 def buckets_of(signatures: DataFrame) -> DataFrame:
-    """(``_bucket``, ``_least``, ``_node``) of every member of a bucket with several."""
+    """(``_bucket``, ``_band``, ``_least``, ``_node``, ``_n``) of every member but
+    the smallest of each bucket with several."""
     spark = signatures.sparkSession
-    posts = signatures.select("_node", F.explode("_bands").alias("_bucket"))
+    posts = signatures.select("_node", "_n", F.posexplode("_bands").alias("_band", "_bucket"))
     least = posts.groupBy("_bucket").agg(F.min("_node").alias("_least"), F.count(F.lit(1)).alias("_m")).filter("_m > 1")
     least = staged(spark, least.drop("_m"), "minhash-least")  # written: a hot bucket's rows can be split in the join
     return staged(spark, posts.join(least, "_bucket").filter("_node <> _least"), "minhash-buckets")
 
 
 def open_blocks(members: DataFrame, roots: DataFrame, signatures: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row (``_block`` list of (side, node, root, in the largest component, set size,
-    places)) for each meeting of two blocks of a bucket that has members of
-    several components: side 0 the members outside the largest component,
-    side 1 all members."""
+    """One row (``_block``, ``_band``, ``_members``) for each meeting of two blocks
+    of a bucket that has members of several components: members of side 0 are
+    those outside the largest component, members of side 1 all."""
     spark = members.sparkSession
     rooted = staged(spark, members.join(roots, F.col("_node") == F.col("node"), "left")
-                    .select("_bucket", "_node", F.coalesce("root", "_node").alias("_root")), "minhash-rooted")
-    by_root = rooted.groupBy("_bucket", "_root").agg(F.count(F.lit(1)).alias("_c"))
-    split = (by_root.groupBy("_bucket").agg(F.sum("_c").alias("_m"), F.max(F.struct("_c", "_root")).alias("_top"))
-             .filter(F.col("_m") > F.col("_top._c"))
-             .select("_bucket", F.col("_top._root").alias("_major"),
-                     F.ceil(F.col("_m") / block).alias("_g"), F.ceil((F.col("_m") - F.col("_top._c")) / block).alias("_h")))
+                    .select("_bucket", "_band", "_node", "_n", F.coalesce("root", "_node").alias("_root")), "minhash-rooted")
+    by_root = rooted.groupBy("_bucket", "_root").agg(F.count(F.lit(1)).alias("_c"), F.sum("_n").alias("_s"))
+
+    def blocks(rows, runs):
+        return F.ceil(F.greatest(rows / block, runs / ELEMENTS)).cast("long")
+
+    count, runs, top = F.col("_m"), F.col("_t"), F.col("_top")
+    split = (by_root.groupBy("_bucket").agg(F.sum("_c").alias("_m"), F.sum("_s").alias("_t"),
+                                            F.max(F.struct("_c", "_s", "_root")).alias("_top"))
+             .filter(count > top["_c"])
+             .select("_bucket", top["_root"].alias("_major"), blocks(count, runs).alias("_g"),
+                     blocks(count - top["_c"], runs - top["_s"]).alias("_h")))
     split = staged(spark, split, "minhash-open")
-    rows = (rooted.join(split, "_bucket").join(signatures.select("_node", "_n", "_places"), "_node")
-            .withColumn("_in_major", F.col("_root") == F.col("_major")))
-    rows = staged(spark, rows, "minhash-open-rows")
+    rows = rooted.join(split, "_bucket").join(signatures.select("_node", "_places", "_bands"), "_node")
+    rows = staged(spark, rows.withColumn("_in_major", F.col("_root") == F.col("_major")), "minhash-open-rows")
 
     def numbers(n):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    member = F.struct("_node", "_root", "_in_major", "_n", "_places")
-    left = (rows.filter(~F.col("_in_major")).withColumn("_l", F.pmod(F.xxhash64("_node"), "_h")).withColumn("_r", numbers("_g"))
-            .select("_bucket", "_l", "_r", F.struct(F.lit(0).alias("_side"), member.alias("_member")).alias("_one")))
-    right = (rows.withColumn("_r", F.pmod(F.xxhash64("_node", F.lit(1)), "_g")).withColumn("_l", numbers("_h"))
-             .select("_bucket", "_l", "_r", F.struct(F.lit(1).alias("_side"), member.alias("_member")).alias("_one")))
-    return (left.union(right).groupBy("_bucket", "_l", "_r").agg(F.collect_list("_one").alias("_block"))  # some 2 * block
-            .select("_block"))
+    def side(number):
+        member = F.struct(F.lit(number).alias("_side"), "_node", "_root", "_in_major", "_n", "_places", "_bands")
+        return F.xxhash64("_bucket", "_l", "_r").alias("_block"), "_band", member.alias("_one")
+
+    left = (rows.filter(~F.col("_in_major")).withColumn("_l", F.pmod(F.xxhash64("_node"), "_h"))
+            .withColumn("_r", numbers("_g")).select(*side(0)))
+    right = (rows.withColumn("_r", F.pmod(F.xxhash64("_node", F.lit(1)), "_g"))
+             .withColumn("_l", numbers("_h")).select(*side(1)))
+    return left.union(right).groupBy("_block", "_band").agg(F.collect_list("_one").alias("_members"))  # some 2 * block
 
 
 def pairs_of_block(nodes: np.ndarray, roots: np.ndarray, major: np.ndarray, sizes: np.ndarray, places: np.ndarray,
-                   side: np.ndarray, percent: int, miss: float, most: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(a, b, pairs held back): the most similar pairs, at most ``most`` for each
-    two components, that the posterior does not drop."""
+                   bands: np.ndarray, side: np.ndarray, band: int, percent: int,
+                   miss: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(member, member, equal places) of the pairs between components that share
+    no earlier bucket and that the posterior does not drop."""
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     none = np.zeros(0, dtype=np.int64)
     kept = [(none, none, none)]
@@ -263,36 +283,62 @@ def pairs_of_block(nodes: np.ndarray, roots: np.ndarray, major: np.ndarray, size
         fit = ((roots[mine][:, None] != roots[right][None])
                & (major[right][None] | (nodes[mine][:, None] < nodes[right][None]))
                & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        for earlier in range(band):
+            fit &= bands[mine, earlier][:, None] != bands[right, earlier][None]
         i, j = np.nonzero(fit)
         pair, equal = survivors(mine[i], right[j], places, places, percent, miss)
         kept.append((mine[i[pair]], right[j[pair]], equal))
-    a, b, equal = (np.concatenate(c) for c in zip(*kept))
-    one, two = np.minimum(roots[a], roots[b]), np.maximum(roots[a], roots[b])
-    order = np.lexsort((nodes[b], nodes[a], -equal, two, one))
-    same = np.zeros(len(order), dtype=bool)
-    same[1:] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-    start = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    chosen = order[np.arange(len(order)) - start < most]
-    return nodes[a[chosen]], nodes[b[chosen]], len(order) - len(chosen)
+    return tuple(np.concatenate(c) for c in zip(*kept))
+
 
+def _pending(percent: int, miss: float):
+    """One row for each block with pairs to verify, the pairs as byte columns."""
 
-def _block_pairs(percent: int, miss: float, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("_block")
+            column = batch.column("_members")
             flat = column.flatten()
-            member = flat.field("_member")
-            nodes, roots, sizes = (member.field(c).to_numpy() for c in ("_node", "_root", "_n"))
-            major = member.field("_in_major").to_numpy(zero_copy_only=False)
-            side, places = flat.field("_side").to_numpy(), _matrix(member.field("_places"))
+            nodes, roots, sizes, side = (flat.field(c).to_numpy() for c in ("_node", "_root", "_n", "_side"))
+            major = flat.field("_in_major").to_numpy(zero_copy_only=False)
+            places, bands = _matrix(flat.field("_places")), np.asarray(flat.field("_bands").flatten()).reshape(len(nodes), -1)
             edges = np.asarray(column.offsets) - column.offsets[0].as_py()
-            for lo, hi in zip(edges[:-1], edges[1:]):
+            blocks, numbers = batch.column("_block").to_pylist(), batch.column("_band").to_pylist()
+            for number, band, lo, hi in zip(blocks, numbers, edges[:-1], edges[1:]):
                 s = slice(lo, hi)
-                a, b, held = pairs_of_block(nodes[s], roots[s], major[s], sizes[s], places[s], side[s], percent, miss, most)
+                a, b, equal = pairs_of_block(nodes[s], roots[s], major[s], sizes[s], places[s], bands[s], side[s], band,
+                                             percent, miss)
                 if len(a):
+                    order = np.argsort(-equal, kind="stable")
+                    a, b = a[order], b[order]
+                    packed = np.stack([nodes[s][a], nodes[s][b], roots[s][a], roots[s][b]])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(a), held))],
-                        names=["a", "b", "_held"])
+                        [pa.array([number]), pa.array([np.unique(packed[:2])]), pa.array([packed.tobytes()], type=pa.binary())],
+                        names=["_block", "_nodes", "_pairs"])
+
+    return run
+
+
+def _settle(size: int, percent: int):
+    """Verifies a block's pairs from the most similar on; (a, b) of those that
+    join two components which the block has not joined yet."""
+
+    def run(pending: pa.Table, texts: pa.Table) -> pa.Table:
+        numbers, linked = {}, []
+        sets = {n: elements(t, size, numbers) for n, t in zip(texts.column("_node").to_pylist(), texts.column("_text").to_pylist())}
+        joined: dict = {}
+
+        def root(x):
+            while x in joined:
+                x = joined[x]
+            return x
+
+        for raw in pending.column("_pairs").to_pylist():
+            for a, b, root_a, root_b in np.frombuffer(raw, dtype=np.int64).reshape(4, -1).T.tolist():
+                root_a, root_b = root(root_a), root(root_b)
+                if root_a != root_b and alike(sets[a], sets[b], percent):
+                    joined[max(root_a, root_b)] = min(root_a, root_b)
+                    linked.append((a, b))
+        return pa.table({"a": pa.array([a for a, _ in linked], type=pa.int64()), "b": pa.array([b for _, b in linked], type=pa.int64())})
 
     return run
 
@@ -300,7 +346,7 @@ def _block_pairs(percent: int, miss: float, most: int):
 # ---------------------------------------------------------------- the whole
 
 def linked_texts(texts: DataFrame, size: int = SIZE, percent: int = PERCENT, miss: float = MISS,
-                 block: int = BLOCK, most: int = VERIFIED) -> tuple[DataFrame, DataFrame]:
+                 block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(signatures with set sizes, (node, root) of every linked node) of texts
     (``_node``, ``_text``)."""
     spark = texts.sparkSession
@@ -311,17 +357,13 @@ def linked_texts(texts: DataFrame, size: int = SIZE, percent: int = PERCENT, mis
     stars = staged(spark, likely(stars, signatures, percent, miss), "minhash-likely")
     links = staged(spark, verified(stars, texts, size, percent), "minhash-links")
     roots = components(spark, links, "a", "b")
-    while True:
-        blocks = open_blocks(members, roots, signatures, block)
-        found = staged(spark, blocks.mapInArrow(_block_pairs(percent, miss, most), "a long, b long, _held long"), "minhash-open-pairs")
-        pairs = staged(spark, found.select("a", "b").distinct(), "minhash-pairs")
-        more = staged(spark, verified(pairs, texts, size, percent), "minhash-links")
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = components(spark, links, "a", "b")
-        if found.filter("_held > 0").isEmpty():
-            return signatures, roots
-        most *= 16
+    pending = staged(spark, open_blocks(members, roots, signatures, block).mapInArrow(
+        _pending(percent, miss), "_block long, _nodes array<long>, _pairs binary"), "minhash-pending")
+    nodes = staged(spark, pending.select("_block", F.explode("_nodes").alias("_node")), "minhash-pending-nodes")
+    bodies = nodes.join(texts_of(nodes.select("_node"), texts), "_node")
+    more = staged(spark, pending.select("_block", "_pairs").groupBy("_block").cogroup(bodies.groupBy("_block"))
+                  .applyInArrow(_settle(size, percent), "a long, b long"), "minhash-links")
+    return signatures, roots if more.isEmpty() else components(spark, links.union(more), "a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,

@@ -76,16 +76,16 @@ def test_families_in_many_blocks(spark):
     want = slow_groups(rows)
     assert 4 < len({r[2] for r in want}) < len(rows) / 2
     docs = frame(spark, rows).repartition(5)
-    assert groups(docs, block=5, most=1) == want          # blocks of a hot bucket, pairs held back
+    assert groups(docs, block=5) == want          # a hot bucket in many blocks
     assert groups(docs, size=3, percent=95) == slow_groups(rows, size=3, percent=95)
 
 
-def test_a_group_below_the_limit_is_settled_by_more_rounds(spark):
+def test_a_group_around_the_limit(spark):
     rng = random.Random(8)
     base = prose(rng, 150)
     # near the limit on either side: most pairs survive the posterior and fail
     rows = [(i, edited(rng, base, 1 + i % 3)) for i in range(90)]
-    assert groups(frame(spark, rows), block=16, most=1) == slow_groups(rows)
+    assert groups(frame(spark, rows), block=16) == slow_groups(rows)
 
 
 def test_odd_rows(spark, odd_ids, nothing):

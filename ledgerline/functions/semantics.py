@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -73,6 +73,44 @@ def ci_not_starts(col: Column | str, prefix: str) -> Column:
     return ~ci_starts(col, prefix)
 
 
+# key columns made at load: the normal form of a text column, beside it
+KEY_SUFFIX = "__ci"
+
+
+def ci_key(df: DataFrame, name: str) -> Column:
+    """The normal form of a text column: its key column where the table has one
+    (plain comparisons with it reach the scan), else computed."""
+    return F.col(name + KEY_SUFFIX) if name + KEY_SUFFIX in df.columns else ci_norm(name)
+
+
+def key_eq(df: DataFrame, name: str, value: str) -> Column:
+    """``ci_eq`` on the key column where there is one."""
+    return ci_key(df, name) == F.lit(_norm_lit(value))
+
+
+def key_ne(df: DataFrame, name: str, value: str) -> Column:
+    return ci_key(df, name) != F.lit(_norm_lit(value))
+
+
+def key_starts(df: DataFrame, name: str, prefix: str) -> Column:
+    """``ci_starts`` on the key column where there is one; a prefix that ends
+    with a blank needs the column's own trailing blanks."""
+    if prefix.endswith(" ") or name + KEY_SUFFIX not in df.columns:
+        return ci_starts(name, prefix)
+    return F.col(name + KEY_SUFFIX).startswith(prefix.upper())
+
+
+def key_in(df: DataFrame, name: str, values: Iterable[str | None] | DataFrame) -> DataFrame:
+    """The rows whose ``name`` is in a list. A list of values becomes literals; a
+    relation (its first column, any number of rows, NULLs and repeated values
+    included) is semi-joined, so the plan does not grow with the list."""
+    if isinstance(values, DataFrame):
+        listed = values.select(ci_norm(F.col(f"`{values.columns[0]}`")).alias("__listed")).distinct()
+        return df.join(listed, ci_key(df, name) == listed["__listed"], "left_semi")
+    wanted = sorted({_norm_lit(v) for v in values if v is not None})
+    return df.where(ci_key(df, name).isin(wanted) if wanted else F.lit(False))
+
+
 def is_blank(col: Column | str) -> Column:
     """``col IS NULL OR col = ''`` — under the collation ``''`` equals every
     all-blank string."""

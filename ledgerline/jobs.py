@@ -28,10 +28,32 @@ from ledgerline.sources.sinks import (
     EXTRACT_HEADINGS, KEEP_VERSIONS, PARAM_HEADINGS, REPORT_DATASET_HEADINGS, drop_folder,
     read_current, replace_load, run_folder, with_display_names,
 )
+from ledgerline.sources.warehouse import CONTRACTS, Warehouse, load, source_violations
+
+
+def open_tables(spark: SparkSession, tables: str, source: str = "fixture"):
+    """The tables a job reads: ``warehouse``, real tables held to their
+    contracts, or ``fixture``, views that are derived from the test tables."""
+    return {"warehouse": Warehouse, "fixture": Roles}[source](spark, tables)
+
+
+def run_load(spark: SparkSession, tables: str, target: str, source: str = "warehouse", buckets: int = 0) -> dict:
+    """Lay the tables out for the other jobs; rows by table."""
+    laid = load(open_tables(spark, tables, source), target, buckets=buckets)
+    return {name: laid.table(name).count() for name in CONTRACTS}
+
+
+def run_check(spark: SparkSession, tables: str, target: str, source: str = "warehouse") -> dict:
+    """What the tables' contracts forbid: written, and summed for the caller."""
+    out = source_violations(open_tables(spark, tables, source))
+    out.coalesce(1).write.mode("overwrite").parquet(target)
+    r = spark.read.schema(out.schema).parquet(target).agg(F.sum("null_violations"), F.sum("long_values")).first()
+    return {"null_violations": r[0], "long_values": r[1]}
 
 
 def run_commission(spark: SparkSession, tables: str, target: str,
-                   cfg: CommissionConfig = CommissionConfig(), keep: int = KEEP_VERSIONS) -> dict:
+                   cfg: CommissionConfig = CommissionConfig(), keep: int = KEEP_VERSIONS,
+                   source: str = "fixture") -> dict:
     """Rebuild the executive-commission report table and return the audit row.
 
     Staging (fact grain, band groups, staged branches) is written once and
@@ -39,7 +61,7 @@ def run_commission(spark: SparkSession, tables: str, target: str,
     pointer, never an empty table); the audit counts are collected by an
     ``Observation`` during that write, so no extra pass over the data is needed.
     """
-    r, cfg = Roles(spark, tables), cfg.started()
+    r, cfg = open_tables(spark, tables, source), cfg.started()
     folder = run_folder(spark, "commission")
     try:
         staged = commission.commission_tables(r, cfg, folder)
@@ -66,9 +88,9 @@ def _write(df: DataFrame, path: str, headings: dict | None = None) -> int:
 
 
 def run_extracts(spark: SparkSession, tables: str, out: str, cfg: ExtractConfig = ExtractConfig(),
-                 country: ExtractConfig = COUNTRY_EXTRACT) -> dict:
+                 country: ExtractConfig = COUNTRY_EXTRACT, source: str = "fixture") -> dict:
     """Both extracts, each with its own site prefix and dates."""
-    r, folder = Roles(spark, tables), run_folder(spark, "extracts")
+    r, folder = open_tables(spark, tables, source), run_folder(spark, "extracts")
     try:
         return {
             "file_component_extract": _write(extract.file_component_extract(r, cfg, folder=folder),
@@ -82,8 +104,8 @@ def run_extracts(spark: SparkSession, tables: str, out: str, cfg: ExtractConfig
 
 
 def run_report_dataset(spark: SparkSession, tables: str, out: str, cfg: AdjudicationConfig = AdjudicationConfig(),
-                       sel: ParamSelection = ParamSelection()) -> dict:
-    r, folder = Roles(spark, tables), run_folder(spark, "report")
+                       sel: ParamSelection = ParamSelection(), source: str = "fixture") -> dict:
+    r, folder = open_tables(spark, tables, source), run_folder(spark, "report")
     lists = {"param_industry": params.param_industry(r), "param_client_group": params.param_client_group(r, sel),
              "param_corp": params.param_corp(r, sel), "param_site": params.param_site(r, sel)}
     try:
@@ -106,9 +128,13 @@ def _moment(text: str) -> dt.datetime:
 def parser() -> argparse.ArgumentParser:
     """Command line of the jobs; every report parameter has an option."""
     ap = argparse.ArgumentParser(prog="ledgerline.jobs")
-    ap.add_argument("job", choices=["commission", "extracts", "report"])
+    ap.add_argument("job", choices=["commission", "extracts", "report", "load", "check"])
     ap.add_argument("--tables", required=True, help="folder with the source tables")
+    ap.add_argument("--source", choices=["warehouse", "fixture"], default="warehouse",
+                    help="what the folder holds: a table for each name of sources.warehouse.CONTRACTS, or the test tables")
     ap.add_argument("--target", required=True, help="output folder")
+    ap.add_argument("--buckets", type=int, default=0,
+                    help="load: buckets of the tables joined by file (about one per 128-256 MB); 0: not bucketed")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial shuffle partitions (AQE coalesces them); size it to about "
                          "one per 128-256 MB of the largest shuffle, e.g. 40000 for 10 TB")
@@ -129,6 +155,7 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--start-date", type=_moment, default=a.start_date)
     g.add_argument("--end-date", type=_moment, default=a.end_date)
     g.add_argument("--site", action="append", default=None, help="repeat for several")
+    g.add_argument("--site-file", default=None, help="text file with one site a line; any number of them")
     g.add_argument("--batch", action="append", default=None, help="repeat for several; absent: no filter")
     g.add_argument("--strict-null", action="store_true", help="an absent list matches nothing")
     g.add_argument("--industry", action="append", default=None)
@@ -161,12 +188,18 @@ def main(argv=None) -> None:
     if a.shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     commission_cfg, extract_cfg, country_cfg, report_cfg, sel = configs(a)
+    if a.site_file:
+        report_cfg = dataclasses.replace(report_cfg, sites=spark.read.text(a.site_file))
     if a.job == "commission":
-        res = run_commission(spark, a.tables, a.target, commission_cfg, a.keep_versions)
+        res = run_commission(spark, a.tables, a.target, commission_cfg, a.keep_versions, a.source)
     elif a.job == "extracts":
-        res = run_extracts(spark, a.tables, a.target, extract_cfg, country_cfg)
+        res = run_extracts(spark, a.tables, a.target, extract_cfg, country_cfg, a.source)
+    elif a.job == "load":
+        res = run_load(spark, a.tables, a.target, a.source, a.buckets)
+    elif a.job == "check":
+        res = run_check(spark, a.tables, a.target, a.source)
     else:
-        res = run_report_dataset(spark, a.tables, a.target, report_cfg, sel)
+        res = run_report_dataset(spark, a.tables, a.target, report_cfg, sel, a.source)
     print(json.dumps(res))
 
 
@@ -174,4 +207,5 @@ if __name__ == "__main__":
     main()
 
 
-__all__ = ["configs", "parser", "read_current", "run_commission", "run_extracts", "run_report_dataset"]
+__all__ = ["configs", "open_tables", "parser", "read_current", "run_check", "run_commission", "run_extracts", "run_load",
+           "run_report_dataset"]

@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.semantics import ci_eq, ci_in, ci_norm, ci_starts, ts_lit
+from ledgerline.functions.semantics import ci_eq, ci_norm, ci_starts, key_eq, key_in, ts_lit
 from ledgerline.operators.aggregates import conditional_sums
 from ledgerline.operators.joins import any_row_lookup, check_single, first_rank, single_value_lookup
 from ledgerline.plans.config import AdjudicationConfig
@@ -24,23 +24,22 @@ from ledgerline.sources.sinks import run_folder, stage_table
 col = F.col
 
 
-def _list_filter(c: str, values, strict_null: bool):
+def _listed(df: DataFrame, name: str, values, strict_null: bool) -> DataFrame:
     if values is None:
-        return F.lit(False) if strict_null else F.lit(True)
-    return ci_in(c, values)
+        return df.where(F.lit(False)) if strict_null else df
+    return key_in(df, name, values)
 
 
 def report_files(r: Roles, cfg: AdjudicationConfig) -> DataFrame:
     """Files completed after the start and before the day after the end
     (open interval: exactly the start midnight is excluded), site and batch
-    in the lists, status CLOSED."""
+    in the lists (values or relations), status CLOSED."""
     end_next = ts_lit(cfg.end_date + dt.timedelta(days=1))
-    return r.request.where(
-        (col("date_completed") > ts_lit(cfg.start_date))
-        & (col("date_completed") < end_next)
-        & _list_filter("site_no", cfg.sites, cfg.strict_null)
-        & _list_filter("batch_no", cfg.batches, cfg.strict_null)
-        & ci_eq("status", cfg.status))
+    q = r.request
+    q = q.where((col("date_completed") > ts_lit(cfg.start_date))
+                & (col("date_completed") < end_next)
+                & key_eq(q, "status", cfg.status))
+    return _listed(_listed(q, "site_no", cfg.sites, cfg.strict_null), "batch_no", cfg.batches, cfg.strict_null)
 
 
 def _for_files(df: DataFrame, files: DataFrame | None, key: str = "file_no") -> DataFrame:
@@ -53,7 +52,7 @@ def _for_files(df: DataFrame, files: DataFrame | None, key: str = "file_no") ->
 
 def employee_ids(r: Roles, files: DataFrame | None = None) -> DataFrame:
     """Employee id note of the file (code EMPID): at most one per file."""
-    notes = _for_files(r.billing_note.where(ci_eq("code", "EMPID")), files)
+    notes = _for_files(r.billing_note.where(key_eq(r.billing_note, "code", "EMPID")), files)
     return single_value_lookup(notes, ["file_no"], "note_value", "employee_id")
 
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,53 +37,42 @@ from ledgerline.functions.semantics import (
 )
 from ledgerline.operators.joins import anti_on, range_join
 from ledgerline.plans.config import CommissionConfig
+from ledgerline.sources.contracts import ContractError, contract, enforced, insert_select
 from ledgerline.sources.roles import Roles
 from ledgerline.sources.sinks import run_folder, stage_table
 
 col = F.col
 
-# Report-table contract (target column order and types).
-STAGED_COLUMNS = [
-    ("client_key", "int"), ("company_name", "string"), ("site_number", "string"),
-    ("actual_amount", MONEY), ("fees_amount", MONEY), ("miscellaneous_fee", MONEY),
-    ("bad_debt_amount", MONEY), ("adjustment_amount", MONEY),
-    ("commissionable_amount", "double"), ("amount_payable_percentage", "string"),
-    ("commission_to_be_paid", MONEY), ("commission_type", "string"),
-    ("account_executive", "string"), ("billing_date_key", "int"),
-    ("account_aging_in_days", "string"), ("business_start_date", "timestamp_ntz"),
-    ("yr1_rate", RATE), ("yr2_rate", RATE), ("yr3_rate", RATE), ("perpetual_rate", RATE),
-]
-MART_COLUMNS = STAGED_COLUMNS + [("audit_inserted_package_key", "int")]
-# varchar limits of the report table; a longer value is a load error
-VARCHAR_LIMITS = {"company_name": 255, "site_number": 50, "amount_payable_percentage": 31,
-                  "commission_type": 55, "account_executive": 61, "account_aging_in_days": 55}
-NOT_NULL = ("commission_type",)
-
-
-def _fit(name: str, c: Column, not_null: bool = True) -> Column:
-    if not_null and name in NOT_NULL:
-        c = F.when(c.isNull(), F.raise_error(F.lit(f"NULL into NOT NULL column {name}"))).otherwise(c)
-    if name in VARCHAR_LIMITS:
-        n = VARCHAR_LIMITS[name]
-        c = F.when(F.length(c) > n, F.raise_error(F.lit(f"value too long for {name}"))).otherwise(c)
-    return c
-
-
-def to_contract(df: DataFrame, columns=STAGED_COLUMNS, enforce: bool = True) -> DataFrame:
-    """``INSERT (cols) SELECT``: target order, explicit casts, absent columns
-    NULL, string limits and NOT NULL checked."""
-    out = []
-    for name, typ in columns:
-        c = col(name).cast(typ) if name in df.columns else F.lit(None).cast(typ)
-        out.append((_fit(name, c) if enforce else c).alias(name))
-    return df.select(*out)
+# The report table's contract (target column order, types, limits).
+STAGED = """
+    client_key int, company_name varchar(255), site_number varchar(50), actual_amount decimal(18,2),
+    fees_amount decimal(18,2), miscellaneous_fee decimal(18,2), bad_debt_amount decimal(18,2),
+    adjustment_amount decimal(18,2), commissionable_amount double, amount_payable_percentage varchar(31),
+    commission_to_be_paid decimal(18,2), commission_type varchar(55) not null, account_executive varchar(61),
+    billing_date_key int, account_aging_in_days varchar(55), business_start_date timestamp_ntz,
+    yr1_rate decimal(4,2), yr2_rate decimal(4,2), yr3_rate decimal(4,2), perpetual_rate decimal(4,2)"""
+MART = STAGED.replace(" not null", "") + ", audit_inserted_package_key int"
+
+
+def to_contract(df: DataFrame, ddl: str = STAGED, enforce: bool = True) -> DataFrame:
+    """``INSERT (cols) SELECT`` where the select list names its columns like the
+    target: target order, explicit casts, absent columns NULL, and the limits
+    attached, so that they stay with the rows and every sink checks them. With
+    ``enforce`` they are checked here as well."""
+    schema = contract(ddl)
+    odd = [c for c in df.columns if c not in schema.names]
+    if odd:
+        raise ContractError(f"not in the contract: {odd}")
+    into = [n for n in schema.names if n in df.columns]
+    out = insert_select(df.select(*into), schema, into)
+    return enforced(out) if enforce else out
 
 
 # ---------------------------------------------------------------------------
 # shared fact grain
 # ---------------------------------------------------------------------------
 
-def billed_lines(r: Roles, with_fees: bool = False) -> DataFrame:
+def billed_lines(r: Roles, with_fees: bool = False, folder: str | None = None) -> DataFrame:
     """Star join of the billed line facts (inner joins, flag filters in ON)
     with the line amount and the fee part of it.
 
@@ -94,7 +84,7 @@ def billed_lines(r: Roles, with_fees: bool = False) -> DataFrame:
     live_files = r.file.where(col("is_delete") == 0).select("file_key")
     lines = lines.join(r.usage_type, "usage_type_key").join(live_files, "file_key")
     if with_fees:
-        lines = lines.join(fees_per_file(r), "file_key", "left")
+        lines = lines.join(fees_per_file(r, folder), "file_key", "left")
     amount = col("quantity") * col("unit_price")
     is_fee = ci_starts("usage_type_name", "f") | (col("charge_as_fee") == 1)
     fee_cols = ["fee_rows", "misc", "background"] if with_fees else []
@@ -118,22 +108,30 @@ def billed_months(r: Roles) -> DataFrame:
                     key_year(col("billing_date_key")).alias("h_year")).distinct())
 
 
-def fees_per_file(r: Roles) -> DataFrame:
+def _grouped_side(r: Roles, df: DataFrame, name: str, folder: str | None) -> DataFrame:
+    """A grouped table that is about to be joined, written first: a join straight
+    on top of a grouping cannot be split at a hot key, one on a table can."""
+    folder = run_folder(r.spark, name) if folder is None else folder
+    return stage_table(df, os.path.join(folder, f"{name}-{uuid.uuid4().hex[:8]}"))
+
+
+def fees_per_file(r: Roles, folder: str | None = None) -> DataFrame:
     """File fees pre-aggregated: ``(file, fee rows, sum misc, sum background)``."""
-    return r.file_fees.groupBy("file_key").agg(
+    fees = r.file_fees.groupBy("file_key").agg(
         F.count(F.lit(1)).alias("fee_rows"),
         F.sum(F.coalesce(col("miscellaneous_fees"), F.lit(0).cast(MONEY))).alias("misc"),
         F.sum(F.coalesce(col("background_fees"), F.lit(0).cast(MONEY))).alias("background"),
     )
+    return _grouped_side(r, fees, "fees_per_file", folder)
 
 
-def fact_grain(r: Roles) -> DataFrame:
+def fact_grain(r: Roles, folder: str | None = None) -> DataFrame:
     """Billed measures per (file, client, billing key, billing date) with the
     file's fee rows attached once: ``fee_rows`` (0 when none), ``misc`` and
     ``background`` sums. Every branch starts from this grain, so the jobs
     write it once (``commission_tables``) and scan the line facts once."""
     keys = ["file_key", "client_key", "billing_date_key", "billing_date"]
-    return (billed_lines(r, with_fees=True)
+    return (billed_lines(r, with_fees=True, folder=folder)
             .groupBy(*keys).agg(
                 F.sum("amount").alias("amount"),
                 F.sum("fee_amount").alias("fee_amount"),
@@ -169,14 +167,15 @@ def client_day(grain: DataFrame, with_billing_date: bool) -> DataFrame:
     )
 
 
-def adjustments_by(r: Roles, key: str) -> DataFrame:
+def adjustments_by(r: Roles, key: str, folder: str | None = None) -> DataFrame:
     """Invoice adjustments pre-aggregated per (``key``, month, year)."""
     zero = F.lit(0).cast(MONEY)
-    return r.invoice_adjustment.groupBy(key, "adjustment_month", "adjustment_year").agg(
+    sums = r.invoice_adjustment.groupBy(key, "adjustment_month", "adjustment_year").agg(
         F.count(F.lit(1)).alias("adj_rows"),
         F.sum(F.coalesce(col("adjustment_amount"), zero)).alias("adj_sum"),
         F.sum(F.coalesce(col("bad_debt_amount"), zero)).alias("bad_sum"),
     )
+    return _grouped_side(r, sums, "adjustments", folder)
 
 
 def _join_adjustments(l2: DataFrame, adj: DataFrame, key: str) -> DataFrame:
@@ -300,11 +299,11 @@ def band_l2(r: Roles, cfg: CommissionConfig = CommissionConfig(), cd: DataFrame
     return l2.join(bands.select(*_BANDS), "commission_key").unionByName(outer_rows)
 
 
-def band_l3(r: Roles, l2: DataFrame) -> DataFrame:
+def band_l3(r: Roles, l2: DataFrame, folder: str | None = None) -> DataFrame:
     """L3 of branches 1-2: L2 rows with executive-month adjustments attached
     (as weights), grouped to report rows; returns the raw sums. The rate is
     the client's percent (branch 1) or the band's pay percent (branch 2)."""
-    l2a = _join_adjustments(l2, adjustments_by(r, "account_executive_id"), "account_executive_id")
+    l2a = _join_adjustments(l2, adjustments_by(r, "account_executive_id", folder), "account_executive_id")
     weight = F.coalesce(col("adj_rows"), F.lit(1)).cast("decimal(10,0)")
     percent = F.when(col("branch") == SPECIAL, special_percent()).otherwise(regular_percent())
     return (l2a.select("*", percent.alias("rate_key"),
@@ -321,7 +320,7 @@ def band_branches(r: Roles, cfg: CommissionConfig = CommissionConfig(),
     """Branches 1 and 2 in one pass (a client is special or regular, never
     both): one client join, one band join, one adjustment join and one
     grouping per level for both, keyed by the branch tag."""
-    l3 = band_l3(r, band_l2(r, cfg, cd, branches, folder))
+    l3 = band_l3(r, band_l2(r, cfg, cd, branches, folder), folder)
     return to_contract(l3.select(
         col("label").alias("account_aging_in_days"), "client_key",
         col("company_name1").alias("company_name"), "site_number",
@@ -390,7 +389,7 @@ def bucket_rates(r: Roles) -> DataFrame:
 
 
 def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
-                      cd: DataFrame | None = None) -> DataFrame:
+                      cd: DataFrame | None = None, folder: str | None = None) -> DataFrame:
     """Branch 3: clients started from the new-business date, any type; rate
     by client age from the site's bucket card.
 
@@ -421,7 +420,7 @@ def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
     # L2 outputs ISNULL(rate, 0) while it grouped on the raw rate
     for c in _RATES:
         l2 = l2.withColumn(c, isnull_typed(col(c), 0, RATE))
-    l2a = _join_adjustments(l2, adjustments_by(r, "client_key"), "client_key")
+    l2a = _join_adjustments(l2, adjustments_by(r, "client_key", folder), "client_key")
     weight = F.coalesce(col("adj_rows"), F.lit(1)).cast("decimal(10,0)")
     months = col("bucket_months").cast("decimal(10,0)")
     l3 = (l2a.withColumn("rate_key", isnull_typed(col("curr_rate"), 0, RATE))
@@ -447,9 +446,9 @@ def commission_staged(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                       grain: DataFrame | None = None, folder: str | None = None) -> DataFrame:
     """The staging table: the three branches unioned by name, all computed
     from one fact grain; branches 1 and 2 run as one tagged pass."""
-    grain = fact_grain(r) if grain is None else grain
+    grain = fact_grain(r, folder) if grain is None else grain
     return (band_branches(r, cfg, client_day(grain, with_billing_date=False), folder=folder)
-            .unionByName(commission_bucket(r, cfg, client_day(grain, with_billing_date=True))))
+            .unionByName(commission_bucket(r, cfg, client_day(grain, with_billing_date=True), folder)))
 
 
 def commission_tables(r: Roles, cfg: CommissionConfig = CommissionConfig(),
@@ -458,7 +457,7 @@ def commission_tables(r: Roles, cfg: CommissionConfig = CommissionConfig(),
     staging table once under the shared checkpoint folder and return a scan
     of the staging table (read by the load, the anti-join and the audit)."""
     folder = run_folder(r.spark, "commission") if folder is None else folder
-    grain = stage_table(fact_grain(r), os.path.join(folder, "fact_grain"))
+    grain = stage_table(fact_grain(r, folder), os.path.join(folder, "fact_grain"))
     return stage_table(commission_staged(r, cfg, grain, folder), os.path.join(folder, "staged"))
 
 
@@ -468,7 +467,7 @@ def commission_load(staged: DataFrame, cfg: CommissionConfig = CommissionConfig(
     return to_contract(
         staged.withColumn("account_aging_in_days", relabel_band(col("account_aging_in_days")))
               .withColumn("audit_inserted_package_key", F.lit(cfg.package_key)),
-        MART_COLUMNS, enforce=False)
+        MART, enforce=False)
 
 
 def commission_adjustment_only(r: Roles, staged: DataFrame,
@@ -515,12 +514,7 @@ def commission_adjustment_only(r: Roles, staged: DataFrame,
          .alias("account_aging_in_days"),
         "business_start_date",
         F.lit(cfg.package_key).alias("audit_inserted_package_key"),
-    ), MART_COLUMNS, enforce=False).transform(_check_lengths)
-
-
-def _check_lengths(df: DataFrame) -> DataFrame:
-    return df.select(*[(_fit(c, col(c), not_null=False) if c in VARCHAR_LIMITS else col(c)).alias(c)
-                       for c in df.columns])
+    ), MART)
 
 
 def commission_mart(r: Roles, cfg: CommissionConfig = CommissionConfig(),

@@ -8,6 +8,8 @@ import dataclasses
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+
 
 @dataclass(frozen=True)
 class CommissionConfig:
@@ -49,13 +51,14 @@ class AdjudicationConfig:
 
     ``None`` for a list means "parameter not set": with ``strict_null`` the
     ``IN (NULL)`` filter keeps nothing (the literal reading), otherwise the
-    filter is skipped.
+    filter is skipped. A list is a tuple of values or a relation with them in
+    its first column (any number of rows).
     """
 
     start_date: dt.datetime = dt.datetime(2017, 5, 1)
     end_date: dt.datetime = dt.datetime(2017, 5, 15)
-    sites: tuple[str, ...] | None = ("SPRI001-0000",)
-    batches: tuple[str, ...] | None = None
+    sites: tuple[str, ...] | DataFrame | None = ("SPRI001-0000",)
+    batches: tuple[str, ...] | DataFrame | None = None
     status: str = "CLOSED"
     strict_null: bool = False
 
@@ -64,9 +67,9 @@ class AdjudicationConfig:
 class ParamSelection:
     """Cascading report parameters industry -> group header / groups ->
     corp ids. ``group_header=None`` is the 'ALL' case; the lists are what the
-    user has chosen so far."""
+    user has chosen so far, as values or as relations."""
 
-    industries: tuple[str, ...] = ()
+    industries: tuple[str, ...] | DataFrame = ()
     group_header: tuple[str, ...] | None = None
-    clients: tuple[str, ...] = ()
-    corp_ids: tuple[str, ...] = (" All",)
+    clients: tuple[str, ...] | DataFrame = ()
+    corp_ids: tuple[str, ...] | DataFrame = (" All",)

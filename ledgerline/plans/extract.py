@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.semantics import (
-    blank_or, ci_eq, ci_ne, ci_norm, ci_starts, is_blank, ts_lit,
+    KEY_SUFFIX, blank_or, ci_eq, ci_norm, ci_starts, is_blank, key_eq, key_ne, key_starts, ts_lit,
 )
 from ledgerline.operators.joins import any_code_join
 from ledgerline.plans.config import COUNTRY_EXTRACT, ExtractConfig
@@ -21,9 +21,10 @@ col = F.col
 def closed_requests(r: Roles, cfg: ExtractConfig) -> DataFrame:
     """Closed files of the site prefix completed in [from, to] (both ends
     inclusive: a completion at exactly ``to`` midnight is kept)."""
-    return r.request.where(
-        ci_eq("status", cfg.status)
-        & ci_starts("site_no", cfg.site_prefix)
+    q = r.request
+    return q.where(
+        key_eq(q, "status", cfg.status)
+        & key_starts(q, "site_no", cfg.site_prefix)
         & (col("date_completed") >= ts_lit(cfg.completed_from))
         & (col("date_completed") <= ts_lit(cfg.completed_to)))
 
@@ -31,7 +32,8 @@ def closed_requests(r: Roles, cfg: ExtractConfig) -> DataFrame:
 def live_detail(r: Roles) -> DataFrame:
     """Detail lines not marked NOTREQ / SUSPENDED (a NULL status is unknown
     under ``<>``, so it is dropped too)."""
-    return r.request_detail.where(ci_ne("status", "NOTREQ") & ci_ne("status", "SUSPENDED"))
+    d = r.request_detail
+    return d.where(key_ne(d, "status", "NOTREQ") & key_ne(d, "status", "SUSPENDED"))
 
 
 def component_type(code: Column) -> Column:
@@ -114,5 +116,6 @@ def file_component_extract_country(r: Roles, cfg: ExtractConfig = COUNTRY_EXTRAC
 
 
 def lookup_rows(df: DataFrame, key: str, value) -> DataFrame:
-    """``SELECT * FROM t WHERE key = value`` (pushed into the scan)."""
-    return df.where(col(key) == F.lit(value))
+    """``SELECT * FROM t WHERE key = value`` (pushed into the scan), without key
+    columns of a load."""
+    return df.where(col(key) == F.lit(value)).select([c for c in df.columns if not c.endswith(KEY_SUFFIX)])

@@ -29,3 +29,9 @@ PARAMS = ParamSelection(industries=("AUTOMOBILE", "building", "FURNITURE", "HOUS
                         clients=tuple(f"GR{n:02d}-{m}" for n in range(25) for m in range(3)))
 PARAM_HEADERS = ParamSelection(group_header=("GR07", "gr12-2", "GR20-0 "),
                                industries=("AUTOMOBILE", "BUILDING", "household"))
+
+# contracts that the test tables break in places
+STRICT_CONTRACTS = {
+    "client_list": "industry varchar(8) not null, site_no varchar(10) not null, active int, company_name varchar(20) not null",
+    "adjudication": "file_no string not null, req_status varchar(6), created_at timestamp_ntz not null",
+}

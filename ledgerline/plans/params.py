@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.semantics import ci_in, ci_norm, ci_not_starts, is_blank
+from ledgerline.functions.semantics import ci_in, ci_norm, ci_not_starts, is_blank, key_in
 from ledgerline.plans.config import ParamSelection
 from ledgerline.sources.roles import Roles
 
@@ -45,34 +45,35 @@ def param_industry(r: Roles) -> DataFrame:
     return lst.unionByName(_literal_row(r, industry="BLANK", industry_key="")).orderBy("industry")
 
 
-def group_filter(sel: ParamSelection):
+def in_groups(df: DataFrame, sel: ParamSelection) -> DataFrame:
     """``group IN (hdr) OR LEFT(group, 4) IN (hdr) OR hdr-is-ALL``.
 
     ``@Group`` is 'ALL' when the header is not set or is the text ALL; the
-    sentinel is resolved on the driver so the filter folds away."""
+    sentinel is resolved on the driver so the filter folds away. Headers are
+    the few that a user picks, so they stay literals."""
     hdr = sel.group_header
     if hdr is None or any(_same(h, ALL_GROUPS) for h in hdr):
-        return F.lit(True)
-    return ci_in("group_no", hdr) | ci_in(F.left(col("group_no"), F.lit(4)), hdr)
+        return df
+    return df.where(ci_in("group_no", hdr) | ci_in(F.left(col("group_no"), F.lit(4)), hdr))
 
 
 def param_client_group(r: Roles, sel: ParamSelection) -> DataFrame:
-    c = r.client_list.where(group_filter(sel) & ci_in("industry", sel.industries))
+    c = key_in(in_groups(r.client_list, sel), "industry", sel.industries)
     return (_distinct(c, "group_no").select(col("group_no").alias("client"), col("group_no").alias("group_key"))
             .orderBy("client"))
 
 
 def param_corp(r: Roles, sel: ParamSelection) -> DataFrame:
-    c = r.client_list.where(ci_in("group_no", sel.clients) & ci_in("industry", sel.industries))
+    c = key_in(key_in(r.client_list, "group_no", sel.clients), "industry", sel.industries)
     return _distinct(c, "corp_id").unionByName(_literal_row(r, corp_id=ALL_CORP)).orderBy("corp_id")
 
 
 def param_site(r: Roles, sel: ParamSelection) -> DataFrame:
     """Sites (label ``site | company``; a NULL company gives a NULL label)
     for the chosen groups, industries and corp ids (or the ' All' value)."""
-    every = any(_same(c, ALL_CORP) for c in sel.corp_ids)
-    corp = F.lit(True) if every else ci_in("corp_id", sel.corp_ids)
-    c = r.client_list.where(ci_in("group_no", sel.clients) & ci_in("industry", sel.industries) & corp)
+    c = key_in(key_in(r.client_list, "group_no", sel.clients), "industry", sel.industries)
+    if isinstance(sel.corp_ids, DataFrame) or not any(_same(x, ALL_CORP) for x in sel.corp_ids):
+        c = key_in(c, "corp_id", sel.corp_ids)
     c = c.select(F.concat(col("site_no"), F.lit(" | "), col("company_name")).alias("site_name"),
                  col("site_no").alias("client_key"))
     return _distinct(c, "site_name", "client_key").orderBy("site_name")

@@ -8,6 +8,7 @@ and texts that differ in case or trailing blanks.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.semantics import ts_lit
 from ledgerline.plans import adjudication, commission, extract, fixture, operator_queries, params
+from ledgerline.plans.config import ParamSelection
+from ledgerline.sources import warehouse
 from ledgerline.sources.roles import Roles, VariantRoles
-from ledgerline.sources.sinks import REPORT_DATASET_HEADINGS, with_display_names
+from ledgerline.sources.sinks import REPORT_DATASET_HEADINGS, run_folder, with_display_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = fixture.COMMISSION
@@ -72,6 +75,39 @@ def _headings(r: Roles) -> DataFrame:
     return with_display_names(adjudication.file_adjudication_report(r, fixture.REPORT), REPORT_DATASET_HEADINGS)
 
 
+COMMISSION_TABLES = ("usage_type", "commission_band", "new_business_band", "file", "component", "client", "billed_line",
+                     "file_fees", "invoice_adjustment", "site_bucket")
+EXTRACT_TABLES = ("request", "request_detail", "detail_international")
+
+
+def _loaded(r: Roles, names: tuple[str, ...]) -> warehouse.Warehouse:
+    """The tables laid out by ``warehouse.load``, one bucket for each shuffle partition."""
+    return warehouse.load(r, run_folder(r.spark, "warehouse"), names, int(r.spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _warehouse_mart(r: Roles) -> DataFrame:
+    """The report table from laid-out warehouse tables."""
+    return _mart(_loaded(r, COMMISSION_TABLES))
+
+
+def _warehouse_extract(r: Roles) -> DataFrame:
+    """The extract from laid-out warehouse tables, its text filters on key columns."""
+    return extract.file_component_extract(_loaded(r, EXTRACT_TABLES), fixture.EXTRACT)
+
+
+def _site_relation(r: Roles) -> DataFrame:
+    """Report files whose sites are listed by a relation, the sites with a second bucket month."""
+    sites = r.site_bucket.where(F.col("bucket_month") == 2).select("site_number")
+    cfg = dataclasses.replace(fixture.REPORT, sites=sites, batches=None)
+    return adjudication.report_files(r, cfg).select("file_no", "site_no", "date_completed")
+
+
+def _group_relation(r: Roles) -> DataFrame:
+    """The client-group list for industries that a relation lists, repeats and NULLs included."""
+    chosen = r.client_list.where(F.col("active") == 0).select("industry")
+    return params.param_client_group(r, ParamSelection(industries=chosen))
+
+
 PRODUCTS: dict[str, Query] = {
     # D1 executive-commission mart
     "commission_special": _roles(lambda r: commission.commission_special(r, CFG)),
@@ -96,6 +132,12 @@ PRODUCTS: dict[str, Query] = {
     "param_filters": _roles(lambda r: params.param_client_group(r, fixture.PARAM_HEADERS)),
     "param_corp": _roles(lambda r: params.param_corp(r, fixture.PARAMS)),
     "param_site": _roles(lambda r: params.param_site(r, fixture.PARAMS)),
+    # warehouse tables and list relations
+    "source_violations": _roles(lambda r: warehouse.source_violations(r, stricter=fixture.STRICT_CONTRACTS)),
+    "warehouse_mart": _roles(_warehouse_mart),
+    "warehouse_extract": _roles(_warehouse_extract),
+    "report_site_relation": _roles(_site_relation),
+    "param_group_relation": _roles(_group_relation),
     # repeated dimension rows and collation variants
     "special_variants": _variants(lambda r: commission.commission_special(r, CFG)),
     "regular_variants": _variants(lambda r: commission.commission_regular(r, CFG)),

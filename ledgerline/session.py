@@ -15,6 +15,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key also where later joins on it shared its partitioning
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a join on (file, status, account) may reuse a partitioning by file
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",

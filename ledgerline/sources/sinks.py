@@ -10,12 +10,15 @@ recomputes from the last written table, never from the raw scan.
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_dir
+from ledgerline.sources.contracts import enforced
 
 # Display headings of the report table (snake_case inside, headings at the
 # edge), in target order.
@@ -69,8 +72,9 @@ def run_folder(spark: SparkSession, job: str) -> str:
 
 def stage_table(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """Write ``df`` once as parquet (``SELECT ... INTO #temp``) and return a
-    fresh scan of it. ``partitions`` optionally evens out the file count."""
-    out = df if partitions is None else df.repartition(partitions)
+    fresh scan of it. Column limits are enforced and stay with the table
+    (``contracts``). ``partitions`` optionally evens out the file count."""
+    out = enforced(df if partitions is None else df.repartition(partitions))
     out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -82,7 +86,10 @@ def with_display_names(df: DataFrame, headings: dict[str, str] = REPORT_HEADINGS
 
 
 _POINTER = "_CURRENT-"
+_CLAIM = "_CLAIM-"
+_LOADING = "_LOADING-"
 KEEP_VERSIONS = 3
+ABANDONED_AFTER = 24 * 3600  # seconds after which a load that still has not published counts as dead
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -91,46 +98,105 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
+def _names(spark: SparkSession, target: str, prefix: str) -> dict[str, int]:
+    """Entries of the target that begin with ``prefix`` and when they were last changed (ms)."""
+    fs, path = _file_system(spark, target)
+    found = fs.globStatus(path(os.path.join(target, f"{prefix}*"))) or []
+    return {s.getPath().getName(): s.getModificationTime() for s in found}
+
+
 def _pointers(spark: SparkSession, target: str) -> list[str]:
     """Names of the published pointers, oldest first."""
-    fs, path = _file_system(spark, target)
-    return sorted(s.getPath().getName() for s in fs.globStatus(path(os.path.join(target, f"{_POINTER}*"))) or [])
+    return sorted(_names(spark, target, _POINTER))
+
+
+def _create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file in one step; False where it is there already. The
+    local file system's Hadoop client looks first and creates then, so local
+    paths use the operating system's exclusive create."""
+    fs, hadoop_path = _file_system(spark, path)
+    p = fs.makeQualified(hadoop_path(path))
+    try:
+        if p.toUri().getScheme() == "file":
+            with open(p.toUri().getPath(), "x"):
+                return True
+        return fs.createNewFile(p)
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def _claim_number(spark: SparkSession, target: str) -> int:
+    """The next publication number, held by this load alone: compare-and-set on
+    the number, tried again with the next one while another load has it."""
+    taken = [int(n.split("-")[1]) for prefix in (_POINTER, _CLAIM) for n in _names(spark, target, prefix)]
+    number = max(taken, default=0) + 1
+    while not _create_once(spark, os.path.join(target, f"{_CLAIM}{number:012d}")):
+        number += 1
+    return number
 
 
 def replace_load(df: DataFrame, target: str, audit: Observation | None = None,
-                 metrics: tuple[Column, ...] = (), keep: int = KEEP_VERSIONS) -> str:
+                 metrics: tuple[Column, ...] = (), keep: int = KEEP_VERSIONS,
+                 abandoned_after: float = ABANDONED_AFTER) -> str:
     """Full replace of the report table (``TRUNCATE`` + ``INSERT``) without an
     empty window: the new rows go to a new version folder, which is then
     published by creating one more pointer, an empty file ``_CURRENT-<number>-<version>``. Creating
     it is one step of the file system and no pointer is ever changed, so a
     reader (``read_current``) always finds a complete version: the old one
-    before that step, the new one after it. The ``keep`` newest versions stay
-    for readers that have already looked up theirs; older ones are deleted.
+    before that step, the new one after it. Loads may run at once: each claims
+    a number of its own when its rows are written, and the highest number is
+    current. The ``keep`` newest versions stay for readers that have already
+    looked up theirs; older ones are deleted, and so are versions that no load
+    will publish any more (failed, or without result for ``abandoned_after``
+    seconds). Column limits are enforced (``contracts.enforced``).
     ``metrics`` are observed during the write. Returns the version path."""
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex[:12]}"
-    out = df if audit is None else df.observe(audit, F.count(F.lit(1)).alias("rows"), *metrics)
-    out.drop("_staged").write.mode("errorifexists").parquet(os.path.join(target, version))
-    fs, path = _file_system(spark, target)
-    names = _pointers(spark, target)
-    number = int(names[-1].split("-")[1]) + 1 if names else 1
-    fs.createNewFile(path(os.path.join(target, f"{_POINTER}{number:012d}-{version}")))
-    _prune(spark, target, keep)
-    return os.path.join(target, version)
+    folder, fs_path = os.path.join(target, version), _file_system(spark, target)
+    fs, path = fs_path
+    fs.mkdirs(path(target))
+    loading = path(os.path.join(target, f"{_LOADING}{version}"))
+    fs.create(loading, True).close()
+    try:
+        out = enforced(df if audit is None else df.observe(audit, F.count(F.lit(1)).alias("rows"), *metrics))
+        out.drop("_staged").write.mode("errorifexists").parquet(folder)
+        number = _claim_number(spark, target)
+        fs.create(path(os.path.join(target, f"{_POINTER}{number:012d}-{version}")), False).close()
+    except BaseException:
+        fs.delete(path(folder), True)
+        raise
+    finally:
+        fs.delete(loading, False)
+    _prune(spark, target, keep, abandoned_after)
+    return folder
 
 
 def _version(pointer: str) -> str:
     return pointer.split("-", 2)[2]
 
 
-def _prune(spark: SparkSession, target: str, keep: int) -> None:
+def _prune(spark: SparkSession, target: str, keep: int, abandoned_after: float) -> None:
+    """Delete what is older than the ``keep`` newest pointers and the versions
+    that are neither published nor being loaded. A load's mark goes only after
+    its pointer is there, so folders, marks and pointers are listed in this order."""
     fs, path = _file_system(spark, target)
+    versions, marks = _names(spark, target, "v-"), _names(spark, target, _LOADING)
     names = _pointers(spark, target)
-    kept = {_version(n) for n in names[-max(keep, 1):]}
-    for n in names[:-max(keep, 1)]:
+    kept = names[-max(keep, 1):]
+    deadline = (time.time() - abandoned_after) * 1000
+    dead = {m for m, changed in marks.items() if changed < deadline}
+    live = {_version(n) for n in kept} | {m[len(_LOADING):] for m in marks if m not in dead}
+    oldest = min((int(n.split("-")[1]) for n in kept), default=0)
+    claims = [c for c in _names(spark, target, _CLAIM) if int(c.split("-")[1]) < oldest]
+    for n in [*names[:-max(keep, 1)], *dead, *claims]:
         fs.delete(path(os.path.join(target, n)), False)
-        if _version(n) not in kept:
-            fs.delete(path(os.path.join(target, _version(n))), True)
+    for v in versions:
+        if v not in live:
+            fs.delete(path(os.path.join(target, v)), True)
 
 
 def drop_folder(spark: SparkSession, folder: str) -> None:

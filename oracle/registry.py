@@ -5,7 +5,7 @@ from __future__ import annotations
 from ledgerline.plans import fixture as f
 from ledgerline.sources.sinks import REPORT_DATASET_HEADINGS
 
-from oracle import operator_sql
+from oracle import operator_sql, warehouse
 from oracle import products as p
 
 
@@ -30,6 +30,11 @@ def oracle_sql() -> dict[str, str]:
         "param_filters": p.sql_param_client_group(f.PARAM_HEADERS),
         "param_corp": p.sql_param_corp(f.PARAMS),
         "param_site": p.sql_param_site(f.PARAMS),
+        "source_violations": warehouse.sql_violations(),
+        "warehouse_mart": p.sql_mart(cfg),
+        "warehouse_extract": p.sql_extract_a(f.EXTRACT),
+        "report_site_relation": warehouse.sql_site_relation(f.REPORT),
+        "param_group_relation": warehouse.SQL_GROUP_RELATION,
         "special_variants": p.sql_branch("special", cfg, True),
         "regular_variants": p.sql_branch("regular", cfg, True),
         "bucket_variants": p.sql_branch("bucket", cfg, True),

@@ -2,17 +2,17 @@
 
 One pass reads every text, takes the per-document counts and the 64-bit hash
 of every normalised line (words in ASCII lower case, digits as 0, blanks
-dropped). A line's frequency on a host is the number of different texts of that host that hold it, so that exact copies of
-one page do not make its lines look like boilerplate. Lines above
+dropped). A line's frequency on a host is the number of documents (rows) of
+that host that hold it, exact copies included. Lines above
 ``max_docs_per_host`` go; a document left with fewer than ``min_words`` words
 or less than ``min_kept_share`` of its words is depleted and rejected.
 
 Defined results: null text is empty, a null host is the host ``""``, a null id
 stays null; an empty text has no words and fails the base rule; repeated rows
 each get their own row; an empty table gives an empty result; other columns
-are not read. Only distinct (host, text, line) hashes are shuffled, combined
-before the shuffle; the join to the frequent lines is a plain equi-join that
-the adaptive planner splits where one line is hot.
+are not read. Only (host, line) counts are shuffled, combined before the
+shuffle; the frequent lines are written before they are joined, so that the
+adaptive planner can split the join where one line is hot.
 """
 
 from __future__ import annotations
@@ -122,10 +122,14 @@ def _counted(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
 
 
 def frequent_lines(counted: DataFrame, max_docs_per_host: int = MAX_DOCS_PER_HOST) -> DataFrame:
-    """(host, line hash, number of different texts) of every line above the limit."""
-    return (counted.select("_host", "_text_hash", F.explode("_lines").alias("_line")).distinct()
-            .groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_docs"))
-            .filter(F.col("_docs") > max_docs_per_host))
+    """(host, line hash, number of documents) of every line above the limit,
+    written: a join straight on top of the grouping would keep all documents
+    of a hot line in one task. A document's lines are distinct already, so
+    the count is combined before the shuffle."""
+    frequent = (counted.select("_host", F.explode("_lines").alias("_line"))
+                .groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_docs"))
+                .filter(F.col("_docs") > max_docs_per_host))
+    return staged(counted.sparkSession, frequent, "frequent-lines")
 
 
 def line_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",

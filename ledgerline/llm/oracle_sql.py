@@ -20,7 +20,7 @@ worded as (
          regexp_extract_all(translate(raw, '{UPPER}0123456789', '{UPPER.lower()}0000000000'), {WORD}) as w
   from line where regexp_matches(raw, {WORD})),
 frequent as (
-  select host, line from (select distinct host, text, array_to_string(w, ' ') as line from worded)
+  select host, line from (select distinct k, host, array_to_string(w, ' ') as line from worded)
   group by host, line having count(*) > {lf.MAX_DOCS_PER_HOST}),
 removed as (
   select k, sum(len(w)) as n from worded join frequent using (host)
@@ -48,16 +48,17 @@ judged as (
   from counted)
 select *, not base_failed and not depleted as kept from judged"""
 
-TOP_K = """
-with usable as (
-  select vec_id, [floor(256 * cast(x as double)) for x in embedding] as c from embeddings
-  where vec_id is not null and embedding is not null
-    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+VECTORS = """
+usable as (
+  select row_number() over () as r, vec_id, label, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as c
+  from embeddings where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0)"""
+
+TOP_K = f"""
+with {VECTORS},
 scored as (
-  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.c, c.c) as bigint) as score
-  from usable q join usable c on c.vec_id <> q.vec_id
-  where q.vec_id % 50 = 0)
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+  select q.r as query, q.vec_id as query_id, o.vec_id, cast(list_inner_product(q.c, o.c) as bigint) as score
+  from usable q join usable o on q.r <> o.r where q.vec_id % 50 = 0 and o.vec_id is not null)
+select query_id, cast(row_number() over (partition by query order by score desc, vec_id) as integer) as rank, vec_id, score
 from scored qualify rank <= 5"""
 
 SUBSTRING = rf"""
@@ -107,11 +108,6 @@ named as (
   from doc left join body using (w) left join size using (n) left join least using (n))
 select doc_id, n_shingles, component_id, coalesce(doc_id = component_id, false) as kept from named"""
 
-VECTORS = """
-usable as (
-  select row_number() over () as r, vec_id, label, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as c
-  from embeddings where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0)"""
-
 HARD_NEGATIVES = f"""
 with {VECTORS},
 relabelled as (

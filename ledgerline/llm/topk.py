@@ -8,17 +8,19 @@ each slice the candidates whose upper bound is below the k-th best lower bound
 are dropped and the rest compacted. A worker keeps the best k of each query it
 has met, so later blocks start from a better bound.
 
-Queries are dealt into blocks of bounded size, and every candidate block meets
-every query block once, by an equi-join on block numbers. Only the k best of
-each meeting are shuffled.
+Queries are dealt into blocks of bounded size. Every candidate block is moved
+once, to its lane, in the narrowest integers that hold the components; the
+query blocks, a stated share of the rows, go to every lane, where an equi-join
+on the lane lets them meet its candidates. Only the k best of each meeting are
+shuffled.
 
 Components are ``floor(scale * x)`` as whole numbers. Defined results: vectors
 that are null, hold null or non-finite components, or have a null id take no
-part; shorter vectors are filled up with zeros; every row is a candidate, so
-an id on several rows can be found several times; a query id on several rows is
-one query, with the smallest of its vectors; equal scores go to the smaller
-id; an empty table gives an empty result; other columns are not read. Scores
-must fit a long.
+part; shorter vectors are filled up with zeros; every row is a candidate of
+every query but its own, so an id on several rows can be found several times,
+also by the queries that share it; every row of a query id is a query of its
+own; equal scores go to the smaller id; an empty table gives an empty result;
+other columns are not read. Scores must fit a long.
 """
 
 from __future__ import annotations
@@ -30,56 +32,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.staging import input_partitions
+from ledgerline.llm import vectors as V
+from ledgerline.llm.staging import input_partitions, staged
 
 BLOCK = 8192
-QUERY_BLOCK = 512
+QUERY_BLOCK = 1024
 SLICE = 16
 
 
-def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    v = F.col(vector_col).cast("array<double>")
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (vectors.select(F.col(id_col).cast("long").alias("_id"), v.alias("_vector"))
-            .filter(F.col("_id").isNotNull() & F.col("_vector").isNotNull() & finite.alias("_finite")))
+def _blocks(dims: int, kind, size: int):
+    """Runs of up to ``size`` vectors as one row: row keys, ids and the vertical matrix."""
 
-
-def _matrix(column: pa.Array, dims: int, scale: float) -> np.ndarray:
-    """Rows of whole-number components, filled up with zeros."""
-    offsets = np.asarray(column.offsets)
-    values = np.floor(scale * np.asarray(column.flatten(), dtype=np.float64)).astype(np.int64)
-    lengths = np.diff(offsets)
-    out = np.zeros((len(column), dims), dtype=np.int64)
-    row = np.repeat(np.arange(len(column)), lengths)
-    out[row, np.arange(len(values)) - np.repeat(offsets[:-1] - offsets[0], lengths)] = values
-    return out
-
-
-def _blocks(dims: int, scale: float, size: int):
-    """Runs of up to ``size`` vectors as one row: ids and the vertical matrix."""
-
-    def block(ids, rows):
+    def block(keys, ids, rows):
         return pa.RecordBatch.from_arrays(
-            [pa.array([ids[0]], type=pa.int64()), pa.array([ids.tobytes()], type=pa.binary()),
-             pa.array([np.ascontiguousarray(rows.T).tobytes()], type=pa.binary())], names=["_key", "_ids", "_columns"])
+            [pa.array([keys[0]], type=pa.int64()), *[pa.array([c.tobytes()], type=pa.binary()) for c in
+                                                     (keys, ids, np.ascontiguousarray(rows.T))]],
+            names=["_key", "_rows", "_ids", "_columns"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, rows, n = [], [], 0
+        held, n = [], 0
         for batch in batches:
-            ids.append(batch.column("_id").to_numpy())
-            rows.append(_matrix(batch.column("_vector"), dims, scale))
-            n += len(ids[-1])
+            held.append([batch.column("_row").to_numpy(), batch.column("_id").to_numpy(), V.matrix(batch.column("_whole"), dims, kind)])
+            n += batch.num_rows
             while n >= size:
-                all_ids, all_rows = np.concatenate(ids), np.concatenate(rows)
-                yield block(all_ids[:size], all_rows[:size])
-                ids, rows, n = [all_ids[size:]], [all_rows[size:]], n - size
+                columns = [np.concatenate(c) for c in zip(*held)]
+                yield block(*[c[:size] for c in columns])
+                held, n = [[c[size:] for c in columns]], n - size
         if n:
-            yield block(np.concatenate(ids), np.concatenate(rows))
+            yield block(*[np.concatenate(c) for c in zip(*held)])
 
     return run
 
 
-_BLOCK_SCHEMA = "_key long, _ids binary, _columns binary"
+_BLOCK_SCHEMA = "_key long, _rows binary, _ids binary, _columns binary"
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -87,9 +72,9 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, columns: np.ndarray, ids: np.ndarray, k: int,
-                 floors: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, candidate ids, scores) of the k best candidates of a block, as
+def search_block(queries: np.ndarray, query_rows: np.ndarray, columns: np.ndarray, rows: np.ndarray, ids: np.ndarray,
+                 k: int, floors: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query row, candidate ids, scores) of the k best candidates of a block, as
     far as they can be among the best k. ``floors`` holds each query's k best
     scores of earlier blocks."""
     dims, n = columns.shape
@@ -108,9 +93,9 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, columns: np.ndarray
     query_mass = mass(queries, 1) if dims else None
     begin = queries[:, :edges[1]] @ columns[:edges[1]]
     for q in range(len(queries)):
-        alive = np.flatnonzero(ids != query_ids[q])
+        alive = np.flatnonzero(rows != query_rows[q])
         part = begin[q][alive]
-        known = floors.get(int(query_ids[q]), np.zeros(0))
+        known = floors.get(int(query_rows[q]), np.zeros(0))
         for lo, hi in zip(edges[1:-1], edges[2:]):
             if exact and len(alive) > k:
                 open_mass = query_mass[q, lo - 1] * candidate_mass[lo - 1, alive] * (1 + 1e-9) + 1e-6
@@ -123,54 +108,55 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, columns: np.ndarray
             part = part + queries[q, lo:hi] @ columns[lo:hi, alive]
         best = _best(ids[alive], part, k)
         found, scores = ids[alive[best]], part[best].astype(np.int64)
-        floors[int(query_ids[q])] = np.sort(np.concatenate([known, scores]))[::-1][:k]
-        yield int(query_ids[q]), found, scores
+        floors[int(query_rows[q])] = np.sort(np.concatenate([known, scores]))[::-1][:k]
+        yield int(query_rows[q]), found, scores
 
 
-def _search(dims: int, k: int):
+def _search(dims: int, kind, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floors: dict = {}
         for batch in batches:
-            for query_ids, queries, ids, columns in zip(*[batch.column(c).to_pylist() for c in
-                                                          ("_query_ids", "_query_columns", "_ids", "_columns")]):
-                query_ids, ids = np.frombuffer(query_ids, np.int64), np.frombuffer(ids, np.int64)
-                queries = np.frombuffer(queries, np.int64).reshape(dims, len(query_ids)).T
-                columns = np.frombuffer(columns, np.int64).reshape(dims, len(ids))
+            for query_rows, queries, rows, ids, columns in zip(*[batch.column(c) for c in (
+                    "_query_rows", "_query_columns", "_rows", "_ids", "_columns")]):
+                query_rows, rows, ids = (np.frombuffer(c.as_buffer(), np.int64) for c in (query_rows, rows, ids))
+                queries = np.frombuffer(queries.as_buffer(), kind).reshape(dims, len(query_rows)).T.astype(np.int64)
+                columns = np.frombuffer(columns.as_buffer(), kind).reshape(dims, len(ids)).astype(np.int64)
                 if len(floors) > 64 * QUERY_BLOCK:
                     floors.clear()
-                found = list(search_block(queries, query_ids, columns, ids, k, floors))
+                found = list(search_block(queries, query_rows, columns, rows, ids, k, floors))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)),
                      pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))],
-                    names=["query_id", "vec_id", "score"])
+                    names=["_query", "vec_id", "score"])
     return run
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: float = 256.0) -> DataFrame:
-    """The k best candidates of every row where the column ``is_query(id)`` holds."""
+    """(query_id, rank, vec_id, score): the k best candidates of every row where
+    the column ``is_query(id)`` holds."""
     spark = vectors.sparkSession
-    usable = _usable(vectors, id_col, vector_col)
-    queries = usable.filter(is_query(F.col("_id"))).groupBy("_id").agg(F.min("_vector").alias("_vector"))
-    facts = usable.agg(F.max(F.size("_vector")).alias("d"),
-                       F.count(F.when(is_query(F.col("_id")), 1)).alias("n")).first()
-    dims = max(facts["d"] or 0, 1)
-    query_blocks = max(1, -(-facts["n"] // QUERY_BLOCK))
-    lanes = input_partitions(spark)
-    dealt = (queries.repartition(query_blocks, "_id").mapInArrow(_blocks(dims, scale, QUERY_BLOCK), _BLOCK_SCHEMA)
-             .select(F.pmod(F.xxhash64("_key"), F.lit(query_blocks)).alias("_lane_of_queries"),
-                     F.col("_ids").alias("_query_ids"), F.col("_columns").alias("_query_columns")))
-    candidates = (usable.mapInArrow(_blocks(dims, scale, BLOCK), _BLOCK_SCHEMA)
-                  .withColumn("_lane", F.pmod(F.xxhash64("_key"), F.lit(lanes)).cast("int"))
-                  .withColumn("_lane_of_queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long")))))
-    meetings = candidates.join(
-        dealt.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))), ["_lane_of_queries", "_lane"])
-    found = (meetings.select("_query_ids", "_query_columns", "_ids", "_columns")
-             .mapInArrow(_search(dims, k), "query_id long, vec_id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    usable = (vectors.select(F.col(id_col).cast("long").alias("_id"), V.whole(F.col(vector_col), scale).alias("_whole"))
+              .filter(F.col("_id").isNotNull() & F.col("_whole").isNotNull())
+              .select(F.monotonically_increasing_id().alias("_row"), "*"))
+    usable = staged(spark, usable, "search-vectors")
+    dims, low, high = V.extent(usable, "_whole")
+    dims, kind, lanes = max(dims, 1), V.narrow(low, high), input_partitions(spark)
+    queries = usable.filter(is_query(F.col("_id")))
+    query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    dealt = (queries.repartition(query_blocks, "_row").mapInArrow(_blocks(dims, kind, QUERY_BLOCK), _BLOCK_SCHEMA)
+             .select(F.col("_rows").alias("_query_rows"), F.col("_columns").alias("_query_columns"),
+                     F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("_lane")))
+    candidates = (usable.mapInArrow(_blocks(dims, kind, BLOCK), _BLOCK_SCHEMA)
+                  .withColumn("_lane", F.pmod(F.xxhash64("_key"), F.lit(lanes)).cast("int")))
+    found = (candidates.join(dealt, "_lane").select("_query_rows", "_query_columns", "_rows", "_ids", "_columns")
+             .mapInArrow(_search(dims, kind, k), "_query long, vec_id long, score long"))
+    order = Window.partitionBy("_query").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    named = queries.select(F.col("_row").alias("_query"), F.col("_id").alias("query_id"))
+    return best.join(named, "_query").select("query_id", "rank", "vec_id", "score")
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return top_k(vectors, lambda i: i % 50 == 0).select("query_id", "rank", "vec_id", "score")
+    return top_k(vectors, lambda i: i % 50 == 0)

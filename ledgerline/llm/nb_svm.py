@@ -186,13 +186,16 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, folds: int = 3) -> Model:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_rows: int = MAX_ROWS) -> Model:
-    """Fit on the labelled rows outside the held-out fifth, at most ``max_rows``."""
+    """Fit on the labelled ids outside the held-out fifth, at most ``max_rows``; of
+    the rows that share an id the text with the smallest hash, chosen on Spark."""
     known = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y"))
              .filter(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & (F.crc32(F.col("_id").cast("string")) % 5 != 0))
              .groupBy("_id").agg(F.min("_y").alias("_y"))
              .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
     rows = (docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-            .join(F.broadcast(known), "_id"))
+            .join(F.broadcast(known), "_id")
+            .groupBy("_id").agg(F.min("_y").alias("_y"), F.min(F.struct(F.xxhash64("_text"), "_text")).alias("_one"))
+            .select("_id", "_y", F.col("_one._text").alias("_text")))
 
     def run(batches):
         for batch in batches:

@@ -46,12 +46,13 @@ BASE = (
 _GAP = r"(?:\\++[nrt]|[\s\"',>#|\\])"
 _END = r"-----END [A-Z ]{0,30}PRIVATE KEY-----"
 _BODY = r"[A-Za-z0-9+/=]"
+_INSIDE = r"[A-Za-z0-9+/=\s\"',>#|\\]"  # body and gaps: one class, so a key of any length is matched without recursion
 ADDED = (
     Kind("key", r"(?<![A-Za-z0-9_-])(?:gh[oprsu]|glpat|[prs]k|xox[abprs])[-_][A-Za-z0-9_-]{16,}+"),
     Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Kind("pem", rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----{_GAP}{{0,64}}+"
                 rf"(?:[A-Z][A-Za-z-]{{1,40}}+:\x20?[^\s\\]{{0,128}}+{_GAP}{{1,64}}+){{0,8}}+"
-                rf"({_BODY}{{16,16384}}+(?:{_GAP}{{0,64}}+{_BODY}{{1,16384}}+){{0,1023}}+(?={_GAP}{{0,64}}+{_END})"
+                rf"((?={_BODY}{{16}})(?={_INSIDE}*+{_END}){_INSIDE}*{_BODY}(?<!\\[nrt])(?={_GAP}{{0,64}}+{_END})"
                 rf"|{_BODY}{{16,16384}}+(?:{_GAP}{{0,64}}+{_BODY}{{16,16384}}+){{0,1023}}+)", 1),
 )
 KINDS = BASE + ADDED
@@ -83,10 +84,12 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """Different owners and repositories of every candidate hash."""
-    return (spans.select("_hash", "_owner", "_repository").distinct()
+    """Different owners and repositories of every candidate hash, written: a join
+    straight on top of the grouping would keep all spans of a hot hash in one task."""
+    counted = (spans.select("_hash", "_owner", "_repository").distinct()
             .groupBy("_hash", "_owner").agg(F.count(F.lit(1)).alias("_n"))
             .groupBy("_hash").agg(F.count(F.lit(1)).alias("_owners"), F.sum("_n").alias("_repositories")))
+    return staged(spans.sparkSession, counted, "secret-owners")
 
 
 def judged(spans: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:

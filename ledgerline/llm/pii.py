@@ -10,8 +10,8 @@ bounded sample (``max_rows`` candidates, shared out by kind, those with the smal
 hashes of each; a rare kind's rows weigh more) with labels from the base
 rules and the formats' check rules. All candidates are scored; on the held-out
 fifth of all of them each kind gets the lowest probability cut at which
-``MIN_PRECISION`` of what is above it is labelled, or ``DEFAULT_CUT`` if the
-whole corpus has too few of it. Base spans that meet their rule are always reported; other
+``MIN_PRECISION`` of what is above it is labelled, a prior of ``PRIOR``
+candidates included (``cuts``). Base spans that meet their rule are always reported; other
 candidates are reported where their probability reaches their kind's cut and
 no reported base span already holds them.
 
@@ -36,8 +36,7 @@ from ledgerline.llm.staging import documents, staged
 
 MAX_ROWS = 20_000
 MIN_PRECISION = 0.95
-MIN_CALIBRATION = 5
-DEFAULT_CUT = 0.5
+PRIOR = 5
 MOST_WEIGHT = 50.0
 TREES, DEPTH = 12, 3
 MARK = "[PII]"
@@ -166,21 +165,21 @@ def quotas(counts: dict[int, int], max_rows: int) -> dict[int, int]:
 
 
 def cuts(scored: DataFrame, min_precision: float = MIN_PRECISION) -> dict[int, float]:
-    """For each kind the lowest probability from which on ``min_precision`` of
-    the candidates are labelled; kinds without such a cut are left out, and those
-    with under ``MIN_CALIBRATION`` candidates get ``DEFAULT_CUT``."""
+    """For each kind the lowest probability from which on the precision reaches
+    ``min_precision``: the share of labelled candidates, with ``PRIOR`` further
+    ones that are right as often as the trees say at that probability. So a kind
+    without any candidates is cut at ``min_precision`` itself, every kind has a
+    cut, and counts take over steadily as a corpus grows."""
     bins: dict[int, dict[int, tuple[int, int]]] = {k: {} for k in range(len(KINDS))}
     for r in (scored.groupBy("_kind", F.floor(F.col("_p") * 100).cast("int").alias("_bin"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_valid").cast("int")).alias("good")).collect()):
         bins[r["_kind"]][r["_bin"]] = (r["n"], r["good"])
     out = {}
     for kind, by_bin in bins.items():
-        if sum(n for n, _ in by_bin.values()) < MIN_CALIBRATION:
-            out[kind] = DEFAULT_CUT
         n = good = 0
-        for b in sorted(by_bin, reverse=True):
-            n, good = n + by_bin[b][0], good + by_bin[b][1]
-            if n >= MIN_CALIBRATION and good >= min_precision * n:
+        for b in range(100, -1, -1):
+            n, good = n + by_bin.get(b, (0, 0))[0], good + by_bin.get(b, (0, 0))[1]
+            if good + PRIOR * b / 100 >= min_precision * (n + PRIOR):
                 out[kind] = b / 100
     return out
 

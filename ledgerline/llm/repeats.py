@@ -368,6 +368,7 @@ def removals_of(blocks: DataFrame, copies: DataFrame, text_at: int, size: int) -
     leaders = runs.join(known.select("_part", "_chunk", "_row", "_start"), ["_part", "_chunk", "_row", "_start"], "left_anti")
     several = (leaders.groupBy("_anchor").agg(F.min("_run").alias("_a"), F.max("_run").alias("_b"))
                .filter("_a <> _b").select("_anchor"))
+    several = staged(spark, several, "repeat-several")  # written, so that the rows of a common anchor can be split
     split = leaders.filter("not _self").join(several, "_anchor", "left_semi").select(*place, "_id").union(
         leaders.filter("_self").select(*place, "_id"))
     windows = staged(spark, texts.groupBy("_part").cogroup(split.groupBy("_part")).applyInArrow(_split(text_at, size), _WINDOW),

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import text as T
@@ -69,18 +69,24 @@ def fingerprint_texts(x: T.Texts, shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
+def _text_key(text):
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(``_id``, ``_fp``): each row's id and fingerprint as a signed long."""
+    """(``_id``, ``_key``, ``_fp``): each row's id, digest of its text, and fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [fingerprint_texts(x, shingle) for _, _, x in T.chunks(batch.column("_text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64))],
-                names=["_id", "_fp"])
+                [batch.column("_id"), batch.column("_key"),
+                 pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64))],
+                names=["_id", "_key", "_fp"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-            .mapInArrow(run, "_id long, _fp long"))
+    return (docs.select(F.col(id_col).cast("long").alias("_id"), _text_key(F.col(text_col)).alias("_key"),
+                        F.coalesce(text_col, F.lit("")).alias("_text"))
+            .mapInArrow(run, "_id long, _key binary, _fp long"))
 
 
 def _settle(labels: np.ndarray, linked) -> np.ndarray:
@@ -168,29 +174,44 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """(``_id``, ``_fp``, ``_component``): smallest id reachable over links."""
+    """(``_id``, ``_key`` digest of the text, ``_fp``, ``_root`` of the component,
+    ``_component``: smallest id reachable over links)."""
     spark = docs.sparkSession
     rows = staged(spark, fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = rows.groupBy("_fp").agg(F.min("_id").alias("_least"))
     roots = components(spark, links(distinct.select("_fp"), max_bits), "a", "b")
     rooted = (distinct.join(roots, F.col("_fp") == F.col("node"), "left")
               .select("_fp", "_least", F.coalesce("root", "_fp").alias("_root")))
+    rooted = staged(spark, rooted, "rooted-fingerprints")
     least = staged(spark, rooted.groupBy("_root").agg(F.min("_least").alias("_component")), "least-ids")
-    named = rooted.join(least, "_root").select("_fp", "_component")
-    return rows.join(named, "_fp").select("_id", "_fp", "_component")
+    named = staged(spark, rooted.join(least, "_root").select("_fp", "_root", "_component"), "named-fingerprints")
+    return rows.join(named, "_fp").select("_id", "_key", "_fp", "_root", "_component")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that with the smallest id
-    (of rows that share it, the one with the smallest row hash). Rows with a
-    null id can't be told apart and stay. The columns of ``docs``."""
-    lost = (near_duplicates(docs).filter(F.col("_id") != F.col("_component"))
-            .select(F.col("_id").alias("_simhash_lost")).distinct())
-    kept = docs.join(lost, F.col("doc_id").cast("long") == F.col("_simhash_lost"), "left_anti")
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    tie = F.row_number().over(Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), row)).orderBy(row))
-    return (kept.withColumn("_simhash_place", tie)
-            .filter((F.col("_simhash_place") == 1) | F.col("doc_id").isNull()).drop("_simhash_place"))
+    """One row of each near-duplicate group, the columns of ``docs``: that with
+    the smallest (id, digest of the text); null ids come last. Decided by row,
+    so of the texts that share an id, or have none, each stays unless it is a
+    near copy. Of rows with the same id and text (null and empty texts are the
+    same) the one with the smallest row hash stays. Groups are reduced by
+    grouped minima, combined before the shuffle; only such repeated rows are
+    grouped with their columns."""
+    found = staged(spark, near_duplicates(docs).select("_id", "_key", "_root"), "simhash-rows")
+    first = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_key"))
+    firsts = staged(spark, found.groupBy("_root").agg(first.alias("_first")), "simhash-firsts")
+    is_first = F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_key") == F.col("_first._key"))
+    judged = found.join(firsts, "_root").select("_id", "_key", is_first.alias("_stays"))
+    times = staged(spark, judged.groupBy("_id", "_key").agg(F.max("_stays").alias("_stays"), F.count(F.lit(1)).alias("_times")),
+                   "simhash-verdicts")
+    lost = times.filter("not _stays").select(F.col("_id").alias("_simhash_id"), F.col("_key").alias("_simhash_key"))
+    again = times.filter("_stays and _times > 1").select(F.col("_id").alias("_simhash_id"), F.col("_key").alias("_simhash_key"))
+    same = (docs["doc_id"].cast("long").eqNullSafe(F.col("_simhash_id"))) & (_text_key(docs["text"]) == F.col("_simhash_key"))
+    once = docs.join(lost.union(again), same, "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("_simhash_row")
+    several = (docs.join(again, same, "left_semi")
+               .groupBy(F.col("doc_id").alias("_simhash_id"), _text_key(F.col("text")).alias("_simhash_key")).agg(least))
+    return once.union(several.select(*[F.col(f"_simhash_row.`{c}`").alias(c) for c in docs.columns]))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,18 +51,53 @@ def test_line_counts(messy):
 def test_frequent_lines_are_cut(spark):
     rng = random.Random(3)
     rows = [(i, f"Shared  LINE {i % 10} of all pages\n{prose(rng, 40)}") for i in range(30)]
-    rows += [(100 + i, rows[0][1]) for i in range(30)]                 # copies do not add to a line's count
+    rows += [(100 + i, rows[0][1]) for i in range(30)]                 # exact copies are documents too
     rows += [(200 + i, "shared line 5 of all pages\n" + f"w{i}") for i in range(3)]  # almost nothing else: depleted
     docs = frame(spark, rows).withColumn("source", F.lit("h"))
-    got = {r["_id"]: r for r in line_frequency.line_frequency(docs, max_docs_per_host=31).collect()}
+    got = {r["_id"]: r for r in line_frequency.line_frequency(docs, max_docs_per_host=62).collect()}
     assert all(r.n_removed_words == 6 for r in got.values())           # blanks, case and digits are folded
     assert all(got[i].kept for i in range(30)) and all(got[200 + i].depleted for i in range(3))
-    assert all(r.n_removed_words == 0 for r in line_frequency.line_frequency(docs, max_docs_per_host=33).collect())
-    clean = {r.doc_id: r.text for r in line_frequency.clean_documents(docs, max_docs_per_host=31).collect()}
+    assert all(r.n_removed_words == 0 for r in line_frequency.line_frequency(docs, max_docs_per_host=63).collect())
+    clean = {r.doc_id: r.text for r in line_frequency.clean_documents(docs, max_docs_per_host=62).collect()}
     assert set(clean) == set(range(30)) | set(range(100, 130))
     assert all("pages" not in t for t in clean.values()) and clean[7] == rows[7][1].split("\n", 1)[1]
 
 
+def test_lines_of_many_copies_are_cut(spark):
+    """Thousands of documents that are one text: its lines are frequent, the documents depleted."""
+    rng = random.Random(41)
+    page, rest = prose(rng, 60), [prose(rng, 60) for _ in range(20)]
+    rows = [(i, page) for i in range(2000)] + [(None, page), (None, page)] + [(3000 + i, t) for i, t in enumerate(rest)]
+    docs = frame(spark, rows).withColumn("source", F.lit("h"))
+    got = line_frequency.line_frequency(docs).collect()
+    assert len(got) == len(rows)
+    assert all(r.depleted and r.n_removed_words == r.n_words for r in got if r["_id"] is None or r["_id"] < 3000)
+    assert all(r.kept for r in got if r["_id"] is not None and r["_id"] >= 3000)
+
+
+def test_a_hot_line_can_be_split(spark):
+    """The join with the frequent lines reads a written table on both sides of
+    the grouping, so AQE may split a line that a third of all documents hold."""
+    rng = random.Random(42)
+    rows = [(i, "a line of every page of this host\n" + " ".join(words(prose(rng, 25)))) for i in range(1500)]
+    docs = frame(spark, rows).withColumn("source", F.lit("h"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = line_frequency.line_frequency(docs.repartition(8))
+        assert all(r.n_removed_words == 8 for r in found.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 # ------------------------------------------------------------ 2 classifier
 
 def test_dual_descent_solves_the_hinge_problem():
@@ -169,11 +204,29 @@ def test_simhash_odd_ids(odd_ids, nothing, spark):
     assert got == sorted([("1", 1), ("1", 1), ("None", 1), ("None", 1), ("2", 2), ("None", 2), ("3", 3), ("3", 3), ("None", 3)])
     kept = simhash.keep_one(spark, docs, "")
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.filter("doc_id is not null").collect()) == [1, 2, 3]
-    assert kept.filter("doc_id is null").count() == 4
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, rows[0][1]), (2, rows[4][1]), (3, "")]
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_one(spark, nothing, "").count() == 0
 
 
+def test_simhash_keeps_every_unique_text(spark):
+    """Rows that share an id, or have none, are decided by their texts."""
+    rng = random.Random(31)
+    t, u, v, w = (prose(rng, 80) for _ in range(4))
+    rows = [(1, t), (2, t), (2, u), (None, t), (None, v), (None, v), (7, w), (7, w), (7, w), (8, w)]
+    kept = simhash.keep_one(spark, frame(spark, rows), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, t), (2, u), (None, v), (7, w)], key=str)
+
+
+def test_simhash_spreads_one_id(spark):
+    """A third of all rows on one id, each a text of its own: all stay, and no task has them all."""
+    rng = random.Random(32)
+    rows = [(5 if i % 3 == 0 else 100 + i, prose(rng, 30)) for i in range(300)]
+    kept = simhash.keep_one(spark, frame(spark, rows).repartition(6), "")
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(rows)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 # ------------------------------------------------------------ 4 language model
 
 def test_language_model(spark, messy, nothing):
@@ -325,7 +378,8 @@ def slow_top(rows, k, is_query):
            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     width = max(len(v) for _, v in use)
     use = [(i, np.pad(v, (0, width - len(v)))) for i, v in use]
-    return {q: sorted(((-int(v @ x), i) for i, x in use if i != q))[:k] for q, v in use if is_query(q)}
+    return sorted((q, r + 1, i, s) for m, (q, v) in enumerate(use) if is_query(q)
+                  for r, (s, i) in enumerate(sorted(((-int(v @ x), i) for n, (i, x) in enumerate(use) if n != m))[:k]))
 
 
 def test_top_k(spark):
@@ -333,14 +387,16 @@ def test_top_k(spark):
     rows = [(i, (rng.normal(size=24) / 5).round(2).tolist()) for i in range(400)]
     rows += [(1000 + i, rows[i][1]) for i in range(0, 60, 3)]  # ties
     rows += [(2000, None), (2050, [1.0, None]), (2100, [float("nan")] * 24), (2150, [float("inf")] * 24), (None, rows[0][1]),
-             (2200, []), (2250, [0.5, -0.5])]
+             (2200, []), (2250, [0.5, -0.5]), (50, rows[1][1]), (50, rows[50][1]), (100, rows[100][1])]  # ids on several rows
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
     typed = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     want = slow_top(typed, 5, lambda q: q % 50 == 0)
-    got = collections.defaultdict(list)
-    for r in topk.top_k(df, lambda c: c % 50 == 0).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((-r.score, r.vec_id))
-    assert dict(got) == want
+    found = topk.top_k(df.repartition(3), lambda c: c % 50 == 0)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted((r.query_id, r["rank"], r.vec_id, -r.score) for r in found.collect()) == want
+    twin = spark.createDataFrame([(50, [1.0, 0.0]), (50, [0.5, 0.5]), (1, [0.25, 0.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(twin, lambda c: c % 50 == 0).collect())) == [
+        (50, 1, 50, 32768), (50, 1, 50, 32768), (50, 2, 1, 8192), (50, 2, 1, 16384)]
     assert topk.top_k(df.limit(0), lambda c: c % 50 == 0).count() == 0
     few = topk.top_k(df.filter("vec_id in (0, 1, 2)"), lambda c: c % 50 == 0).collect()
     assert len(few) == 2
@@ -352,7 +408,7 @@ def test_bounds_drop_candidates_but_no_result():
     ids = np.arange(3000)
     queries = columns[:, :20].T.copy()
     floors = {}
-    for q, found, scores in topk.search_block(queries, ids[:20], columns, ids, 5, floors):
+    for q, found, scores in topk.search_block(queries, ids[:20], columns, ids, ids, 5, floors):
         all_scores = queries[q] @ columns
         all_scores[q] = -10**9
         best = np.lexsort((ids, -all_scores))[:5]

@@ -8,13 +8,14 @@ have equal anchors, so an anchor's count is never below that of any of its
 windows, while neighbouring windows share it: about one word in eight is an
 anchor.
 
-1. One pass writes the documents as compressed blocks, bucketed by the task
-   that made them, with the anchors and the hash of the whole word sequence of
+1. One pass writes the documents as compressed blocks, bucketed by part (some
+   blocks of one task, so that a part has a bounded size), with the anchors and the hash of the whole word sequence of
    every text. Later passes read the blocks in place: texts are never shuffled.
-2. The sketch of each task's anchors (counts stopped at two) is sharded by hash; a
-   shard adds up the tasks' sketches to a count-min sketch sized from what it
-   holds and returns to each task its anchors estimated to repeat. The
-   estimate is never too low, so no repeated window is lost.
+2. Each part builds a count-min sketch of its anchors, of a fixed width for each
+   shard, and sends its cells with their counts (stopped at two). A shard adds the
+   parts' sketches up and returns to each part its cells that reach two. An
+   anchor is marked if all its cells do: the estimate is never too low, so no
+   repeated window is lost.
 3. A second pass emits the runs of neighbouring windows of marked anchors as
    one row each. Runs equal as a whole are settled first: all but the first (by id
    and start) go. Only the first ones of anchors with several different runs,
@@ -50,9 +51,10 @@ from ledgerline.llm.staging import documents, staged, staged_by
 
 SIZE = 20
 GRAM = 7
-DEPTH = 4
-WIDTH_FACTOR = 8         # sketch cells in a row for each anchor of a shard
+DEPTH = 2                # rows of the sketch
+CELL_BITS = 32           # a row of a shard has 2**32 cells; only those in use are kept and sent
 SHARD_ANCHORS = 1_000_000
+PART_CHUNKS = 64         # blocks of a part, of a mebibyte of text each
 NULL_ID = 2**63 - 1
 WHOLE = -1               # start of a removal that takes the whole text
 
@@ -111,6 +113,7 @@ _BLOCK = ("_part long, _chunk int, _ids binary, _counts binary, _wholes binary,
 
 def _blocks(text_at: int, size: int):
     """Chunks of rows (the last column is the id) as one row each."""
+    per_part = PART_CHUNKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -128,7 +131,7 @@ def _blocks(text_at: int, size: int):
                           _Spans(words).hash(first[:-1], first[1:]).tobytes(), grams[used].tobytes(),
                           sink.getvalue().to_pybytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], type=pa.int64()), pa.array([chunk], type=pa.int32()),
+                    [pa.array([part << 20 | chunk // per_part], type=pa.int64()), pa.array([chunk], type=pa.int32()),
                      *[pa.array([v], type=pa.binary()) for v in values]],
                     names=[c.split()[0] for c in _BLOCK.split(", ")])
                 chunk += 1
@@ -176,26 +179,36 @@ def copies_of(blocks: DataFrame, size: int) -> DataFrame:
 
 # ---------------------------------------------------------------- 2. the sketch
 
-_SKETCH = "_shard int, _part long, _hashes binary, _often binary"
+_SKETCH = "_line int, _part long, _cells binary, _often binary"
+
+
+def _places_in(hashes: np.ndarray, row: int, shards: int) -> np.ndarray:
+    """Cell of each anchor in a row of the sketch: its shard above ``CELL_BITS`` bits inside it."""
+    shard = (hashes >> np.uint64(20)) % np.uint64(shards)
+    inside = T.mix(hashes + np.uint64(0x632BE59BD9B4E019 * (row + 1) % 2**64)) >> np.uint64(64 - CELL_BITS)
+    return shard << np.uint64(CELL_BITS) | inside
 
 
 def _sketch(shards: int):
-    """The sketch of a task's anchors, cut into shards: its different anchors and
-    whether each occurs once or more often."""
+    """The count-min sketch of each part's anchors, one row for each shard and row
+    of the sketch (``_line``): the cells that are not zero, in order, and one bit for
+    each, set if it counts more than one."""
 
     def flush(part, raw):
-        hashes, counts = np.unique(np.frombuffer(b"".join(raw), dtype=np.uint64), return_counts=True)
-        shard = ((hashes >> np.uint64(20)) % np.uint64(shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-        full = np.flatnonzero(np.diff(cuts))
-        often = np.minimum(counts, 2).astype(np.uint8)
-        pick = [order[cuts[s]:cuts[s + 1]] for s in full]
+        hashes = np.frombuffer(b"".join(raw), dtype=np.uint64)
+        lines, cells, often = [], [], []
+        for row in range(DEPTH):
+            place, counts = np.unique(_places_in(hashes, row, shards), return_counts=True)
+            cuts = np.searchsorted(place >> np.uint64(CELL_BITS), np.arange(shards + 1, dtype=np.uint64))
+            for shard in np.flatnonzero(np.diff(cuts)):
+                some = slice(cuts[shard], cuts[shard + 1])
+                lines.append(int(shard) * DEPTH + row)
+                cells.append(place[some].astype(np.uint32).tobytes())
+                often.append(np.packbits(counts[some] > 1).tobytes())
         return pa.RecordBatch.from_arrays(
-            [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), part), type=pa.int64()),
-             pa.array([hashes[p].tobytes() for p in pick], type=pa.binary()),
-             pa.array([often[p].tobytes() for p in pick], type=pa.binary())],
-            names=["_shard", "_part", "_hashes", "_often"])
+            [pa.array(lines, type=pa.int32()), pa.array([part] * len(lines), type=pa.int64()),
+             pa.array(cells, type=pa.binary()), pa.array(often, type=pa.binary())],
+            names=["_line", "_part", "_cells", "_often"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, raw, waiting = None, [], 0
@@ -212,42 +225,59 @@ def _sketch(shards: int):
     return run
 
 
-def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return (T.mix(hashes + np.uint64(0x632BE59BD9B4E019 * (row + 1) % 2**64)) >> np.uint64(64 - bits)).astype(np.int64)
+def merge_sketches(table: pa.Table) -> pa.Table:
+    """One line of one shard: add up the parts' sketches cell by cell (above two all
+    counts are the same) and return to each part those of its cells that reach two."""
+    parts = [np.frombuffer(b, dtype=np.uint32) for b in table.column("_cells").to_pylist()]
+    often = [np.unpackbits(np.frombuffer(b, dtype=np.uint8))[:len(p)]
+             for b, p in zip(table.column("_often").to_pylist(), parts)]
+    cells, back = np.unique(np.concatenate(parts), return_inverse=True)
+    twice = (np.bincount(back, weights=np.concatenate(often) + 1.0, minlength=len(cells)) >= 2)[back]
+    ends = np.cumsum([len(p) for p in parts])
+    found = [p[twice[e - len(p):e]].tobytes() for p, e in zip(parts, ends)]
+    keep = pa.array([bool(f) for f in found], type=pa.bool_())
+    return pa.table({"_part": table.column("_part").filter(keep), "_line": table.column("_line").filter(keep),
+                     "_cells": pa.array([f for f in found if f], type=pa.binary())})
 
 
-def merge_sketches(table: pa.Table) -> pa.Table:
-    """One shard: add up the tasks' sketches, then return to each task the
-    anchors whose estimate (smallest of ``DEPTH`` cells) is two or more."""
-    parts = [np.frombuffer(b, dtype=np.uint64) for b in table.column("_hashes").to_pylist()]
-    often = [np.frombuffer(b, dtype=np.uint8) for b in table.column("_often").to_pylist()]
-    bits = int(np.ceil(np.log2(max(sum(map(len, parts)), 16) * WIDTH_FACTOR)))
-    cells = np.zeros((DEPTH, 1 << bits), dtype=np.uint8)
-    for hashes, counts in zip(parts, often):
-        for row in range(DEPTH):
-            at = _cells(hashes, row, bits)
-            order = np.argsort(at, kind="stable")  # several of a task's anchors may share a cell
-            at = at[order]
-            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            add = np.minimum(np.add.reduceat(counts[order].astype(np.int64), first), 2).astype(np.uint8)
-            cells[row, at[first]] = np.minimum(cells[row, at[first]] + add, 2)  # above two all counts are the same
-    found = []
-    for hashes in parts:
-        estimate = np.full(len(hashes), 2, dtype=np.uint8)
-        for row in range(DEPTH):
-            estimate = np.minimum(estimate, cells[row, _cells(hashes, row, bits)])
-        found.append(hashes[estimate >= 2].tobytes())
-    keep = np.array([bool(f) for f in found], dtype=bool)
-    return pa.table({"_part": table.column("_part").filter(pa.array(keep)),
-                     "_hashes": pa.array([f for f in found if f], type=pa.binary())})
+_MARK = "_part long, _line int, _cells binary"
 
 
-def marks_of(blocks: DataFrame) -> DataFrame:
-    """(``_part``, ``_hashes``): each task's anchors that are estimated to repeat."""
+def shards_of(blocks: DataFrame) -> int:
+    """Shards of the sketch, by the number of anchors."""
     anchors = blocks.agg(F.sum(F.length("_anchors"))).first()[0] or 0
-    shards = max(8, anchors // 8 // SHARD_ANCHORS)
+    return int(max(8, anchors // 8 // SHARD_ANCHORS))
+
+
+def marks_of(blocks: DataFrame, shards: int) -> DataFrame:
+    """(``_part``, ``_line``, ``_cells``): each part's cells that count two or more in the merged sketch."""
     return (blocks.select("_part", "_anchors").mapInArrow(_sketch(shards), _SKETCH)
-            .groupBy("_shard").applyInArrow(merge_sketches, "_part long, _hashes binary"))
+            .groupBy("_line").applyInArrow(merge_sketches, _MARK))
+
+
+class Marked:
+    """What a part has of the merged sketch."""
+
+    def __init__(self, lines: list, cells: list, shards: int):
+        self.shards = shards
+        self.rows = []
+        for row in range(DEPTH):
+            own = [np.frombuffer(c, dtype=np.uint32).astype(np.uint64) | np.uint64(line // DEPTH << CELL_BITS)
+                   for line, c in zip(lines, cells) if c and line % DEPTH == row]
+            self.rows.append(np.unique(np.concatenate(own)) if own else np.zeros(0, dtype=np.uint64))
+
+    def __bool__(self) -> bool:
+        return all(len(r) for r in self.rows)
+
+    def has(self, anchors: np.ndarray) -> np.ndarray:
+        """Flags of the anchors whose estimate, the smallest of their ``DEPTH`` cells, is two or more."""
+        change = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+        out = np.ones(len(change), dtype=bool)
+        for row, cells in enumerate(self.rows):
+            place = _places_in(anchors[change], row, self.shards)
+            at = np.minimum(np.searchsorted(cells, place), len(cells) - 1)
+            out &= cells[at] == place
+        return np.repeat(out, np.diff(np.append(change, len(anchors))))
 
 
 # ---------------------------------------------------------------- 3. runs and windows
@@ -267,15 +297,15 @@ def _grouped(table: pa.Table, *columns: str) -> dict[int, list[np.ndarray]]:
     return {int(chunk[order[a]]): [v[a:b] for v in values] for a, b in zip(cuts, ends)}
 
 
-def _runs(text_at: int, size: int):
-    """One task's blocks and marks: runs of neighbouring windows of a marked anchor."""
+def _runs(text_at: int, size: int, shards: int):
+    """One part's blocks and marks: runs of neighbouring windows of a marked anchor."""
 
     def run(blocks: pa.Table, marks: pa.Table) -> pa.Table:
-        marked = np.unique(np.frombuffer(b"".join(h for h in marks.column("_hashes").to_pylist() if h), dtype=np.uint64))
+        marked = Marked(marks.column("_line").to_pylist(), marks.column("_cells").to_pylist(), shards)
         copied = _grouped(marks, "_row")
         parts = []
         for part, chunk, ids, raw in zip(*[blocks.column(c).to_pylist() for c in ("_part", "_chunk", "_ids", "_rows")]):
-            if not len(marked):
+            if not marked:
                 break
             x = T.column_bytes(_rows(raw).column(text_at))
             _, words, first = _words(x)
@@ -284,7 +314,7 @@ def _runs(text_at: int, size: int):
                 continue
             for row in copied.get(chunk, [()])[0]:
                 ok[first[row]:first[row + 1]] = False
-            hit = ok & np.isin(anchor, marked)
+            hit = ok & marked.has(anchor)
             begin = hit.copy()
             begin[1:] &= ~(hit[:-1] & (anchor[1:] == anchor[:-1]))
             at = np.flatnonzero(begin)
@@ -322,7 +352,7 @@ _WINDOW = "_part long, _chunk int, _row int, _id long, _start int, _window long"
 
 
 def _split(text_at: int, size: int):
-    """One task's blocks and runs: the single windows of the runs."""
+    """One part's blocks and runs: the single windows of the runs."""
 
     def run(blocks: pa.Table, runs: pa.Table) -> pa.Table:
         wanted = _grouped(runs, "_row", "_id", "_start", "_windows")
@@ -358,10 +388,12 @@ def removals_of(blocks: DataFrame, copies: DataFrame, text_at: int, size: int) -
     that start earlier elsewhere; start ``WHOLE`` for a text that is a copy."""
     spark = blocks.sparkSession
     none = F.lit(None)
-    marks = marks_of(blocks).select("_part", none.cast("int").alias("_chunk"), none.cast("int").alias("_row"), "_hashes").union(
-        copies.select("_part", "_chunk", "_row", none.cast("binary")))
+    shards = shards_of(blocks)
+    marks = marks_of(blocks, shards).select(
+        "_part", none.cast("int").alias("_chunk"), none.cast("int").alias("_row"), "_line", "_cells").union(
+        copies.select("_part", "_chunk", "_row", none.cast("int"), none.cast("binary")))
     texts = blocks.select("_part", "_chunk", "_ids", "_rows")
-    runs = staged(spark, texts.groupBy("_part").cogroup(marks.groupBy("_part")).applyInArrow(_runs(text_at, size), _RUN),
+    runs = staged(spark, texts.groupBy("_part").cogroup(marks.groupBy("_part")).applyInArrow(_runs(text_at, size, shards), _RUN),
                   "repeat-runs")
     place = ["_part", "_chunk", "_row", "_start", "_windows"]
     known = staged(spark, _later(runs.drop("_anchor", "_self"), "_run").select(*place), "repeat-later")
@@ -410,7 +442,7 @@ def _kept_text(x: T.Texts, word_starts: np.ndarray, first: np.ndarray, gone: np.
 
 
 def _cut(text_at: int, size: int, make):
-    """One task's blocks and removals: ``make(rows, ids, texts, first word of each text,
+    """One part's blocks and removals: ``make(rows, ids, texts, first word of each text,
     removed words, kept texts)`` of each block."""
 
     def run(blocks: pa.Table, removals: pa.Table) -> pa.Table:

@@ -43,7 +43,7 @@ CLASSES = PLACES = 32
 SYMBOLS = CLASSES * PLACES
 TOP = SYMBOLS - BUCKETS
 START = SYMBOLS       # history before the first word
-SLOTS = 1 << 19
+SLOT_BITS, MORE_SLOT_BITS = 19, 16
 ROUNDS = 3
 MINI_BATCH = 16_384
 RATE = 0.15
@@ -54,31 +54,45 @@ SHARD_TOKENS = 4_000_000  # training tokens for each shard of the rare-word coun
 
 # ---------------------------------------------------------------- vocabulary
 
+def _slot(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Place of words in a slot table: each table goes by other bits."""
+    if table == 0:
+        return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    return (T.mix(hashes + np.uint64(table)) >> np.uint64(64 - MORE_SLOT_BITS)).astype(np.int64)
+
+
 @dataclass
 class Vocabulary:
-    """Frequent words by number; number 0 is the end of text."""
+    """Frequent words by number; number 0 is the end of text. They are found by slot
+    tables: words whose slot is taken stand in the next table, so none is left out."""
     hashes: np.ndarray
-    slots: np.ndarray
-    numbers: np.ndarray
+    tables: list[tuple[np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, by_count: np.ndarray) -> Vocabulary:
-        """``by_count``: hashes by falling count. Words whose place in the slot
-        table is taken by a more frequent one count as rare words."""
-        by_count = np.concatenate([[END], by_count[by_count != END]]).astype(np.uint64)
-        place = (by_count >> np.uint64(64 - 19)).astype(np.int64)
-        _, first = np.unique(place, return_index=True)
-        kept = by_count[np.sort(first)]
-        slots, numbers = np.zeros(SLOTS, dtype=np.uint64), np.zeros(SLOTS, dtype=np.uint16)
-        place = (kept >> np.uint64(64 - 19)).astype(np.int64)
-        slots[place], numbers[place] = kept, np.arange(len(kept))
-        return cls(kept, slots, numbers)
+        """``by_count``: different hashes by falling count."""
+        words = np.concatenate([[END], by_count[by_count != END]]).astype(np.uint64)
+        left, tables = np.arange(len(words)), []
+        while len(left):
+            place = _slot(words[left], len(tables))
+            place, first = np.unique(place, return_index=True)
+            size = 1 << (MORE_SLOT_BITS if tables else SLOT_BITS)
+            slots, numbers = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.uint16)
+            slots[place], numbers[place] = words[left[first]], left[first]
+            tables.append((slots, numbers))
+            left = np.delete(left, first)
+        return cls(words, tables)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """A number for each word: frequent words by number, others ``HOT`` plus bucket."""
-        place = (hashes >> np.uint64(64 - 19)).astype(np.int64)
-        known = self.slots[place] == hashes
-        return np.where(known, self.numbers[place], HOT + bucket(hashes)).astype(np.uint16)
+        out = (HOT + bucket(hashes)).astype(np.uint16)
+        left = np.arange(len(hashes))
+        for k, (slots, numbers) in enumerate(self.tables):
+            place = _slot(hashes[left], k)
+            known = slots[place] == hashes[left]
+            out[left[known]] = numbers[place[known]]
+            left = left[~known]
+        return out
 
     def symbols(self) -> np.ndarray:
         """Symbol of each number."""

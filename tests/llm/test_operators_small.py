@@ -247,6 +247,17 @@ def test_language_model(spark, messy, nothing):
     assert maxent.score_texts(nothing, held).count() == 0
 
 
+def test_every_frequent_word_has_its_number():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(1, 1 << 63, maxent.HOT - 1, dtype=np.uint64) * np.uint64(2)
+    hashes[1:40] = hashes[0] + np.arange(1, 40, dtype=np.uint64)  # all in one slot of the first table
+    vocab = maxent.Vocabulary.of(hashes)
+    assert len(vocab.hashes) == maxent.HOT and len(vocab.tables) > 1
+    assert (vocab.ids(hashes) == np.arange(1, maxent.HOT)).all()
+    assert (vocab.ids(hashes + np.uint64(1 << 40)) >= maxent.HOT).all()
+    assert len(vocab.ids(hashes[:0])) == 0
+
+
 def test_symbol_probabilities_add_up_and_training_helps():
     rng = np.random.default_rng(3)
     text = np.tile([3, 700, 41, 900, 3, 5], 4000)
@@ -448,18 +459,43 @@ def test_repeats_against_brute_force(messy, odd_ids, nothing):
     assert repeats.digests(nothing).count() == 0 and repeats.remove_repeats(nothing).count() == 0
 
 
-def test_anchor_estimates_are_never_too_low():
+def test_anchor_estimates_are_never_too_low(monkeypatch):
     import pyarrow as pa
     rng = np.random.default_rng(2)
-    parts = [np.sort(rng.choice(5000, 900, replace=False)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(6)]
-    table = pa.table({"_shard": [0] * 6, "_part": list(range(6)), "_hashes": [p.tobytes() for p in parts],
-                      "_often": [np.ones(900, dtype=np.uint8).tobytes()] * 6})
-    out = repeats.merge_sketches(table)
+    spread = np.uint64(0x9E3779B97F4A7C15)
+    parts = [rng.choice(5000, 900, replace=False).astype(np.uint64) * spread for _ in range(6)]
+    parts[0] = np.concatenate([parts[0], np.full(5, 9999, dtype=np.uint64) * spread])  # only in one part, but often
     counts = collections.Counter(np.concatenate(parts).tolist())
-    for part, raw in zip(out.column("_part").to_pylist(), out.column("_hashes").to_pylist()):
-        marked = set(np.frombuffer(raw, dtype=np.uint64).tolist())
-        repeated = {h for h in parts[part].tolist() if counts[h] > 1}
-        assert repeated <= marked and len(marked - repeated) < 20
+    batch = pa.RecordBatch.from_arrays([pa.array(list(range(6)), type=pa.int64()),
+                                        pa.array([p.tobytes() for p in parts], type=pa.binary())], names=["_part", "_anchors"])
+    too_many = []
+    for bits in (32, 11):  # a narrow sketch overestimates more, and still loses none
+        monkeypatch.setattr(repeats, "CELL_BITS", bits)
+        sent = pa.Table.from_batches(list(repeats._sketch(3)(iter([batch]))))
+        lines = sent.column("_line").to_numpy()
+        assert set(lines.tolist()) == set(range(3 * repeats.DEPTH))
+        out = pa.concat_tables([repeats.merge_sketches(sent.filter(pa.array(lines == i))) for i in set(lines.tolist())])
+        wrong = 0
+        for part, anchors in enumerate(parts):
+            mine = out.filter(pa.array(out.column("_part").to_numpy() == part))
+            marked = repeats.Marked(mine.column("_line").to_pylist(), mine.column("_cells").to_pylist(), 3).has(anchors)
+            repeated = np.array([counts[h] > 1 for h in anchors.tolist()])
+            assert marked[repeated].all()
+            wrong += int((marked & ~repeated).sum())
+        too_many.append(wrong)
+    assert too_many[0] == 0 and too_many[1] > 0
+    assert not repeats.Marked([None], [None], 3)
+
+
+def test_repeats_over_several_parts_of_a_task(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * 7777 + j * j) % 50021}" for j in range(60_000))) for i in range(6)]
+    rows += [(7, rows[3][1]), (None, rows[0][1][200_000:])]
+    monkeypatch.setattr(repeats, "PART_CHUNKS", 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert repeats.blocks_of(docs, "doc_id", "text", 20).select("_part").distinct().count() > 2
+    got = sorted((2**63 - 1 if r["_id"] is None else r["_id"], r.n_words, r.n_removed, r.kept_sha256)
+                 for r in repeats.digests(docs).collect())
+    assert got == slow_repeats([(2**63 - 1 if i is None else i, t) for i, t in rows])
 
 
 def test_equal_windows_have_equal_anchors():

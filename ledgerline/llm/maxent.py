@@ -1,8 +1,8 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
-The output alphabet has 1,024 symbols: the end of text, the most frequent
+The output alphabet has 4,096 symbols: the end of text, the most frequent
 training words, and 16 buckets that share all other words by hash. A symbol's
-probability is factored into its class (32 classes) and its place in the class,
+probability is factored into its class (64 classes) and its place in the class,
 each a softmax over hashed features of the history: a bias, the word before
 (n-gram of one), the two words before (n-gram of two) and the word before the
 last (a skip). A bucket's word then has its smoothed share of the bucket's
@@ -14,7 +14,7 @@ training tokens: frequent words are counted in a bounded table per task, all
 others are sharded by hash. The model takes ``ROUNDS`` rounds; in a round each
 task goes over its part of that round's texts in mini-batches (Adagrad), and
 the tasks' weight changes are averaged by token count, folded in two levels.
-What is broadcast has a fixed size: 32,768 words and 3 MB of weights.
+What is broadcast has a fixed size: 32,768 words and 25 MB of weights.
 
 Defined results: null and empty texts are the single end token; null ids are
 training rows; repeated rows each get their row; an empty table gives an
@@ -39,7 +39,7 @@ from ledgerline.llm.staging import documents, staged
 END = np.uint64(0x5EED_0E0D_0000_0001)  # stands for the end of a text
 HOT = 32_768          # words counted in tables and known to the tasks by number
 BUCKETS = 16
-CLASSES = PLACES = 32
+CLASSES = PLACES = 64
 SYMBOLS = CLASSES * PLACES
 TOP = SYMBOLS - BUCKETS
 START = SYMBOLS       # history before the first word
@@ -47,7 +47,9 @@ SLOT_BITS, MORE_SLOT_BITS = 19, 16
 ROUNDS = 3
 MINI_BATCH = 16_384
 RATE = 0.15
-CLASS_ROWS, PLACE_ROWS = 1 << 13, 1 << 14
+CLASS_ROWS, PLACE_ROWS = 1 << 15, 1 << 16
+# the upper half of a table is for both words: a 32-bit hash shifted to its size
+CLASS_SHIFT, PLACE_SHIFT = 33 - (CLASS_ROWS // 2).bit_length(), 33 - (PLACE_ROWS // 2).bit_length()
 BLOCKS = 48
 SHARD_TOKENS = 4_000_000  # training tokens for each shard of the rare-word counts
 
@@ -315,8 +317,8 @@ class Features:
         """Rows in the class table and in the place table of the symbols
         ``one`` and ``two`` before, for symbols of class ``group``."""
         both = (one * 2654435761 + two * 40503) & 0xFFFFFFFF
-        both_class = CLASS_ROWS // 2 + ((both * 2246822519 & 0xFFFFFFFF) >> 20)
-        both_place = PLACE_ROWS // 2 + (((both + group * 374761393) * 3266489917 & 0xFFFFFFFF) >> 19)
+        both_class = CLASS_ROWS // 2 + ((both * 2246822519 & 0xFFFFFFFF) >> CLASS_SHIFT)
+        both_place = PLACE_ROWS // 2 + (((both + group * 374761393) * 3266489917 & 0xFFFFFFFF) >> PLACE_SHIFT)
         return ((self.near[one], self.far[two], both_class),
                 (self.near_place[one, group], self.far_place[two, group], both_place))
 

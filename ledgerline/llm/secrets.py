@@ -53,7 +53,7 @@ ADDED = (
     Kind("pem", rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----{_GAP}{{0,64}}+"
                 rf"(?:[A-Z][A-Za-z-]{{1,40}}+:\x20?[^\s\\]{{0,128}}+{_GAP}{{1,64}}+){{0,8}}+"
                 rf"((?={_BODY}{{16}})(?={_INSIDE}*+{_END}){_INSIDE}*{_BODY}(?<!\\[nrt])(?={_GAP}{{0,64}}+{_END})"
-                rf"|{_BODY}{{16,16384}}+(?:{_GAP}{{0,64}}+{_BODY}{{16,16384}}+){{0,1023}}+)", 1),
+                rf"|{_BODY}{{16,}}+(?:{_GAP}{{0,64}}+{_BODY}{{16,}}+)*+)", 1),  # possessive: a loop of any length, no recursion
 )
 KINDS = BASE + ADDED
 PEM = len(KINDS) - 1

@@ -20,7 +20,9 @@ anchor.
    one row each. Runs equal as a whole are settled first: all but the first (by id
    and start) go. Only the first ones of anchors with several different runs,
    and runs that repeat a window inside, are then split into windows, which
-   are grouped exactly by a 64-bit hash of their words.
+   are grouped by two independent 64-bit hashes of their words; runs and whole
+   texts are compared by two as well. (One hash alone would make about n * n / 2**65
+   different windows equal: millions of them at the 10**13 windows of 100 TB.)
 4. A last pass cuts the words covered by a later window.
 
 Documents with the same word sequence as one with a smaller id lose all words
@@ -94,6 +96,11 @@ def _words(x: T.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, x.span_hash(x.prefix(), starts, ends), first
 
 
+def _second(words: np.ndarray) -> np.ndarray:
+    """Other hashes of the same words, for the second hash of a run."""
+    return T.mix(words ^ np.uint64(0xA0761D6478BD642F))
+
+
 class _Spans:
     """Hashes of word runs of any length, by prefix sums."""
 
@@ -108,7 +115,8 @@ class _Spans:
 
 # ---------------------------------------------------------------- 1. blocks
 
-_BLOCK = ("_part long, _chunk int, _ids binary, _counts binary, _wholes binary, _anchors binary, _rows binary")
+_BLOCK = ("_part long, _chunk int, _ids binary, _counts binary, _wholes binary, _wholes2 binary, _anchors binary, "
+          "_rows binary")
 
 
 def _blocks(text_at: int, size: int):
@@ -128,12 +136,13 @@ def _blocks(text_at: int, size: int):
                 with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
                     out.write_batch(rows.slice(lo, hi - lo))
                 values = (ids[lo:hi].tobytes(), np.diff(first).tobytes(),
-                          _Spans(words).hash(first[:-1], first[1:]).tobytes(), grams[used].tobytes(),
+                          _Spans(words).hash(first[:-1], first[1:]).tobytes(),
+                          _Spans(_second(words)).hash(first[:-1], first[1:]).tobytes(), grams[used].tobytes(),
                           sink.getvalue().to_pybytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part << 20 | chunk // per_part], type=pa.int64()), pa.array([chunk], type=pa.int32()),
                      *[pa.array([v], type=pa.binary()) for v in values]],
-                    names=[c.split()[0] for c in _BLOCK.split(", ")])
+                    names=_names(_BLOCK))
                 chunk += 1
     return run
 
@@ -149,7 +158,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
     return staged_by(docs.sparkSession, made, "_part", "repeat-blocks")
 
 
-_PLACE = "_part long, _chunk int, _row int, _id long, _n long, _whole long"
+_PLACE = "_part long, _chunk int, _row int, _id long, _n long, _whole long, _whole2 long"
 
 
 def _places(size: int):
@@ -157,23 +166,23 @@ def _places(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, chunk, ids, counts, wholes in zip(*[c.to_pylist() for c in batch.columns]):
+            for part, chunk, ids, counts, *wholes in zip(*[c.to_pylist() for c in batch.columns]):
                 counts = np.frombuffer(counts, np.int64)
                 row = np.flatnonzero(counts >= size)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), part)), pa.array(np.full(len(row), chunk, dtype=np.int32)),
                      pa.array(row.astype(np.int32)), pa.array(np.frombuffer(ids, np.int64)[row]), pa.array(counts[row]),
-                     pa.array(np.frombuffer(wholes, np.int64)[row])], names=[c.split()[0] for c in _PLACE.split(", ")])
+                     *[pa.array(np.frombuffer(w, np.int64)[row]) for w in wholes]], names=_names(_PLACE))
     return run
 
 
 def copies_of(blocks: DataFrame, size: int) -> DataFrame:
     """(``_part``, ``_chunk``, ``_row``) of the texts with the word sequence of one with a smaller id."""
-    texts = blocks.select("_part", "_chunk", "_ids", "_counts", "_wholes").mapInArrow(_places(size), _PLACE)
+    texts = blocks.select("_part", "_chunk", "_ids", "_counts", "_wholes", "_wholes2").mapInArrow(_places(size), _PLACE)
     texts = staged(blocks.sparkSession, texts, "repeat-texts")
-    firsts = texts.groupBy("_whole", "_n").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_times"))
+    firsts = texts.groupBy("_whole", "_whole2", "_n").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_times"))
     firsts = staged(blocks.sparkSession, firsts.filter("_times > 1").drop("_times"), "repeat-first-texts")
-    found = texts.join(firsts, ["_whole", "_n"]).filter("_id > _first")
+    found = texts.join(firsts, ["_whole", "_whole2", "_n"]).filter("_id > _first")
     return staged(blocks.sparkSession, found.select("_part", "_chunk", "_row"), "repeat-copies")
 
 
@@ -282,7 +291,8 @@ class Marked:
 
 # ---------------------------------------------------------------- 3. runs and windows
 
-_RUN = "_part long, _chunk int, _row int, _id long, _start int, _windows int, _anchor long, _run long, _self boolean"
+_RUN = ("_part long, _chunk int, _row int, _id long, _start int, _windows int, _anchor long, _run long, _run2 long, "
+        "_self boolean")
 
 
 def _grouped(table: pa.Table, *columns: str) -> dict[int, list[np.ndarray]]:
@@ -331,7 +341,8 @@ def _runs(text_at: int, size: int, shards: int):
                 pa.array(np.full(len(at), part)), pa.array(np.full(len(at), chunk, dtype=np.int32)),
                 pa.array(row.astype(np.int32)), pa.array(np.frombuffer(ids, np.int64)[row]),
                 pa.array((at - first[row]).astype(np.int32)), pa.array(count.astype(np.int32)),
-                pa.array(anchor[at].view(np.int64)), pa.array(_Spans(words).hash(at, at + count + size - 1).view(np.int64)),
+                pa.array(anchor[at].view(np.int64)),
+                *[pa.array(_Spans(w).hash(at, at + count + size - 1).view(np.int64)) for w in (words, _second(words))],
                 pa.array(different < count)], names=_names(_RUN)))
         return pa.concat_tables(parts) if parts else _empty(_RUN)
     return run
@@ -348,7 +359,7 @@ def _empty(schema: str) -> pa.Table:
     return pa.table({c.split()[0]: pa.nulls(0, _ARROW[c.split()[1]]) for c in schema.split(", ")})
 
 
-_WINDOW = "_part long, _chunk int, _row int, _id long, _start int, _window long"
+_WINDOW = "_part long, _chunk int, _row int, _id long, _start int, _window long, _window2 long"
 
 
 def _split(text_at: int, size: int):
@@ -361,23 +372,23 @@ def _split(text_at: int, size: int):
             if chunk not in wanted:
                 continue
             _, words, first = _words(T.column_bytes(_rows(raw).column(text_at)))
-            hashes = T.rolling(words, size, seed=11)
+            hashes = [T.rolling(w, size, seed=11) for w in (words, _second(words))]
             row, ids, start, count = wanted[chunk]
             step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             row, ids, start = np.repeat(row, count), np.repeat(ids, count), np.repeat(start, count) + step
             parts.append(pa.table([
                 pa.array(np.full(len(row), part)), pa.array(np.full(len(row), chunk, dtype=np.int32)),
                 pa.array(row.astype(np.int32)), pa.array(ids), pa.array(start.astype(np.int32)),
-                pa.array(hashes[first[row] + start].view(np.int64))], names=_names(_WINDOW)))
+                *[pa.array(h[first[row] + start].view(np.int64)) for h in hashes]], names=_names(_WINDOW)))
         return pa.concat_tables(parts) if parts else _empty(_WINDOW)
     return run
 
 
-def _later(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose key occurs with a smaller id or, in the same id, a smaller
+def _later(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` whose key (two hashes) occurs with a smaller id or, in the same id, a smaller
     start. The firsts are written before the join: a join straight on top of the
     grouping would keep all rows of a hot key in one task."""
-    first = rows.groupBy(key).agg(F.min(F.struct("_id", "_start")).alias("_e"), F.count(F.lit(1)).alias("_times"))
+    first = rows.groupBy(*key).agg(F.min(F.struct("_id", "_start")).alias("_e"), F.count(F.lit(1)).alias("_times"))
     first = staged(rows.sparkSession, first.filter("_times > 1").drop("_times"), "repeat-firsts")
     joined = rows.join(first, key)
     return joined.filter("_id > _e._id or (_id = _e._id and _start > _e._start)")
@@ -396,16 +407,17 @@ def removals_of(blocks: DataFrame, copies: DataFrame, text_at: int, size: int) -
     runs = staged(spark, texts.groupBy("_part").cogroup(marks.groupBy("_part")).applyInArrow(_runs(text_at, size, shards), _RUN),
                   "repeat-runs")
     place = ["_part", "_chunk", "_row", "_start", "_windows"]
-    known = staged(spark, _later(runs.drop("_anchor", "_self"), "_run").select(*place), "repeat-later")
+    known = staged(spark, _later(runs.drop("_anchor", "_self"), ["_run", "_run2"]).select(*place), "repeat-later")
     leaders = runs.join(known.select("_part", "_chunk", "_row", "_start"), ["_part", "_chunk", "_row", "_start"], "left_anti")
-    several = (leaders.groupBy("_anchor").agg(F.min("_run").alias("_a"), F.max("_run").alias("_b"))
+    several = (leaders.groupBy("_anchor").agg(F.min(F.struct("_run", "_run2")).alias("_a"),
+                                           F.max(F.struct("_run", "_run2")).alias("_b"))
                .filter("_a <> _b").select("_anchor"))
     several = staged(spark, several, "repeat-several")  # written, so that the rows of a common anchor can be split
     split = leaders.filter("not _self").join(several, "_anchor", "left_semi").select(*place, "_id").union(
         leaders.filter("_self").select(*place, "_id"))
     windows = staged(spark, texts.groupBy("_part").cogroup(split.groupBy("_part")).applyInArrow(_split(text_at, size), _WINDOW),
                      "repeat-windows")
-    later = _later(windows, "_window").select(
+    later = _later(windows, ["_window", "_window2"]).select(
         "_part", "_chunk", "_row", "_start", F.lit(1).alias("_windows"))
     return known.union(later).union(
         copies.select("_part", "_chunk", "_row", F.lit(WHOLE).alias("_start"), F.lit(0).alias("_windows")))

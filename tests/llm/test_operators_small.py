@@ -510,3 +510,14 @@ def test_equal_windows_have_equal_anchors():
         assert anchor[s] == near.min() and used[s:s + span][near == anchor[s]].all()
         assert seen.setdefault(w[s:s + 20].tobytes(), anchor[s]) == anchor[s]
     assert len(T.inside(first, 20)) == len(ok)
+
+
+def test_windows_are_equal_only_if_both_hashes_are(spark):
+    rows = [(1, 0, 7, 1), (2, 0, 7, 2), (2, 5, 7, 2), (3, 0, 7, 1), (4, 0, 8, 1)]
+    df = spark.createDataFrame(rows, "_id long, _start int, _window long, _window2 long")
+    got = sorted((r["_id"], r["_start"]) for r in repeats._later(df, ["_window", "_window2"]).collect())
+    assert got == [(2, 5), (3, 0)]
+    w = np.random.default_rng(4).integers(0, 2**63, 500).astype(np.uint64)
+    w = np.concatenate([w, w])
+    a, b = (repeats._Spans(x).hash(np.arange(980), np.arange(980) + 20) for x in (w, repeats._second(w)))
+    assert (a[:480] == a[500:]).all() and (b[:480] == b[500:]).all() and not (a == b).any()

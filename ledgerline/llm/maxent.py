@@ -1,11 +1,13 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
 The output alphabet has 1,024 symbols: the end of text, the most frequent
-training words, and 16 buckets that share all other words by hash. A symbol's
+training words, and 16 buckets that share all other words: 12 bands by
+frequency of the words known by number, 4 by hash for all further words. A symbol's
 probability is factored into its class (32 classes) and its place in the class,
 each a softmax over hashed features of the history: a bias, the word before
 (n-gram of one), the two words before (n-gram of two) and the word before the
-last (a skip). A bucket's word then has its smoothed share of the bucket's
+last (a skip). Words before count by their number among the 32,768 known ones in
+the class softmax, by symbol elsewhere. A bucket's word then has its smoothed share of the bucket's
 training count, so that the probabilities of all words, with one place for an
 unseen word, add up to one.
 
@@ -14,7 +16,7 @@ training tokens: frequent words are counted in a bounded table per task, all
 others are sharded by hash. The model takes ``ROUNDS`` rounds; in a round each
 task goes over its part of that round's texts in mini-batches (Adagrad), and
 the tasks' weight changes are averaged by token count, folded in two levels.
-What is broadcast has a fixed size: 32,768 words and 3 MB of weights.
+What is broadcast has a fixed size: 32,768 words and 4 MB of weights.
 
 Defined results: null and empty texts are the single end token; null ids are
 training rows; repeated rows each get their row; an empty table gives an
@@ -42,12 +44,13 @@ BUCKETS = 16
 CLASSES = PLACES = 32
 SYMBOLS = CLASSES * PLACES
 TOP = SYMBOLS - BUCKETS
-START = SYMBOLS       # history before the first word
+BANDS = 12            # buckets of words known by number, by frequency; the others share all further words by hash
+START = HOT + BUCKETS  # history before the first word
 SLOT_BITS, MORE_SLOT_BITS = 19, 16
 ROUNDS = 3
 MINI_BATCH = 16_384
 RATE = 0.15
-CLASS_ROWS, PLACE_ROWS = 1 << 13, 1 << 14
+CLASS_ROWS, PLACE_ROWS = 1 << 14, 1 << 14
 BLOCKS = 48
 SHARD_TOKENS = 4_000_000  # training tokens for each shard of the rare-word counts
 
@@ -98,13 +101,20 @@ class Vocabulary:
         """Symbol of each number."""
         out = np.zeros(HOT + BUCKETS, dtype=np.int64)
         n = len(self.hashes)
-        out[:n] = np.where(np.arange(n) < TOP, np.arange(n), TOP + bucket(self.hashes))
+        out[:n] = np.where(np.arange(n) < TOP, np.arange(n), TOP + band(np.arange(n)))
         out[HOT:] = TOP + np.arange(BUCKETS)
         return out
 
 
+def band(number: np.ndarray) -> np.ndarray:
+    """Bucket of a word known by number: bands of rank, each as much wider than the last."""
+    steps = np.log(np.maximum(number, TOP) / TOP) / np.log(HOT / TOP)
+    return np.minimum((steps * BANDS).astype(np.int64), BANDS - 1)
+
+
 def bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+    """Bucket of a word without a number, by hash."""
+    return BANDS + (hashes % np.uint64(BUCKETS - BANDS)).astype(np.int64)
 
 
 def _tokens(x: T.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +294,7 @@ def _counts(spark: SparkSession, encoded: DataFrame, vocab: Vocabulary, rare: Da
     total, distinct = int(hot.sum() + tokens.sum()), int((hot > 0).sum() + words.sum())
     n = len(vocab.hashes)
     middle = np.arange(TOP, n)
-    place = bucket(vocab.hashes[TOP:])
+    place = band(middle)
     tokens += np.bincount(place, weights=hot[middle], minlength=BUCKETS).astype(np.int64)
     words += np.bincount(place, weights=hot[middle] > 0, minlength=BUCKETS).astype(np.int64)
     return Counts(hot, tokens, words, total, distinct)
@@ -297,27 +307,42 @@ def _rows_of(x: np.ndarray, size: int, salt: int) -> np.ndarray:
 
 
 # rows of a feature's weights: parts of the tables for word before, word before that, both
+_CLASS_PARTS = (0.5, 0.25, 0.25)
 _PARTS = (0.25, 0.25, 0.5)
 
 
+def _own_rows(number: np.ndarray, size: int, salt: int) -> np.ndarray:
+    """A row of its own for each word of the alphabet and the start, hashed rows for other words."""
+    out = TOP + 1 + _rows_of(number, size - TOP - 1, salt)
+    out[:TOP] = number[:TOP]
+    out[START] = TOP
+    return out
+
+
 class Features:
-    """Row numbers of the features, by history, precomputed where they are few."""
+    """Row numbers of the features, by history, precomputed where they are few. The
+    words before are known by number in the class softmax, by symbol in pairs and places."""
 
     def __init__(self):
+        number = np.arange(START + 1)
+        self.symbol = np.where(number < TOP, number, TOP + number % BUCKETS)
+        self.symbol[START] = SYMBOLS
+        self.near = _own_rows(number, int(CLASS_ROWS * _CLASS_PARTS[0]), 3)
+        self.far = int(CLASS_ROWS * _CLASS_PARTS[0]) + _own_rows(number, int(CLASS_ROWS * _CLASS_PARTS[1]), 4)
         symbol = np.arange(SYMBOLS + 1)
-        self.near = symbol % int(CLASS_ROWS * _PARTS[0])
-        self.far = int(CLASS_ROWS * _PARTS[0]) + symbol % int(CLASS_ROWS * _PARTS[1])
         pair = symbol[:, None] * CLASSES + np.arange(CLASSES)[None, :]
         self.near_place = _rows_of(pair, int(PLACE_ROWS * _PARTS[0]), 1)
         self.far_place = int(PLACE_ROWS * _PARTS[0]) + _rows_of(pair, int(PLACE_ROWS * _PARTS[1]), 2)
 
     def of(self, one: np.ndarray, two: np.ndarray, group: np.ndarray):
-        """Rows in the class table and in the place table of the symbols
+        """Rows in the class table and in the place table of the words (by number)
         ``one`` and ``two`` before, for symbols of class ``group``."""
+        near, far = self.near[one], self.far[two]
+        one, two = self.symbol[one], self.symbol[two]
         both = (one * 2654435761 + two * 40503) & 0xFFFFFFFF
-        both_class = CLASS_ROWS // 2 + ((both * 2246822519 & 0xFFFFFFFF) >> 20)
+        both_class = 3 * CLASS_ROWS // 4 + ((both * 2246822519 & 0xFFFFFFFF) >> 20)
         both_place = PLACE_ROWS // 2 + (((both + group * 374761393) * 3266489917 & 0xFFFFFFFF) >> 19)
-        return ((self.near[one], self.far[two], both_class),
+        return ((near, far, both_class),
                 (self.near_place[one, group], self.far_place[two, group], both_place))
 
 
@@ -419,11 +444,11 @@ class Trainer:
 
 
 def histories(ids: np.ndarray, first: np.ndarray, symbols: np.ndarray):
-    """Symbols, and those one and two places before, of texts laid end to end."""
+    """Word numbers one and two places before, and symbols, of texts laid end to end."""
     symbol = symbols[ids]
     one = np.empty_like(symbol)
     two = np.empty_like(symbol)
-    one[1:], two[2:] = symbol[:-1], symbol[:-2]
+    one[1:], two[2:] = ids[:-1], ids[:-2]
     begin = first[:-1]
     one[begin] = START
     two[begin] = START

@@ -258,6 +258,35 @@ def test_every_frequent_word_has_its_number():
     assert len(vocab.ids(hashes[:0])) == 0
 
 
+def test_words_before_have_features_beyond_the_alphabet():
+    f, number = maxent.Features(), np.arange(maxent.START + 1)
+    group = np.zeros(len(number), dtype=np.int64)
+    (near, far, both), places = f.of(number, number, group)
+    assert near.max() < far.min() and far.max() < both.min() and both.max() < maxent.CLASS_ROWS
+    assert all(0 <= x.min() and x.max() < maxent.PLACE_ROWS for x in places)
+    own = [*range(maxent.TOP), maxent.START]
+    for rows in (near, far):
+        assert len(set(rows[own])) == len(own) and not set(rows[own]) & set(np.delete(rows, own))
+    assert len(set(near)) > 5 * maxent.SYMBOLS
+    symbols = maxent.Vocabulary.of(np.arange(2, maxent.HOT + 1, dtype=np.uint64)).symbols()
+    bands = symbols[maxent.TOP:maxent.HOT] - maxent.TOP
+    assert (np.diff(bands) >= 0).all() and set(bands) == set(range(maxent.BANDS))
+    assert set(maxent.bucket(np.arange(99, dtype=np.uint64))) == set(range(maxent.BANDS, maxent.BUCKETS))
+
+
+def test_all_words_share_one_probability(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{min(int(rng.paretovariate(0.4)), 60_000)}" for _ in range(400))) for i in range(120)]
+    seen = sorted({w for i, t in rows for w in t.split()})
+    rows = [(2 * i, t) for i, t in rows]
+    probes = [(2 * i + 1, w) for i, w in enumerate([*seen, "never-seen"])]
+    held = F.col("doc_id") % 2 == 1
+    docs = spark.createDataFrame(rows + probes, "doc_id long, text string")
+    got = {r["_id"]: r.score for r in maxent.score_texts(docs, held).filter("_held").collect()}
+    # a text of one word: its probability times that of the end after it, which is at most one
+    assert 0 < sum(10 ** s for s in got.values()) <= 1.0001
+
+
 def test_symbol_probabilities_add_up_and_training_helps():
     rng = np.random.default_rng(3)
     text = np.tile([3, 700, 41, 900, 3, 5], 4000)

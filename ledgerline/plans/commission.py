@@ -27,7 +27,7 @@ import datetime as dt
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.semantics import (
@@ -129,7 +129,7 @@ def fact_grain(r: Roles, folder: str | None = None) -> DataFrame:
     """Billed measures per (file, client, billing key, billing date) with the
     file's fee rows attached once: ``fee_rows`` (0 when none), ``misc`` and
     ``background`` sums. Every branch starts from this grain, so the jobs
-    write it once (``commission_tables``) and scan the line facts once."""
+    write its client days once (``commission_tables``) and scan the line facts once."""
     keys = ["file_key", "client_key", "billing_date_key", "billing_date"]
     return (billed_lines(r, with_fees=True, folder=folder)
             .groupBy(*keys).agg(
@@ -167,6 +167,42 @@ def client_day(grain: DataFrame, with_billing_date: bool) -> DataFrame:
     )
 
 
+def client_dates(grain: DataFrame) -> DataFrame:
+    """Both forms of ``client_day`` in one table, per (client, billing key, billing
+    date): the sums with the billing date, and the file fees counted once for each
+    file's billing key (``misc_once``, ``background_once``), at its first date.
+    Grain rows come partitioned by file, so nothing but these sums is shuffled."""
+    zero = F.lit(0).cast(MONEY)
+    copies = F.greatest(col("fee_rows"), F.lit(1)).cast("decimal(10,0)")
+    misc, background = F.coalesce(col("misc"), zero), F.coalesce(col("background"), zero)
+    first = Window.partitionBy("file_key", "client_key", "billing_date_key").orderBy("billing_date")
+    once = F.row_number().over(first) == 1
+    rows = grain.select(
+        "client_key", "billing_date_key", "billing_date", (col("amount") * copies).alias("actual"),
+        (col("fee_amount") * copies).alias("fees"), misc.alias("misc"), background.alias("background"),
+        F.when(once, misc).alias("misc_once"), F.when(once, background).alias("background_once"))
+    sums = ["actual", "fees", "misc", "background", "misc_once", "background_once"]
+    return rows.groupBy("client_key", "billing_date_key", "billing_date").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def by_client_day(dates: DataFrame) -> DataFrame:
+    """``client_day`` without the billing date, from ``client_dates``."""
+    return dates.groupBy("client_key", "billing_date_key").agg(
+        F.sum("actual").alias("actual"), F.sum("fees").alias("fees"),
+        F.sum("misc_once").alias("misc"), F.sum("background_once").alias("background"))
+
+
+def staged(r: Roles, df: DataFrame, name: str) -> DataFrame:
+    """A query's large groupings and joins, written to a folder of their own with
+    shuffles sized by the input; what the query adds to them is a projection."""
+    return stage_table(df, os.path.join(run_folder(r.spark, name), name))
+
+
+def client_days(r: Roles, with_billing_date: bool) -> DataFrame:
+    """``client_day`` of the whole fact grain, written once."""
+    return staged(r, client_day(fact_grain(r), with_billing_date), "client_days")
+
+
 def adjustments_by(r: Roles, key: str, folder: str | None = None) -> DataFrame:
     """Invoice adjustments pre-aggregated per (``key``, month, year)."""
     zero = F.lit(0).cast(MONEY)
@@ -349,14 +385,14 @@ def commission_special(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                        cd: DataFrame | None = None) -> DataFrame:
     """Branch 1: special clients, rate = the client's own percent; every band
     (deleted ones too) is a candidate."""
-    return band_branches(r, cfg, cd, (SPECIAL,))
+    return staged(r, band_branches(r, cfg, cd, (SPECIAL,)), "commission_special")
 
 
 def commission_regular(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                        cd: DataFrame | None = None) -> DataFrame:
     """Branch 2: regular clients started up to the cut-off, rate = the band's
     pay percent, deleted bands excluded inside the join only."""
-    return band_branches(r, cfg, cd, (REGULAR,))
+    return staged(r, band_branches(r, cfg, cd, (REGULAR,)), "commission_regular")
 
 
 # ---------------------------------------------------------------------------
@@ -443,22 +479,24 @@ def commission_bucket(r: Roles, cfg: CommissionConfig = CommissionConfig(),
 # ---------------------------------------------------------------------------
 
 def commission_staged(r: Roles, cfg: CommissionConfig = CommissionConfig(),
-                      grain: DataFrame | None = None, folder: str | None = None) -> DataFrame:
+                      dates: DataFrame | None = None, folder: str | None = None) -> DataFrame:
     """The staging table: the three branches unioned by name, all computed
-    from one fact grain; branches 1 and 2 run as one tagged pass."""
-    grain = fact_grain(r, folder) if grain is None else grain
-    return (band_branches(r, cfg, client_day(grain, with_billing_date=False), folder=folder)
-            .unionByName(commission_bucket(r, cfg, client_day(grain, with_billing_date=True), folder)))
+    from one table of client days; branches 1 and 2 run as one tagged pass."""
+    if dates is None:
+        dates = staged(r, client_dates(fact_grain(r, folder)), "client_dates")
+    by_date = dates.drop("misc_once", "background_once")
+    return (band_branches(r, cfg, by_client_day(dates), folder=folder)
+            .unionByName(commission_bucket(r, cfg, by_date, folder)))
 
 
 def commission_tables(r: Roles, cfg: CommissionConfig = CommissionConfig(),
                       folder: str | None = None) -> DataFrame:
-    """Run the staging part of the procedure: write the fact grain and the
+    """Run the staging part of the procedure: write the client days and the
     staging table once under the shared checkpoint folder and return a scan
     of the staging table (read by the load, the anti-join and the audit)."""
     folder = run_folder(r.spark, "commission") if folder is None else folder
-    grain = stage_table(fact_grain(r, folder), os.path.join(folder, "fact_grain"))
-    return stage_table(commission_staged(r, cfg, grain, folder), os.path.join(folder, "staged"))
+    dates = stage_table(client_dates(fact_grain(r, folder)), os.path.join(folder, "client_dates"))
+    return stage_table(commission_staged(r, cfg, dates, folder), os.path.join(folder, "staged"))
 
 
 def commission_load(staged: DataFrame, cfg: CommissionConfig = CommissionConfig()) -> DataFrame:

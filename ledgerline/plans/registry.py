@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.semantics import ts_lit
 from ledgerline.plans import adjudication, commission, extract, fixture, operator_queries, params
 from ledgerline.plans.config import ParamSelection
+from ledgerline.session import partitions_for
 from ledgerline.sources import warehouse
 from ledgerline.sources.roles import Roles, VariantRoles
 from ledgerline.sources.sinks import REPORT_DATASET_HEADINGS, run_folder, with_display_names
@@ -46,8 +47,13 @@ def _load(r: Roles) -> DataFrame:
     return commission.commission_load(commission.commission_tables(r, CFG), CFG)
 
 
+def _bucket(r: Roles) -> DataFrame:
+    return commission.staged(r, commission.commission_bucket(r, CFG), "commission_bucket")
+
+
 def _adj_only(r: Roles) -> DataFrame:
-    return commission.commission_adjustment_only(r, commission.commission_tables(r, CFG), CFG)
+    only = commission.commission_adjustment_only(r, commission.commission_tables(r, CFG), CFG)
+    return commission.staged(r, only, "adjustment_only")
 
 
 def _mart(r: Roles) -> DataFrame:
@@ -81,8 +87,9 @@ EXTRACT_TABLES = ("request", "request_detail", "detail_international")
 
 
 def _loaded(r: Roles, names: tuple[str, ...]) -> warehouse.Warehouse:
-    """The tables laid out by ``warehouse.load``, one bucket for each shuffle partition."""
-    return warehouse.load(r, run_folder(r.spark, "warehouse"), names, int(r.spark.conf.get("spark.sql.shuffle.partitions")))
+    """The tables laid out by ``warehouse.load``, one bucket for each shuffle partition that the largest asks for."""
+    buckets = max(partitions_for(getattr(r, n)) for n in names)
+    return warehouse.load(r, run_folder(r.spark, "warehouse"), names, buckets)
 
 
 def _warehouse_mart(r: Roles) -> DataFrame:
@@ -112,8 +119,8 @@ PRODUCTS: dict[str, Query] = {
     # D1 executive-commission mart
     "commission_special": _roles(lambda r: commission.commission_special(r, CFG)),
     "commission_regular": _roles(lambda r: commission.commission_regular(r, CFG)),
-    "commission_bucket": _roles(lambda r: commission.commission_bucket(r, CFG)),
-    "staged_union": _roles(lambda r: commission.commission_staged(r, CFG)),
+    "commission_bucket": _roles(_bucket),
+    "staged_union": _roles(lambda r: commission.commission_tables(r, CFG)),
     "commission_load": _roles(_load),
     "commission_adjustment_only": _roles(_adj_only),
     "commission_mart": _roles(_mart),
@@ -141,7 +148,7 @@ PRODUCTS: dict[str, Query] = {
     # repeated dimension rows and collation variants
     "special_variants": _variants(lambda r: commission.commission_special(r, CFG)),
     "regular_variants": _variants(lambda r: commission.commission_regular(r, CFG)),
-    "bucket_variants": _variants(lambda r: commission.commission_bucket(r, CFG)),
+    "bucket_variants": _variants(_bucket),
     "extract_variants": _variants(lambda r: extract.file_component_extract(r, fixture.EXTRACT)),
     "extract_country_variants": _variants(
         lambda r: extract.file_component_extract_country(r, fixture.COUNTRY_EXTRACT)),

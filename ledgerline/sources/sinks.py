@@ -17,7 +17,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import checkpoint_dir
+from ledgerline.session import checkpoint_dir, sized_shuffles
 from ledgerline.sources.contracts import enforced
 
 # Display headings of the report table (snake_case inside, headings at the
@@ -73,9 +73,11 @@ def run_folder(spark: SparkSession, job: str) -> str:
 def stage_table(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """Write ``df`` once as parquet (``SELECT ... INTO #temp``) and return a
     fresh scan of it. Column limits are enforced and stay with the table
-    (``contracts``). ``partitions`` optionally evens out the file count."""
+    (``contracts``). ``partitions`` optionally evens out the file count. The
+    write's shuffles are sized by its input (``sized_shuffles``)."""
     out = enforced(df if partitions is None else df.repartition(partitions))
-    out.write.mode("overwrite").parquet(path)
+    with sized_shuffles(out):
+        out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -163,7 +165,8 @@ def replace_load(df: DataFrame, target: str, audit: Observation | None = None,
     fs.create(loading, True).close()
     try:
         out = enforced(df if audit is None else df.observe(audit, F.count(F.lit(1)).alias("rows"), *metrics))
-        out.drop("_staged").write.mode("errorifexists").parquet(folder)
+        with sized_shuffles(out):
+            out.drop("_staged").write.mode("errorifexists").parquet(folder)
         number = _claim_number(spark, target)
         fs.create(path(os.path.join(target, f"{_POINTER}{number:012d}-{version}")), False).close()
     except BaseException:

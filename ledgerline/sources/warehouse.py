@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerline.functions.semantics import KEY_SUFFIX, ci_norm
+from ledgerline.session import sized_shuffles
 from ledgerline.sources.contracts import conform, contract, enforced, violations
 
 # The columns that the reports read, their types and limits.
@@ -147,12 +148,14 @@ def load(source, folder: str, names: Iterable[str] = tuple(CONTRACTS), buckets:
         path = os.path.join(folder, name)
         if buckets and name in BUCKET_KEYS:
             key, table = BUCKET_KEYS[name], f"ledgerline_load_{uuid.uuid4().hex}"
-            (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet")
-             .option("path", path).saveAsTable(table))
+            with sized_shuffles(df):
+                (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet")
+                 .option("path", path).saveAsTable(table))
             spark.sql(f"DROP TABLE {table}")  # external: the files stay
             laid.append((name, buckets))
         else:
-            df.write.parquet(path)
+            with sized_shuffles(df):
+                df.write.parquet(path)
     if laid:
         spark.createDataFrame(laid, "name string, buckets int").coalesce(1).write.json(os.path.join(folder, LAYOUT))
     return Warehouse(spark, folder)

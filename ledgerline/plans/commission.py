@@ -518,17 +518,18 @@ def commission_adjustment_only(r: Roles, staged: DataFrame,
     """
     fi = r.invoice_adjustment
     dc = r.client
-    x = fi.join(dc, "client_key")
-    x = (x.withColumn("adj_date", first_of_month(col("adjustment_year"), col("adjustment_month")))
-         .withColumn("age", days_between(col("business_start_date"), col("adj_date"))))
-    x = range_join(x, r.commission_band, "age", "account_age_min", "account_age_max")
     have = staged.select(
         col("client_key").alias("h_client"),
         key_month(col("billing_date_key")).alias("h_month"),
         key_year(col("billing_date_key")).alias("h_year")).distinct()
-    x = anti_on(x, have, (x["client_key"] == have["h_client"])
-                & (x["adjustment_month"] == have["h_month"])
-                & (x["adjustment_year"] == have["h_year"]))
+    # the anti-join first: only what it leaves is joined to clients and bands
+    x = anti_on(fi, have, (fi["client_key"] == have["h_client"])
+                & (fi["adjustment_month"] == have["h_month"])
+                & (fi["adjustment_year"] == have["h_year"]))
+    x = x.join(dc.drop("account_executive_id"), "client_key")
+    x = (x.withColumn("adj_date", first_of_month(col("adjustment_year"), col("adjustment_month")))
+         .withColumn("age", days_between(col("business_start_date"), col("adj_date"))))
+    x = range_join(x, r.commission_band, "age", "account_age_min", "account_age_max")
     is_reg = ci_eq("commission_type", "REG")
     is_spc = ci_eq("commission_type", "spc")
     rate = F.when(is_reg, col("account_pay_percent")).when(is_spc, col("commission_percent"))

@@ -56,7 +56,7 @@ def run_commission(spark: SparkSession, tables: str, target: str,
                    source: str = "fixture") -> dict:
     """Rebuild the executive-commission report table and return the audit row.
 
-    Staging (fact grain, band groups, staged branches) is written once and
+    Staging (client days, band groups, staged branches) is written once and
     removed at the end, also after a failure; the report table is replaced in one write (new version +
     pointer, never an empty table); the audit counts are collected by an
     ``Observation`` during that write, so no extra pass over the data is needed.

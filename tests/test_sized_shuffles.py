@@ -55,6 +55,50 @@ def test_settings_come_back_after_nested_and_failed_writes(spark, small_parts):
     assert [spark.conf.get(k) for k in (PARTITIONS, ADVISORY)] == before
 
 
+SCANNED = "spark.sql.files.maxPartitionBytes"
+
+
+def test_scans_are_cut_by_size(spark, monkeypatch):
+    def lines():
+        return Roles(spark, SF_SMALL).t.lineitem
+
+    whole, before = lines().rdd.getNumPartitions(), spark.conf.get(SCANNED)
+    with session.sized_shuffles(lines()):
+        assert session._bytes(spark.conf.get(SCANNED)) <= session.SCANNED_BYTES_PER_PARTITION < session._bytes(before)
+    monkeypatch.setattr(session, "SCANNED_BYTES_PER_PARTITION", session.input_bytes(lines()) // 10)
+    with session.sized_shuffles(lines()):
+        assert lines().rdd.getNumPartitions() >= 10 > whole
+    assert spark.conf.get(SCANNED) == before
+
+
+def test_a_finer_scan_setting_stays(spark):
+    before = spark.conf.get(SCANNED)
+    spark.conf.set(SCANNED, "1m")
+    try:
+        with session.sized_shuffles(Roles(spark, SF_SMALL).t.lineitem):
+            assert session._bytes(spark.conf.get(SCANNED)) == 1 << 20
+        assert spark.conf.get(SCANNED) == "1m"
+    finally:
+        spark.conf.set(SCANNED, before)
+
+
+@pytest.mark.parametrize("name", ["special_variants", "staged_union", "group_by_expression", "group_by_variants", "month_key_join",
+                                  "band_outer_join", "commission_maths", "commission_regular", "regular_variants",
+                                  "three_level_rollup", "distinct_derived_join"])
+def test_named_queries_are_written_from_bounded_scans(spark, monkeypatch, name):
+    seen = []
+
+    @contextlib.contextmanager
+    def noted(df):
+        with session.sized_shuffles(df):
+            seen.append(session._bytes(spark.conf.get(SCANNED)))
+            yield
+
+    monkeypatch.setattr(sinks, "sized_shuffles", noted)
+    queries()[name](spark, SF_SMALL)
+    assert seen and max(seen) <= session.SCANNED_BYTES_PER_PARTITION
+
+
 @pytest.mark.parametrize("text, n", [("16KB", 16 << 10), ("64m", 64 << 20), ("67108864b", 64 << 20), ("5", 5), ("1g", 1 << 30)])
 def test_sizes(text, n):
     assert session._bytes(text) == n

@@ -35,6 +35,7 @@ from ledgerline.functions.semantics import (
     first_of_month, int_key_to_date, isnull_typed, key_month, key_year,
     pay_amount, percent_text, relabel_band, tier_rate, ts_lit,
 )
+from ledgerline.operators.aggregates import spread_rows
 from ledgerline.operators.joins import anti_on, range_join
 from ledgerline.plans.config import CommissionConfig
 from ledgerline.sources.contracts import ContractError, contract, enforced, insert_select
@@ -117,7 +118,8 @@ def _grouped_side(r: Roles, df: DataFrame, name: str, folder: str | None) -> Dat
 
 def fees_per_file(r: Roles, folder: str | None = None) -> DataFrame:
     """File fees pre-aggregated: ``(file, fee rows, sum misc, sum background)``."""
-    fees = r.file_fees.groupBy("file_key").agg(
+    rows = spread_rows(r.file_fees.select("file_key", "miscellaneous_fees", "background_fees"))
+    fees = rows.groupBy("file_key").agg(
         F.count(F.lit(1)).alias("fee_rows"),
         F.sum(F.coalesce(col("miscellaneous_fees"), F.lit(0).cast(MONEY))).alias("misc"),
         F.sum(F.coalesce(col("background_fees"), F.lit(0).cast(MONEY))).alias("background"),

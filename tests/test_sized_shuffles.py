@@ -99,6 +99,56 @@ def test_named_queries_are_written_from_bounded_scans(spark, monkeypatch, name):
     assert seen and max(seen) <= session.SCANNED_BYTES_PER_PARTITION
 
 
+def scan_groupings(plan):
+    """First lines of the partial groupings that run in a scan's own stage."""
+    lines, found = plan.split("\n"), []
+    for i, line in enumerate(lines):
+        if "functions=[partial_" in line:
+            below = next(x for x in lines[i + 1:] if "Exchange" in x or "Scan " in x)
+            if "Scan " in below:
+                found.append(line.strip())
+    return found
+
+
+def written_plans(monkeypatch):
+    """The plans of the tables that are written."""
+    plans = []
+
+    @contextlib.contextmanager
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        with session.sized_shuffles(df):
+            yield
+
+    monkeypatch.setattr(sinks, "sized_shuffles", noted)
+    return plans
+
+
+@pytest.mark.parametrize("name", ["group_by_expression", "group_by_variants", "band_outer_join", "commission_maths",
+                                  "commission_regular", "regular_variants", "three_level_rollup", "staged_union"])
+def test_file_fees_are_shuffled_before_they_are_grouped(spark, monkeypatch, name):
+    """A row group is never split: grouped in the scan, its files would all be in one map."""
+    plans = written_plans(monkeypatch)
+    queries()[name](spark, SF_SMALL)
+    fees = [p for p in plans if "keys=[file_key" in p and "miscellaneous_fees" in p]
+    assert fees and not [x for p in fees for x in scan_groupings(p)]
+
+
+def test_hot_and_repeated_fees_keep_their_sums(spark):
+    class Fees:
+        pass
+
+    r = Fees()
+    r.spark = spark
+    r.file_fees = spark.sql("""
+        SELECT CASE WHEN id < 900 THEN 1 WHEN id < 950 THEN CAST(NULL AS bigint) ELSE id END AS file_key,
+               CAST(CASE WHEN id % 3 > 0 THEN 1.25 END AS decimal(18,2)) AS miscellaneous_fees,
+               CAST(id % 2 AS decimal(18,2)) AS background_fees, 'x' AS more FROM range(1000)""")
+    got = {f: (n, str(m), str(b)) for f, n, m, b in commission.fees_per_file(r).collect()}
+    assert len(got) == 52
+    assert got[1] == (900, "750.00", "450.00") and got[None] == (50, "41.25", "25.00") and got[951] == (1, "0.00", "1.00")
+
+
 @pytest.mark.parametrize("text, n", [("16KB", 16 << 10), ("64m", 64 << 20), ("67108864b", 64 << 20), ("5", 5), ("1g", 1 << 30)])
 def test_sizes(text, n):
     assert session._bytes(text) == n

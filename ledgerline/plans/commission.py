@@ -206,9 +206,14 @@ def client_days(r: Roles, with_billing_date: bool) -> DataFrame:
 
 
 def adjustments_by(r: Roles, key: str, folder: str | None = None) -> DataFrame:
-    """Invoice adjustments pre-aggregated per (``key``, month, year)."""
+    """Invoice adjustments pre-aggregated per (``key``, month, year). The months of
+    a client hold few rows each, those of an executive many: only the latter are
+    grouped where they are read."""
     zero = F.lit(0).cast(MONEY)
-    sums = r.invoice_adjustment.groupBy(key, "adjustment_month", "adjustment_year").agg(
+    rows = r.invoice_adjustment.select(key, "adjustment_month", "adjustment_year", "adjustment_amount", "bad_debt_amount")
+    if key == "client_key":
+        rows = spread_rows(rows)
+    sums = rows.groupBy(key, "adjustment_month", "adjustment_year").agg(
         F.count(F.lit(1)).alias("adj_rows"),
         F.sum(F.coalesce(col("adjustment_amount"), zero)).alias("adj_sum"),
         F.sum(F.coalesce(col("bad_debt_amount"), zero)).alias("bad_sum"),

@@ -134,6 +134,27 @@ def test_file_fees_are_shuffled_before_they_are_grouped(spark, monkeypatch, name
     assert fees and not [x for p in fees for x in scan_groupings(p)]
 
 
+def test_client_adjustments_are_shuffled_before_they_are_grouped(spark, monkeypatch):
+    plans = written_plans(monkeypatch)
+    commission.adjustments_by(Roles(spark, SF_SMALL), "client_key")
+    commission.adjustments_by(Roles(spark, SF_SMALL), "account_executive_id")
+    client, executive = plans
+    spread = [x for x in client.split("\n") if "Exchange" in x and "REPARTITION_BY_COL" in x]
+    assert len(spread) == 1 and "adjustment_month" in spread[0] and "bad_debt_amount" in spread[0]
+    assert "REPARTITION_BY_COL" not in executive
+
+
+def test_adjustment_sums_are_those_of_plain_grouping(spark):
+    r = Roles(spark, SF_SMALL)
+    for key in ("client_key", "account_executive_id"):
+        r.invoice_adjustment.createOrReplaceTempView("adjustment_rows")
+        want = spark.sql(f"""SELECT {key}, adjustment_month, adjustment_year, COUNT(*) AS adj_rows,
+                                    SUM(COALESCE(adjustment_amount, 0)) AS adj_sum, SUM(COALESCE(bad_debt_amount, 0)) AS bad_sum
+                             FROM adjustment_rows GROUP BY ALL""")
+        got = commission.adjustments_by(r, key)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+
+
 def test_hot_and_repeated_fees_keep_their_sums(spark):
     class Fees:
         pass
